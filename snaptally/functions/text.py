@@ -75,7 +75,7 @@ def hex_suffix_id(pid, fallback) -> Column:
     p = _c(pid)
     tail = F.substring(p, -8, 8)
     ok = p.isNotNull() & (F.length(p) > 0) & tail.rlike(HEX_INT_PATTERN)
-    t = F.regexp_replace(F.trim(tail), "_", "")
+    t = F.regexp_replace(F.regexp_replace(tail, r"^\s+|\s+$", ""), "_", "")
     neg = t.startswith("-")
     digits = F.regexp_replace(t, r"^[+-]?(0[xX])?", "")
     val = F.conv(digits, 16, 10).cast("long")

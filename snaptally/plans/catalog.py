@@ -10,9 +10,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pyspark.sql import functions as F
+
+from ..functions.text import hex_suffix_id
 from ..operators.checks import key_violations, null_violations
 from ..operators.delta import counter_delta
 from ..schema import RAW_COLUMNS
+from ..session import scratch_path
+from ..sources import csvfile, plist, store
 from ..sources.fixture import event_counters, load_fixture, read_table
 from . import models as M
 from . import reports as R
@@ -44,6 +49,51 @@ def _fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.bronze(load_fixture(spark, sf_dir))
 
 
+def _plist_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fixture -> plist files (Spark text writer) -> plist source."""
+    out = scratch_path(spark, "plist")
+    plist.write_plist_snapshots(_fixture(spark, sf_dir), out)
+    rows = plist.plist_snapshots(spark, out, glob="part-*")
+    return rows.drop("snapshot_path")
+
+
+def _csv_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fixture -> CSV exports -> CSV source."""
+    out = scratch_path(spark, "csv")
+    csvfile.write_csv_snapshots(_fixture(spark, sf_dir), out)
+    return csvfile.csv_snapshots(spark, out).drop("snapshot_path")
+
+
+def _surrogate_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hex-suffix ids of ids, titles and corrupted ids."""
+    raw = _fixture(spark, sf_dir)
+    return raw.select(
+        "snapshot_date", "track_id", "persistent_id",
+        hex_suffix_id("persistent_id", F.lit(-1)).alias("id_from_pid"),
+        hex_suffix_id("name", F.lit(-1)).alias("id_from_title"),
+        hex_suffix_id(F.concat("persistent_id", F.lit("g")), F.lit(-1)).alias("id_from_bad"),
+    )
+
+
+def _upsert_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keyed upsert of a re-export of the latest snapshot."""
+    raw = _fixture(spark, sf_dir)
+    return store.upsert(raw, store.bump_latest(raw))
+
+
+def _replace_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Store the fixture partitioned by date, replace the latest
+    date with a smaller re-export, load an empty batch, read the table back."""
+    path = scratch_path(spark, "raw")
+    raw = _fixture(spark, sf_dir)
+    store.replace_snapshot(raw, path)
+    # the re-export is derived from the source rows, not from the table being
+    # overwritten, so no job reads and replaces the same partition
+    store.replace_snapshot(store.bump_latest(raw), path)
+    store.replace_snapshot(raw.limit(0), path)
+    return store.read_raw(spark, path)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bronze_library": _fixture,
     "silver_tracks": lambda s, d: M.silver(_fixture(s, d)),
@@ -71,4 +121,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "snapshot_preview": lambda s, d: R.snapshot_preview(_fixture(s, d)),
     "key_violations": _gold(lambda g: key_violations(M.dim_album(g.dim), ["album_name"])),
     "null_violations": lambda s, d: null_violations(_fixture(s, d), RAW_COLUMNS),
+    "plist_ingest": _plist_ingest,
+    "csv_ingest": _csv_ingest,
+    "surrogate_id": _surrogate_id,
+    "upsert_snapshot": _upsert_snapshot,
+    "replace_snapshot": _replace_snapshot,
 }
