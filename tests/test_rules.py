@@ -1,0 +1,163 @@
+"""One test per semantic rule, on hand-made rows."""
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from conftest import raw_row
+from snaptally.plans import models as M
+from snaptally.plans import reports as R
+
+
+def gold(raw, **kw):
+    s = M.silver(M.bronze(raw), **kw)
+    return s, M.fact(s), M.dim_track(s)
+
+
+def rows(df, *cols):
+    return [tuple(r[c] for c in cols) for r in df.collect()]
+
+
+D1, D2, D3 = "2025-01-01", "2025-02-01", "2025-03-01"
+
+
+def test_first_sighting_has_null_delta_and_no_report(make_raw):
+    _, f, d = gold(make_raw([raw_row(D1, 1, "P1", 5)]))
+    assert rows(f, "play_count_delta", "prev_snapshot_date") == [(None, None)]
+    assert R.top_songs(f, d).count() == 0
+    s = R.summary(f, d).collect()[0]
+    assert s.total_plays is None and s.unique_tracks_played == 0
+
+
+def test_counter_fall_is_negative_delta_and_counts_zero(make_raw):
+    _, f, d = gold(make_raw([raw_row(D1, 1, "P1", 10), raw_row(D2, 1, "P1", 4),
+                             raw_row(D3, 1, "P1", 6)]))
+    assert rows(f.orderBy("snapshot_date"), "play_count_delta") == [(None,), (-6,), (2,)]
+    assert rows(R.top_songs(f, d), "play_count") == [(2,)]
+
+
+def test_gap_bridges_to_previous_row(make_raw):
+    raw = make_raw([raw_row(D1, 1, "P1", 1), raw_row(D3, 1, "P1", 4),
+                    raw_row(D1, 2, "P2", 1), raw_row(D2, 2, "P2", 1), raw_row(D3, 2, "P2", 1)])
+    _, f, _ = gold(raw)
+    got = f.filter("track_persistent_id = 'P1' AND snapshot_date = DATE'2025-03-01'").collect()[0]
+    assert got.prev_snapshot_date == dt.date(2025, 1, 1) and got.play_count_delta == 3
+
+
+def test_renamed_artist_gets_all_plays(make_raw):
+    _, f, d = gold(make_raw([raw_row(D1, 1, "P1", 0, artist="A"), raw_row(D2, 1, "P1", 3, artist="A"),
+                             raw_row(D3, 1, "P1", 5, artist="B")]))
+    assert rows(R.top_artists(f, d), "artist_name", "play_count") == [("B", 5)]
+
+
+def test_duration_change_song_uses_dimension_artist_uses_fact(make_raw):
+    r2 = [raw_row(D1, 1, "P1", 0, total_time=180000), raw_row(D2, 1, "P1", 1, total_time=240000)]
+    _, f, d = gold(make_raw(r2))
+    assert rows(R.top_songs(f, d), "listening_minutes") == [(4.0,)]
+    assert rows(R.top_artists(f, d), "listening_minutes") == [(4.0,)]
+    r3 = r2 + [raw_row(D3, 1, "P1", 2, total_time=300000)]
+    _, f, d = gold(make_raw(r3))
+    assert rows(R.top_songs(f, d), "listening_minutes") == [(10.0,)]
+    assert rows(R.top_artists(f, d), "listening_minutes") == [(9.0,)]
+
+
+def test_idle_track_counts_in_unique_tracks_not_in_summary(make_raw):
+    raw = make_raw([raw_row(D1, 1, "P1", 2), raw_row(D2, 1, "P1", 2),
+                    raw_row(D1, 2, "P2", 2), raw_row(D2, 2, "P2", 5)])
+    _, f, d = gold(raw)
+    assert rows(R.top_artists(f, d), "unique_tracks", "play_count") == [(2, 3)]
+    assert R.summary(f, d).collect()[0].unique_tracks_played == 1
+
+
+def test_null_album_artist_falls_back_to_artist(make_raw):
+    _, f, d = gold(make_raw([raw_row(D1, 1, "P1", 0, artist="X", album_artist=None),
+                             raw_row(D2, 1, "P1", 1, artist="X", album_artist=None)]))
+    assert rows(R.top_albums(f, d), "album_name", "artist_name") == [("L", "X")]
+
+
+def test_null_artist_in_songs_not_in_artists(make_raw):
+    _, f, d = gold(make_raw([raw_row(D1, 1, "P1", 0, artist=None), raw_row(D2, 1, "P1", 2, artist=None)]))
+    assert rows(R.top_songs(f, d), "artist_name", "play_count") == [(None, 2)]
+    assert R.top_artists(f, d).count() == 0
+
+
+def test_ties_share_rank_with_gap(make_raw):
+    raw = []
+    for i, n in enumerate([5, 5, 3]):
+        raw += [raw_row(D1, i, f"P{i}", 0, name=f"s{i}"), raw_row(D2, i, f"P{i}", n, name=f"s{i}")]
+    _, f, d = gold(make_raw(raw))
+    for method in ("histogram", "window"):
+        got = sorted(rows(R.top_songs(f, d, method=method), "play_count", "rank"))
+        assert got == [(3, 3), (5, 1), (5, 1)]
+
+
+def test_all_idle_gives_no_rows(make_raw):
+    _, f, d = gold(make_raw([raw_row(D1, 1, "P1", 4), raw_row(D2, 1, "P1", 4)]))
+    assert R.top_songs(f, d).count() == 0
+    assert R.top_artists(f, d).count() == 0
+    assert R.top_albums(f, d).count() == 0
+
+
+def test_equal_titles_stay_two_rows(make_raw):
+    raw = [raw_row(D1, i, f"P{i}", 0, name="same") for i in (1, 2)]
+    raw += [raw_row(D2, i, f"P{i}", 1, name="same") for i in (1, 2)]
+    _, f, d = gold(make_raw(raw))
+    assert R.top_songs(f, d).count() == 2
+
+
+def test_empty_input_summary_row(make_raw):
+    _, f, d = gold(make_raw([]))
+    s = R.summary(f, d).collect()
+    assert [tuple(s[0])] == [(None, None, None, 0, 0, 0)]
+
+
+def test_duplicate_id_on_a_date_orders_by_track_id(make_raw):
+    raw = make_raw([raw_row(D1, 5, "P1", 1, name="low"), raw_row(D1, 9, "P1", 4, name="high"),
+                    raw_row(D2, 5, "P1", 6, name="next")])
+    s, f, d = gold(raw)
+    deltas = rows(f.orderBy("snapshot_date", "play_count"), "play_count", "play_count_delta")
+    assert deltas == [(1, None), (4, 3), (6, 2)]
+    d1 = M.dim_track(s.filter("snapshot_date = DATE'2025-01-01'")).collect()[0]
+    assert d1.title == "high"
+    assert M.dim_track(s, method="window").filter("title = 'next'").count() == 1
+
+
+def test_blank_id_kept_or_dropped(make_raw):
+    raw = make_raw([raw_row(D1, 1, "", 1), raw_row(D1, 2, "", 2), raw_row(D1, 3, None, 3)])
+    assert M.silver(raw).count() == 2
+    assert M.silver(raw, blank_id="null").count() == 0
+
+
+def test_null_duration_counts_plays_without_minutes(make_raw):
+    _, f, d = gold(make_raw([raw_row(D1, 1, "P1", 0, total_time=None),
+                             raw_row(D2, 1, "P1", 2, total_time=None)]))
+    assert rows(R.top_songs(f, d), "play_count", "listening_minutes") == [(2, None)]
+    assert rows(R.top_artists(f, d), "play_count", "listening_minutes") == [(2, None)]
+
+
+def test_yearly_uses_later_snapshot_year_and_keeps_first_sightings(make_raw):
+    raw = make_raw([raw_row("2024-12-20", 1, "P1", 1), raw_row("2025-01-05", 1, "P1", 4),
+                    raw_row("2026-01-05", 2, "P2", 7)])
+    _, f, d = gold(raw)
+    got = sorted(rows(R.yearly_summary(f, d), "year", "total_plays"))
+    assert got == [(2024, 0), (2025, 3), (2026, 0)]
+
+
+def test_hourly_listening_from_last_play(make_raw):
+    t = dt.datetime(2025, 1, 2, 21, 15)
+    _, f, _ = gold(make_raw([raw_row(D1, 1, "P1", 1, played=t), raw_row(D2, 1, "P1", 3, played=t)]))
+    assert rows(R.hourly_listening(f), "hour", "plays") == [(21, 2)]
+
+
+def test_monotone_counters_sum_to_last_minus_first(spark):
+    from conftest import SF_SMALL
+    from snaptally.sources.fixture import load_fixture
+    s = M.silver(load_fixture(spark, SF_SMALL))
+    f = M.fact(s)
+    per = (s.groupBy("track_persistent_id")
+           .agg(F.max_by("play_count", "snapshot_date").alias("last"),
+                F.min_by("play_count", "snapshot_date").alias("first")))
+    sums = f.groupBy("track_persistent_id").agg(F.sum("play_count_delta").alias("s"))
+    bad = (per.join(sums, "track_persistent_id")
+           .filter(F.coalesce(F.col("s"), F.lit(0)) != F.col("last") - F.col("first")))
+    assert bad.count() == 0
