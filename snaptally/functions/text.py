@@ -36,27 +36,42 @@ def parse_bool_text(c) -> Column:
     return F.coalesce(F.lower(_c(c)) == F.lit("true"), F.lit(False))
 
 
+# Fixed value: ISO-8601 date-time with an optional zone suffix
+# ('Z' or +hh, +hhmm, +hh:mm); group 1 is the local part, 2 the zone.
+ISO_ZONED = (r"^(\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(?::\d{2}(?:\.\d+)?)?)\s*"
+             r"(Z|z|[+-]\d{2}(?::?\d{2})?)?$")
+
+
+def _utc_ntz(c, parse) -> Column:
+    """Shared body of the ISO parsers; ``parse`` turns local text into NTZ."""
+    s = blank_to_null(F.trim(_c(c)))
+    local = F.regexp_extract(s, ISO_ZONED, 1)
+    zone = F.regexp_extract(s, ISO_ZONED, 2)
+    sign = F.when(zone.startswith("-"), F.lit(-1)).otherwise(F.lit(1))
+    digits = F.regexp_replace(zone, "[^0-9]", "")
+    secs = F.when(F.length(digits) == 0, F.lit(0)).otherwise(
+        sign * (F.substring(digits, 1, 2).cast("int") * 3600
+                + F.coalesce(F.nullif(F.substring(digits, 3, 2), F.lit("")).cast("int"), F.lit(0)) * 60))
+    matched = s.rlike(ISO_ZONED)
+    shifted = parse(F.regexp_replace(local, " ", "T")) - F.make_dt_interval(
+        F.lit(0), F.lit(0), F.lit(0), secs.cast("decimal(18,6)"))
+    # date-only and other forms: parsed as they are (no zone)
+    return F.when(matched, shifted).otherwise(parse(s))
+
+
 def parse_iso_ts(c) -> Column:
-    """ISO-8601 text with 'Z' or an offset (or none) -> UTC TIMESTAMP_NTZ.
+    """ISO-8601 text with 'Z', an offset or no zone -> UTC TIMESTAMP_NTZ.
 
-    Blank -> NULL. Zoned values are shifted to UTC, so the stored wall time
-    never depends on the session zone.
+    Blank -> NULL. The offset is applied arithmetically, so the stored wall
+    time never depends on the session zone. Unparsable text fails the job
+    under ANSI, as the source's parser raises.
     """
-    s = blank_to_null(F.trim(_c(c)))
-    zoned = s.rlike(r"(Z|z|[+-]\d{2}(:?\d{2})?)$")
-    as_utc = F.to_utc_timestamp(F.to_timestamp(s), F.current_timezone())
-    return F.when(zoned, F.to_timestamp_ntz(F.date_format(as_utc, "yyyy-MM-dd HH:mm:ss.SSSSSS"))) \
-        .otherwise(F.to_timestamp_ntz(s))
+    return _utc_ntz(c, lambda t: F.to_timestamp_ntz(t))
 
 
 def try_parse_iso_ts(c) -> Column:
-    """Like ``parse_iso_ts`` but unparsable text gives NULL instead of failing."""
-    s = blank_to_null(F.trim(_c(c)))
-    zoned = s.rlike(r"(Z|z|[+-]\d{2}(:?\d{2})?)$")
-    as_utc = F.to_utc_timestamp(F.try_to_timestamp(s), F.current_timezone())
-    return F.when(zoned, F.try_to_timestamp(F.date_format(as_utc, "yyyy-MM-dd HH:mm:ss.SSSSSS"))
-                  .cast("timestamp_ntz")) \
-        .otherwise(F.try_to_timestamp(s).cast("timestamp_ntz"))
+    """Like ``parse_iso_ts`` but unparsable text gives NULL."""
+    return _utc_ntz(c, lambda t: F.try_to_timestamp(t).cast("timestamp_ntz"))
 
 
 # Fixed value: the accepted form of a base-16 integer literal, as Python's
