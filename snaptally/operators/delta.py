@@ -6,12 +6,15 @@ over the entity's own previous row, so gaps between snapshots are bridged.
 
 Skew: the plain window sends every row of an entity to one task. An entity
 may hold a large share of the table (e.g. rows without a real id merged into
-one pseudo-entity), so ``skew="auto"`` finds such hot keys inside the plan
-and computes their deltas in bounded blocks instead:
+one pseudo-entity), so ``skew="auto"`` first finds such hot keys and
+computes their deltas in bounded blocks instead:
 
 * hot keys are those with more than ``max(hot_min_rows, total / hot_max_keys)``
-  rows. At most ``hot_max_keys`` keys can pass that test, so the key list has
-  a proven size and is broadcast to split the input without a shuffle;
+  rows. At most ``hot_max_keys`` keys can pass that test, so the list has a
+  proven size. One aggregation job over the key columns finds them (reading
+  only those columns); when there are none, the plan is the plain window
+  with nothing added, otherwise the list splits the input with an ``IN``
+  filter, without a join or shuffle;
 * a hot entity's rows are cut into blocks ``(keys, order, tiebreak >> bits)``.
   ``(order, tiebreak)`` is unique (the table key), so a block holds at most
   ``2**bits`` rows. LAG runs inside each block; the first row of a block takes
@@ -53,6 +56,13 @@ def _key_match(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column
     return cond
 
 
+def _in_list(keys: Sequence[str], values: list[tuple]) -> Column:
+    """``keys IN (values)`` for a short, bounded list of key tuples."""
+    if len(keys) == 1:
+        return F.col(keys[0]).isin([v[0] for v in values])
+    return F.struct(*keys).isin([F.struct(*[F.lit(x) for x in v]) for v in values])
+
+
 def _plain(df: DataFrame, keys, order, counters, tiebreak, prev_col, suffix) -> DataFrame:
     w = Window.partitionBy(*keys).orderBy(order, *tiebreak)
     return df.select(
@@ -98,8 +108,10 @@ def counter_delta(df: DataFrame, keys: Sequence[str], order: str,
 
     ``tiebreak`` orders rows sharing ``(keys, order)``; give an integer
     column that makes ``(order, tiebreak)`` unique for deterministic results.
-    ``skew`` is ``"auto"`` (split hot keys, see module doc), ``"off"`` (plain
-    window) or ``"force"`` (blocked path for every key; for tests).
+    ``skew`` is ``"auto"`` (find hot keys with one small job, split them, see
+    module doc), ``"auto-lazy"`` (the same inside one plan, no job at plan
+    time), ``"off"`` (plain window) or ``"force"`` (blocked path for every
+    key; for tests).
     """
     keys, counters, tiebreak = list(keys), list(counters), list(tiebreak)
     prev_col = prev_col or f"prev_{order}"
@@ -108,10 +120,18 @@ def counter_delta(df: DataFrame, keys: Sequence[str], order: str,
         return _plain(df, *args)
     if skew == "force":
         return _blocked(df, *args, bits=block_bits)
-    if skew != "auto":
+    if skew not in ("auto", "auto-lazy"):
         raise ValueError(f"unknown skew mode {skew!r}")
-    hot = F.broadcast(hot_keys(df, keys, hot_max_keys, hot_min_rows))
-    cond = _key_match(df, hot, keys)
-    normal = df.join(hot, cond, "left_anti")
-    heavy = df.join(hot, cond, "left_semi")
-    return _plain(normal, *args).unionByName(_blocked(heavy, *args, bits=block_bits))
+    if skew == "auto-lazy":
+        # everything inside one plan: the bounded key list is broadcast
+        hot = F.broadcast(hot_keys(df, keys, hot_max_keys, hot_min_rows))
+        cond = _key_match(df, hot, keys)
+        normal = df.join(hot, cond, "left_anti")
+        heavy = df.join(hot, cond, "left_semi")
+        return _plain(normal, *args).unionByName(_blocked(heavy, *args, bits=block_bits))
+    found = [tuple(r) for r in hot_keys(df, keys, hot_max_keys, hot_min_rows).collect()]
+    if not found:
+        return _plain(df, *args)
+    is_hot = _in_list(keys, found)
+    return (_plain(df.filter(~is_hot | is_hot.isNull()), *args)
+            .unionByName(_blocked(df.filter(is_hot), *args, bits=block_bits)))

@@ -10,14 +10,15 @@ from pyspark.sql import functions as F
 
 def latest_by(df: DataFrame, keys: Sequence[str], order: Sequence[str],
               tiebreak: Sequence[str] = (), columns: Sequence[str] | None = None,
-              method: str = "aggregate") -> DataFrame:
+              method: str = "window") -> DataFrame:
     """One row per ``keys``: the row with the greatest ``(order, tiebreak)``.
 
-    ``method="aggregate"`` (default) is ``max_by(struct(row), struct(order))``
-    per key. It aggregates partially before the shuffle, so a key holding a
-    large share of all rows costs one row per map task, not one task holding
-    the whole key. ``method="window"`` is ``row_number() = 1`` (Catalyst adds a
-    partial ``WindowGroupLimit``); kept to cross-check the aggregate.
+    ``method="window"`` (default) is ``row_number() = 1``: Catalyst plans a
+    partial ``WindowGroupLimit`` before the shuffle, so each map task sends
+    at most one row per key and a key holding a large share of all rows
+    never lands whole in one task. ``method="aggregate"`` is
+    ``max_by(struct(row), struct(order))`` per key, partially aggregated the
+    same way (a sort-based aggregate, as the buffer is a struct).
     """
     keys, order, tiebreak = list(keys), list(order), list(tiebreak)
     cols = [c for c in (columns or df.columns) if c not in keys]

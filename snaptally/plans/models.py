@@ -72,7 +72,7 @@ def fact(silver_df: DataFrame, skew: str = "auto", **skew_opts) -> DataFrame:
     return d.select(*FACT_COLUMNS)
 
 
-def dim_track(silver_df: DataFrame, method: str = "aggregate") -> DataFrame:
+def dim_track(silver_df: DataFrame, method: str = "window") -> DataFrame:
     """Latest state of each track (a higher track id wins within a date)."""
     cols = [c for c in DIM_TRACK_COLUMNS if c != ENTITY]
     latest = latest_by(silver_df.select(*DIM_TRACK_COLUMNS, SNAPSHOT), [ENTITY],

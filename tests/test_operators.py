@@ -40,6 +40,19 @@ def test_auto_split_with_hot_key_equals_plain(spark):
     auto = counter_delta(df, ["k"], "d", ["c"], tiebreak=["tid"], skew="auto",
                          hot_max_keys=4, hot_min_rows=20, block_bits=2)
     same(plain, auto)
+    lazy = counter_delta(df, ["k"], "d", ["c"], tiebreak=["tid"], skew="auto-lazy",
+                         hot_max_keys=4, hot_min_rows=20, block_bits=2)
+    same(plain, lazy)
+
+
+def test_multi_column_hot_keys(spark):
+    rows = [("lib1", "hot", d, t, d * 100 + t) for d in range(1, 4) for t in range(30)]
+    rows += [("lib2", "hot", d, 0, d) for d in range(1, 4)]
+    df = spark.createDataFrame(rows, "lib string, k string, d int, tid long, c int")
+    plain = counter_delta(df, ["lib", "k"], "d", ["c"], tiebreak=["tid"], skew="off")
+    auto = counter_delta(df, ["lib", "k"], "d", ["c"], tiebreak=["tid"], hot_max_keys=3,
+                         hot_min_rows=10, block_bits=3)
+    same(plain, auto)
 
 
 def test_hot_key_list_is_bounded(spark):
@@ -48,7 +61,7 @@ def test_hot_key_list_is_bounded(spark):
 
 
 def test_latest_by_aggregate_equals_window(silver):
-    same(M.dim_track(silver), M.dim_track(silver, method="window"))
+    same(M.dim_track(silver), M.dim_track(silver, method="aggregate"))
 
 
 @pytest.mark.parametrize("part", [[], ["g"]])

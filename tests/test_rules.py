@@ -119,7 +119,7 @@ def test_duplicate_id_on_a_date_orders_by_track_id(make_raw):
     assert deltas == [(1, None), (4, 3), (6, 2)]
     d1 = M.dim_track(s.filter("snapshot_date = DATE'2025-01-01'")).collect()[0]
     assert d1.title == "high"
-    assert M.dim_track(s, method="window").filter("title = 'next'").count() == 1
+    assert M.dim_track(s, method="aggregate").filter("title = 'next'").count() == 1
 
 
 def test_blank_id_kept_or_dropped(make_raw):
