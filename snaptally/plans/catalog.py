@@ -17,7 +17,7 @@ from ..operators.checks import key_violations, null_violations
 from ..operators.delta import counter_delta
 from ..schema import RAW_COLUMNS
 from ..session import scratch_path
-from ..sources import csvfile, plist, store
+from ..sources import backups, csvfile, plist, store
 from ..sources.fixture import event_counters, load_fixture, read_table
 from . import models as M
 from . import reports as R
@@ -94,6 +94,27 @@ def _replace_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.read_raw(spark, path)
 
 
+def _backup_listing(spark: SparkSession, sf_dir: str):
+    return backups.fixture_backup_listing(read_table(spark, sf_dir, "orders"),
+                                          read_table(spark, sf_dir, "lineitem"))
+
+
+def _pick_candidate_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parse backup folder names, choose each backup's library file."""
+    paths, _ = _backup_listing(spark, sf_dir)
+    chosen = backups.pick_library_files(backups.parse_backup_paths(paths))
+    return chosen.select("user", "backup_name", "backup_ts", "path")
+
+
+def _daily_last_backup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per user and day, the latest backup whose library has rows."""
+    paths, rows = _backup_listing(spark, sf_dir)
+    chosen = backups.pick_library_files(backups.parse_backup_paths(paths))
+    b = chosen.join(rows, ["user", "backup_name"], "inner")
+    return (backups.latest_per_day(b, keys=("user",))
+            .select("user", "snapshot_date", "backup_ts", "path", "n_tracks"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bronze_library": _fixture,
     "silver_tracks": lambda s, d: M.silver(_fixture(s, d)),
@@ -126,4 +147,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "surrogate_id": _surrogate_id,
     "upsert_snapshot": _upsert_snapshot,
     "replace_snapshot": _replace_snapshot,
+    "pick_candidate_path": _pick_candidate_path,
+    "daily_last_backup": _daily_last_backup,
 }

@@ -117,3 +117,43 @@ def read_backup_tree(spark: SparkSession, root: str, user: str | None = None) ->
     return rows.select(F.col("backup_ts").cast("date").alias("snapshot_date"),
                        F.col("path").alias("snapshot_path"),
                        *[F.col(c) for c in RAW_COLUMNS[2:]]).select(*RAW_COLUMNS)
+
+
+def fixture_backup_listing(orders: DataFrame, lineitem: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """A backup tree listing derived from the driver tables.
+
+    Customers own libraries, orders are backups: the backup day is the
+    Monday of the order's week (so a customer's orders of one week are
+    same-day backups) and the time is ``o_orderkey % 86400`` seconds. Each
+    backup gets some of the 18 candidate library paths; every 17th order has
+    an invalid folder name. Returns ``(paths, backup_rows)``: the file
+    listing, and per (user, backup name) the number of rows its library
+    would hold (order lines; 0 for orders with status 'F').
+    """
+    o = orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
+    d = F.col("o_orderdate").cast("date")
+    monday = F.date_sub(d, (F.dayofweek(d) + 5) % 7)
+    ts = monday.cast("timestamp_ntz") + F.make_dt_interval(
+        F.lit(0), F.lit(0), F.lit(0), (F.col("o_orderkey") % 86400).cast("decimal(18,6)"))
+    key = F.col("o_orderkey")
+    name = (F.when(key % 17 == 0, F.date_format(ts, "yyyy-'13'-dd-HHmmss"))
+            .otherwise(F.date_format(ts, "yyyy-MM-dd-HHmmss")))
+    user = F.concat(F.lit("u"), F.col("o_custkey").cast("string"))
+    named = o.select("o_orderkey", "o_orderstatus", name.alias("name"), user.alias("user"))
+    combos = F.array(*[F.struct(F.lit(v).alias("v"), F.lit(lb).alias("l"), F.lit(n).alias("n"))
+                       for v in range(3) for lb in range(3) for n in range(2)])
+    c = (named.select("*", F.explode(combos).alias("c"))
+         .filter((key + 5 * F.col("c.v") + 3 * F.col("c.l") + 7 * F.col("c.n")) % 4 == 0))
+    vol = F.element_at(F.array(*[F.lit(v) for v in VOLUMES]), F.col("c.v") + 1)
+    lib = F.element_at(F.array(*[F.lit(x) for x in LIBRARY_PATHS]), F.col("c.l") + 1)
+    nm = F.col("name")
+    path = F.concat(F.lit("/tm/"), nm, F.lit(".backup/"),
+                    F.when(F.col("c.n") == 1, F.concat(nm, F.lit(".backup/"))).otherwise(F.lit("")),
+                    vol, F.lit("/Users/"), F.col("user"), F.lit("/"), lib)
+    paths = c.select(path.alias("path")).distinct()
+    lines = lineitem.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n_lines"))
+    rows = (named.join(lines, named["o_orderkey"] == lines["l_orderkey"], "left")
+            .groupBy("user", F.col("name").alias("backup_name"))
+            .agg(F.sum(F.when(F.col("o_orderstatus") == "F", F.lit(0))
+                       .otherwise(F.coalesce(F.col("n_lines"), F.lit(0)))).alias("n_tracks")))
+    return paths, rows
