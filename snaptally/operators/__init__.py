@@ -1,11 +1,12 @@
-from .checks import ContractViolation, assert_contract, key_violations, null_violations
+from .checks import (ContractViolation, assert_contract, grain_report, key_violations,
+                     null_violations)
 from .delta import counter_delta, hot_keys
 from .latest import latest_by
-from .rank import competition_rank, first_n, top_k
-from .rollup import attribute, positive_rollup
+from .rank import competition_rank, first_n, order_by_rank, top_k
+from .rollup import attribute, positive_rollup, rename_select
 
 __all__ = [
-    "ContractViolation", "assert_contract", "key_violations", "null_violations",
-    "counter_delta", "hot_keys", "latest_by", "competition_rank", "first_n", "top_k",
-    "attribute", "positive_rollup",
+    "ContractViolation", "assert_contract", "grain_report", "key_violations", "null_violations",
+    "counter_delta", "hot_keys", "latest_by", "competition_rank", "first_n", "order_by_rank",
+    "top_k", "attribute", "positive_rollup", "rename_select",
 ]

@@ -40,3 +40,16 @@ def assert_contract(df: DataFrame, keys: Sequence[str] = (),
         bad = null_violations(df, not_null).collect()
         if bad:
             raise ContractViolation(f"{name}: NULL in {[(r[0], r[1]) for r in bad]}")
+
+
+def grain_report(models: dict, grains: dict) -> DataFrame:
+    """Per model, how many grain keys repeat (``model, grain, n_keys``).
+
+    One small aggregate per model, unioned; zero means the grain holds."""
+    out = None
+    for name, df in models.items():
+        keys = grains[name]
+        n = key_violations(df, keys).agg(F.count(F.lit(1)).alias("n_keys"))
+        part = n.select(F.lit(name).alias("model"), F.lit(",".join(keys)).alias("grain"), "n_keys")
+        out = part if out is None else out.unionByName(part)
+    return out

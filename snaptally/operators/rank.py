@@ -62,3 +62,9 @@ def first_n(df: DataFrame, n: int, order: Sequence, tiebreak: Sequence = ()) ->
     Give a ``tiebreak`` that makes the order total, so the cut is stable.
     """
     return df.orderBy(*order, *tiebreak).limit(n)
+
+
+def order_by_rank(df: DataFrame, rank_col: str = "rank", tiebreak: Sequence = ()) -> DataFrame:
+    """``ORDER BY rank [, tiebreak]`` of a whole report (range-partitioned
+    sort; no single task). For the first rows only use ``first_n``."""
+    return df.orderBy(F.col(rank_col), *tiebreak)

@@ -20,9 +20,16 @@ def attribute(fact: DataFrame, dim: DataFrame, keys: Sequence[str],
     return j
 
 
+def rename_select(df: DataFrame, mapping: dict) -> DataFrame:
+    """``SELECT expr AS name, ..`` from ``{name: column name or Column}``,
+    in the mapping's order."""
+    return df.select(*[(F.col(v) if isinstance(v, str) else v).alias(k) for k, v in mapping.items()])
+
+
 def positive_rollup(df: DataFrame, keys: Sequence[str], delta: str,
                     weight: str | None = None, plays: str = "plays",
-                    minutes: str = "minutes_x", else_rows: str | None = "n_else") -> DataFrame:
+                    minutes: str = "minutes_x", else_rows: str | None = "n_else",
+                    distinct: str | None = None, distinct_name: str = "unique_tracks") -> DataFrame:
     """Per group: sum of positive deltas (bigint) and, with ``weight``, the
     exact decimal sum of ``delta * weight`` over positive deltas.
 
@@ -35,4 +42,6 @@ def positive_rollup(df: DataFrame, keys: Sequence[str], delta: str,
         aggs.append(F.sum(positive_weighted(delta, weight)).alias(minutes))
     if else_rows:
         aggs.append(else_count(delta).alias(else_rows))
+    if distinct is not None:
+        aggs.append(F.count_distinct(distinct).alias(distinct_name))
     return df.groupBy(*keys).agg(*aggs)

@@ -13,9 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import hex_suffix_id
-from ..operators.checks import key_violations, null_violations
+from ..operators.checks import grain_report, key_violations, null_violations
 from ..operators.delta import counter_delta
-from ..schema import RAW_COLUMNS
+from ..schema import GRAINS, RAW_COLUMNS
 from ..session import scratch_path
 from ..sources import backups, csvfile, plist, store
 from ..sources.fixture import event_counters, load_fixture, read_table
@@ -147,6 +147,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "surrogate_id": _surrogate_id,
     "upsert_snapshot": _upsert_snapshot,
     "replace_snapshot": _replace_snapshot,
+    "grain_violations": _gold(lambda g: grain_report(
+        {"raw": g.raw, "silver": g.silver, "fact": g.fact, "dim_track": g.dim,
+         "dim_artist": M.dim_artist(g.dim), "dim_album": M.dim_album(g.dim)}, GRAINS)),
     "pick_candidate_path": _pick_candidate_path,
     "daily_last_backup": _daily_last_backup,
 }

@@ -95,3 +95,16 @@ def test_contract_checks(spark):
     with pytest.raises(ContractViolation):
         assert_contract(df, not_null=["v"])
     assert_contract(df.filter("v IS NOT NULL AND v = 'a' OR k = 2"), ["k"])
+
+
+def test_order_rename_and_distinct_rollup(spark):
+    from snaptally.operators import order_by_rank, positive_rollup, rename_select
+    df = spark.createDataFrame([("a", 1, 2, "t1"), ("a", 2, -1, "t2"), ("b", 3, 5, "t1")],
+                               "g string, id int, d int, t string")
+    r = rename_select(df, {"grp": "g", "twice": F.col("d") * 2})
+    assert r.columns == ["grp", "twice"]
+    roll = {x.g: (x.plays, x.n_else, x.unique_tracks)
+            for x in positive_rollup(df, ["g"], "d", distinct="t").collect()}
+    assert roll == {"a": (2, 1, 2), "b": (5, 0, 1)}
+    ranked = competition_rank(df, "d")
+    assert [x.id for x in order_by_rank(ranked, tiebreak=[F.col("id")]).collect()] == [3, 1, 2]
