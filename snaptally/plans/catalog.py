@@ -18,7 +18,7 @@ from ..operators.delta import counter_delta
 from ..schema import GRAINS, RAW_COLUMNS
 from ..session import scratch_path
 from ..sources import backups, csvfile, plist, store
-from ..sources.fixture import event_counters, load_fixture, read_table
+from ..sources.fixture import event_counters, load_fixture, load_library_fixture, read_table
 from . import models as M
 from . import reports as R
 
@@ -33,6 +33,26 @@ class Gold:
         self.dim = M.dim_track(self.silver)
 
 
+LIB = ("library_id",)
+
+
+class LibraryGold:
+    """Several libraries in one table: every layer keyed by ``library_id``."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.raw = M.bronze(load_library_fixture(spark, sf_dir), scope=LIB)
+        self.silver = M.silver(self.raw, scope=LIB)
+        self.fact = M.fact(self.silver, scope=LIB)
+        self.dim = M.dim_track(self.silver, scope=LIB)
+
+
+def _libs(fn: Callable[[LibraryGold], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return fn(LibraryGold(spark, sf_dir))
+    run.__doc__ = fn.__doc__
+    return run
+
+
 def _gold(fn: Callable[[Gold], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return fn(Gold(spark, sf_dir))
@@ -150,6 +170,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "grain_violations": _gold(lambda g: grain_report(
         {"raw": g.raw, "silver": g.silver, "fact": g.fact, "dim_track": g.dim,
          "dim_artist": M.dim_artist(g.dim), "dim_album": M.dim_album(g.dim)}, GRAINS)),
+    "library_summary": _libs(lambda g: R.summary(g.fact, g.dim, scope=LIB)),
+    "library_top_artists": _libs(lambda g: R.top_artists(g.fact, g.dim, scope=LIB)),
+    "library_top_songs": _libs(lambda g: R.top_songs(g.fact, g.dim, scope=LIB)),
+    "library_yearly_top_albums": _libs(lambda g: R.yearly_top_albums(g.fact, g.dim, scope=LIB)),
     "pick_candidate_path": _pick_candidate_path,
     "daily_last_backup": _daily_last_backup,
 }

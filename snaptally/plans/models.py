@@ -3,6 +3,10 @@
 Every function takes and returns DataFrames; nothing runs until an action.
 ``fact`` and ``dim_track`` both key on ``track_persistent_id``, so reports
 that join them, or roll the fact up per track first, reuse that partitioning.
+
+``scope`` names extra key columns (e.g. ``["library_id"]``) so that many
+libraries share one table: every key, join and group gains them, and one
+job computes every library's layers. An empty scope is one library.
 """
 
 from __future__ import annotations
@@ -17,12 +21,12 @@ from ..schema import (DIM_TRACK_COLUMNS, ENTITY, FACT_COLUMNS, RAW_COLUMNS,
                       SILVER_COLUMNS, SNAPSHOT, TIEBREAK)
 
 
-def bronze(raw: DataFrame) -> DataFrame:
-    """The 25 raw columns, passed through."""
-    return raw.select(*RAW_COLUMNS)
+def bronze(raw: DataFrame, scope: tuple = ()) -> DataFrame:
+    """The 25 raw columns (after any scope columns), passed through."""
+    return raw.select(*scope, *RAW_COLUMNS)
 
 
-def silver(bronze_df: DataFrame, blank_id: str = "keep") -> DataFrame:
+def silver(bronze_df: DataFrame, blank_id: str = "keep", scope: tuple = ()) -> DataFrame:
     """R2: rows with an id, renamed and typed.
 
     ``blank_id="keep"`` keeps an empty ``persistent_id`` as one shared id
@@ -36,6 +40,7 @@ def silver(bronze_df: DataFrame, blank_id: str = "keep") -> DataFrame:
         raise ValueError(f"unknown blank_id {blank_id!r}")
     rating = F.col("rating")
     return bronze_df.filter(keep).select(
+        *scope,
         pid.alias("track_persistent_id"),
         F.col("snapshot_date"),
         F.col("track_id").alias("itunes_track_id"),
@@ -60,39 +65,39 @@ def silver(bronze_df: DataFrame, blank_id: str = "keep") -> DataFrame:
         F.col("date_added").alias("added_at"),
         F.col("location").alias("file_path"),
         F.col("snapshot_path"),
-    ).select(*SILVER_COLUMNS)
+    ).select(*scope, *SILVER_COLUMNS)
 
 
-def fact(silver_df: DataFrame, skew: str = "auto", **skew_opts) -> DataFrame:
+def fact(silver_df: DataFrame, skew: str = "auto", scope: tuple = (), **skew_opts) -> DataFrame:
     """Per (track, snapshot) counters with deltas to the track's previous row."""
-    base = silver_df.select(ENTITY, SNAPSHOT, TIEBREAK, "play_count", "skip_count",
+    base = silver_df.select(*scope, ENTITY, SNAPSHOT, TIEBREAK, "play_count", "skip_count",
                             "last_played_at_utc", "duration_min")
-    d = counter_delta(base, [ENTITY], SNAPSHOT, ["play_count", "skip_count"],
+    d = counter_delta(base, [*scope, ENTITY], SNAPSHOT, ["play_count", "skip_count"],
                       tiebreak=[TIEBREAK], skew=skew, **skew_opts)
-    return d.select(*FACT_COLUMNS)
+    return d.select(*scope, *FACT_COLUMNS)
 
 
-def dim_track(silver_df: DataFrame, method: str = "window") -> DataFrame:
+def dim_track(silver_df: DataFrame, method: str = "window", scope: tuple = ()) -> DataFrame:
     """Latest state of each track (a higher track id wins within a date)."""
     cols = [c for c in DIM_TRACK_COLUMNS if c != ENTITY]
-    latest = latest_by(silver_df.select(*DIM_TRACK_COLUMNS, SNAPSHOT), [ENTITY],
+    latest = latest_by(silver_df.select(*scope, *DIM_TRACK_COLUMNS, SNAPSHOT), [*scope, ENTITY],
                        [SNAPSHOT], tiebreak=[TIEBREAK], columns=cols, method=method)
-    return latest.select(*DIM_TRACK_COLUMNS)
+    return latest.select(*scope, *DIM_TRACK_COLUMNS)
 
 
-def dim_artist(dim: DataFrame) -> DataFrame:
+def dim_artist(dim: DataFrame, scope: tuple = ()) -> DataFrame:
     """Per artist of the latest state: tracks, distinct albums, duration."""
     return (dim.filter(F.col("artist_name").isNotNull())
-            .groupBy("artist_name")
+            .groupBy(*scope, "artist_name")
             .agg(F.count(F.col(ENTITY)).alias("track_count"),  # one row per track
                  F.count_distinct("album_name").alias("album_count"),
                  F.sum(exact("duration_min")).cast("double").alias("total_duration_min")))
 
 
-def dim_album(dim: DataFrame) -> DataFrame:
+def dim_album(dim: DataFrame, scope: tuple = ()) -> DataFrame:
     """Per (album, album artist): first release year, tracks, duration."""
     return (dim.filter(F.col("album_name").isNotNull())
-            .groupBy("album_name", "album_artist_name")
+            .groupBy(*scope, "album_name", "album_artist_name")
             .agg(F.min("release_year").alias("release_year"),
                  F.count(F.col(ENTITY)).alias("track_count"),
                  F.sum(exact("duration_min")).cast("double").alias("total_duration_min")))

@@ -7,6 +7,10 @@ the report key, drop zero-play groups, rank with the histogram rank.
 
 Minutes are exact decimal sums (``positive_weighted``), so rolling up per
 track first gives the same values as summing the joined rows directly.
+
+``scope`` (e.g. ``("library_id",)``) makes every report per scope value:
+the scope joins the track key, leads every group key and partitions every
+rank, so one job reports on all libraries at once.
 """
 
 from __future__ import annotations
@@ -28,11 +32,12 @@ def _played_fact(fact: DataFrame) -> DataFrame:
     return fact.filter(F.col(DELTA).isNotNull())
 
 
-def track_totals(fact: DataFrame, by: tuple = (), all_rows: bool = False) -> DataFrame:
+def track_totals(fact: DataFrame, by: tuple = (), all_rows: bool = False,
+                 scope: tuple = ()) -> DataFrame:
     """Per track (and ``by`` columns): ``plays``, exact ``minutes_x`` using the
     fact's duration, and ``n_else`` (rows with no positive delta)."""
     f = fact if all_rows else _played_fact(fact)
-    return positive_rollup(f, [ENTITY, *by], DELTA, weight="duration_min")
+    return positive_rollup(f, [*scope, ENTITY, *by], DELTA, weight="duration_min")
 
 
 def _minutes(c: Column) -> Column:
@@ -41,7 +46,7 @@ def _minutes(c: Column) -> Column:
 
 
 def _rank(df: DataFrame, partition=(), max_rank=None, method="histogram") -> DataFrame:
-    return competition_rank(df, "play_count", partition=partition,
+    return competition_rank(df, "play_count", partition=list(partition),
                             where=F.col("play_count") > 0, max_rank=max_rank, method=method)
 
 
@@ -51,12 +56,13 @@ def year_of(c) -> Column:
 
 # ---------------------------------------------------------------- all time
 
-def summary(fact: DataFrame, dim: DataFrame) -> DataFrame:
-    """One row: minutes, hours, plays, tracks/artists/albums played."""
-    t = track_totals(fact).join(dim.select(ENTITY, "artist_name", "album_name"), ENTITY, "left")
+def summary(fact: DataFrame, dim: DataFrame, scope: tuple = ()) -> DataFrame:
+    """One row (per scope): minutes, hours, plays, tracks/artists/albums played."""
+    k = [*scope, ENTITY]
+    t = track_totals(fact, scope=scope).join(dim.select(*k, "artist_name", "album_name"), k, "left")
     played = F.col("plays") > 0
     total = F.sum("minutes_x").cast("double")
-    return t.agg(
+    return t.groupBy(*scope).agg(
         total.alias("total_listening_minutes"),
         round_half_away(total / F.lit(60.0), 1).alias("total_listening_hours"),
         F.sum("plays").alias("total_plays"),
@@ -66,17 +72,18 @@ def summary(fact: DataFrame, dim: DataFrame) -> DataFrame:
     )
 
 
-def song_plays(fact: DataFrame, dim: DataFrame) -> DataFrame:
+def song_plays(fact: DataFrame, dim: DataFrame, scope: tuple = ()) -> DataFrame:
     """Per track: dimension attributes, plays and minutes by the dimension's
     duration. The group key is the track, so equal titles stay apart."""
-    d = dim.select(ENTITY, "title", "artist_name", "album_name", "duration_min")
-    t = track_totals(fact).join(d, ENTITY, "left")
+    k = [*scope, ENTITY]
+    d = dim.select(*k, "title", "artist_name", "album_name", "duration_min")
+    t = track_totals(fact, scope=scope).join(d, k, "left")
     dur = F.col("duration_min")
     # sum(delta * D) over positive deltas == D * plays, exactly, in decimal;
     # a NULL duration gives NULL unless some row took the zero branch
     minutes = (F.when(dur.isNull(), F.when(F.col("n_else") > 0, F.lit(0).cast(EXACT)))
                .otherwise(exact(dur) * F.col("plays")))
-    return t.select(ENTITY, "title", "artist_name", "album_name", "duration_min",
+    return t.select(*k, "title", "artist_name", "album_name", "duration_min",
                     F.col("plays").alias("play_count"),
                     _minutes(minutes).alias("listening_minutes"))
 
@@ -85,9 +92,11 @@ SONG_COLUMNS = ["title", "artist_name", "album_name", "duration_min", "play_coun
                 "listening_minutes", "rank"]
 
 
-def top_songs(fact: DataFrame, dim: DataFrame, method: str = "histogram") -> DataFrame:
+def top_songs(fact: DataFrame, dim: DataFrame, method: str = "histogram",
+              scope: tuple = ()) -> DataFrame:
     """Ranked songs with plays > 0."""
-    return _rank(song_plays(fact, dim), method=method).select(*SONG_COLUMNS)
+    return (_rank(song_plays(fact, dim, scope), partition=scope, method=method)
+            .select(*scope, *SONG_COLUMNS))
 
 
 def top_songs_limit(fact: DataFrame, dim: DataFrame, n: int = 20) -> DataFrame:
@@ -97,43 +106,48 @@ def top_songs_limit(fact: DataFrame, dim: DataFrame, n: int = 20) -> DataFrame:
 
 
 def _group_plays(fact: DataFrame, dim: DataFrame, key_cols: list, require: list,
-                 by: tuple = (), all_rows: bool = False, unique_tracks: bool = True) -> DataFrame:
+                 by: tuple = (), all_rows: bool = False, unique_tracks: bool = True,
+                 scope: tuple = ()) -> DataFrame:
     """Per-track totals joined to the dimension and grouped by ``key_cols``.
 
     Minutes use the fact's duration (as of each snapshot)."""
-    d = dim.select(ENTITY, *[c for c in ("artist_name", "album_artist_name", "album_name",
-                                         "genre", "title") if c in dim.columns])
+    k = [*scope, ENTITY]
+    d = dim.select(*k, *[c for c in ("artist_name", "album_artist_name", "album_name",
+                                     "genre", "title") if c in dim.columns])
     for r in require:
         d = d.filter(F.col(r).isNotNull())
-    t = track_totals(fact, by=by, all_rows=all_rows).join(d, ENTITY, "inner")
+    t = track_totals(fact, by=by, all_rows=all_rows, scope=scope).join(d, k, "inner")
     aggs = [F.sum("plays").alias("play_count"), F.sum("minutes_x").alias("mx")]
     if unique_tracks:
         aggs.append(F.count(F.lit(1)).alias("unique_tracks"))  # one row per track
-    g = t.groupBy(*by, *key_cols).agg(*aggs)
+    g = t.groupBy(*scope, *by, *key_cols).agg(*aggs)
     return g.withColumn("listening_minutes", _minutes(F.col("mx"))).drop("mx")
 
 
 def top_artists(fact: DataFrame, dim: DataFrame, method: str = "histogram",
-                max_rank: int | None = None) -> DataFrame:
+                max_rank: int | None = None, scope: tuple = ()) -> DataFrame:
     """Ranked artists (latest-state artist; NULL artist left out)."""
-    g = _group_plays(fact, dim, [F.col("artist_name")], ["artist_name"])
-    return _rank(g, max_rank=max_rank, method=method).select(
-        "artist_name", "play_count", "listening_minutes", "unique_tracks", "rank")
+    g = _group_plays(fact, dim, [F.col("artist_name")], ["artist_name"], scope=scope)
+    return _rank(g, partition=scope, max_rank=max_rank, method=method).select(
+        *scope, "artist_name", "play_count", "listening_minutes", "unique_tracks", "rank")
 
 
-def top_albums(fact: DataFrame, dim: DataFrame, method: str = "histogram") -> DataFrame:
+def top_albums(fact: DataFrame, dim: DataFrame, method: str = "histogram",
+               scope: tuple = ()) -> DataFrame:
     """Ranked albums keyed by (album, album artist else artist)."""
     key = [F.col("album_name"),
            F.coalesce(F.col("album_artist_name"), F.col("artist_name")).alias("artist_name")]
-    g = _group_plays(fact, dim, key, ["album_name"])
-    return _rank(g, method=method).select(
-        "album_name", "artist_name", "play_count", "listening_minutes", "unique_tracks", "rank")
+    g = _group_plays(fact, dim, key, ["album_name"], scope=scope)
+    return _rank(g, partition=scope, method=method).select(
+        *scope, "album_name", "artist_name", "play_count", "listening_minutes", "unique_tracks",
+        "rank")
 
 
-def top_genres(fact: DataFrame, dim: DataFrame) -> DataFrame:
+def top_genres(fact: DataFrame, dim: DataFrame, scope: tuple = ()) -> DataFrame:
     """Ranked genres, as top artists with genre as key."""
-    g = _group_plays(fact, dim, [F.col("genre")], ["genre"])
-    return _rank(g).select("genre", "play_count", "listening_minutes", "unique_tracks", "rank")
+    g = _group_plays(fact, dim, [F.col("genre")], ["genre"], scope=scope)
+    return _rank(g, partition=scope).select(
+        *scope, "genre", "play_count", "listening_minutes", "unique_tracks", "rank")
 
 
 # ------------------------------------------------------------------ yearly
@@ -144,13 +158,14 @@ def _yearly_fact(fact: DataFrame) -> DataFrame:
     return fact.withColumn("year", year_of(SNAPSHOT))
 
 
-def yearly_summary(fact: DataFrame, dim: DataFrame) -> DataFrame:
+def yearly_summary(fact: DataFrame, dim: DataFrame, scope: tuple = ()) -> DataFrame:
     """Per year: minutes, hours, plays, tracks and artists played."""
-    t = (track_totals(_yearly_fact(fact), by=("year",), all_rows=True)
-         .join(dim.select(ENTITY, "artist_name"), ENTITY, "left"))
+    k = [*scope, ENTITY]
+    t = (track_totals(_yearly_fact(fact), by=("year",), all_rows=True, scope=scope)
+         .join(dim.select(*k, "artist_name"), k, "left"))
     played = F.col("plays") > 0
     total = F.sum("minutes_x").cast("double")
-    return t.groupBy("year").agg(
+    return t.groupBy(*scope, "year").agg(
         total.alias("total_listening_minutes"),
         round_half_away(total / F.lit(60.0), 1).alias("total_listening_hours"),
         F.sum("plays").alias("total_plays"),
@@ -159,37 +174,42 @@ def yearly_summary(fact: DataFrame, dim: DataFrame) -> DataFrame:
     )
 
 
-def yearly_top_artists(fact: DataFrame, dim: DataFrame, max_rank: int | None = None) -> DataFrame:
+def yearly_top_artists(fact: DataFrame, dim: DataFrame, max_rank: int | None = None,
+                       scope: tuple = ()) -> DataFrame:
     """Y2: artists ranked within each year."""
     g = _group_plays(_yearly_fact(fact), dim, [F.col("artist_name")], ["artist_name"],
-                     by=("year",), all_rows=True, unique_tracks=False)
-    return _rank(g, partition=["year"], max_rank=max_rank).select(
-        "year", "artist_name", "play_count", "listening_minutes", "rank")
+                     by=("year",), all_rows=True, unique_tracks=False, scope=scope)
+    return _rank(g, partition=[*scope, "year"], max_rank=max_rank).select(
+        *scope, "year", "artist_name", "play_count", "listening_minutes", "rank")
 
 
-def yearly_top_songs(fact: DataFrame, dim: DataFrame, max_rank: int | None = None) -> DataFrame:
+def yearly_top_songs(fact: DataFrame, dim: DataFrame, max_rank: int | None = None,
+                     scope: tuple = ()) -> DataFrame:
     """Songs ranked within each year, keyed by (title, artist, album).
 
     Tracks sharing all three merge; minutes use the fact's duration."""
     key = [F.col("title"), F.col("artist_name"), F.col("album_name")]
+    k = [*scope, ENTITY]
     f = _yearly_fact(fact)
-    d = dim.select(ENTITY, "title", "artist_name", "album_name")
-    t = track_totals(f, by=("year",), all_rows=True).join(d, ENTITY, "left")
-    g = (t.groupBy("year", *key)
+    d = dim.select(*k, "title", "artist_name", "album_name")
+    t = track_totals(f, by=("year",), all_rows=True, scope=scope).join(d, k, "left")
+    g = (t.groupBy(*scope, "year", *key)
          .agg(F.sum("plays").alias("play_count"), F.sum("minutes_x").alias("mx"))
          .withColumn("listening_minutes", _minutes(F.col("mx"))).drop("mx"))
-    return _rank(g, partition=["year"], max_rank=max_rank).select(
-        "year", "title", "artist_name", "album_name", "play_count", "listening_minutes", "rank")
+    return _rank(g, partition=[*scope, "year"], max_rank=max_rank).select(
+        *scope, "year", "title", "artist_name", "album_name", "play_count", "listening_minutes",
+        "rank")
 
 
-def yearly_top_albums(fact: DataFrame, dim: DataFrame, max_rank: int | None = None) -> DataFrame:
+def yearly_top_albums(fact: DataFrame, dim: DataFrame, max_rank: int | None = None,
+                      scope: tuple = ()) -> DataFrame:
     """Albums ranked within each year."""
     key = [F.col("album_name"),
            F.coalesce(F.col("album_artist_name"), F.col("artist_name")).alias("artist_name")]
     g = _group_plays(_yearly_fact(fact), dim, key, ["album_name"], by=("year",),
-                     all_rows=True, unique_tracks=False)
-    return _rank(g, partition=["year"], max_rank=max_rank).select(
-        "year", "album_name", "artist_name", "play_count", "listening_minutes", "rank")
+                     all_rows=True, unique_tracks=False, scope=scope)
+    return _rank(g, partition=[*scope, "year"], max_rank=max_rank).select(
+        *scope, "year", "album_name", "artist_name", "play_count", "listening_minutes", "rank")
 
 
 PAGE_COLUMNS = ["section", "rank", "title", "artist_name", "album_name", "play_count",

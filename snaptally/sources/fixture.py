@@ -21,16 +21,27 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def fixture_raw(lineitem: DataFrame, part: DataFrame) -> DataFrame:
-    """The 25-column raw snapshot table built from ``lineitem`` and ``part``."""
+def fixture_raw(lineitem: DataFrame, part: DataFrame, orders: DataFrame | None = None,
+                libraries: int = 3) -> DataFrame:
+    """The 25-column raw snapshot table built from ``lineitem`` and ``part``.
+
+    With ``orders``, plays are split into ``libraries`` libraries by the
+    ordering customer (``library_id = o_custkey % libraries``), each with its
+    own cumulative counters; the result then leads with ``library_id``.
+    """
+    lib: list = []
+    if orders is not None:
+        o = orders.select("o_orderkey", (F.col("o_custkey") % libraries).alias("library_id"))
+        lineitem = lineitem.join(o, lineitem["l_orderkey"] == o["o_orderkey"], "inner")
+        lib = ["library_id"]
     q = (lineitem
-         .groupBy("l_partkey",
+         .groupBy(*lib, "l_partkey",
                   F.date_trunc("quarter", "l_shipdate").cast("date").alias("d"))
          .agg(F.count(F.lit(1)).alias("n"),
               F.count(F.when(F.col("l_returnflag") == "R", F.lit(1))).alias("r"),
               F.max("l_shipdate").alias("last_ts")))
     # at most one row per part and quarter here, so the window groups are small
-    w = Window.partitionBy("l_partkey").orderBy("d")
+    w = Window.partitionBy(*lib, "l_partkey").orderBy("d")
     c = q.select("*", F.sum("n").over(w).alias("cn"), F.sum("r").over(w).alias("cr"))
     p = part.select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
     j = c.join(p, c["l_partkey"] == p["p_partkey"], "inner")
@@ -42,6 +53,7 @@ def fixture_raw(lineitem: DataFrame, part: DataFrame) -> DataFrame:
         return F.when(cond, F.lit(None)).otherwise(value)
 
     return j.select(
+        *lib,
         d.alias("snapshot_date"),
         F.lit("fixture").alias("snapshot_path"),
         key.alias("track_id"),
@@ -69,13 +81,19 @@ def fixture_raw(lineitem: DataFrame, part: DataFrame) -> DataFrame:
         unless(size % 4 == 0, size % 2 == 1).alias("loved"),
         unless(key % 97 == 0, F.lpad(key.cast("string"), 16, "0")).alias("persistent_id"),
         F.lit(None).cast("string").alias("location"),
-    ).select(*RAW_COLUMNS)
+    ).select(*lib, *RAW_COLUMNS)
 
 
 def load_fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fixture_raw(read_table(spark, sf_dir, "lineitem"), read_table(spark, sf_dir, "part"))
 
 
+def load_library_fixture(spark: SparkSession, sf_dir: str, libraries: int = 3) -> DataFrame:
+    """Raw snapshots of several libraries in one table (``library_id`` first)."""
+    return fixture_raw(read_table(spark, sf_dir, "lineitem"), read_table(spark, sf_dir, "part"),
+                       read_table(spark, sf_dir, "orders"), libraries)
+
+
 def event_counters(events: DataFrame) -> DataFrame:
     """``events`` as cumulative per-user counters, one snapshot per day.
 
