@@ -10,11 +10,12 @@ one pseudo-entity), so ``skew="auto"`` first finds such hot keys and
 computes their deltas in bounded blocks instead:
 
 * hot keys are those with more than ``max(hot_min_rows, total / hot_max_keys)``
-  rows. At most ``hot_max_keys`` keys can pass that test, so the list has a
-  proven size. One aggregation job over the key columns finds them (reading
-  only those columns); when there are none, the plan is the plain window
-  with nothing added, otherwise the list splits the input with an ``IN``
-  filter, without a join or shuffle;
+  rows, estimated on a ``hot_sample`` fraction of the key columns. At most
+  ``2 * hot_max_keys`` keys can pass, so the list has a proven size. One
+  small job finds them (it reads only the key columns and shuffles only the
+  sample); when there are none, the plan is the plain window with nothing
+  added, otherwise the list splits the input with an ``IN`` filter, without
+  a join or shuffle;
 * a hot entity's rows are cut into blocks ``(keys, order, tiebreak >> bits)``.
   ``(order, tiebreak)`` is unique (the table key), so a block holds at most
   ``2**bits`` rows. LAG runs inside each block; the first row of a block takes
@@ -33,18 +34,26 @@ from pyspark.sql import functions as F
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], max_keys: int = 1000,
-             min_rows: int = 1_000_000) -> DataFrame:
-    """Keys holding more than ``max(min_rows, total/max_keys)`` rows.
-
-    Lazy: the total is a scalar subquery. The result has at most
-    ``max_keys`` rows whatever the data, so it may be broadcast.
+             min_rows: int = 1_000_000, fraction: float = 0.01, seed: int = 17) -> DataFrame:
+    """Keys holding more than ``max(min_rows, total/max_keys)`` rows, found on
+    a ``fraction`` Bernoulli sample of the key columns (lazy).
+
+    Only the key columns are read and only the sample is shuffled. A key
+    passes when its sample count exceeds half its expected threshold, so a
+    key at the threshold is missed with negligible probability once the
+    sample holds thousands of its rows; a missed key only costs speed (both
+    delta paths are exact). At most ``2 * max_keys`` keys can pass whatever
+    the data, so the result may be broadcast or collected.
     """
     keys = list(keys)
-    total = df.select(F.count(F.lit(1))).scalar()
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    s = df.select(*keys)
+    if fraction < 1.0:
+        s = s.sample(fraction=fraction, seed=seed)
+    total = s.select(F.count(F.lit(1))).scalar()
+    counts = s.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     return (counts
-            .filter((F.col("_n") > F.lit(min_rows))
-                    & (F.col("_n") * F.lit(max_keys) > total))
+            .filter((F.col("_n") * F.lit(2.0) > F.lit(min_rows * fraction))
+                    & (F.col("_n") * F.lit(2 * max_keys) > total))
             .select(*keys))
 
 
@@ -103,7 +112,8 @@ def counter_delta(df: DataFrame, keys: Sequence[str], order: str,
                   counters: Sequence[str], tiebreak: Sequence[str] = (),
                   prev_col: str | None = None, suffix: str = "_delta",
                   skew: str = "auto", hot_max_keys: int = 1000,
-                  hot_min_rows: int = 1_000_000, block_bits: int = 20) -> DataFrame:
+                  hot_min_rows: int = 1_000_000, block_bits: int = 20,
+                  hot_sample: float = 0.01) -> DataFrame:
     """Add ``<counter><suffix>`` for each counter and ``prev_<order>``.
 
     ``tiebreak`` orders rows sharing ``(keys, order)``; give an integer
@@ -124,12 +134,12 @@ def counter_delta(df: DataFrame, keys: Sequence[str], order: str,
         raise ValueError(f"unknown skew mode {skew!r}")
     if skew == "auto-lazy":
         # everything inside one plan: the bounded key list is broadcast
-        hot = F.broadcast(hot_keys(df, keys, hot_max_keys, hot_min_rows))
+        hot = F.broadcast(hot_keys(df, keys, hot_max_keys, hot_min_rows, hot_sample))
         cond = _key_match(df, hot, keys)
         normal = df.join(hot, cond, "left_anti")
         heavy = df.join(hot, cond, "left_semi")
         return _plain(normal, *args).unionByName(_blocked(heavy, *args, bits=block_bits))
-    found = [tuple(r) for r in hot_keys(df, keys, hot_max_keys, hot_min_rows).collect()]
+    found = [tuple(r) for r in hot_keys(df, keys, hot_max_keys, hot_min_rows, hot_sample).collect()]
     if not found:
         return _plain(df, *args)
     is_hot = _in_list(keys, found)

@@ -35,13 +35,13 @@ def test_auto_split_with_hot_key_equals_plain(spark):
     rows = [("hot", d, t, d * 100 + t) for d in range(1, 6) for t in range(40)]
     rows += [(f"k{t}", d, t, d + t) for d in range(1, 6) for t in range(10)]
     df = spark.createDataFrame(rows, "k string, d int, tid long, c int")
-    assert [r.k for r in hot_keys(df, ["k"], max_keys=4, min_rows=20).collect()] == ["hot"]
+    assert [r.k for r in hot_keys(df, ["k"], max_keys=4, min_rows=20, fraction=1.0).collect()] == ["hot"]
     plain = counter_delta(df, ["k"], "d", ["c"], tiebreak=["tid"], skew="off")
     auto = counter_delta(df, ["k"], "d", ["c"], tiebreak=["tid"], skew="auto",
-                         hot_max_keys=4, hot_min_rows=20, block_bits=2)
+                         hot_max_keys=4, hot_min_rows=20, block_bits=2, hot_sample=1.0)
     same(plain, auto)
     lazy = counter_delta(df, ["k"], "d", ["c"], tiebreak=["tid"], skew="auto-lazy",
-                         hot_max_keys=4, hot_min_rows=20, block_bits=2)
+                         hot_max_keys=4, hot_min_rows=20, block_bits=2, hot_sample=1.0)
     same(plain, lazy)
 
 
@@ -51,13 +51,20 @@ def test_multi_column_hot_keys(spark):
     df = spark.createDataFrame(rows, "lib string, k string, d int, tid long, c int")
     plain = counter_delta(df, ["lib", "k"], "d", ["c"], tiebreak=["tid"], skew="off")
     auto = counter_delta(df, ["lib", "k"], "d", ["c"], tiebreak=["tid"], hot_max_keys=3,
-                         hot_min_rows=10, block_bits=3)
+                         hot_min_rows=10, block_bits=3, hot_sample=1.0)
     same(plain, auto)
 
 
 def test_hot_key_list_is_bounded(spark):
     df = spark.range(0, 1000).select((F.col("id") % 7).alias("k"))
-    assert hot_keys(df, ["k"], max_keys=3, min_rows=0).count() <= 3
+    assert hot_keys(df, ["k"], max_keys=3, min_rows=0, fraction=1.0).count() <= 6
+
+
+def test_sampled_detection_finds_a_hot_key(spark):
+    hot = spark.range(0, 200_000).select(F.lit("hot").alias("k"))
+    cold = spark.range(0, 200_000).select(F.col("id").cast("string").alias("k"))
+    got = hot_keys(hot.unionByName(cold), ["k"], max_keys=100, min_rows=50_000, fraction=0.05)
+    assert [r.k for r in got.collect()] == ["hot"]
 
 
 def test_latest_by_aggregate_equals_window(silver):
