@@ -17,7 +17,8 @@ SF_MID = "/root/testdata/sf0.01"
 def spark():
     from snaptally.session import build_session
     s = build_session("local[4]", shuffle_partitions=4,
-                      extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="snaptally-test-ckpt-")})
+                      extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="snaptally-test-ckpt-"),
+                             "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="snaptally-test-catalog-")})
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()
