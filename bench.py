@@ -40,7 +40,9 @@ def main() -> None:
     from snaptally.sources.fixture import load_fixture
 
     work = tempfile.mkdtemp(prefix="snaptally-bench-")
-    spark = build_session(f"local[{CPUS}]", shuffle_partitions=CPUS,
+    inputs = sum(os.path.getsize(os.path.join(SF_DIR, f"{t}.parquet"))
+                 for t in ("lineitem", "part", "orders", "events"))
+    spark = build_session(f"local[{CPUS}]", input_bytes=inputs, total_cores=CPUS,
                           extra={"spark.driver.memory": "16g",
                                  "spark.checkpoint.dir": os.path.join(work, "ckpt"),
                                  "spark.sql.warehouse.dir": os.path.join(work, "catalog")})

@@ -25,14 +25,44 @@ SESSION_CONF = {
 }
 
 
+MB = 1 << 20
+
+
+def sizing_conf(input_bytes: int, total_cores: int, target_mb: int = 128,
+                max_partitions: int = 200_000) -> dict:
+    """Shuffle and scan sizing for a job reading ``input_bytes``.
+
+    Scan splits of ``target_mb`` and an initial shuffle partition count
+    that gives about ``target_mb`` per partition (never below 2 per core),
+    which AQE then coalesces where stages turn out smaller: partitions stay
+    far below executor memory, so sorts and aggregations spill rarely and
+    a lost task is cheap to redo. The bound keeps per-shuffle bookkeeping on
+    the driver manageable (it still allows ~25 TB per shuffle at 128 MB).
+    """
+    n = max(2 * total_cores, -(-input_bytes // (target_mb * MB)))
+    n = min(n, max_partitions)
+    return {
+        "spark.sql.files.maxPartitionBytes": f"{target_mb}m",
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{target_mb}m",
+    }
+
+
 def build_session(master: str | None = None, app_name: str = "snaptally",
                   shuffle_partitions: int | None = None,
-                  extra: dict | None = None) -> SparkSession:
-    """Create (or reuse) a session with the engine's settings."""
+                  extra: dict | None = None, input_bytes: int | None = None,
+                  total_cores: int | None = None) -> SparkSession:
+    """Create (or reuse) a session with the engine's settings.
+
+    With ``input_bytes`` (and ``total_cores``, default: local cores) the
+    shuffle and scan sizes come from ``sizing_conf``."""
     b = SparkSession.builder.appName(app_name).config("spark.ui.enabled", "false")
     if master:
         b = b.master(master)
     conf = dict(SESSION_CONF)
+    if input_bytes:
+        conf.update(sizing_conf(input_bytes, total_cores or os.cpu_count() or 8))
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
