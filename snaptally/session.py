@@ -73,9 +73,19 @@ def build_session(master: str | None = None, app_name: str = "snaptally",
     return spark
 
 
+# What a query needs from a session it did not create: UTC for the few
+# zone-dependent conversions (file times) and ANSI arithmetic. Everything
+# else is typed explicitly (TIMESTAMP_NTZ casts) or passed per writer
+# (dynamic partition overwrite), so the caller's other settings stay as set.
+QUERY_CONF = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.ansi.enabled": "true",
+}
+
+
 def apply_conf(spark: SparkSession) -> None:
-    """Apply the runtime-settable settings to an existing session."""
-    for k, v in SESSION_CONF.items():
+    """Apply the settings the queries rely on to an existing session."""
+    for k, v in QUERY_CONF.items():
         try:
             spark.conf.set(k, v)
         except Exception:  # static conf on a shared session: leave it alone
