@@ -195,3 +195,30 @@ def test_replace_rejects_duplicate_keys(spark):
                                 RAW_SCHEMA)
     with pytest.raises(ContractViolation):
         store.replace_snapshot(dup, tempfile.mkdtemp() + "/raw")
+
+
+def test_append_view_and_table_sinks(spark):
+    from conftest import raw_row
+    from snaptally.schema import RAW_SCHEMA
+    root = tempfile.mkdtemp()
+    d1 = spark.createDataFrame([raw_row("2025-01-01", 1, "P1", 1)], RAW_SCHEMA)
+    d2 = spark.createDataFrame([raw_row("2025-01-02", 1, "P1", 2)], RAW_SCHEMA)
+    store.append_snapshots(d1, root + "/raw")
+    store.append_snapshots(d2, root + "/raw")
+    raw = store.read_raw(spark, root + "/raw")
+    assert raw.count() == 2
+    v = store.as_view(raw.groupBy("track_id").count(), "snaptally_test_view")
+    assert spark.table("snaptally_test_view").collect()[0]["count"] == 2 and v.count() == 1
+    t = store.write_table(raw, root + "/copy", partition_by=["snapshot_date"])
+    assert t.count() == 2
+
+
+def test_plist_stream(spark):
+    from snaptally.streaming.ingest import snapshot_stream
+    src, table, ckpt = (tempfile.mkdtemp() for _ in range(3))
+    write(f"{src}/a.xml", PLIST.format(date="2025-01-03T09:50:01Z", plays=7))
+    write(f"{src}/b.xml", PLIST.format(date="2025-01-04T09:50:01Z", plays=9))
+    snapshot_stream(spark, src, table + "/raw", fmt="plist", checkpoint=ckpt).awaitTermination(120)
+    got = sorted((r.snapshot_date.day, r.play_count) for r in
+                 store.read_raw(spark, table + "/raw").filter("track_id = 101").collect())
+    assert got == [(3, 7), (4, 9)]
