@@ -134,6 +134,18 @@ def _replace_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.read_raw(spark, path)
 
 
+def _incremental(spark: SparkSession, sf_dir: str):
+    """Load the fixture in three batches: through 1999, 2000, 2001 and later."""
+    from . import incremental as I
+    raw = _fixture(spark, sf_dir)
+    year = F.year("snapshot_date")
+    root = scratch_path(spark, "incremental")
+    I.init(spark, raw.filter(year <= 1999), root)
+    I.append(spark, raw.filter(year == 2000), root)
+    I.append(spark, raw.filter(year >= 2001), root)
+    return I.open_incremental(spark, root)
+
+
 def _backup_listing(spark: SparkSession, sf_dir: str):
     return backups.fixture_backup_listing(read_table(spark, sf_dir, "orders"),
                                           read_table(spark, sf_dir, "lineitem"))
@@ -194,6 +206,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "library_top_artists": _libs(lambda g: R.top_artists(g.fact, g.dim, scope=LIB)),
     "library_top_songs": _libs(lambda g: R.top_songs(g.fact, g.dim, scope=LIB)),
     "library_yearly_top_albums": _libs(lambda g: R.yearly_top_albums(g.fact, g.dim, scope=LIB)),
+    "incremental_fact": lambda s, d: _incremental(s, d).fact,
+    "incremental_dim": lambda s, d: _incremental(s, d).dim,
     "pick_candidate_path": _pick_candidate_path,
     "daily_last_backup": _daily_last_backup,
 }

@@ -16,6 +16,7 @@ import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+
 from ..schema import ENTITY
 from ..session import scratch_path
 from ..sources.store import read_raw
@@ -25,8 +26,8 @@ from . import reports as R
 
 @dataclass
 class Warehouse:
-    raw: DataFrame
-    silver: DataFrame
+    raw: DataFrame | None
+    silver: DataFrame | None
     fact: DataFrame
     dim: DataFrame
 
