@@ -19,7 +19,7 @@ table, since it changes deltas already written.
 Layout under ``root`` (idempotent on re-run):
 
 * ``fact/batch=<date>/`` — the fact rows of one load; a re-run of the same
-  load overwrites the same folder;
+  load overwrites the same folder; ``init`` replaces all of them;
 * ``track_state/asof=<date>/`` — one version per load; readers take the
   newest, so a load that fails before writing its state leaves the
   previous version current and can simply be run again.
@@ -71,9 +71,14 @@ def state_version(spark: SparkSession, root: str) -> str | None:
     return max(found) if found else None
 
 
-def _write_load(fact: DataFrame, state: DataFrame, root: str, asof) -> None:
-    fact.write.mode("overwrite").parquet(os.path.join(root, FACT_DIR, f"batch={asof}"))
-    state.write.mode("overwrite").parquet(os.path.join(root, STATE_DIR, f"asof={asof}"))
+def _write_load(fact: DataFrame, state: DataFrame, root: str, asof, replace_all: bool) -> None:
+    """Write one load. ``replace_all`` (``init``) replaces every earlier load
+    and state version; otherwise only this load's folders are (re)written."""
+    mode = "static" if replace_all else "dynamic"
+    for df, sub, col in ((fact, FACT_DIR, "batch"), (state, STATE_DIR, "asof")):
+        (df.withColumn(col, F.lit(str(asof))).write.mode("overwrite")
+         .option("partitionOverwriteMode", mode).partitionBy(col)
+         .parquet(os.path.join(root, sub)))
 
 
 def init(spark: SparkSession, raw: DataFrame, root: str, scope: tuple = (),
@@ -81,7 +86,7 @@ def init(spark: SparkSession, raw: DataFrame, root: str, scope: tuple = (),
     """Full load of ``raw``: the fact of all history and the first state."""
     s = M.silver(M.bronze(raw, scope=scope), scope=scope)
     asof = _max_date(s)
-    _write_load(M.fact(s, skew=skew, scope=scope), track_state(s, scope), root, asof)
+    _write_load(M.fact(s, skew=skew, scope=scope), track_state(s, scope), root, asof, True)
     return open_incremental(spark, root, scope)
 
 
@@ -108,7 +113,7 @@ def append(spark: SparkSession, new_raw: DataFrame, root: str, scope: tuple = ()
     both = batch.select(*scope, *SILVER_COLUMNS)
     if state is not None:
         both = state.select(*scope, *SILVER_COLUMNS).unionByName(both)
-    _write_load(new_fact, track_state(both, scope), root, _max_date(batch))
+    _write_load(new_fact, track_state(both, scope), root, _max_date(batch), False)
     return True
 
 

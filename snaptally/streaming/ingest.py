@@ -49,20 +49,34 @@ def latest_file_per_date(rows: DataFrame, files: DataFrame) -> DataFrame:
     return rows.join(F.broadcast(keep), ["snapshot_date", "snapshot_path"], "left_semi")
 
 
-def load_batch(spark: SparkSession, files: DataFrame, table_path: str, fmt: str) -> int:
-    """Load one batch of new files into the raw table; returns the file count."""
+def load_batch(spark: SparkSession, files: DataFrame, table_path: str, fmt: str,
+               warehouse_root: str | None = None) -> int:
+    """Load one batch of new files into the raw table; returns the file count.
+
+    With ``warehouse_root`` the fact and track state there are brought up to
+    date too: incrementally when the batch is later than the state, else
+    rebuilt from the raw table (a late snapshot changes written deltas)."""
     paths = [r.path for r in files.select("path").collect()]  # bounded by max_files
     if not paths:
         return 0
-    rows = READERS[fmt][1](spark, paths)
-    store.replace_snapshot(latest_file_per_date(rows, files), table_path)
+    rows = latest_file_per_date(READERS[fmt][1](spark, paths), files)
+    store.replace_snapshot(rows, table_path)
+    if warehouse_root is not None:
+        from ..plans import incremental
+        batch = store.read_raw(spark, table_path).join(
+            F.broadcast(rows.select("snapshot_date").distinct()), "snapshot_date", "left_semi")
+        if not incremental.append(spark, batch, warehouse_root):
+            incremental.init(spark, store.read_raw(spark, table_path), warehouse_root)
     return len(paths)
 
 
 def snapshot_stream(spark: SparkSession, source_dir: str, table_path: str, fmt: str = "csv",
                     checkpoint: str | None = None, max_files: int = 64,
-                    available_now: bool = True) -> StreamingQuery:
-    """Start the stream; ``available_now`` processes what is there and stops."""
+                    available_now: bool = True,
+                    warehouse_root: str | None = None) -> StreamingQuery:
+    """Start the stream; ``available_now`` processes what is there and stops.
+
+    ``warehouse_root`` also keeps an incremental fact / track state there."""
     glob, _ = READERS[fmt]
     listing = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
                .option("pathGlobFilter", glob).option("recursiveFileLookup", "true")
@@ -70,7 +84,7 @@ def snapshot_stream(spark: SparkSession, source_dir: str, table_path: str, fmt:
                .load(source_dir).select("path", "modificationTime"))
 
     def each(batch: DataFrame, epoch_id: int) -> None:
-        load_batch(batch.sparkSession, batch, table_path, fmt)
+        load_batch(batch.sparkSession, batch, table_path, fmt, warehouse_root)
 
     w = (listing.writeStream.foreachBatch(each)
          .option("checkpointLocation", checkpoint or scratch_path(spark, "snapshot-stream")))

@@ -28,3 +28,24 @@ def test_stream_loads_new_snapshots_once(spark):
     q.awaitTermination(120)
     got = sorted((r.snapshot_date.day, r.play_count) for r in store.read_raw(spark, table + "/raw").collect())
     assert got == [(1, 1), (2, 5), (3, 6)]
+
+
+def test_stream_keeps_incremental_warehouse(spark):
+    from snaptally.plans import models as M
+    from snaptally.plans.incremental import open_incremental
+    src, table, ckpt, wh = (tempfile.mkdtemp() for _ in range(4))
+    drop(src, "a.csv", "2025-01-01", 1)
+    drop(src, "b.csv", "2025-01-03", 4)
+    snapshot_stream(spark, src, table + "/raw", checkpoint=ckpt,
+                    warehouse_root=wh).awaitTermination(120)
+    time.sleep(1.1)
+    drop(src, "c.csv", "2025-01-05", 9)   # later: incremental append
+    drop(src, "d.csv", "2025-01-02", 2)   # late: rebuild from the raw table
+    snapshot_stream(spark, src, table + "/raw", checkpoint=ckpt,
+                    warehouse_root=wh).awaitTermination(120)
+    w = open_incremental(spark, wh)
+    got = sorted((r.snapshot_date.day, r.play_count_delta) for r in w.fact.collect())
+    assert got == [(1, None), (2, 1), (3, 2), (5, 5)]
+    full = M.fact(M.silver(store.read_raw(spark, table + "/raw")))
+    assert sorted(map(tuple, full.select(*w.fact.columns).collect()), key=repr) == \
+        sorted(map(tuple, w.fact.collect()), key=repr)
