@@ -220,22 +220,26 @@ def replay_page(fact: DataFrame, dim: DataFrame, year: int | None = None, k: int
     """Top ``k`` artists, songs and albums (ties kept) of one year.
 
     ``year=None`` takes the latest year that has plays (a scalar subquery).
+    The fact rows are cut to that year before the roll-ups: the deltas are
+    already in the rows, so the cut sits above the LAG, and each ranking is
+    per year anyway.
     """
+    yf = _yearly_fact(fact)
     if year is None:
-        ys = _yearly_fact(_played_fact(fact)).filter(F.col(DELTA) > 0)
-        y = ys.select(F.max("year")).scalar()
+        y = yf.filter(F.col(DELTA) > 0).select(F.max("year")).scalar()
     else:
         y = F.lit(year)
-    a = (yearly_top_artists(fact, dim, max_rank=k).filter(F.col("year") == y)
-         .select(F.lit("artists").alias("section"), "rank", F.lit(None).cast("string").alias("title"),
-                 "artist_name", F.lit(None).cast("string").alias("album_name"),
-                 "play_count", "listening_minutes"))
-    s = (yearly_top_songs(fact, dim, max_rank=k).filter(F.col("year") == y)
-         .select(F.lit("songs").alias("section"), "rank", "title", "artist_name", "album_name",
-                 "play_count", "listening_minutes"))
-    b = (yearly_top_albums(fact, dim, max_rank=k).filter(F.col("year") == y)
-         .select(F.lit("albums").alias("section"), "rank", F.lit(None).cast("string").alias("title"),
-                 "artist_name", "album_name", "play_count", "listening_minutes"))
+    f = yf.filter(F.col("year") == y).drop("year")
+    a = yearly_top_artists(f, dim, max_rank=k).select(
+        F.lit("artists").alias("section"), "rank", F.lit(None).cast("string").alias("title"),
+        "artist_name", F.lit(None).cast("string").alias("album_name"),
+        "play_count", "listening_minutes")
+    s = yearly_top_songs(f, dim, max_rank=k).select(
+        F.lit("songs").alias("section"), "rank", "title", "artist_name", "album_name",
+        "play_count", "listening_minutes")
+    b = yearly_top_albums(f, dim, max_rank=k).select(
+        F.lit("albums").alias("section"), "rank", F.lit(None).cast("string").alias("title"),
+        "artist_name", "album_name", "play_count", "listening_minutes")
     return a.unionByName(s).unionByName(b).select(*PAGE_COLUMNS)
 
 
