@@ -66,10 +66,18 @@ def _key_match(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column
 
 
 def _in_list(keys: Sequence[str], values: list[tuple]) -> Column:
-    """``keys IN (values)`` for a short, bounded list of key tuples."""
-    if len(keys) == 1:
+    """``keys IN (values)`` for a short, bounded list of key tuples; a NULL
+    key value matches NULL (a hot group may be the NULL key)."""
+    cond = None
+    for v in values:
+        c = None
+        for k, x in zip(keys, v):
+            e = F.col(k).isNull() if x is None else (F.col(k) == F.lit(x))
+            c = e if c is None else c & e
+        cond = c if cond is None else cond | c
+    if len(keys) == 1 and all(v[0] is not None for v in values):
         return F.col(keys[0]).isin([v[0] for v in values])
-    return F.struct(*keys).isin([F.struct(*[F.lit(x) for x in v]) for v in values])
+    return F.coalesce(cond, F.lit(False))
 
 
 def _plain(df: DataFrame, keys, order, counters, tiebreak, prev_col, suffix) -> DataFrame:
@@ -81,10 +89,16 @@ def _plain(df: DataFrame, keys, order, counters, tiebreak, prev_col, suffix) ->
     )
 
 
+_INTEGRAL = ("tinyint", "smallint", "int", "bigint")
+
+
 def _blocked(df: DataFrame, keys, order, counters, tiebreak, prev_col, suffix,
              bits: int) -> DataFrame:
     cols = df.columns
-    blk = F.shiftright(F.col(tiebreak[0]), bits) if tiebreak else F.lit(0)
+    # blocks of at most 2**bits rows need an integral tiebreak; otherwise a
+    # block is one (key, order) group
+    integral = bool(tiebreak) and dict(df.dtypes).get(tiebreak[0]) in _INTEGRAL
+    blk = F.shiftright(F.col(tiebreak[0]), bits) if integral else F.lit(0)
     d = df.withColumn("_blk", blk)
     part = [*keys, order, "_blk"]
     w_in = Window.partitionBy(*part).orderBy(*(tiebreak or [order]))
@@ -96,9 +110,14 @@ def _blocked(df: DataFrame, keys, order, counters, tiebreak, prev_col, suffix,
     ordering = F.struct(*tiebreak) if tiebreak else F.lit(0)
     last = d.groupBy(*part).agg(F.max_by(F.struct(*counters), ordering).alias("_last"))
     w_b = Window.partitionBy(*keys).orderBy(order, "_blk")
-    prev = last.select(*part, F.lag("_last").over(w_b).alias("_prev_last"),
+    prev = last.select(*[F.col(c).alias(f"_j{i}") for i, c in enumerate(part)],
+                       F.lag("_last").over(w_b).alias("_prev_last"),
                        F.lag(order).over(w_b).alias("_prev_order"))
-    j = rows.join(prev, part, "left")
+    cond = None
+    for i, c in enumerate(part):  # null-safe: a NULL key is a group too
+        e = F.col(c).eqNullSafe(F.col(f"_j{i}"))
+        cond = e if cond is None else cond & e
+    j = rows.join(prev, cond, "left")
     first = F.col("_pos") == 1
     return j.select(
         *cols,

@@ -115,3 +115,15 @@ def test_order_rename_and_distinct_rollup(spark):
     assert roll == {"a": (2, 1, 2), "b": (5, 0, 1)}
     ranked = competition_rank(df, "d")
     assert [x.id for x in order_by_rank(ranked, tiebreak=[F.col("id")]).collect()] == [3, 1, 2]
+
+
+
+def test_hot_null_key_and_text_tiebreak(spark):
+    rows = [(None, d, f"t{t:03d}", d * 10 + t) for d in range(1, 4) for t in range(25)]
+    rows += [("x", d, "t000", d) for d in range(1, 4)]
+    df = spark.createDataFrame(rows, "k string, d int, tb string, c int")
+    plain = counter_delta(df, ["k"], "d", ["c"], tiebreak=["tb"], skew="off")
+    auto = counter_delta(df, ["k"], "d", ["c"], tiebreak=["tb"], hot_max_keys=2,
+                         hot_min_rows=10, hot_sample=1.0)
+    same(plain, auto)
+    same(plain, counter_delta(df, ["k"], "d", ["c"], tiebreak=["tb"], skew="force"))
