@@ -222,3 +222,18 @@ def test_plist_stream(spark):
     got = sorted((r.snapshot_date.day, r.play_count) for r in
                  store.read_raw(spark, table + "/raw").filter("track_id = 101").collect())
     assert got == [(3, 7), (4, 9)]
+
+
+def test_writers_make_one_file_per_library_snapshot(spark):
+    from conftest import SF_SMALL
+    from snaptally.sources.fixture import load_library_fixture
+    raw = load_library_fixture(spark, SF_SMALL)
+    out = tempfile.mkdtemp()
+    plist.write_plist_snapshots(raw, out + "/p", scope=("library_id",))
+    csvfile.write_csv_snapshots(raw, out + "/c", scope=("library_id",))
+    n = raw.select("library_id", "snapshot_date").distinct().count()
+    for sub, ext in (("p", ".txt"), ("c", ".csv")):
+        files = [f for _, _, fs in os.walk(f"{out}/{sub}") for f in fs if f.endswith(ext)]
+        assert len(files) == n
+    back = plist.plist_snapshots(spark, out + "/p", glob="part-*")
+    assert back.count() == raw.count()
