@@ -57,7 +57,8 @@ def build_session(master: str | None = None, app_name: str = "snaptally",
 
     With ``input_bytes`` (and ``total_cores``, default: local cores) the
     shuffle and scan sizes come from ``sizing_conf``."""
-    b = SparkSession.builder.appName(app_name).config("spark.ui.enabled", "false")
+    b = (SparkSession.builder.appName(app_name).config("spark.ui.enabled", "false")
+         .config("spark.ui.showConsoleProgress", "false"))
     if master:
         b = b.master(master)
     conf = dict(SESSION_CONF)
