@@ -53,66 +53,79 @@ def main() -> None:
         df.write.format("noop").mode("overwrite").save()
         return time.perf_counter() - t
 
-    # JVM and Python-worker warm-up, so the first timed step is not charged for it
-    spark.read.parquet(os.path.join(SF_DIR, "part.parquet")).groupBy("p_size").count().collect()
-
     times: dict[str, float] = {}
-    t = time.perf_counter()
-    raw_path = os.path.join(work, "raw")
-    store.replace_snapshot(load_fixture(spark, SF_DIR), raw_path, check=False)
-    times["ingest_raw"] = time.perf_counter() - t
-    raw = store.read_raw(spark, raw_path)
-
-    t = time.perf_counter()
-    # fact and dimension bucketed by track: reports roll up and join without a shuffle
-    wh = build(spark, raw, os.path.join(work, "wh"), buckets=CPUS)
-    times["build_gold"] = time.perf_counter() - t
-
-    views = report_views(wh)
-    from snaptally.plans import reports as R
-    views["top_songs_rank_window"] = R.top_songs(wh.fact, wh.dim, method="window")
-    for name, df in views.items():
-        run(df)  # warm-up
-        times[name] = statistics.median(run(df) for _ in range(REPEAT))
-
-    # incremental: load through 2000, then time appending the 2001 snapshots
-    from pyspark.sql import functions as F
-
-    from snaptally.plans import incremental
-    inc_root = os.path.join(work, "incremental")
-    t = time.perf_counter()
-    incremental.init(spark, raw.filter(F.year("snapshot_date") <= 2000), inc_root)
-    times["incremental_init_to_2000"] = time.perf_counter() - t
-    t = time.perf_counter()
-    incremental.append(spark, raw.filter(F.year("snapshot_date") >= 2001), inc_root)
-    times["incremental_append_2001"] = time.perf_counter() - t
-
-    # every library's replay in one job: raw keyed by library, scoped build and reports
-    from snaptally.sources.fixture import load_library_fixture
-    lib = ("library_id",)
-    t = time.perf_counter()
-    lib_path = os.path.join(work, "raw_libraries")
-    (load_library_fixture(spark, SF_DIR).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy("snapshot_date").parquet(lib_path))
-    lib_raw = spark.read.parquet(lib_path)
-    lwh = build(spark, lib_raw, os.path.join(work, "wh_libraries"), buckets=CPUS, scope=lib)
-    times["library_build"] = time.perf_counter() - t
-    lib_views = {"library_summary": R.summary(lwh.fact, lwh.dim, scope=lib),
-                 "library_top_artists": R.top_artists(lwh.fact, lwh.dim, scope=lib),
-                 "library_top_songs": R.top_songs(lwh.fact, lwh.dim, scope=lib)}
-    for name, df in lib_views.items():
-        run(df)
-        times[name] = statistics.median(run(df) for _ in range(REPEAT))
-
-    for name in ("hourly_listening", "event_counter_delta"):
-        fn = QUERIES[name]
-        run(fn(spark, SF_DIR))
-        times[name] = statistics.median(run(fn(spark, SF_DIR)) for _ in range(REPEAT))
+    duck: dict[str, float] = {}
+    errors: list[str] = []
+    paths: dict[str, str] = {}
+
+    def sections() -> None:
+        # JVM and Python-worker warm-up, so the first timed step is not charged for it
+        spark.read.parquet(os.path.join(SF_DIR, "part.parquet")).groupBy("p_size").count().collect()
+
+        t = time.perf_counter()
+        raw_path = os.path.join(work, "raw")
+        store.replace_snapshot(load_fixture(spark, SF_DIR), raw_path, check=False)
+        times["ingest_raw"] = time.perf_counter() - t
+        paths["raw"] = raw_path
+        raw = store.read_raw(spark, raw_path)
+
+        t = time.perf_counter()
+        # fact and dimension bucketed by track: reports roll up and join without a shuffle
+        wh = build(spark, raw, os.path.join(work, "wh"), buckets=CPUS)
+        times["build_gold"] = time.perf_counter() - t
+
+        views = report_views(wh)
+        from snaptally.plans import reports as R
+        views["top_songs_rank_window"] = R.top_songs(wh.fact, wh.dim, method="window")
+        for name, df in views.items():
+            run(df)  # warm-up
+            times[name] = statistics.median(run(df) for _ in range(REPEAT))
+
+        # incremental: load through 2000, then time appending the 2001 snapshots
+        from pyspark.sql import functions as F
+
+        from snaptally.plans import incremental
+        inc_root = os.path.join(work, "incremental")
+        t = time.perf_counter()
+        incremental.init(spark, raw.filter(F.year("snapshot_date") <= 2000), inc_root)
+        times["incremental_init_to_2000"] = time.perf_counter() - t
+        t = time.perf_counter()
+        incremental.append(spark, raw.filter(F.year("snapshot_date") >= 2001), inc_root)
+        times["incremental_append_2001"] = time.perf_counter() - t
+
+        # every library's replay in one job: raw keyed by library, scoped build and reports
+        from snaptally.sources.fixture import load_library_fixture
+        lib = ("library_id",)
+        t = time.perf_counter()
+        lib_path = os.path.join(work, "raw_libraries")
+        (load_library_fixture(spark, SF_DIR).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("snapshot_date").parquet(lib_path))
+        lib_raw = spark.read.parquet(lib_path)
+        lwh = build(spark, lib_raw, os.path.join(work, "wh_libraries"), buckets=CPUS, scope=lib)
+        times["library_build"] = time.perf_counter() - t
+        paths["lib"] = lib_path
+        lib_views = {"library_summary": R.summary(lwh.fact, lwh.dim, scope=lib),
+                     "library_top_artists": R.top_artists(lwh.fact, lwh.dim, scope=lib),
+                     "library_top_songs": R.top_songs(lwh.fact, lwh.dim, scope=lib)}
+        for name, df in lib_views.items():
+            run(df)
+            times[name] = statistics.median(run(df) for _ in range(REPEAT))
+
+        for name in ("hourly_listening", "event_counter_delta"):
+            fn = QUERIES[name]
+            run(fn(spark, SF_DIR))
+            times[name] = statistics.median(run(fn(spark, SF_DIR)) for _ in range(REPEAT))
+
 
+    try:
+        sections()
+    except Exception as e:  # keep the numbers measured so far
+        errors.append(f"{type(e).__name__}: {str(e)[:300]}")
     reports = {k: v for k, v in times.items()
                if k not in ("ingest_raw", "build_gold", "library_build",
                             "incremental_init_to_2000", "incremental_append_2001")}
-    duck = _duckdb_times(list(reports), raw_path, lib_path)
+    if "raw" in paths:
+        duck = _duckdb_times(list(reports), paths["raw"], paths.get("lib"))
     spark.stop()
     out = {
         "metric": "ingest_build_and_reports_total",
@@ -125,6 +138,8 @@ def main() -> None:
         "cpus": CPUS,
         "repeat": REPEAT,
     }
+    if errors:
+        out["errors"] = errors
     print(json.dumps(out))
 
 
@@ -145,23 +160,28 @@ def _duckdb_layout(raw_path: str, silver_cte: str, fact_cte: str):
     return con, t1 - t0, time.perf_counter() - t1
 
 
-def _duckdb_times(names: list[str], raw_path: str, lib_path: str) -> dict[str, float]:
+def _duckdb_times(names: list[str], raw_path: str, lib_path: str | None) -> dict[str, float]:
     """The same reports in DuckDB on the same stored raw tables, laid out as
     the reference runs them: silver and fact as tables (build timed once),
     the dimension and the reports as views."""
     try:
         from snaptally import oracle as O
         con, load, build_s = _duckdb_layout(raw_path, O.SILVER_CTE, O.FACT_CTE)
-        lcon, _, lbuild = _duckdb_layout(lib_path, O.LIB_SILVER_CTE, O.LIB_FACT_CTE)
+        lcon, lbuild = None, None
+        if lib_path:
+            lcon, _, lbuild = _duckdb_layout(lib_path, O.LIB_SILVER_CTE, O.LIB_FACT_CTE)
     except Exception:
         return {}
-    res = {"ingest_raw": round(load, 3), "build_gold": round(build_s, 3),
-           "library_build": round(lbuild, 3)}
+    res = {"ingest_raw": round(load, 3), "build_gold": round(build_s, 3)}
+    if lbuild is not None:
+        res["library_build"] = round(lbuild, 3)
     raw_only = "WITH raw AS (SELECT * FROM raw_t)"
     for n in names:
         if n not in O.ORACLE:
             continue
         if n.startswith("library_"):
+            if lcon is None:
+                continue
             c, sql = lcon, O.ORACLE[n].replace(O.LIB_GOLD, f"WITH {O.LIB_DIM_CTE}")
         else:
             c = con
