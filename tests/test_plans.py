@@ -15,10 +15,11 @@ def gold(spark):
     return s, M.fact(s), M.dim_track(s)
 
 
-def test_artist_join_is_inner(spark):
+def test_artist_and_album_joins_are_inner(spark):
     s, _, d = gold(spark)
-    p = plan(R.top_artists(M.fact(s, skew="off"), d))
-    assert "LeftOuter" not in p
+    f = M.fact(s, skew="off")
+    for report in (R.top_artists(f, d), R.top_albums(f, d)):
+        assert "LeftOuter" not in plan(report)
 
 
 def test_latest_window_limits_before_shuffle(spark):
