@@ -146,6 +146,17 @@ def _incremental(spark: SparkSession, sf_dir: str):
     return I.open_incremental(spark, root)
 
 
+def _incremental_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Load every year but 1998, then 1998 arrives late and is repaired in."""
+    from . import incremental as I
+    raw = _fixture(spark, sf_dir)
+    year = F.year("snapshot_date")
+    root = scratch_path(spark, "incremental-repair")
+    I.init(spark, raw.filter(year != 1998), root)
+    I.repair(spark, raw, raw.filter(year == 1998), root)
+    return I.open_incremental(spark, root).fact
+
+
 def _backup_listing(spark: SparkSession, sf_dir: str):
     return backups.fixture_backup_listing(read_table(spark, sf_dir, "orders"),
                                           read_table(spark, sf_dir, "lineitem"))
@@ -208,6 +219,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "library_yearly_top_albums": _libs(lambda g: R.yearly_top_albums(g.fact, g.dim, scope=LIB)),
     "incremental_fact": lambda s, d: _incremental(s, d).fact,
     "incremental_dim": lambda s, d: _incremental(s, d).dim,
+    "incremental_repair_fact": _incremental_repair,
     "pick_candidate_path": _pick_candidate_path,
     "daily_last_backup": _daily_last_backup,
 }

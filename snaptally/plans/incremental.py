@@ -13,16 +13,22 @@ which is the dimension plus its last counters) and each ``append`` runs the
 LAG over ``state ∪ batch`` and the latest-state window over the same rows:
 O(tracks + batch) instead of O(history). Results equal a full rebuild (the
 tests compare them). A batch holding a date not after the state's is
-refused (``append`` returns False) and needs ``init`` over the whole raw
-table, since it changes deltas already written.
-
-Layout under ``root`` (idempotent on re-run):
-
-* ``fact/batch=<date>/`` — the fact rows of one load; a re-run of the same
-  load overwrites the same folder; ``init`` replaces all of them;
-* ``track_state/asof=<date>/`` — one version per load; readers take the
-  newest, so a load that fails before writing its state leaves the
-  previous version current and can simply be run again.
+refused by ``append`` (returns False): it changes deltas already written.
+``repair`` handles it without a history shuffle: only the affected tracks
+(keys of the batch, and keys the fact held on the batch's dates, since a
+re-export can drop tracks) are recomputed from the raw table, and the fact
+is rewritten as a new version (a scan and anti-join of the history against
+the affected keys). ``init`` rebuilds everything.
+
+Layout under ``root`` (each step idempotent on re-run):
+
+* ``fact/v=<n>/batch=<date>/`` — the fact rows of one load within fact
+  version ``n``; a re-run of a load overwrites its own folder; ``repair``
+  writes version ``n+1``; ``init`` replaces everything with version 0;
+* ``track_state/asof=<date>/fact=<n>/`` — one state per load, naming the
+  fact version it belongs to. Readers take the newest state and its fact
+  version, so a load that fails before writing its state leaves the
+  previous, consistent pair current and can simply be run again.
 """
 
 from __future__ import annotations
@@ -61,24 +67,44 @@ def _min_date(df: DataFrame):
     return df.agg(F.min(SNAPSHOT)).first()[0]
 
 
-def state_version(spark: SparkSession, root: str) -> str | None:
-    """Date of the newest state version (file listing only, no job)."""
+def current(spark: SparkSession, root: str) -> tuple[str, int] | None:
+    """``(asof, fact version)`` of the newest state (file listing only)."""
     try:
         files = spark.read.parquet(os.path.join(root, STATE_DIR)).inputFiles()
     except AnalysisException:
         return None
-    found = {m.group(1) for f in files if (m := re.search(r"asof=(\d{4}-\d{2}-\d{2})", f))}
+    found = {(m.group(1), int(m.group(2))) for f in files
+             if (m := re.search(r"asof=(\d{4}-\d{2}-\d{2})/fact=(\d+)", f))}
     return max(found) if found else None
 
 
-def _write_load(fact: DataFrame, state: DataFrame, root: str, asof, replace_all: bool) -> None:
-    """Write one load. ``replace_all`` (``init``) replaces every earlier load
-    and state version; otherwise only this load's folders are (re)written."""
+def state_version(spark: SparkSession, root: str) -> str | None:
+    """Date of the newest state version."""
+    cur = current(spark, root)
+    return cur[0] if cur else None
+
+
+def _read_state(spark: SparkSession, root: str, cur: tuple[str, int]) -> DataFrame:
+    return spark.read.parquet(os.path.join(root, STATE_DIR, f"asof={cur[0]}", f"fact={cur[1]}"))
+
+
+def _read_fact(spark: SparkSession, root: str, version: int) -> DataFrame:
+    return spark.read.parquet(os.path.join(root, FACT_DIR, f"v={version}")).drop("batch")
+
+
+def _write_load(fact: DataFrame, state: DataFrame, root: str, asof, version: int,
+                replace_all: bool) -> None:
+    """Write one load: its fact folder, then its state (which makes it current).
+
+    ``replace_all`` (``init``) replaces every earlier fact version and state;
+    otherwise only this load's own folders are (re)written."""
     mode = "static" if replace_all else "dynamic"
-    for df, sub, col in ((fact, FACT_DIR, "batch"), (state, STATE_DIR, "asof")):
-        (df.withColumn(col, F.lit(str(asof))).write.mode("overwrite")
-         .option("partitionOverwriteMode", mode).partitionBy(col)
-         .parquet(os.path.join(root, sub)))
+    (fact.withColumn("v", F.lit(version)).withColumn("batch", F.lit(str(asof)))
+     .write.mode("overwrite").option("partitionOverwriteMode", mode)
+     .partitionBy("v", "batch").parquet(os.path.join(root, FACT_DIR)))
+    (state.withColumn("asof", F.lit(str(asof))).withColumn("fact", F.lit(version))
+     .write.mode("overwrite").option("partitionOverwriteMode", mode)
+     .partitionBy("asof", "fact").parquet(os.path.join(root, STATE_DIR)))
 
 
 def init(spark: SparkSession, raw: DataFrame, root: str, scope: tuple = (),
@@ -86,7 +112,7 @@ def init(spark: SparkSession, raw: DataFrame, root: str, scope: tuple = (),
     """Full load of ``raw``: the fact of all history and the first state."""
     s = M.silver(M.bronze(raw, scope=scope), scope=scope)
     asof = _max_date(s)
-    _write_load(M.fact(s, skew=skew, scope=scope), track_state(s, scope), root, asof, True)
+    _write_load(M.fact(s, skew=skew, scope=scope), track_state(s, scope), root, asof, 0, True)
     return open_incremental(spark, root, scope)
 
 
@@ -94,8 +120,9 @@ def append(spark: SparkSession, new_raw: DataFrame, root: str, scope: tuple = ()
            skew: str = "auto") -> bool:
     """Add a batch of later snapshots; False (nothing written) if the batch
     holds a date not after the current state's."""
-    asof = state_version(spark, root)
-    state = spark.read.parquet(os.path.join(root, STATE_DIR, f"asof={asof}")) if asof else None
+    cur = current(spark, root)
+    asof = cur[0] if cur else None
+    state = _read_state(spark, root, cur) if cur else None
     batch = M.silver(M.bronze(new_raw, scope=scope), scope=scope)
     lo = _min_date(batch)
     if lo is None:
@@ -113,14 +140,40 @@ def append(spark: SparkSession, new_raw: DataFrame, root: str, scope: tuple = ()
     both = batch.select(*scope, *SILVER_COLUMNS)
     if state is not None:
         both = state.select(*scope, *SILVER_COLUMNS).unionByName(both)
-    _write_load(new_fact, track_state(both, scope), root, _max_date(batch), False)
+    _write_load(new_fact, track_state(both, scope), root, _max_date(batch),
+                cur[1] if cur else 0, False)
     return True
 
 
+def repair(spark: SparkSession, raw: DataFrame, batch_raw: DataFrame, root: str,
+           scope: tuple = (), skew: str = "auto") -> None:
+    """Bring the store up to date after ``batch_raw`` replaced or added
+    snapshot dates anywhere in time; ``raw`` is the raw table that already
+    holds them. Only affected tracks are recomputed (see module doc)."""
+    cur = current(spark, root)
+    if cur is None:
+        init(spark, raw, root, scope, skew)
+        return
+    keys = [*scope, ENTITY]
+    old_fact = _read_fact(spark, root, cur[1])
+    state = _read_state(spark, root, cur)
+    batch = M.silver(M.bronze(batch_raw, scope=scope), scope=scope)
+    dates = batch.select(SNAPSHOT).distinct()
+    affected = (batch.select(*keys)
+                .unionByName(old_fact.join(dates, SNAPSHOT, "left_semi").select(*keys))
+                .distinct())
+    s = M.silver(M.bronze(raw, scope=scope), scope=scope).join(affected, keys, "left_semi")
+    fact = (old_fact.join(affected, keys, "left_anti").select(*scope, *FACT_COLUMNS)
+            .unionByName(M.fact(s, skew=skew, scope=scope)))
+    new_state = (state.join(affected, keys, "left_anti").select(*scope, *SILVER_COLUMNS)
+                 .unionByName(track_state(s, scope)))
+    asof = max(cur[0], str(_max_date(batch)))
+    _write_load(fact, new_state, root, asof, cur[1] + 1, False)
+
+
 def open_incremental(spark: SparkSession, root: str, scope: tuple = ()) -> Warehouse:
-    """Readers of the incremental store: all fact loads, newest state."""
-    asof = state_version(spark, root)
-    state = spark.read.parquet(os.path.join(root, STATE_DIR, f"asof={asof}"))
-    fact = spark.read.parquet(os.path.join(root, FACT_DIR)).drop("batch")
-    return Warehouse(raw=None, silver=None, fact=fact,
+    """Readers of the incremental store: the newest state and its fact version."""
+    cur = current(spark, root)
+    state = _read_state(spark, root, cur)
+    return Warehouse(raw=None, silver=None, fact=_read_fact(spark, root, cur[1]),
                      dim=state.select(*scope, *DIM_TRACK_COLUMNS))

@@ -54,8 +54,8 @@ def load_batch(spark: SparkSession, files: DataFrame, table_path: str, fmt: str,
     """Load one batch of new files into the raw table; returns the file count.
 
     With ``warehouse_root`` the fact and track state there are brought up to
-    date too: incrementally when the batch is later than the state, else
-    rebuilt from the raw table (a late snapshot changes written deltas)."""
+    date too: appended when the batch is later than the state, else repaired
+    for the affected tracks (a late snapshot changes written deltas)."""
     paths = [r.path for r in files.select("path").collect()]  # bounded by max_files
     if not paths:
         return 0
@@ -66,7 +66,7 @@ def load_batch(spark: SparkSession, files: DataFrame, table_path: str, fmt: str,
         batch = store.read_raw(spark, table_path).join(
             F.broadcast(rows.select("snapshot_date").distinct()), "snapshot_date", "left_semi")
         if not incremental.append(spark, batch, warehouse_root):
-            incremental.init(spark, store.read_raw(spark, table_path), warehouse_root)
+            incremental.repair(spark, store.read_raw(spark, table_path), batch, warehouse_root)
     return len(paths)
 
 

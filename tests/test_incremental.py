@@ -33,3 +33,23 @@ def test_appends_equal_full_build(spark):
     # a batch that is not later than the state is refused and writes nothing
     assert not append(spark, raw.filter(F.col("snapshot_date") == cut2), root)
     assert rows(open_incremental(spark, root).fact) == rows(full_fact)
+
+
+def test_repair_after_late_and_shrunk_snapshots(spark):
+    from snaptally.plans.incremental import repair
+    raw = load_fixture(spark, SF_SMALL).cache()
+    dates = sorted(r[0] for r in raw.select("snapshot_date").distinct().collect())
+    late, shrunk = dates[10], dates[20]
+    root = tempfile.mkdtemp()
+    # everything but one date, then the missing (late) date arrives
+    init(spark, raw.filter(F.col("snapshot_date") != late), root)
+    repair(spark, raw, raw.filter(F.col("snapshot_date") == late), root)
+    s = M.silver(M.bronze(raw))
+    assert rows(open_incremental(spark, root).fact) == rows(M.fact(s))
+    assert rows(open_incremental(spark, root).dim) == rows(M.dim_track(s))
+    # a re-export of an existing date without the odd tracks
+    raw2 = raw.filter((F.col("snapshot_date") != shrunk) | (F.col("track_id") % 2 == 0))
+    repair(spark, raw2, raw2.filter(F.col("snapshot_date") == shrunk), root)
+    s2 = M.silver(M.bronze(raw2))
+    assert rows(open_incremental(spark, root).fact) == rows(M.fact(s2))
+    assert rows(open_incremental(spark, root).dim) == rows(M.dim_track(s2))
