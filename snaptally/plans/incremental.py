@@ -43,10 +43,12 @@ from pyspark.sql.utils import AnalysisException
 from ..operators.delta import counter_delta
 from ..operators.latest import latest_by
 from ..schema import DIM_TRACK_COLUMNS, ENTITY, FACT_COLUMNS, SILVER_COLUMNS, SNAPSHOT, TIEBREAK
+from ..session import shared_dir
 from . import models as M
 from .warehouse import Warehouse
 
 FACT_DIR = "fact"
+BROADCAST_KEYS = 2_000_000  # affected track keys broadcast up to this count
 STATE_DIR = "track_state"
 _FACT_INPUT = [ENTITY, SNAPSHOT, TIEBREAK, "play_count", "skip_count", "last_played_at_utc",
                "duration_min"]
@@ -160,8 +162,16 @@ def repair(spark: SparkSession, raw: DataFrame, batch_raw: DataFrame, root: str,
     batch = M.silver(M.bronze(batch_raw, scope=scope), scope=scope)
     dates = batch.select(SNAPSHOT).distinct()
     affected = (batch.select(*keys)
-                .unionByName(old_fact.join(dates, SNAPSHOT, "left_semi").select(*keys))
+                .unionByName(old_fact.join(F.broadcast(dates), SNAPSHOT, "left_semi")
+                             .select(*keys))
                 .distinct())
+    # the key set is batch-sized: store it once (lineage cut in the shared
+    # folder), then broadcast it when its counted size allows, so the
+    # history is filtered where it lies instead of being shuffled
+    shared_dir(spark)
+    affected = affected.checkpoint()
+    if affected.count() <= BROADCAST_KEYS:
+        affected = F.broadcast(affected)
     s = M.silver(M.bronze(raw, scope=scope), scope=scope).join(affected, keys, "left_semi")
     fact = (old_fact.join(affected, keys, "left_anti").select(*scope, *FACT_COLUMNS)
             .unionByName(M.fact(s, skew=skew, scope=scope)))
