@@ -92,6 +92,10 @@ def main() -> None:
         t = time.perf_counter()
         incremental.append(spark, raw.filter(F.year("snapshot_date") >= 2001), inc_root)
         times["incremental_append_2001"] = time.perf_counter() - t
+        # 1998 re-exported (every track present again): repair the affected tracks only
+        t = time.perf_counter()
+        incremental.repair(spark, raw, raw.filter(F.year("snapshot_date") == 1998), inc_root)
+        times["incremental_repair_1998"] = time.perf_counter() - t
 
         # every library's replay in one job: raw keyed by library, scoped build and reports
         from snaptally.sources.fixture import load_library_fixture
@@ -123,7 +127,8 @@ def main() -> None:
         errors.append(f"{type(e).__name__}: {str(e)[:300]}")
     reports = {k: v for k, v in times.items()
                if k not in ("ingest_raw", "build_gold", "library_build",
-                            "incremental_init_to_2000", "incremental_append_2001")}
+                            "incremental_init_to_2000", "incremental_append_2001",
+                            "incremental_repair_1998")}
     if "raw" in paths:
         duck = _duckdb_times(list(reports), paths["raw"], paths.get("lib"))
     spark.stop()
