@@ -5,7 +5,6 @@ import os
 import tempfile
 
 import pytest
-from pyspark.sql import functions as F
 
 from snaptally.sources import backups as B
 from snaptally.sources import csvfile, plist, store

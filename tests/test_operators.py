@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from snaptally.operators import (competition_rank, counter_delta, hot_keys, key_violations,
-                                 latest_by, null_violations, top_k)
+                                 null_violations, top_k)
 from snaptally.operators.checks import ContractViolation, assert_contract
 from snaptally.plans import models as M
 from snaptally.sources.fixture import load_fixture
