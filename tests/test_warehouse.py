@@ -32,3 +32,27 @@ def test_bucketed_and_plain_warehouse_match_lazy_plan(spark):
         p = R.top_artists(wh.fact, wh.dim)._jdf.queryExecution().executedPlan().toString()
         return p.count("Exchange hashpartitioning")
     assert exchanges(bucketed) < exchanges(plain)
+
+
+def test_bucketed_raw_builds_without_exchanges(spark):
+    import uuid
+
+    from pyspark.sql import functions as F
+
+    from snaptally.plans import models as M
+    root = tempfile.mkdtemp()
+    raw = load_fixture(spark, SF_SMALL)
+    table = f"raw_b_{uuid.uuid4().hex[:8]}"
+    latest = raw.agg(F.max("snapshot_date")).first()[0]
+    store.create_bucketed_raw(raw.filter(F.col("snapshot_date") < latest), table, root + "/raw", 4)
+    store.replace_snapshot_bucketed(raw.filter(F.col("snapshot_date") == latest), table)
+    store.replace_snapshot_bucketed(raw.filter(F.col("snapshot_date") == latest), table)  # idempotent
+    b = spark.table(table)
+    assert b.count() == raw.count()
+    s = M.silver(M.bronze(b))
+    fact, dim = M.fact(s, skew="off"), M.dim_track(s)
+    for df in (fact, dim):
+        assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
+    s0 = M.silver(M.bronze(raw))
+    assert rows(fact) == rows(M.fact(s0))
+    assert rows(dim) == rows(M.dim_track(s0))
