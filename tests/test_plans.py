@@ -55,3 +55,16 @@ def test_histogram_rank_keeps_group_rows_distributed(spark):
     lines = hist.splitlines()
     i = next(k for k, x in enumerate(lines) if "SinglePartition" in x)
     assert "HashAggregate(keys=[play_count" in lines[i + 1]
+
+
+def test_upsert_prunes_untouched_dates(spark):
+    import tempfile
+
+    from snaptally.sources import store
+    raw = load_fixture(spark, SF_SMALL)
+    root = tempfile.mkdtemp()
+    store.replace_snapshot(raw, root + "/raw", check=False)
+    old = store.read_raw(spark, root + "/raw")
+    new = store.bump_latest(raw)
+    touched = old.join(new.select("snapshot_date").distinct(), "snapshot_date", "left_semi")
+    assert "dynamicpruning" in plan(touched)
