@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from snaptally.llm import base as B
-from snaptally.llm import chat, mixing, pii, secrets
+from snaptally.llm import chat, classifier, decontaminate, lm, mixing, pii, quality, secrets, simhash, tokens
 
 
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,6 +29,43 @@ def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(chat.format_conversations(turns))
 
 
-QUERIES = {"op1_pii": op1_pii, "op5_secrets": op5_secrets, "op6_mixing": op6_mixing, "op8_chat": op8_chat}
+def op2_tokens(spark: SparkSession, sf_dir: str, tokenizer: str = "word_bpe_49k.json") -> DataFrame:
+    """``tokenizer``: a file name of the public tokenizers, or the path of a tokenizer file."""
+    import public_tokenizers
+    B.prepare(spark)
+    path = tokenizer if "/" in tokenizer else public_tokenizers.path(tokenizer)
+    return tokens.digest(tokens.count_tokens(B.table(spark, sf_dir, "documents"), path))
+
+
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    B.prepare(spark)
+    return simhash.digest(simhash.near_duplicates(B.table(spark, sf_dir, "documents"), shingle=3, max_bits=3))
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    B.prepare(spark)
+    return quality.digest(quality.assess(B.table(spark, sf_dir, "documents")))
+
+
+def op7_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    B.prepare(spark)
+    docs, labels = B.table(spark, sf_dir, "documents"), B.table(spark, sf_dir, "labels")
+    return classifier.digest(classifier.score(docs, labels))
+
+
+def op9_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    B.prepare(spark)
+    return lm.digest(lm.score(B.table(spark, sf_dir, "documents")))
+
+
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    B.prepare(spark)
+    docs, benchmark = B.table(spark, sf_dir, "documents"), B.table(spark, sf_dir, "benchmark")
+    return decontaminate.digest(decontaminate.find_contamination(docs, benchmark))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_pii, op2_tokens, op3_simhash, op4_quality, op5_secrets, op6_mixing, op7_classifier, op8_chat, op9_lm,
+    op10_decontaminate)}
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op10_decontaminate": decontaminate.ORACLE_SQL}
