@@ -188,16 +188,16 @@ def digest(found: DataFrame, id_col: str = "doc_id", out: str = "contamination")
 
 # The same rule by plain joins: every document shingle against every item shingle.
 ORACLE_SQL = """
-WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
-           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), x -> x <> '') AS w
+WITH d AS (SELECT doc_id, [x for x in regexp_split_to_array(translate(coalesce(text, ''),
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+') if x <> ''] AS w
            FROM documents),
-b AS (SELECT item_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
-      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), x -> x <> '') AS w
+b AS (SELECT item_id, [x for x in regexp_split_to_array(translate(coalesce(text, ''),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+') if x <> ''] AS w
       FROM benchmark),
-ds AS (SELECT DISTINCT doc_id, s FROM (SELECT doc_id, unnest(list_transform(range(1, greatest(len(w) - 4, 1) + 1),
-       i -> array_to_string(w[i:i + 4], ' '))) AS s FROM d WHERE len(w) > 0)),
-bs AS (SELECT DISTINCT item_id, s FROM (SELECT item_id, unnest(list_transform(range(1, greatest(len(w) - 4, 1) + 1),
-       i -> array_to_string(w[i:i + 4], ' '))) AS s FROM b WHERE len(w) > 0)),
+ds AS (SELECT DISTINCT doc_id, s FROM (SELECT doc_id, unnest([array_to_string(w[i:i + 4], ' ')
+       for i in range(1, greatest(len(w) - 4, 1) + 1)]) AS s FROM d WHERE len(w) > 0)),
+bs AS (SELECT DISTINCT item_id, s FROM (SELECT item_id, unnest([array_to_string(w[i:i + 4], ' ')
+       for i in range(1, greatest(len(w) - 4, 1) + 1)]) AS s FROM b WHERE len(w) > 0)),
 n AS (SELECT item_id, count(*) AS size FROM bs GROUP BY item_id),
 hit AS (SELECT doc_id, item_id, count(*) AS shared FROM ds JOIN bs USING (s) GROUP BY doc_id, item_id),
 ok AS (SELECT doc_id, item_id, shared::DOUBLE / size AS c FROM hit JOIN n USING (item_id) WHERE shared * 5 >= size * 4),

@@ -228,7 +228,7 @@ def answer(asked: DataFrame) -> DataFrame:
 
 
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", train: Column | None = None,
-          mu: float = 50.0, block_bytes: int = 8_000_000, n_buckets: int | None = None) -> DataFrame:
+          mu: float = 100.0, block_bytes: int = 8_000_000, n_buckets: int | None = None) -> DataFrame:
     """id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10)."""
     train = train_rows(id_col) if train is None else train
     blocks = B.materialise(token_blocks(docs, id_col, text_col, train, block_bytes), "lm-blocks")

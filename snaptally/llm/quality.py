@@ -2,9 +2,11 @@
 
 A document's character-class histogram and its common-word histogram (fixed values in
 ``features``) are compared to each language's reference by Jensen-Shannon distance (base 2,
-0 to 1). The document passes if some reference is near in both; which language it says it
-has does not matter. Documents with fewer than ``min_words`` words are not judged by the
-divergence, as their histograms are noise.
+0 to 1). The divergence that a sample of the document's length has from its own source,
+(bins - 1) / (8 ln 2 n), is taken off first, so short documents are not judged by noise, and
+documents with fewer than ``min_words`` words are not judged by the divergence at all. The
+document passes if, for some reference, the two distances as shares of ``max_char`` and
+``max_word`` add up to 1 at most; which language it says it has does not matter.
 
 A language's reference is the mean of the normalised histograms of its documents that pass
 the counting rules and the length guard, each different text once, so copies have one vote.
@@ -18,6 +20,8 @@ is replaced; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -43,13 +47,15 @@ def share(h: np.ndarray) -> np.ndarray:
     return h / max(h.sum(), 1)
 
 
-def js_distance(p: np.ndarray, q: np.ndarray) -> np.ndarray:
-    """Jensen-Shannon distance (base 2) of each row of p to q."""
+def js_distance(p: np.ndarray, q: np.ndarray, n: float = np.inf) -> float:
+    """Jensen-Shannon distance (base 2) of p to the reference q, less what a sample of n items is off by."""
     m = (p + q) / 2
+
     def part(x):
-        with np.errstate(divide="ignore", invalid="ignore"):
-            return np.where(x > 0, x * np.log2(x / m), 0.0).sum(axis=-1)
-    return np.sqrt(np.maximum((part(p) + part(np.broadcast_to(q, p.shape))) / 2, 0.0))
+        at = x > 0
+        return float((x[at] * np.log2(x[at] / m[at])).sum())
+    noise = (np.count_nonzero(q > 1e-3) - 1) / (8 * math.log(2) * n)
+    return math.sqrt(max(0.0, (part(p) + part(q)) / 2 - noise))
 
 
 def profiles(texts: list[bytes]) -> list[dict]:
@@ -63,7 +69,7 @@ def profiles(texts: list[bytes]) -> list[dict]:
     return out
 
 
-def references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", min_words: int = 50,
+def references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", min_words: int = 60,
                languages: tuple[str, ...] = tuple(X.COMMON)) -> dict[str, tuple[np.ndarray, np.ndarray]]:
     """language -> (character-class reference, common-word reference)."""
     if lang_col not in docs.columns:
@@ -78,8 +84,8 @@ def references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
             for r in means.collect()}  # at most one row per listed language
 
 
-def assess(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", out: str = "quality", min_words: int = 50,
-           max_char: float = 0.3, max_word: float = 0.55) -> DataFrame:
+def assess(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", out: str = "quality", min_words: int = 60,
+           max_char: float = 0.33, max_word: float = 0.55) -> DataFrame:
     """docs with ``out``: struct of the counts, base_failed, the nearest reference's distances, kept."""
     refs = references(docs, text_col, lang_col, min_words)
 
@@ -92,11 +98,13 @@ def assess(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", out:
             r = {**c, "base_failed": failed, "kept": not failed, "nearest": None,
                  "char_distance": None, "word_distance": None}
             if refs and c["n_words"] >= min_words:
-                chars, common = share(X.char_histogram(raw)), share(X.word_histogram(raw))
-                far = {k: (float(js_distance(chars, a)), float(js_distance(common, b))) for k, (a, b) in refs.items()}
-                near = min(far, key=lambda k: (max(far[k][0] / max_char, far[k][1] / max_word), k))
+                chars, common = X.char_histogram(raw), X.word_histogram(raw)
+                far = {k: (js_distance(share(chars), a, chars.sum()), js_distance(share(common), b, max(common.sum(), 1)))
+                       for k, (a, b) in refs.items()}
+                total = {k: c / max_char + w / max_word for k, (c, w) in far.items()}
+                near = min(total, key=lambda k: (total[k], k))
                 r["nearest"], (r["char_distance"], r["word_distance"]) = near, far[near]
-                r["kept"] = not failed and far[near][0] <= max_char and far[near][1] <= max_word
+                r["kept"] = not failed and total[near] <= 1
             rows.append(r)
         return rows
     return A.with_result(docs, text_col, out, KIND, per_text)
