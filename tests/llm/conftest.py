@@ -1,0 +1,28 @@
+import os
+import sys
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+
+from brute import EDGE, EDGE_SCHEMA  # noqa: E402
+
+
+@pytest.fixture(scope="session")
+def edge(spark):
+    """Awkward documents, with extra columns named like the operators' own."""
+    from snaptally.llm import base as B
+    B.prepare(spark)
+    return spark.createDataFrame(EDGE, EDGE_SCHEMA).repartition(3)
+
+
+@pytest.fixture(scope="session")
+def none(spark):
+    return spark.createDataFrame([], EDGE_SCHEMA)
+
+
+@pytest.fixture(scope="session")
+def small(spark):
+    from snaptally.llm import base as B
+    B.prepare(spark)
+    return spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
