@@ -1,0 +1,410 @@
+"""Token counts, SimHash, quality, classifier, language model, decontamination and the pipeline."""
+
+import collections
+import math
+import random
+
+import brute as X
+import duckdb
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+import corpus_pipeline
+from snaptally.llm import arrow as A
+from snaptally.llm import classifier, decontaminate, lm, quality, simhash, tokens
+from snaptally.llm import features as W
+
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+
+
+def rows_of(df, *cols):
+    return sorted((tuple(r) for r in df.select(*cols).collect()), key=lambda t: tuple((x is None, str(x)) for x in t))
+
+
+def ordered(rows):
+    return sorted(rows, key=lambda t: tuple((x is None, str(x)) for x in t))
+
+
+# token counts -------------------------------------------------------------------------------------
+
+@pytest.mark.parametrize("path", [WORD_BPE, BYTE_BPE])
+@pytest.mark.parametrize("chunk", [None, (700, 300, 40)])
+def test_token_counts(edge, small, path, chunk):
+    t = Tokenizer.from_file(path)
+    size = dict(zip(("huge_chars", "chunk_chars", "overlap"), chunk, strict=True)) if chunk else {}
+    if path == BYTE_BPE:
+        edge = edge.where("doc_id is null or doc_id not in (8, 18)")
+    for df in (edge, small):
+        texts = [(r.doc_id, r.text or "") for r in df.collect()]
+        want = ordered((i, len(x.encode()), len(t.encode(x, add_special_tokens=False)), None) for i, x in texts)
+        want = ordered((i, b, n, n > 2048) for i, b, n, _ in want)
+        got = tokens.digest(tokens.count_tokens(df, path, **size))
+        assert rows_of(got, "doc_id", "n_bytes", "n_tokens", "over_limit") == want
+        if chunk and (df is small or path == WORD_BPE):
+            assert got.agg(F.max("chunks")).first()[0] > 3
+
+
+def test_long_run_widens_to_the_end():
+    text = "word " * 200 + "z" * 5000 + " more words " * 100
+    with open(WORD_BPE, encoding="utf-8") as f:
+        c = tokens.Counter(f.read(), 500, 200, 20, 8)
+    n, chunks = c.spliced(text)
+    assert n == len(c.tokenizer.encode(text, add_special_tokens=False)) and chunks > 5
+
+
+def test_tokens_of_no_rows(none):
+    got = tokens.count_tokens(none, WORD_BPE)
+    assert got.columns == [c for c in none.columns if c != "tokens"] + ["tokens"] and got.count() == 0
+
+
+# SimHash ------------------------------------------------------------------------------------------
+
+def check_classes(df, rows):
+    fps = [(r.doc_id, X.fingerprint(r.text)) for r in df.collect()]
+    root = X.classes({f for _, f in fps}, lambda a, b: (a ^ b).bit_count() <= 3)
+    least = collections.defaultdict(list)
+    for i, f in fps:
+        least[root[f]] += [i] if i is not None else []
+    assert rows == ordered((i, f"{f:016x}", min(least[root[f]], default=None)) for i, f in fps)
+
+
+def test_near_duplicates(edge, small):
+    for df in (edge, small):
+        got = simhash.digest(simhash.near_duplicates(df))
+        check_classes(df, rows_of(got, "doc_id", "fingerprint", "component_id"))
+
+
+def test_near_duplicates_of_no_rows(none):
+    assert simhash.near_duplicates(none).count() == 0
+    assert simhash.keep_one(none).columns == none.columns
+
+
+def dense(n, seed=4):
+    """Fingerprints around a few centres, many within 3 bits of each other, and a long chain."""
+    rng = random.Random(seed)
+    out = set()
+    for _ in range(4):
+        c = rng.getrandbits(64)
+        for _ in range(n):
+            x = c
+            for _ in range(rng.randint(0, 4)):
+                x ^= 1 << rng.randrange(64)
+            out.add(x)
+    x = rng.getrandbits(64)
+    for i in range(60):  # each link 3 bits from the last only
+        out.add(x)
+        x ^= (1 << i) | (1 << (i + 1)) | (1 << (i + 2))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("block", [4, 1024])
+@pytest.mark.parametrize("bits", [1, 3])
+def test_links_keep_every_class(spark, bits, block):
+    v = dense(60)
+    signed = np.array(v, dtype=np.uint64).view(np.int64).tolist()
+    df = spark.createDataFrame([(x,) for x in signed], "fp long")
+    found = {r.node: r.root for r in simhash.components(simhash.linked(df, bits, block)).collect()}
+    want = X.classes(v, lambda a, b: (a ^ b).bit_count() <= bits)
+    same = collections.defaultdict(set)
+    for x, s in zip(v, signed, strict=True):
+        same[want[x]].add(found.get(s, s))
+    assert all(len(r) == 1 for r in same.values()) and len({next(iter(r)) for r in same.values()}) == len(same)
+
+
+def test_grid_and_bound_lose_no_pair():
+    v = np.array(dense(40, 9), dtype=np.uint64)
+    i, j = simhash.links(v, 3, rows=16)
+    want = {(a, b) for a in range(len(v)) for b in range(a + 1, len(v)) if np.bitwise_count(v[a] ^ v[b]) <= 3}
+    assert set(zip(i.tolist(), j.tolist(), strict=True)) == want
+    e = simhash.segment_counts(v)
+    assert all(np.abs(e[a] - e[b]).sum() <= 3 for a, b in want)
+
+
+def test_components_of_a_path(spark):
+    df = spark.createDataFrame([(i, i + 1) for i in range(200)] + [(500, 700), (700, 500), (9000, 9000)], "a long, b long")
+    found = {r.node: r.root for r in simhash.components(df).collect()}
+    assert found == {**{i: 0 for i in range(201)}, 500: 500, 700: 500}
+
+
+# quality ------------------------------------------------------------------------------------------
+
+def test_base_counts(edge, small):
+    for df in (edge, small):
+        want = ordered((r.doc_id, *X.counts(r.text)) for r in df.collect())
+        got = quality.digest(quality.assess(df))
+        assert rows_of(got, "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                       "base_failed") == want
+        assert got.where("kept and base_failed").count() == 0
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_repeated_words(seed):
+    rng = random.Random(seed)
+    for _ in range(60):
+        w = [rng.choice("abc")] * rng.randint(0, 12) + rng.choices("abcdefgh", k=rng.randint(0, 40))
+        w = w * rng.randint(1, 2)
+        assert W.repeated_words([x.encode() for x in w]) == X.counts(" ".join(w))[4]
+
+
+def test_js_distance():
+    p, q = np.array([0.5, 0.5, 0.0]), np.array([0.25, 0.25, 0.5])
+    m = (p + q) / 2
+    kl = lambda a: sum(x * math.log2(x / y) for x, y in zip(a, m, strict=True) if x)
+    assert abs(quality.js_distance(p, q) - math.sqrt((kl(p) + kl(q)) / 2)) < 1e-12
+    assert quality.js_distance(p, p) == 0 and quality.js_distance(np.array([1, 0.0]), np.array([0, 1.0])) == 1
+
+
+def sentence(rng, n, common="the of and to in a is that".split()):
+    return " ".join(rng.choice(common) if rng.random() < 0.4 else "".join(rng.choices("abcdeinorst", k=rng.randint(2, 8)))
+                    for _ in range(n)) + "."
+
+
+def test_divergence(spark):
+    rng = random.Random(2)
+    rows = [(i, sentence(rng, rng.randint(60, 200)), "en") for i in range(80)]
+    shout = " ".join(w.upper() + "!!" for w in sentence(rng, 120).split())
+    marks = " ".join(w + "&&&" for w in sentence(rng, 120).split())
+    menu = " | ".join("".join(rng.choices("abcdeinorst", k=6)) for _ in range(120))
+    rows += [(100, shout, "en"), (101, marks, "en"), (102, menu, None), (103, "ABC!! " * 30, "en"), (104, "TOO!! SHORT", "en")]
+    rows += [(200 + i, sentence(rng, 150), "xx") for i in range(3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r.doc_id: r for r in quality.digest(quality.assess(df)).collect()}
+    assert all(got[i].kept for i in [*range(80), 200, 201, 202])
+    assert not any(got[i].kept for i in (100, 101, 102, 103, 104))
+    assert got[104].nearest is None and got[100].nearest == "en"
+    # copies of one odd text do not move the reference
+    more = df.unionByName(spark.range(400).select((F.col("id") + 1000).alias("doc_id"), F.lit(marks).alias("text"),
+                                                  F.lit("en").alias("lang")))
+    again = {r.doc_id: r.kept for r in quality.digest(quality.assess(more)).collect()}
+    assert all(again[i] for i in range(80)) and not any(again[i] for i in range(1000, 1400))
+    assert not any(again[i] for i in (100, 101))
+
+
+def test_quality_without_references(spark, none, edge):
+    assert quality.digest(quality.assess(none)).count() == 0
+    assert quality.keep(edge).columns == edge.columns
+    plain = quality.digest(quality.assess(edge.drop("lang")))
+    assert plain.where("kept = base_failed").count() == 0
+
+
+# classifier ---------------------------------------------------------------------------------------
+
+def test_classifier_on_held_out_labels(spark):
+    d = "/root/testdata/sf0.1"
+    docs, labels = spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/labels.parquet")
+    got = classifier.digest(classifier.score(docs, labels))
+    assert got.count() == docs.count()
+    held = {r.doc_id: r for r in got.where("held_out").collect()}
+    assert set(held) == {i for (i,) in docs.select("doc_id").collect() if X.crc(i) % 5 == 0}
+    own = [(held[r.doc_id], r.quality) for r in labels.collect() if r.doc_id in held]
+    assert sum(p.predicted == q for p, q in own) / len(own) > 0.97
+    assert all(0 <= p.score <= 1 and p.predicted == int(p.score >= 0.3) for p, _ in own)
+    good, bad = [p.score for p, q in own if q], [p.score for p, q in own if not q]
+    auc = np.mean([(g > b) + 0.5 * (g == b) for g in good for b in bad])
+    assert auc > 0.98
+
+
+def test_scores_depend_on_training_texts_only(spark, edge):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    base = {r.doc_id: r.score for r in classifier.digest(classifier.score(docs, labels)).collect()}
+    held = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    other = labels.withColumn("quality", F.when(held, 1 - F.col("quality")).otherwise(F.col("quality")))
+    strange = docs.withColumn("lang", F.lit("zz")).withColumn("source", F.lit(None).cast("string"))
+    again = {r.doc_id: r.score for r in classifier.digest(classifier.score(strange, other)).collect()}
+    assert again == base
+    odd = classifier.digest(classifier.score(edge, labels.where("quality = 1").unionByName(labels.limit(0))))
+    assert odd.count() == edge.count() and all(abs(r.score - 0.3) < 1e-9 for r in odd.collect())
+    both = labels.unionByName(spark.createDataFrame([(None, 1, 0), (5, None, 0), (10 ** 9, 1, 1)], labels.schema))
+    assert classifier.digest(classifier.score(edge, both)).count() == edge.count()
+
+
+def test_classifier_without_documents(spark, none):
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int")
+    assert classifier.digest(classifier.score(none, labels)).count() == 0
+
+
+def test_pairwise_fit_orders_by_the_telling_feature():
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=(400, 3))
+    y = (x[:, 1] > 0.5).astype(int)
+    m = classifier.fit(x, y)
+    raw = m.raw(x)
+    assert abs(m.w[1]) > 5 * max(abs(m.w[0]), abs(m.w[2]))
+    assert abs((m.score(raw) >= 0.3).mean() - y.mean()) < 0.01
+
+
+# language model -----------------------------------------------------------------------------------
+
+def check_scores(df, **params):
+    docs = [(r.doc_id, r.text) for r in df.collect()]
+    want = X.language_model(docs, params.get("mu", 100.0), lambda i: i is None or X.crc(i) % 7 != 2)
+    want = sorted((str(i), *w) for (i, _), w in zip(docs, want, strict=True))
+    got = sorted((str(r.doc_id), r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score)
+                 for r in lm.digest(lm.score(df, **params)).collect())
+    assert [g[:4] for g in got] == [w[:4] for w in want]
+    assert np.allclose([g[4:] for g in got], [w[4:] for w in want], rtol=1e-9)
+
+
+@pytest.mark.parametrize("params", [{}, {"block_bytes": 2000, "n_buckets": 7, "mu": 3.0}, {"n_buckets": 1}])
+def test_scores(edge, small, params):
+    check_scores(small, **params)
+    check_scores(edge, **params)
+
+
+def test_scores_of_few_rows(spark, none):
+    assert lm.score(none).count() == 0
+    held = next(i for i in range(99) if X.crc(i) % 7 == 2)
+    r = lm.digest(lm.score(spark.createDataFrame([(held, "a b")], "doc_id long, text string"))).first()
+    assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) == (True, 3, 0, 0, 0.0, 0.0)
+
+
+def test_a_states_probabilities_sum_to_one(spark):
+    train = list(zip([i for i in range(99) if X.crc(i) % 7 != 2][:3], ["a b a c", "b a", "c c a"], strict=True))
+    held = [i for i in range(300) if X.crc(i) % 7 == 2]
+    # after "a": each known word, the end, and one unknown word
+    rows = [(held[0], "a"), (held[1], "a a"), (held[2], "a b"), (held[3], "a c"), (held[4], "a zzz"), (held[5], "zzz")]
+    df = spark.createDataFrame(train + rows, "doc_id long, text string")
+    got = {r.doc_id: r.score for r in lm.digest(lm.score(df, mu=2.0)).collect()}
+    uni = collections.Counter(w for _, t in train for w in [*t.split(), "\n"])
+    n, v = sum(uni.values()), len(uni)
+    p1 = lambda w: (uni[w] + 1) / (n + v + 1)
+    assert abs(sum(p1(w) for w in uni) + p1("zzz") - 1) < 1e-12
+    bi = collections.Counter(p for _, t in train for p in zip([None, *t.split()], [*t.split(), "\n"], strict=True))
+    p2 = lambda a, w: (bi[a, w] + 2.0 * p1(w)) / (uni[a] + 2.0)
+    assert abs(sum(p2("a", w) for w in [*uni, "zzz"]) - 1) < 1e-12
+    start = math.log10((bi[None, "a"] + 2.0 * p1("a")) / (3 + 2.0))
+    for k, w in enumerate(["\n", "a", "b", "c"]):
+        tail = 0 if w == "\n" else math.log10(p2(w, "\n"))
+        assert got[held[k]] == pytest.approx(start + math.log10(p2("a", w)) + tail)
+
+
+def test_counts_and_keys_pack():
+    rng = np.random.default_rng(1)
+    for n in (0, 1, 5, 1000):
+        k = np.unique(rng.integers(0, 2 ** 64, n, dtype=np.uint64))
+        assert (lm.unpack_keys(lm.pack_keys(k), len(k)) == k).all()
+        for top in (1, 255, 256, 70_000, 2 ** 40):
+            c = rng.integers(0, top + 1, n)
+            assert (lm.unpack(lm.pack(c)) == c).all()
+
+
+# decontamination ----------------------------------------------------------------------------------
+
+def items_for(spark, rows):
+    return spark.createDataFrame(rows, "item_id long, text string")
+
+
+def planted():
+    rng = random.Random(8)
+    w = lambda n: [f"w{rng.randrange(10 ** 6)}" for _ in range(n)]
+    items = [w(30), w(9), w(5), w(100), w(3), [], w(30)]
+    cut = items[0][:3] + ["changed"] + items[0][4:]  # 26 shingles, 4 lost: 22 / 26
+    worse = items[0][:3] + ["changed"] + items[0][4:16] + ["again"] + items[0][17:]
+    docs = [(1, w(50) + items[0] + w(4000)), (2, cut + w(40)), (3, worse + w(10)), (4, items[1] + items[2]),
+            (5, items[3][:84] + w(300)), (6, items[3][:79] + w(300)), (7, items[4]), (8, items[4] + w(5)), (9, w(500)),
+            (10, [x.upper() for x in items[6]] + w(9)), (11, items[0] + items[6] + items[0])]
+    return ([(i, " ".join(t)) for i, t in enumerate(items)] + [(1, " ".join(items[1])), (77, None)],
+            [(i, "  ".join(t)) for i, t in docs])
+
+
+@pytest.mark.parametrize("block_chars", [8_000_000, 60])
+def test_contamination(spark, block_chars):
+    items, docs = planted()
+    df = spark.createDataFrame(docs, "doc_id long, text string").withColumn("hits", F.lit(1))
+    got = decontaminate.find_contamination(df, items_for(spark, items), block_chars=block_chars)
+    found = {r.doc_id: [tuple(h) for h in r.contamination.hits] for r in got.collect()}
+    assert found == {i: X.contamination(t, items) for i, t in docs}
+    assert [len(found[i]) for i in range(1, 12)] == [1, 1, 0, 3, 1, 0, 1, 0, 0, 1, 2]
+    kept = decontaminate.keep_clean(df, items_for(spark, items), block_chars=block_chars)
+    assert kept.columns == df.columns and sorted(r.doc_id for r in kept.collect()) == [3, 6, 8, 9]
+
+
+def test_contamination_on_given_rows(spark, edge, none):
+    d = "/root/testdata/sf0.01"
+    docs, items = spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/benchmark.parquet")
+    got = decontaminate.digest(decontaminate.find_contamination(docs, items))
+    con = duckdb.connect()
+    for t in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{d}/{t}.parquet')")
+    want = con.execute(decontaminate.ORACLE_SQL).fetchall()
+    assert ordered(want) == rows_of(got, "doc_id", "contaminated", "n_items", "item_ids", "containment")
+    assert got.where("contaminated").count() > 5
+    assert decontaminate.find_contamination(edge, items).count() == edge.count()
+    assert decontaminate.keep_clean(edge, items.limit(0)).count() == edge.count()
+    assert decontaminate.keep_clean(none, items).count() == 0
+
+
+def test_sketches_are_lossless():
+    for n in range(1, 200):
+        assert decontaminate.sketch_size(n, 0.8) >= n - -(-4 * n // 5) + 1
+
+
+# pipeline -----------------------------------------------------------------------------------------
+
+def with_edges(spark, edge, tmp):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    extra = edge.select("doc_id", "text", "lang", "source").withColumn("doc_id", F.col("doc_id") + 10 ** 6)
+    extra.withColumn("n_chars", F.length("text").cast("long")).unionByName(
+        docs.withColumn("n_chars", F.col("n_chars").cast("long"))).write.parquet(f"{tmp}/documents.parquet")
+    spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet").write.parquet(f"{tmp}/benchmark.parquet")
+    return spark.read.parquet(f"{tmp}/documents.parquet")
+
+
+def test_pipeline(spark, edge, tmp_path):
+    docs = with_edges(spark, edge, tmp_path)
+    items = [tuple(r) for r in spark.read.parquet(f"{tmp_path}/benchmark.parquet").select("item_id", "text").collect()]
+    now, n = docs, docs.count()
+    for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        out = stage(spark, now, str(tmp_path))
+        out.write.parquet(f"{tmp_path}/out{k}")
+        out = spark.read.parquet(f"{tmp_path}/out{k}")
+        before, after = [tuple(r) for r in now.collect()], [tuple(r) for r in out.select(*docs.columns).collect()]
+        if name != "mixing":
+            assert out.columns == docs.columns
+        if name == "quality":
+            # nothing that passes the counting rules and has no divergence verdict goes
+            kept = {(r[0], r[1]) for r in after}
+            assert kept <= {(r[0], r[1]) for r in before if not X.counts(r[1])[5]}
+            assert len(kept) > 0.8 * sum(not X.counts(r[1])[5] for r in before)
+        elif name == "simhash":
+            fps = {(r[0], r[1]): X.fingerprint(r[1]) for r in before}
+            root = X.classes(set(fps.values()), lambda a, b: (a ^ b).bit_count() <= 3)
+            assert collections.Counter(root[X.fingerprint(r[1])] for r in after) == {c: 1 for c in set(root.values())}
+            least = {}
+            for (i, _), f in fps.items():
+                least[root[f]] = min(least.get(root[f], i) if i is not None else least.get(root[f]), i) \
+                    if i is not None and least.get(root[f], i) is not None else least.get(root[f], i)
+            assert all(least[root[X.fingerprint(r[1])]] == r[0] for r in after)
+        elif name == "decontaminate":
+            assert ordered(after) == ordered(r for r in before if not X.contamination(r[1], items))
+            assert len(after) < len(before)
+        elif name == "secrets":
+            assert ordered((r[0], *r[2:]) for r in after) == ordered((r[0], *r[2:]) for r in before)
+            assert not any(X.spans(r[1] or "", X.SECRETS) for r in after)
+            same = {r[0]: r[1] for r in after}
+            assert all(same[r[0]] == r[1] for r in before if not X.spans(r[1] or "", X.SECRETS) and r[0] not in (
+                10 ** 6 + 12, 10 ** 6 + 19))
+        else:
+            assert out.columns == [*docs.columns, "copies"] and out.where("copies < 1").count() == 0
+            assert {r[0] for r in after} <= {r[0] for r in before}
+        now, n = out, len(after)
+    got = corpus_pipeline.run(spark, str(tmp_path))
+    assert ordered(tuple(r) for r in got.collect()) == ordered(tuple(r) for r in now.collect())
+    assert n > 0
+
+
+def test_pipeline_of_no_rows(spark, none, tmp_path):
+    none.select("doc_id", "text", "lang", "source").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_result_column_is_replaced(edge):
+    got = A.with_result(edge.withColumn("r", F.lit("old")), "text", "r", tokens.KIND,
+                        lambda ts: [{"n_bytes": 0, "n_tokens": 0, "chunks": 0} for _ in ts])
+    assert got.columns[-1] == "r" and got.columns.count("r") == 1
