@@ -57,13 +57,6 @@ def positive_weighted(delta, weight) -> Column:
     return F.when(d > 0, d * exact(weight)).otherwise(F.lit(0).cast(EXACT))
 
 
-def positive_sum(delta, weight=None) -> Column:
-    """SUM of positive deltas, optionally weighted (exact decimal)."""
-    if weight is None:
-        return F.sum(positive(delta))
-    return F.sum(positive_weighted(delta, weight))
-
-
 def else_count(delta) -> Column:
     """Number of rows that take the ELSE (zero) branch of ``positive``."""
     return F.count(F.when(~F.coalesce(_c(delta) > 0, F.lit(False)), F.lit(1)))
@@ -76,6 +69,3 @@ def distinct_count(x, when=None) -> Column:
         x = F.when(_c(when), x)
     return F.count_distinct(x)
 
-
-def to_double(c) -> Column:
-    return _c(c).cast("double")

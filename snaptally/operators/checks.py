@@ -29,17 +29,20 @@ def assert_contract(df: DataFrame, keys: Sequence[str] = (),
                     not_null: Sequence[str] = (), name: str = "table") -> None:
     """Raise ``ContractViolation`` if a key repeats or a column is NULL.
 
-    Each check is one distributed aggregate; only up to 5 offending rows
-    are brought to the driver for the message.
+    Both checks are one pass: rows and NULLs are counted per key (partial
+    aggregates), then the greatest count and the NULLs are. Only for the message
+    of a violation are up to 5 keys fetched.
     """
-    if keys:
+    nulls = [F.count(F.when(F.col(c).isNull(), F.lit(1))).alias(f"_n{i}") for i, c in enumerate(not_null)]
+    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"), *nulls)
+    got = per_key.agg(F.max("_rows").alias("most"),
+                      *[F.sum(f"_n{i}").alias(f"_n{i}") for i in range(len(nulls))]).first()
+    if keys and (got["most"] or 0) > 1:
         bad = key_violations(df, keys).limit(5).collect()
-        if bad:
-            raise ContractViolation(f"{name}: duplicate key {list(keys)}: {bad}")
-    if not_null:
-        bad = null_violations(df, not_null).collect()
-        if bad:
-            raise ContractViolation(f"{name}: NULL in {[(r[0], r[1]) for r in bad]}")
+        raise ContractViolation(f"{name}: duplicate key {list(keys)}: {bad}")
+    bad = [(c, got[f"_n{i}"]) for i, c in enumerate(not_null) if got[f"_n{i}"]]
+    if bad:
+        raise ContractViolation(f"{name}: NULL in {bad}")
 
 
 def grain_report(models: dict, grains: dict) -> DataFrame:

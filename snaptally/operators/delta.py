@@ -57,14 +57,6 @@ def hot_keys(df: DataFrame, keys: Sequence[str], max_keys: int = 1000,
             .select(*keys))
 
 
-def _key_match(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    cond = None
-    for k in keys:
-        c = left[k].eqNullSafe(right[k])
-        cond = c if cond is None else cond & c
-    return cond
-
-
 def _in_list(keys: Sequence[str], values: list[tuple]) -> Column:
     """``keys IN (values)`` for a short, bounded list of key tuples; a NULL
     key value matches NULL (a hot group may be the NULL key)."""
@@ -138,8 +130,7 @@ def counter_delta(df: DataFrame, keys: Sequence[str], order: str,
     ``tiebreak`` orders rows sharing ``(keys, order)``; give an integer
     column that makes ``(order, tiebreak)`` unique for deterministic results.
     ``skew`` is ``"auto"`` (find hot keys with one small job, split them, see
-    module doc), ``"auto-lazy"`` (the same inside one plan, no job at plan
-    time), ``"off"`` (plain window) or ``"force"`` (blocked path for every
+    module doc), ``"off"`` (plain window) or ``"force"`` (blocked path for every
     key; for tests).
     """
     keys, counters, tiebreak = list(keys), list(counters), list(tiebreak)
@@ -149,15 +140,8 @@ def counter_delta(df: DataFrame, keys: Sequence[str], order: str,
         return _plain(df, *args)
     if skew == "force":
         return _blocked(df, *args, bits=block_bits)
-    if skew not in ("auto", "auto-lazy"):
+    if skew != "auto":
         raise ValueError(f"unknown skew mode {skew!r}")
-    if skew == "auto-lazy":
-        # everything inside one plan: the bounded key list is broadcast
-        hot = F.broadcast(hot_keys(df, keys, hot_max_keys, hot_min_rows, hot_sample))
-        cond = _key_match(df, hot, keys)
-        normal = df.join(hot, cond, "left_anti")
-        heavy = df.join(hot, cond, "left_semi")
-        return _plain(normal, *args).unionByName(_blocked(heavy, *args, bits=block_bits))
     found = [tuple(r) for r in hot_keys(df, keys, hot_max_keys, hot_min_rows, hot_sample).collect()]
     if not found:
         return _plain(df, *args)

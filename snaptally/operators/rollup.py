@@ -1,4 +1,4 @@
-"""Fact-to-dimension attribution and positive-delta roll-ups."""
+"""Positive-delta roll-ups."""
 
 from __future__ import annotations
 
@@ -10,22 +10,6 @@ from pyspark.sql import functions as F
 from ..functions.numeric import else_count, positive, positive_weighted
 
 
-def attribute(fact: DataFrame, dim: DataFrame, keys: Sequence[str],
-              require: Sequence[str] = ()) -> DataFrame:
-    """``fact LEFT JOIN dim USING (keys)``; rows whose ``require`` columns are
-    NULL after the join are dropped (Catalyst then plans an inner join)."""
-    j = fact.join(dim, list(keys), "left")
-    for r in require:
-        j = j.filter(F.col(r).isNotNull())
-    return j
-
-
-def rename_select(df: DataFrame, mapping: dict) -> DataFrame:
-    """``SELECT expr AS name, ..`` from ``{name: column name or Column}``,
-    in the mapping's order."""
-    return df.select(*[(F.col(v) if isinstance(v, str) else v).alias(k) for k, v in mapping.items()])
-
-
 def positive_rollup(df: DataFrame, keys: Sequence[str], delta: str,
                     weight: str | None = None, plays: str = "plays",
                     minutes: str = "minutes_x", else_rows: str | None = "n_else",

@@ -10,8 +10,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SESSION_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -85,12 +86,65 @@ QUERY_CONF = {
 
 
 def apply_conf(spark: SparkSession) -> None:
-    """Apply the settings the queries rely on to an existing session."""
+    """Apply the settings the queries rely on to an existing session and ship the package.
+
+    Results depend on these settings, so a session that refuses one is an error."""
     for k, v in QUERY_CONF.items():
-        try:
-            spark.conf.set(k, v)
-        except Exception:  # static conf on a shared session: leave it alone
-            pass
+        spark.conf.set(k, v)
+    ship_package(spark)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors once per application, so that their Python
+    workers import it wherever the driver was started from."""
+    sc = spark.sparkContext
+    if getattr(sc, "_snaptally_shipped", False):
+        return
+    top = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="snaptally-code-"), "snaptally.zip")
+    with zipfile.ZipFile(out, "w") as z:
+        for folder, _, names in sorted(os.walk(top)):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.join("snaptally", os.path.relpath(full, top)))
+    sc.addPyFile(out)
+    sc._snaptally_shipped = True
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder of this package's own (a superseded load) from any file system."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def rename_file(spark: SparkSession, source: str, target: str) -> None:
+    """Move one file on its own file system, making the target's folders."""
+    jvm = spark.sparkContext._jvm
+    a, b = jvm.org.apache.hadoop.fs.Path(source), jvm.org.apache.hadoop.fs.Path(target)
+    fs = a.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(b.getParent())
+    if not fs.rename(a, b):
+        raise OSError(f"{source} could not be moved to {target}")
+
+
+def touch_files(spark: SparkSession, folder: str, glob: str, millis: int) -> None:
+    """Set the modification time of the files under ``folder`` that match ``glob``."""
+    jvm = spark.sparkContext._jvm
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option(
+        "pathGlobFilter", glob).load(folder).select("path")
+    for f in files.toLocalIterator():
+        p = jvm.org.apache.hadoop.fs.Path(f.path)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).setTimes(p, millis, -1)
+
+
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once to the shared folder and read it back: later steps reread the rows
+    and not the plan, and the optimizer knows their size."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def shared_dir(spark: SparkSession) -> str:
