@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..schema import RAW_COLUMNS
+from ..session import materialise, scratch_path
 from . import plist as P
 
 # Volumes and library paths, in the order they are tried.
@@ -23,7 +24,6 @@ LIBRARY_PATHS = [
     "Music/iTunes/iTunes Library.xml",
 ]
 BACKUP_NAME_FORMAT = "yyyy-MM-dd-HHmmss"
-BACKUP_SUFFIX = ".backup"
 
 _NAME = r"(\d{4}-\d{2}-\d{2}-\d{6})"
 _VOL = "(" + "|".join(v.replace(" ", " ") for v in VOLUMES) + ")"
@@ -90,33 +90,61 @@ def latest_per_day(backups: DataFrame, ts: str = "backup_ts", rows: str = "n_tra
 
     Input has one row per backup, so the per-day window is small."""
     have = backups.filter(F.col(rows) > 0).withColumn("snapshot_date", F.col(ts).cast("date"))
-    w = Window.partitionBy(*keys, "snapshot_date")
-    return (have.withColumn("_last", F.max(ts).over(w))
-            .filter(F.col(ts) == F.col("_last")).drop("_last"))
+    w = Window.partitionBy(*keys, "snapshot_date").orderBy(F.col(ts).desc(), F.col("path").desc())
+    return have.withColumn("_n", F.row_number().over(w)).filter("_n = 1").drop("_n")
 
 
-def read_backup_tree(spark: SparkSession, root: str, user: str | None = None) -> DataFrame:
-    """Raw snapshot rows from a backup tree (S3 + S15 + S1 + S14).
+BATCH_FILES = 5_000
+
+
+def read_backup_tree(spark: SparkSession, root: str, user: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Raw snapshot rows from a backup tree (S3 + S15 + S1 + S14), and ``path, parse_error`` of
+    the library files that gave none.
 
     The snapshot date comes from the backup folder name; the path of the
-    chosen library file is the snapshot path. Only the chosen files' content
-    is read: their paths (one per backup, metadata only) are handed to the
-    ``binaryFile`` reader.
+    chosen library file is the snapshot path. With ``user`` the rows are that
+    user's; without, they lead with a ``user`` column, the scope of a table of
+    many users (a user's backups never replace another's).
+
+    Only the chosen files' content is read: their paths (metadata only) go to the
+    ``binaryFile`` reader ``BATCH_FILES`` at a time, so the driver holds one batch,
+    and each file is decoded once, into a stored table.
     """
-    chosen = pick_library_files(parse_backup_paths(list_files(spark, root), user))
-    paths = [r.path for r in chosen.select("path").collect()]  # one path per backup
-    if not paths:
-        return spark.createDataFrame([], P.RAW_SCHEMA)
-    parsed, _ = P.split_errors(P.read_plist_files(spark, paths, glob=None, recursive=False))
-    parsed = parsed.join(F.broadcast(chosen.select("path", "backup_ts", "user"))
-                         if len(paths) <= 100_000 else chosen.select("path", "backup_ts", "user"),
-                         "path", "inner")
-    per_backup = parsed.groupBy("path", "backup_ts", "user").agg(F.count(F.lit(1)).alias("n_tracks"))
-    keep = latest_per_day(per_backup, keys=("user",)).select("path")
-    rows = parsed.join(F.broadcast(keep) if len(paths) <= 100_000 else keep, "path", "left_semi")
-    return rows.select(F.col("backup_ts").cast("date").alias("snapshot_date"),
-                       F.col("path").alias("snapshot_path"),
-                       *[F.col(c) for c in RAW_COLUMNS[2:]]).select(*RAW_COLUMNS)
+    chosen = materialise(pick_library_files(parse_backup_paths(list_files(spark, root), user))
+                         .select("path", "backup_ts", "user"), "backup-files")
+    out, batch = scratch_path(spark, "backup-rows"), []
+
+    def decode():
+        P.read_plist_files(spark, batch, glob=None, recursive=False).write.mode("append").parquet(out)
+        batch.clear()
+    spark.createDataFrame([], P.PARSED_SCHEMA).write.mode("append").parquet(out)
+    for r in chosen.select("path").toLocalIterator():
+        batch.append(r.path)
+        if len(batch) >= BATCH_FILES:
+            decode()
+    if batch:
+        decode()
+    ok, errors = P.split_errors(spark.read.schema(P.PARSED_SCHEMA).parquet(out))
+    per_backup = ok.groupBy("path").agg(F.count(F.lit(1)).alias("n_tracks")).join(chosen, "path")
+    keep = latest_per_day(per_backup, keys=("user",)).select("path", "backup_ts", "user")
+    lead = [] if user is not None else ["user"]
+    rows = ok.join(keep, "path").select(
+        *lead, F.col("backup_ts").cast("date").alias("snapshot_date"), F.col("path").alias("snapshot_path"),
+        *[F.col(c) for c in RAW_COLUMNS[2:]])
+    return rows.select(*lead, *RAW_COLUMNS), errors
+
+
+def place_libraries(spark: SparkSession, written: str, root: str, time: str) -> None:
+    """Move plist libraries written per ``library_id`` and date into a backup tree under
+    ``root``: user ``u<library_id>``, backup ``<date>-<time>`` (one rename per library file)."""
+    from ..session import rename_file
+    pattern = r"/library_id=([^/]+)/snapshot=([^/]+)/part-[^/]+$"
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option(
+        "pathGlobFilter", "part-*").load(written).select("path", F.regexp_extract("path", pattern, 1).alias("lib"),
+                                                         F.regexp_extract("path", pattern, 2).alias("day"))
+    for f in files.toLocalIterator():
+        name = f"{f.day}-{time}.backup"
+        rename_file(spark, f.path, f"{root}/{name}/{name}/{VOLUMES[0]}/Users/u{f.lib}/{LIBRARY_PATHS[0]}")
 
 
 def fixture_backup_listing(orders: DataFrame, lineitem: DataFrame) -> tuple[DataFrame, DataFrame]:

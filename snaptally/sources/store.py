@@ -1,9 +1,14 @@
 """Snapshot table storage.
 
-The raw table is Parquet partitioned by ``snapshot_date``. Loading a
-snapshot replaces exactly the dates present in the new rows (dynamic
-partition overwrite): other dates are untouched, an empty load touches
-nothing, and a failed job leaves the old partition in place.
+The raw table is Parquet partitioned by the scope columns (e.g. the library or
+the user) and ``snapshot_date``. Loading a snapshot replaces exactly the
+(scope, date) pairs present in the new rows (dynamic partition overwrite):
+others are untouched, an empty load touches nothing, and a failed job leaves
+the old partition in place.
+
+A load is staged: the rows are computed once and written to the shared folder,
+checked there with one aggregate, then published from there. Each partition
+gets one file per ``ROWS_PER_FILE`` rows, however many tasks wrote the stage.
 """
 
 from __future__ import annotations
@@ -12,29 +17,63 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.checks import assert_contract
 from ..schema import RAW_COLUMNS, RAW_KEY, RAW_NOT_NULL, RAW_SCHEMA
-from ..session import scratch_path
+from ..session import materialise
 
 PARTITION = "snapshot_date"
+ROWS_PER_FILE = 1_000_000
 
 
-def read_raw(spark: SparkSession, path: str) -> DataFrame:
-    """The raw table, typed by the contract schema."""
-    return spark.read.schema(RAW_SCHEMA).parquet(path).select(*RAW_COLUMNS)
+def scoped_schema(df: DataFrame, scope: Sequence[str]) -> T.StructType:
+    """The contract schema led by the scope columns as ``df`` has them."""
+    return T.StructType([*[df.schema[c] for c in scope], *RAW_SCHEMA.fields])
 
 
-def replace_snapshot(df: DataFrame, path: str, check: bool = True) -> None:
-    """S5 + S12: write ``df`` and replace only the dates it contains.
+def read_raw(spark: SparkSession, path: str, scope: Sequence[str] = ()) -> DataFrame:
+    """The raw table, typed by the contract schema (scope columns as stored)."""
+    if not scope:
+        return spark.read.schema(RAW_SCHEMA).parquet(path).select(*RAW_COLUMNS)
+    stored = spark.read.parquet(path)
+    return spark.read.schema(scoped_schema(stored, scope)).parquet(path).select(*scope, *RAW_COLUMNS)
 
-    With ``check`` the new rows are validated first (D1 key, D2 NOT NULL).
-    """
-    df = df.select(*RAW_COLUMNS)
+
+def stage(df: DataFrame, scope: Sequence[str] = (), check: bool = True) -> DataFrame:
+    """The rows of one load, computed once, stored in the shared folder and checked there."""
+    staged = materialise(df.select(*scope, *RAW_COLUMNS), "load")
     if check:
-        assert_contract(df, RAW_KEY, RAW_NOT_NULL, name="snapshot")
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(PARTITION).parquet(path))
+        assert_contract(staged, [*scope, *RAW_KEY], [*scope, *RAW_NOT_NULL], name="snapshot")
+    return staged
+
+
+def sized(stored: DataFrame, parts: Sequence[str], spread: Sequence[str],
+          rows_per_file: int = ROWS_PER_FILE) -> DataFrame:
+    """Stored rows dealt so that a partition's files hold about ``rows_per_file`` rows each: a
+    hot partition is many shuffle partitions (by a hash of ``spread``), a small one is one file."""
+    files = stored.groupBy(*parts).agg(F.ceil(F.count(F.lit(1)) / rows_per_file).alias("_files"))
+    salt = F.pmod(F.xxhash64(*spread), F.col("_files"))
+    return (stored.join(files, list(parts)).withColumn("_salt", salt)
+            .repartition(*parts, "_salt").select(*stored.columns))
+
+
+def publish(staged: DataFrame, path: str, scope: Sequence[str] = (), mode: str = "overwrite",
+            rows_per_file: int = ROWS_PER_FILE) -> None:
+    """Write staged rows into the table, replacing (or, with ``append``, adding) their partitions."""
+    parts = [*scope, PARTITION]
+    (sized(staged, parts, ["track_id", "persistent_id"], rows_per_file).write.mode(mode)
+     .option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(path))
+
+
+def replace_snapshot(df: DataFrame, path: str, check: bool = True, scope: Sequence[str] = ()) -> DataFrame:
+    """S5 + S12: replace only the (scope, date) pairs that ``df`` holds; returns the staged rows.
+
+    With ``check`` the staged rows are validated first (D1 key, D2 NOT NULL).
+    """
+    staged = stage(df, scope, check)
+    publish(staged, path, scope)
+    return staged
 
 
 def create_bucketed_raw(df: DataFrame, table: str, path: str, buckets: int,
@@ -44,28 +83,30 @@ def create_bucketed_raw(df: DataFrame, table: str, path: str, buckets: int,
 
     A bucketed read hands each task one bucket of every date, already
     clustered by track, so the fact's LAG and the latest-state window plan
-    no exchange at all (tested). Costs dates × buckets files; the table lives
-    in the session catalog (register it in a shared metastore to reuse it).
+    no exchange at all (tested). Rows are dealt by the bucket hash first, so
+    there is one file per date and bucket; the table lives in the session
+    catalog (register it in a shared metastore to reuse it).
     """
     key = [*scope, "persistent_id"]
-    (df.select(*scope, *RAW_COLUMNS).write.mode("overwrite").partitionBy(PARTITION)
+    (df.select(*scope, *RAW_COLUMNS).repartition(buckets, *key).write.mode("overwrite").partitionBy(PARTITION)
      .bucketBy(buckets, *key).sortBy(*key).option("path", path).saveAsTable(table))
     return df.sparkSession.table(table)
 
 
-def replace_snapshot_bucketed(df: DataFrame, table: str, check: bool = True) -> None:
+def replace_snapshot_bucketed(df: DataFrame, table: str, buckets: int, scope: tuple = (),
+                              check: bool = True) -> None:
     """S5 on a bucketed raw table: replace the dates ``df`` holds, keeping
-    the table's bucketing (dynamic partition overwrite through insertInto)."""
-    if check:
-        assert_contract(df.select(*RAW_COLUMNS), RAW_KEY, RAW_NOT_NULL, name="snapshot")
+    the table's bucketing (dynamic partition overwrite through insertInto).
+    A date is replaced for all scopes, as scopes share a date's buckets."""
+    staged = stage(df, scope, check)
     cols = df.sparkSession.table(table).columns  # insertInto matches by position
-    (df.select(*cols).write.option("partitionOverwriteMode", "dynamic")
-     .insertInto(table, overwrite=True))
+    (staged.repartition(buckets, *scope, "persistent_id").select(*cols).write
+     .option("partitionOverwriteMode", "dynamic").insertInto(table, overwrite=True))
 
 
-def append_snapshots(df: DataFrame, path: str) -> None:
+def append_snapshots(df: DataFrame, path: str, scope: Sequence[str] = ()) -> None:
     """Add snapshots of new dates (no replacement)."""
-    df.select(*RAW_COLUMNS).write.mode("append").partitionBy(PARTITION).parquet(path)
+    publish(stage(df, scope, check=False), path, scope, mode="append")
 
 
 def upsert(old: DataFrame, new: DataFrame, keys: Sequence[str] = tuple(RAW_KEY)) -> DataFrame:
@@ -80,19 +121,17 @@ def upsert(old: DataFrame, new: DataFrame, keys: Sequence[str] = tuple(RAW_KEY))
     return kept.unionByName(new.select(*old.columns))
 
 
-def upsert_table(spark: SparkSession, path: str, new: DataFrame,
-                 keys: Sequence[str] = tuple(RAW_KEY)) -> None:
-    """S6 on the stored table: merge the touched dates, then replace them.
+def upsert_table(spark: SparkSession, path: str, new: DataFrame, scope: Sequence[str] = ()) -> None:
+    """S6 on the stored table: merge the touched partitions, then replace them.
 
-    The merged dates are staged in the shared folder first, so the table is
+    The merged partitions are staged in the shared folder first, so the table is
     never read and overwritten by the same job.
     """
-    new = new.select(*RAW_COLUMNS)
-    old = read_raw(spark, path)
-    touched = old.join(new.select(PARTITION).distinct(), PARTITION, "left_semi")
-    stage = scratch_path(spark, "upsert-stage")
-    upsert(touched, new, keys).write.mode("overwrite").partitionBy(PARTITION).parquet(stage)
-    replace_snapshot(read_raw(spark, stage), path, check=False)
+    new = stage(new, scope)
+    old = read_raw(spark, path, scope)
+    parts = [*scope, PARTITION]
+    touched = old.join(new.select(*parts).distinct(), parts, "left_semi")
+    publish(stage(upsert(touched, new, [*scope, *RAW_KEY]), scope, check=False), path, scope)
 
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:

@@ -158,7 +158,7 @@ def test_backup_tree_same_day_and_empty(spark):
     lib(root, "2025-01-03-230000", empty=True)        # empty: replaces nothing
     lib(root, "2025-01-04-080000", plays=6, nested=False)
     lib(root, "2025-01-05-080000", plays=9, user="other")
-    rows = B.read_backup_tree(spark, root, user="u").filter("track_id = 101").collect()
+    rows = B.read_backup_tree(spark, root, user="u")[0].filter("track_id = 101").collect()
     got = sorted((r.snapshot_date, r.play_count) for r in rows)
     assert got == [(dt.date(2025, 1, 3), 5), (dt.date(2025, 1, 4), 6)]
 
