@@ -10,31 +10,38 @@ history unnecessary:
 
 So the store keeps a **track state** (the latest silver row of every track,
 which is the dimension plus its last counters) and each ``append`` runs the
-LAG over ``state ∪ batch`` and the latest-state window over the same rows:
+LAG over ``state + batch`` and the latest-state window over the same rows:
 O(tracks + batch) instead of O(history). Results equal a full rebuild (the
 tests compare them). A batch holding a date not after the state's is
 refused by ``append`` (returns False): it changes deltas already written.
-``repair`` handles it without a history shuffle: only the affected tracks
-(keys of the batch, and keys the fact held on the batch's dates, since a
-re-export can drop tracks) are recomputed from the raw table, and the fact
-is rewritten as a new version (a scan and anti-join of the history against
-the affected keys). ``init`` rebuilds everything.
-
-Layout under ``root`` (each step idempotent on re-run):
-
-* ``fact/v=<n>/batch=<date>/`` — the fact rows of one load within fact
-  version ``n``; a re-run of a load overwrites its own folder; ``repair``
-  writes version ``n+1``; ``init`` replaces everything with version 0;
-* ``track_state/asof=<date>/fact=<n>/`` — one state per load, naming the
-  fact version it belongs to. Readers take the newest state and its fact
-  version, so a load that fails before writing its state leaves the
-  previous, consistent pair current and can simply be run again.
+
+``repair`` handles it. A fact row depends on its own snapshot and the track's
+previous one, so a late or re-exported date changes only rows of that date and
+rows whose previous snapshot is (or was) of that date. Affected tracks are
+the batch's keys and the keys the fact held on the batch's dates (a re-export
+can drop tracks); they are recomputed from the raw table, and only the date
+partitions with changed rows are written anew.
+
+Layout under ``root``. Every load writes folders of its own, named by a fresh id,
+and nothing is ever overwritten:
+
+* ``fact/load=<id>/snapshot_date=<date>/``: fact rows a load wrote;
+* ``track_state/load=<id>/``: the track state after a load;
+* ``manifest/v=<n>/``: one small file: the state's load and date, and for each
+  snapshot date the load whose fact folder holds it.
+
+The newest manifest is the store. A load becomes current by its manifest, one
+file moved into place at job commit; what a failed load left behind is named by
+no manifest, so it is never read, whatever is run after it. ``expire`` removes
+folders that the kept manifests do not name.
 """
 
 from __future__ import annotations
 
 import os
 import re
+import uuid
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,13 +50,12 @@ from pyspark.sql.utils import AnalysisException
 from ..operators.delta import counter_delta
 from ..operators.latest import latest_by
 from ..schema import DIM_TRACK_COLUMNS, ENTITY, FACT_COLUMNS, SILVER_COLUMNS, SNAPSHOT, TIEBREAK
-from ..session import shared_dir
+from ..session import delete_path, materialise
+from ..sources.store import sized
 from . import models as M
 from .warehouse import Warehouse
 
-FACT_DIR = "fact"
-BROADCAST_KEYS = 2_000_000  # affected track keys broadcast up to this count
-STATE_DIR = "track_state"
+FACT_DIR, STATE_DIR, MANIFEST_DIR = "fact", "track_state", "manifest"
 _FACT_INPUT = [ENTITY, SNAPSHOT, TIEBREAK, "play_count", "skip_count", "last_played_at_utc",
                "duration_min"]
 
@@ -61,129 +67,190 @@ def track_state(silver_df: DataFrame, scope: tuple = ()) -> DataFrame:
                      tiebreak=[TIEBREAK], columns=cols).select(*scope, *SILVER_COLUMNS)
 
 
-def _max_date(df: DataFrame):
-    return df.agg(F.max(SNAPSHOT)).first()[0]
-
+@dataclass
+class Manifest:
+    """What the current store consists of; ``facts``: snapshot date -> load."""
 
-def _min_date(df: DataFrame):
-    return df.agg(F.min(SNAPSHOT)).first()[0]
+    version: int
+    asof: str
+    state: str
+    facts: dict[str, str]
 
 
-def current(spark: SparkSession, root: str) -> tuple[str, int] | None:
-    """``(asof, fact version)`` of the newest state (file listing only)."""
+def _versions(spark: SparkSession, root: str) -> list[int]:
+    """Published manifests (file listing only; ``expire`` keeps the list short)."""
     try:
-        files = spark.read.parquet(os.path.join(root, STATE_DIR)).inputFiles()
+        files = spark.read.parquet(os.path.join(root, MANIFEST_DIR)).inputFiles()
     except AnalysisException:
-        return None
-    found = {(m.group(1), int(m.group(2))) for f in files
-             if (m := re.search(r"asof=(\d{4}-\d{2}-\d{2})/fact=(\d+)", f))}
-    return max(found) if found else None
+        return []
+    return sorted({int(m.group(1)) for f in files if (m := re.search(r"/v=(\d+)/", f))})
+
+
+def _manifest(spark: SparkSession, root: str, version: int) -> Manifest:
+    rows = spark.read.parquet(os.path.join(root, MANIFEST_DIR, f"v={version}")).collect()  # a row per date
+    state = next(r for r in rows if r.kind == "state")
+    return Manifest(version, state.date, state.load, {r.date: r.load for r in rows if r.kind == "fact"})
+
+
+def current(spark: SparkSession, root: str) -> Manifest | None:
+    """The newest manifest, or None for an empty store."""
+    found = _versions(spark, root)
+    return _manifest(spark, root, found[-1]) if found else None
 
 
 def state_version(spark: SparkSession, root: str) -> str | None:
     """Date of the newest state version."""
     cur = current(spark, root)
-    return cur[0] if cur else None
+    return cur.asof if cur else None
+
+
+def _read_state(spark: SparkSession, root: str, cur: Manifest) -> DataFrame:
+    return spark.read.parquet(os.path.join(root, STATE_DIR, f"load={cur.state}"))
 
 
-def _read_state(spark: SparkSession, root: str, cur: tuple[str, int]) -> DataFrame:
-    return spark.read.parquet(os.path.join(root, STATE_DIR, f"asof={cur[0]}", f"fact={cur[1]}"))
+def _read_fact(spark: SparkSession, root: str, cur: Manifest, scope: tuple = ()) -> DataFrame:
+    """The fact of exactly the folders that the manifest names."""
+    base = os.path.join(root, FACT_DIR)
+    paths = [os.path.join(base, f"load={load}", f"{SNAPSHOT}={date}") for date, load in sorted(cur.facts.items())]
+    if not paths:
+        state = _read_state(spark, root, cur)
+        return M.fact(state.limit(0), skew="off", scope=scope)
+    fact = spark.read.option("basePath", base).parquet(*paths)
+    return fact.withColumn(SNAPSHOT, F.col(SNAPSHOT).cast("date")).select(*scope, *FACT_COLUMNS)
 
 
-def _read_fact(spark: SparkSession, root: str, version: int) -> DataFrame:
-    return spark.read.parquet(os.path.join(root, FACT_DIR, f"v={version}")).drop("batch")
+def _dates(df: DataFrame) -> list[str]:
+    """The snapshot dates of a load (bounded by the calendar)."""
+    return sorted(str(r[0]) for r in df.select(SNAPSHOT).distinct().collect())
 
 
-def _write_load(fact: DataFrame, state: DataFrame, root: str, asof, version: int,
-                replace_all: bool) -> None:
-    """Write one load: its fact folder, then its state (which makes it current).
+def _write(fact: DataFrame, state: DataFrame, root: str) -> str:
+    """Write one load's fact partitions and state under a fresh id; returns the id."""
+    load = uuid.uuid4().hex
+    (sized(materialise(fact, "fact-load"), [SNAPSHOT], [ENTITY]).write.partitionBy(SNAPSHOT).parquet(os.path.join(root, FACT_DIR, f"load={load}")))
+    state.write.parquet(os.path.join(root, STATE_DIR, f"load={load}"))
+    return load
 
-    ``replace_all`` (``init``) replaces every earlier fact version and state;
-    otherwise only this load's own folders are (re)written."""
-    mode = "static" if replace_all else "dynamic"
-    (fact.withColumn("v", F.lit(version)).withColumn("batch", F.lit(str(asof)))
-     .write.mode("overwrite").option("partitionOverwriteMode", mode)
-     .partitionBy("v", "batch").parquet(os.path.join(root, FACT_DIR)))
-    (state.withColumn("asof", F.lit(str(asof))).withColumn("fact", F.lit(version))
-     .write.mode("overwrite").option("partitionOverwriteMode", mode)
-     .partitionBy("asof", "fact").parquet(os.path.join(root, STATE_DIR)))
+
+def _publish(spark: SparkSession, root: str, m: Manifest) -> None:
+    """Make a load current: its manifest is one file, there or not."""
+    rows = [("state", m.asof, m.state), *[("fact", d, x) for d, x in sorted(m.facts.items())]]
+    (spark.createDataFrame(rows, "kind string, date string, load string").coalesce(1)
+     .write.parquet(os.path.join(root, MANIFEST_DIR, f"v={m.version}")))
 
 
 def init(spark: SparkSession, raw: DataFrame, root: str, scope: tuple = (),
          skew: str = "auto") -> Warehouse:
-    """Full load of ``raw``: the fact of all history and the first state."""
+    """Full load of ``raw``: the fact of all history and the first state. An earlier
+    store under ``root`` is superseded."""
     s = M.silver(M.bronze(raw, scope=scope), scope=scope)
-    asof = _max_date(s)
-    _write_load(M.fact(s, skew=skew, scope=scope), track_state(s, scope), root, asof, 0, True)
+    dates = _dates(s)
+    load = _write(M.fact(s, skew=skew, scope=scope), track_state(s, scope), root)
+    found = _versions(spark, root)
+    _publish(spark, root, Manifest(found[-1] + 1 if found else 0, dates[-1] if dates else "", load,
+                                   dict.fromkeys(dates, load)))
     return open_incremental(spark, root, scope)
 
 
 def append(spark: SparkSession, new_raw: DataFrame, root: str, scope: tuple = (),
-           skew: str = "auto") -> bool:
+           skew: str = "auto", publish: bool = True) -> bool:
     """Add a batch of later snapshots; False (nothing written) if the batch
-    holds a date not after the current state's."""
+    holds a date not after the current state's. ``publish=False`` writes the load's
+    files only, as a load does that fails before its manifest."""
     cur = current(spark, root)
-    asof = cur[0] if cur else None
-    state = _read_state(spark, root, cur) if cur else None
     batch = M.silver(M.bronze(new_raw, scope=scope), scope=scope)
-    lo = _min_date(batch)
-    if lo is None:
+    dates = _dates(batch)
+    if not dates:
+        return True
+    if cur is None:
+        if publish:
+            init(spark, new_raw, root, scope, skew)
         return True
-    if asof is not None and str(lo) <= asof:
+    if dates[0] <= cur.asof:
         return False
-    keys = [*scope, ENTITY]
-    rows = batch.select(*scope, *_FACT_INPUT).withColumn("_new", F.lit(True))
-    if state is not None:
-        prior = state.select(*scope, *_FACT_INPUT).withColumn("_new", F.lit(False))
-        rows = prior.unionByName(rows)
-    d = counter_delta(rows, keys, SNAPSHOT, ["play_count", "skip_count"], tiebreak=[TIEBREAK],
+    state = _read_state(spark, root, cur)
+    prior = state.select(*scope, *_FACT_INPUT).withColumn("_new", F.lit(False))
+    rows = prior.unionByName(batch.select(*scope, *_FACT_INPUT).withColumn("_new", F.lit(True)))
+    d = counter_delta(rows, [*scope, ENTITY], SNAPSHOT, ["play_count", "skip_count"], tiebreak=[TIEBREAK],
                       skew=skew)
     new_fact = d.filter(F.col("_new")).select(*scope, *FACT_COLUMNS)
-    both = batch.select(*scope, *SILVER_COLUMNS)
-    if state is not None:
-        both = state.select(*scope, *SILVER_COLUMNS).unionByName(both)
-    _write_load(new_fact, track_state(both, scope), root, _max_date(batch),
-                cur[1] if cur else 0, False)
+    both = state.select(*scope, *SILVER_COLUMNS).unionByName(batch.select(*scope, *SILVER_COLUMNS))
+    load = _write(new_fact, track_state(both, scope), root)
+    if publish:
+        _publish(spark, root, Manifest(cur.version + 1, dates[-1], load, {**cur.facts, **dict.fromkeys(dates, load)}))
     return True
 
 
 def repair(spark: SparkSession, raw: DataFrame, batch_raw: DataFrame, root: str,
-           scope: tuple = (), skew: str = "auto") -> None:
+           scope: tuple = (), skew: str = "auto", publish: bool = True) -> None:
     """Bring the store up to date after ``batch_raw`` replaced or added
     snapshot dates anywhere in time; ``raw`` is the raw table that already
-    holds them. Only affected tracks are recomputed (see module doc)."""
+    holds them. Only affected tracks are recomputed and only the partitions
+    with changed rows are written (see module doc)."""
     cur = current(spark, root)
     if cur is None:
-        init(spark, raw, root, scope, skew)
+        if publish:
+            init(spark, raw, root, scope, skew)
         return
     keys = [*scope, ENTITY]
-    old_fact = _read_fact(spark, root, cur[1])
+    old_fact = _read_fact(spark, root, cur, scope)
     state = _read_state(spark, root, cur)
     batch = M.silver(M.bronze(batch_raw, scope=scope), scope=scope)
-    dates = batch.select(SNAPSHOT).distinct()
-    affected = (batch.select(*keys)
-                .unionByName(old_fact.join(F.broadcast(dates), SNAPSHOT, "left_semi")
-                             .select(*keys))
-                .distinct())
-    # the key set is batch-sized: store it once (lineage cut in the shared
-    # folder), then broadcast it when its counted size allows, so the
-    # history is filtered where it lies instead of being shuffled
-    shared_dir(spark)
-    affected = affected.checkpoint()
-    if affected.count() <= BROADCAST_KEYS:
-        affected = F.broadcast(affected)
-    s = M.silver(M.bronze(raw, scope=scope), scope=scope).join(affected, keys, "left_semi")
-    fact = (old_fact.join(affected, keys, "left_anti").select(*scope, *FACT_COLUMNS)
-            .unionByName(M.fact(s, skew=skew, scope=scope)))
-    new_state = (state.join(affected, keys, "left_anti").select(*scope, *SILVER_COLUMNS)
+    dates = _dates(batch_raw.withColumnRenamed("snapshot_date", SNAPSHOT))
+    in_batch = F.col(SNAPSHOT).cast("string").isin(dates)
+    owners = batch_raw.select(*scope).distinct() if scope else None
+    held = old_fact.where(in_batch)
+    if scope:
+        held = held.join(owners, list(scope), "left_semi")
+    # the key set is batch-sized and stored once, so the optimizer broadcasts it if its real size allows
+    affected = materialise(batch.select(*keys).unionByName(held.select(*keys)).distinct(), "affected-keys")
+
+    def mine(df: DataFrame, how: str) -> DataFrame:
+        a = affected.select(*[F.col(k).alias(f"_{k}") for k in keys])
+        on = F.lit(True)
+        for k in keys:
+            on = on & F.col(k).eqNullSafe(F.col(f"_{k}"))
+        return df.join(a, on, how)
+    s = mine(M.silver(M.bronze(raw, scope=scope), scope=scope), "left_semi")
+    new_fact = materialise(M.fact(s, skew=skew, scope=scope), "repaired-fact")
+    after = F.col("prev_snapshot_date").cast("string").isin(dates)
+    touched = sorted({*dates, *_dates(new_fact.where(after)), *_dates(mine(old_fact, "left_semi").where(after))})
+    here = F.col(SNAPSHOT).cast("string").isin(touched)
+    fact = mine(old_fact.where(here), "left_anti").select(*scope, *FACT_COLUMNS).unionByName(
+        new_fact.where(here).select(*scope, *FACT_COLUMNS))
+    new_state = (mine(state, "left_anti").select(*scope, *SILVER_COLUMNS)
                  .unionByName(track_state(s, scope)))
-    asof = max(cur[0], str(_max_date(batch)))
-    _write_load(fact, new_state, root, asof, cur[1] + 1, False)
+    load = _write(fact, new_state, root)
+    if publish:
+        # a date whose rows all went has no folder
+        left = _dates(fact)
+        facts = {d: x for d, x in cur.facts.items() if d not in touched}
+        facts.update(dict.fromkeys(left, load))
+        _publish(spark, root, Manifest(cur.version + 1, max(facts, default=""), load, facts))
 
 
 def open_incremental(spark: SparkSession, root: str, scope: tuple = ()) -> Warehouse:
-    """Readers of the incremental store: the newest state and its fact version."""
+    """Readers of the incremental store as its newest manifest names it."""
     cur = current(spark, root)
     state = _read_state(spark, root, cur)
-    return Warehouse(raw=None, silver=None, fact=_read_fact(spark, root, cur[1]),
+    return Warehouse(raw=None, silver=None, fact=_read_fact(spark, root, cur, scope),
                      dim=state.select(*scope, *DIM_TRACK_COLUMNS))
+
+
+def expire(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
+    """Remove all manifests but the newest ``keep`` and the load folders none of those
+    names (superseded or left by a failed load); returns the removed folders.
+    Run it when no load is running and no reader uses an older version."""
+    found = _versions(spark, root)
+    kept = [_manifest(spark, root, v) for v in found[-keep:]]
+    facts = {x for m in kept for x in m.facts.values()}
+    states = {m.state for m in kept}
+    gone = [os.path.join(root, MANIFEST_DIR, f"v={v}") for v in found[:-keep]]
+    for folder, used in ((FACT_DIR, facts), (STATE_DIR, states)):
+        files = spark.read.option("recursiveFileLookup", "true").format("binaryFile").load(
+            os.path.join(root, folder)).select("path")
+        loads = files.select(F.regexp_extract("path", r"/load=([0-9a-f]+)/", 1).alias("load")).distinct()
+        gone += [os.path.join(root, folder, f"load={r.load}") for r in loads.collect() if r.load not in used]
+    for path in gone:
+        delete_path(spark, path)
+    return gone

@@ -3,7 +3,9 @@
 Shape of every ranked report: roll the fact up per track first (partial
 aggregation, in the fact's own partitioning), join that one-row-per-track
 table to the one-row-per-track dimension (no fan-out, no hot key), group by
-the report key, drop zero-play groups, rank with the histogram rank.
+the report key, drop zero-play groups, rank with the histogram rank. Songs are
+ranked before they meet the dimension. Every ``fact`` argument but those of the
+trends may be the stored ``year_totals`` instead; no report then reads the fact.
 
 Minutes are exact decimal sums (``positive_weighted``), so rolling up per
 track first gives the same values as summing the joined rows directly.
@@ -15,7 +17,7 @@ rank, so one job reports on all libraries at once.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import (EXACT, distinct_count, exact, positive,
@@ -32,12 +34,44 @@ def _played_fact(fact: DataFrame) -> DataFrame:
     return fact.filter(F.col(DELTA).isNotNull())
 
 
+def year_totals(fact: DataFrame, scope: tuple = ()) -> DataFrame:
+    """The (track, year) roll-up that every song, artist, album and summary report follows from.
+
+    ``plays``; exact ``minutes_x`` of the rows with plays by the fact's duration; and the
+    number of rows with a positive (``n_pos``), another (``n_zero``) and no delta
+    (``n_first``). A year is that of the later snapshot of a delta. Reports take this
+    table (stored by ``warehouse.build``) in place of the fact."""
+    plays = F.col(DELTA) > 0
+    return fact.groupBy(*scope, ENTITY, year_of(SNAPSHOT).alias("year")).agg(
+        F.sum(positive(DELTA)).cast("long").alias("plays"),
+        F.sum(F.when(plays, positive_weighted(DELTA, "duration_min"))).alias("minutes_x"),
+        F.count(F.when(plays, 1)).alias("n_pos"),
+        F.count(F.when(F.col(DELTA).isNotNull() & ~plays, 1)).alias("n_zero"),
+        F.count(F.when(F.col(DELTA).isNull(), 1)).alias("n_first"))
+
+
+def is_totals(df: DataFrame) -> bool:
+    return "n_first" in df.columns
+
+
 def track_totals(fact: DataFrame, by: tuple = (), all_rows: bool = False,
                  scope: tuple = ()) -> DataFrame:
-    """Per track (and ``by`` columns): ``plays``, exact ``minutes_x`` using the
-    fact's duration, and ``n_else`` (rows with no positive delta)."""
-    f = fact if all_rows else _played_fact(fact)
-    return positive_rollup(f, [*scope, ENTITY, *by], DELTA, weight="duration_min")
+    """Per track (and ``by``, which is empty or ``("year",)``): ``plays``, exact ``minutes_x`` using
+    the fact's duration, and ``n_else`` (rows with no positive delta). ``fact`` may be
+    ``year_totals`` of a fact. Without ``all_rows`` first sightings are left out."""
+    if not is_totals(fact) and not by:
+        f = fact if all_rows else _played_fact(fact)
+        return positive_rollup(f, [*scope, ENTITY], DELTA, weight="duration_min")
+    t = fact if is_totals(fact) else year_totals(fact, scope)
+    if not all_rows:
+        t = t.where(F.col("n_pos") + F.col("n_zero") > 0)
+    if not by:
+        t = t.groupBy(*scope, ENTITY).agg(*[F.sum(c).alias(c) for c in (
+            "plays", "minutes_x", "n_zero", "n_first")])
+    zero = F.col("n_zero") + (F.col("n_first") if all_rows else F.lit(0))
+    # a row of the zero branch makes a sum of unknown minutes 0
+    minutes = F.when(zero > 0, F.coalesce("minutes_x", F.lit(0).cast(EXACT))).otherwise(F.col("minutes_x"))
+    return t.select(*scope, ENTITY, *by, "plays", minutes.alias("minutes_x"), zero.alias("n_else"))
 
 
 def _minutes(c: Column) -> Column:
@@ -72,37 +106,46 @@ def summary(fact: DataFrame, dim: DataFrame, scope: tuple = ()) -> DataFrame:
     )
 
 
-def song_plays(fact: DataFrame, dim: DataFrame, scope: tuple = ()) -> DataFrame:
-    """Per track: dimension attributes, plays and minutes by the dimension's
-    duration. The group key is the track, so equal titles stay apart."""
+SONG_COLUMNS = ["title", "artist_name", "album_name", "duration_min", "play_count",
+                "listening_minutes", "rank"]
+
+
+def _songs(ranked: DataFrame, dim: DataFrame, scope: tuple) -> DataFrame:
+    """Ranked per-track totals with the dimension's attributes; minutes by the dimension's
+    duration. The key is the track, so equal titles stay apart."""
     k = [*scope, ENTITY]
-    d = dim.select(*k, "title", "artist_name", "album_name", "duration_min")
-    t = track_totals(fact, scope=scope).join(d, k, "left")
+    t = ranked.join(dim.select(*k, "title", "artist_name", "album_name", "duration_min"), k, "left")
     dur = F.col("duration_min")
     # sum(delta * D) over positive deltas == D * plays, exactly, in decimal;
     # a NULL duration gives NULL unless some row took the zero branch
     minutes = (F.when(dur.isNull(), F.when(F.col("n_else") > 0, F.lit(0).cast(EXACT)))
-               .otherwise(exact(dur) * F.col("plays")))
-    return t.select(*k, "title", "artist_name", "album_name", "duration_min",
-                    F.col("plays").alias("play_count"),
-                    _minutes(minutes).alias("listening_minutes"))
+               .otherwise(exact(dur) * F.col("play_count")))
+    return t.withColumn("listening_minutes", _minutes(minutes)).select(*scope, *SONG_COLUMNS)
 
 
-SONG_COLUMNS = ["title", "artist_name", "album_name", "duration_min", "play_count",
-                "listening_minutes", "rank"]
+def _song_totals(fact: DataFrame, scope: tuple) -> DataFrame:
+    return track_totals(fact, scope=scope).withColumnRenamed("plays", "play_count")
 
 
 def top_songs(fact: DataFrame, dim: DataFrame, method: str = "histogram",
               scope: tuple = ()) -> DataFrame:
-    """Ranked songs with plays > 0."""
-    return (_rank(song_plays(fact, dim, scope), partition=scope, method=method)
-            .select(*scope, *SONG_COLUMNS))
+    """Ranked songs with plays > 0. Totals are ranked first, then get their attributes."""
+    return _songs(_rank(_song_totals(fact, scope), partition=scope, method=method), dim, scope)
+
 
+def top_songs_limit(fact: DataFrame, dim: DataFrame, n: int = 20, scope: tuple = ()) -> DataFrame:
+    """O2: first ``n`` songs by rank (per scope); ties at the cut broken by track id.
 
-def top_songs_limit(fact: DataFrame, dim: DataFrame, n: int = 20) -> DataFrame:
-    """O2: first ``n`` songs by rank; ties at the cut broken by track id."""
-    ranked = _rank(song_plays(fact, dim))
-    return first_n(ranked, n, [F.col("rank")], [F.col(ENTITY)]).select(*SONG_COLUMNS)
+    The cut is by plays, which is the order of the rank, so only ``n`` rows are ranked
+    (every song with more plays is among them) and joined to the dimension."""
+    t = _song_totals(fact, scope).where("play_count > 0")
+    order = [F.col("play_count").desc(), F.col(ENTITY)]
+    if scope:
+        w = Window.partitionBy(*scope).orderBy(*order)
+        t = t.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= n).drop("_n")
+    else:
+        t = first_n(t, n, order)
+    return _songs(_rank(t, partition=scope, method="window"), dim, scope)
 
 
 def _group_plays(fact: DataFrame, dim: DataFrame, key_cols: list, require: list,
@@ -154,14 +197,10 @@ def top_genres(fact: DataFrame, dim: DataFrame, scope: tuple = ()) -> DataFrame:
 # A year is that of the later snapshot of a delta. First sightings are kept
 # (their delta counts as 0), so a year of first sightings still has a row.
 
-def _yearly_fact(fact: DataFrame) -> DataFrame:
-    return fact.withColumn("year", year_of(SNAPSHOT))
-
-
 def yearly_summary(fact: DataFrame, dim: DataFrame, scope: tuple = ()) -> DataFrame:
     """Per year: minutes, hours, plays, tracks and artists played."""
     k = [*scope, ENTITY]
-    t = (track_totals(_yearly_fact(fact), by=("year",), all_rows=True, scope=scope)
+    t = (track_totals(fact, by=("year",), all_rows=True, scope=scope)
          .join(dim.select(*k, "artist_name"), k, "left"))
     played = F.col("plays") > 0
     total = F.sum("minutes_x").cast("double")
@@ -177,7 +216,7 @@ def yearly_summary(fact: DataFrame, dim: DataFrame, scope: tuple = ()) -> DataFr
 def yearly_top_artists(fact: DataFrame, dim: DataFrame, max_rank: int | None = None,
                        scope: tuple = ()) -> DataFrame:
     """Y2: artists ranked within each year."""
-    g = _group_plays(_yearly_fact(fact), dim, [F.col("artist_name")], ["artist_name"],
+    g = _group_plays(fact, dim, [F.col("artist_name")], ["artist_name"],
                      by=("year",), all_rows=True, unique_tracks=False, scope=scope)
     return _rank(g, partition=[*scope, "year"], max_rank=max_rank).select(
         *scope, "year", "artist_name", "play_count", "listening_minutes", "rank")
@@ -190,9 +229,8 @@ def yearly_top_songs(fact: DataFrame, dim: DataFrame, max_rank: int | None = Non
     Tracks sharing all three merge; minutes use the fact's duration."""
     key = [F.col("title"), F.col("artist_name"), F.col("album_name")]
     k = [*scope, ENTITY]
-    f = _yearly_fact(fact)
     d = dim.select(*k, "title", "artist_name", "album_name")
-    t = track_totals(f, by=("year",), all_rows=True, scope=scope).join(d, k, "left")
+    t = track_totals(fact, by=("year",), all_rows=True, scope=scope).join(d, k, "left")
     g = (t.groupBy(*scope, "year", *key)
          .agg(F.sum("plays").alias("play_count"), F.sum("minutes_x").alias("mx"))
          .withColumn("listening_minutes", _minutes(F.col("mx"))).drop("mx"))
@@ -206,7 +244,7 @@ def yearly_top_albums(fact: DataFrame, dim: DataFrame, max_rank: int | None = No
     """Albums ranked within each year."""
     key = [F.col("album_name"),
            F.coalesce(F.col("album_artist_name"), F.col("artist_name")).alias("artist_name")]
-    g = _group_plays(_yearly_fact(fact), dim, key, ["album_name"], by=("year",),
+    g = _group_plays(fact, dim, key, ["album_name"], by=("year",),
                      all_rows=True, unique_tracks=False, scope=scope)
     return _rank(g, partition=[*scope, "year"], max_rank=max_rank).select(
         *scope, "year", "album_name", "artist_name", "play_count", "listening_minutes", "rank")
@@ -216,77 +254,84 @@ PAGE_COLUMNS = ["section", "rank", "title", "artist_name", "album_name", "play_c
                 "listening_minutes"]
 
 
-def replay_page(fact: DataFrame, dim: DataFrame, year: int | None = None, k: int = 3) -> DataFrame:
-    """Top ``k`` artists, songs and albums (ties kept) of one year.
+def replay_page(fact: DataFrame, dim: DataFrame, year: int | None = None, k: int = 3,
+                scope: tuple = ()) -> DataFrame:
+    """Top ``k`` artists, songs and albums (ties kept, per scope) of one year.
 
     ``year=None`` takes the latest year that has plays (a scalar subquery).
-    The fact rows are cut to that year before the roll-ups: the deltas are
-    already in the rows, so the cut sits above the LAG, and each ranking is
-    per year anyway.
+    From a fact, rows are cut to the year by a date range, which reaches the scan (the
+    deltas are already in the rows, so the cut sits above the LAG), and one (track, year)
+    roll-up feeds the three rankings.
     """
-    yf = _yearly_fact(fact)
-    if year is None:
-        y = yf.filter(F.col(DELTA) > 0).select(F.max("year")).scalar()
+    if is_totals(fact):
+        played = fact.where("plays > 0").select(F.max("year"))
+        y = F.lit(year) if year is not None else played.scalar()
+        t = fact.where(F.col("year") == y)
     else:
-        y = F.lit(year)
-    f = yf.filter(F.col("year") == y).drop("year")
-    a = yearly_top_artists(f, dim, max_rank=k).select(
-        F.lit("artists").alias("section"), "rank", F.lit(None).cast("string").alias("title"),
-        "artist_name", F.lit(None).cast("string").alias("album_name"),
-        "play_count", "listening_minutes")
-    s = yearly_top_songs(f, dim, max_rank=k).select(
-        F.lit("songs").alias("section"), "rank", "title", "artist_name", "album_name",
+        last = fact.where(F.col(DELTA) > 0).select(F.year(F.max(SNAPSHOT)))
+        y = F.lit(year) if year is not None else last.scalar()
+        t = year_totals(fact.where(F.col(SNAPSHOT).between(
+            F.make_date(y, F.lit(1), F.lit(1)), F.make_date(y, F.lit(12), F.lit(31)))), scope)
+    none = F.lit(None).cast("string")
+    a = yearly_top_artists(t, dim, max_rank=k, scope=scope).select(
+        *scope, F.lit("artists").alias("section"), "rank", none.alias("title"),
+        "artist_name", none.alias("album_name"), "play_count", "listening_minutes")
+    s = yearly_top_songs(t, dim, max_rank=k, scope=scope).select(
+        *scope, F.lit("songs").alias("section"), "rank", "title", "artist_name", "album_name",
         "play_count", "listening_minutes")
-    b = yearly_top_albums(f, dim, max_rank=k).select(
-        F.lit("albums").alias("section"), "rank", F.lit(None).cast("string").alias("title"),
+    b = yearly_top_albums(t, dim, max_rank=k, scope=scope).select(
+        *scope, F.lit("albums").alias("section"), "rank", none.alias("title"),
         "artist_name", "album_name", "play_count", "listening_minutes")
-    return a.unionByName(s).unionByName(b).select(*PAGE_COLUMNS)
+    return a.unionByName(s).unionByName(b).select(*scope, *PAGE_COLUMNS)
 
 
 # ------------------------------------------------------------------ trends
 
-def _trend(fact: DataFrame, unit: str, name: str) -> DataFrame:
+def _trend(fact: DataFrame, unit: str, name: str, scope: tuple) -> DataFrame:
     f = _played_fact(fact)
     period = F.date_trunc(unit, F.col(SNAPSHOT)).cast("date").alias(name)
-    return (f.groupBy(period)
+    return (f.groupBy(*scope, period)
             .agg(F.sum(positive(DELTA)).cast("long").alias("plays"),
                  _minutes(F.sum(positive_weighted(DELTA, "duration_min"))).alias("listening_minutes")))
 
 
-def weekly_trend(fact: DataFrame) -> DataFrame:
+def weekly_trend(fact: DataFrame, scope: tuple = ()) -> DataFrame:
     """Plays and minutes per week (Monday) of the later snapshot."""
-    return _trend(fact, "week", "week")
+    return _trend(fact, "week", "week", scope)
 
 
-def monthly_trend(fact: DataFrame) -> DataFrame:
+def monthly_trend(fact: DataFrame, scope: tuple = ()) -> DataFrame:
     """Plays and minutes per month of the later snapshot."""
-    return _trend(fact, "month", "month")
+    return _trend(fact, "month", "month", scope)
 
 
-def hourly_listening(fact: DataFrame, entity: str = ENTITY) -> DataFrame:
+def hourly_listening(fact: DataFrame, entity: str = ENTITY, scope: tuple = ()) -> DataFrame:
     """Plays by hour of the last play time, for rows with a positive delta.
 
     A snapshot only knows the last play, so all plays of a delta land in the
     hour of that last play."""
     f = fact.filter(F.col(DELTA) > 0).filter(F.col("last_played_at_utc").isNotNull())
-    return (f.groupBy(F.hour("last_played_at_utc").alias("hour"))
+    return (f.groupBy(*scope, F.hour("last_played_at_utc").alias("hour"))
             .agg(F.sum(DELTA).cast("long").alias("plays"),
                  F.count_distinct(entity).alias("entities")))
 
 
 # ------------------------------------------------------------- per snapshot
 
-def library_overview(raw: DataFrame) -> DataFrame:
+def library_overview(raw: DataFrame, scope: tuple = ()) -> DataFrame:
     """Per snapshot: item count and total plays."""
-    return (raw.groupBy("snapshot_date")
+    return (raw.groupBy(*scope, "snapshot_date")
             .agg(F.count(F.lit(1)).alias("item_count"),
                  F.sum(F.coalesce(F.col("play_count"), F.lit(0))).cast("long").alias("total_plays")))
 
 
-def snapshot_preview(raw: DataFrame, n: int = 10) -> DataFrame:
-    """First ``n`` tracks (by id) of the latest snapshot; no artist -> 'Unknown'."""
-    latest = raw.select(F.max("snapshot_date")).scalar()
-    rows = raw.filter(F.col("snapshot_date") == latest).select(
-        "track_id", F.col("name").alias("title"),
-        F.coalesce(F.col("artist"), F.lit("Unknown")).alias("artist"))
-    return first_n(rows, n, [F.col("track_id")])
+def snapshot_preview(raw: DataFrame, n: int = 10, scope: tuple = ()) -> DataFrame:
+    """First ``n`` tracks (by id) of the latest snapshot (per scope); no artist -> 'Unknown'."""
+    cols = ["track_id", F.col("name").alias("title"), F.coalesce(F.col("artist"), F.lit("Unknown")).alias("artist")]
+    if not scope:
+        latest = raw.select(F.max("snapshot_date")).scalar()
+        return first_n(raw.filter(F.col("snapshot_date") == latest).select(*cols), n, [F.col("track_id")])
+    latest = raw.groupBy(*scope).agg(F.max("snapshot_date").alias("snapshot_date"))
+    rows = raw.join(latest, [*scope, "snapshot_date"], "left_semi").select(*scope, *cols)
+    w = Window.partitionBy(*scope).orderBy("track_id")
+    return rows.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= n).drop("_n")

@@ -30,71 +30,95 @@ class Warehouse:
     silver: DataFrame | None
     fact: DataFrame
     dim: DataFrame
+    totals: DataFrame | None = None  # reports.year_totals of the fact
+
+    @property
+    def plays(self) -> DataFrame:
+        """What reports read: the stored totals if there are any, else the fact."""
+        return self.totals if self.totals is not None else self.fact
+
+
+TABLES = ("fact", "dim_track", "totals")
 
 
 def build(spark: SparkSession, raw: DataFrame, root: str | None = None,
           skew: str = "auto", buckets: int | None = None, scope: tuple = ()) -> Warehouse:
-    """Write fact and dim_track under ``root``; return readers.
+    """Write fact, dim_track and totals under ``root``; return readers.
 
-    ``buckets=n`` stores both as tables bucketed (and sorted) by the track
-    key into ``n`` buckets: a report's per-track roll-up and the fact-to-
-    dimension join then find their input already clustered and plan no
+    ``buckets=n`` stores them bucketed (and sorted) by the track
+    key into ``n`` buckets, one file each: a report's per-track roll-up and the
+    join to the dimension then find their input already clustered and plan no
     exchange for them. Size ``n`` so a bucket is a comfortable task.
     """
     root = root or scratch_path(spark, "warehouse")
     s = M.silver(M.bronze(raw, scope=scope), scope=scope)
-    fact = M.fact(s, skew=skew, scope=scope)
-    dim = M.dim_track(s, scope=scope)
-    if buckets:
-        key = [*scope, ENTITY]
-        tag = uuid.uuid4().hex[:8]
-        names = {}
-        for name, df in (("fact", fact), ("dim_track", dim)):
-            table = f"snaptally_{name}_{tag}"
-            (df.write.mode("overwrite").bucketBy(buckets, *key).sortBy(*key)
-             .option("path", os.path.join(root, name)).saveAsTable(table))
-            names[name] = table
-        return Warehouse(raw=raw, silver=s, fact=spark.table(names["fact"]),
-                         dim=spark.table(names["dim_track"]))
-    # the window leaves each task's rows sorted by (track, date): files
-    # written from it compress well and keep a track's rows together
-    fact.write.mode("overwrite").parquet(os.path.join(root, "fact"))
-    dim.write.mode("overwrite").parquet(os.path.join(root, "dim_track"))
-    return open_warehouse(spark, root, raw, scope)
+    if not buckets:
+        # the window leaves each task's rows sorted by (track, date): files
+        # written from it compress well and keep a track's rows together
+        M.fact(s, skew=skew, scope=scope).write.mode("overwrite").parquet(os.path.join(root, "fact"))
+        M.dim_track(s, scope=scope).write.mode("overwrite").parquet(os.path.join(root, "dim_track"))
+        fact = spark.read.parquet(os.path.join(root, "fact"))
+        R.year_totals(fact, scope).write.mode("overwrite").parquet(os.path.join(root, "totals"))
+        return open_warehouse(spark, root, raw, scope)
+    key = [*scope, ENTITY]
+    tag = uuid.uuid4().hex[:8]
+
+    def store(df: DataFrame, name: str) -> DataFrame:
+        table = f"snaptally_{name}_{tag}"
+        (df.write.mode("overwrite").bucketBy(buckets, *key).sortBy(*key)
+         .option("path", os.path.join(root, name)).saveAsTable(table))
+        return spark.table(table)
+    # dealt by the bucket hash first: the window keeps that dealing, so a task writes one bucket
+    dealt = s.repartition(buckets, *key)
+    fact = store(M.fact(dealt, skew=skew, scope=scope), "fact")
+    dim = store(M.dim_track(s, scope=scope).repartition(buckets, *key), "dim_track")
+    totals = store(R.year_totals(fact, scope), "totals")
+    return Warehouse(raw=raw, silver=s, fact=fact, dim=dim, totals=totals)
 
 
 def open_warehouse(spark: SparkSession, root: str, raw: DataFrame | None = None,
-                   scope: tuple = ()) -> Warehouse:
-    raw = raw if raw is not None else read_raw(spark, os.path.join(root, "raw"))
-    return Warehouse(
-        raw=raw,
-        silver=M.silver(M.bronze(raw, scope=scope), scope=scope),
-        fact=spark.read.parquet(os.path.join(root, "fact")),
-        dim=spark.read.parquet(os.path.join(root, "dim_track")),
-    )
-
-
-def report_views(wh: Warehouse) -> dict[str, DataFrame]:
+                   scope: tuple = (), buckets: int | None = None) -> Warehouse:
+    """Readers of a stored warehouse. ``buckets`` as given to ``build`` opens its tables as
+    bucketed ones (registered in this session's catalog under fresh names)."""
+    raw = raw if raw is not None else read_raw(spark, os.path.join(root, "raw"), scope)
+    key = ", ".join([*scope, ENTITY])
+
+    def table(name: str) -> DataFrame:
+        path = os.path.join(root, name)
+        plain = spark.read.parquet(path)
+        if not buckets:
+            return plain
+        own = f"snaptally_{name}_{uuid.uuid4().hex[:8]}"
+        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in plain.schema.fields)
+        spark.sql(f"CREATE TABLE {own} ({cols}) USING parquet CLUSTERED BY ({key}) SORTED BY ({key}) "
+                  f"INTO {buckets} BUCKETS LOCATION '{path}'")
+        return spark.table(own)
+    fact, dim, totals = (table(n) for n in TABLES)
+    return Warehouse(raw=raw, silver=M.silver(M.bronze(raw, scope=scope), scope=scope), fact=fact, dim=dim,
+                     totals=totals)
+
+
+def report_views(wh: Warehouse, scope: tuple = ()) -> dict[str, DataFrame]:
     """Every report over the materialised layers (lazy)."""
-    f, d = wh.fact, wh.dim
+    f, d, t, k = wh.fact, wh.dim, wh.plays, {"scope": scope}
     return {
-        "dim_artist": M.dim_artist(d),
-        "dim_album": M.dim_album(d),
-        "summary": R.summary(f, d),
-        "top_songs": R.top_songs(f, d),
-        "top_songs_limit": R.top_songs_limit(f, d, 20),
-        "top_artists": R.top_artists(f, d),
-        "top_albums": R.top_albums(f, d),
-        "top_genres": R.top_genres(f, d),
-        "yearly_summary": R.yearly_summary(f, d),
-        "yearly_top_artists": R.yearly_top_artists(f, d),
-        "yearly_top_songs": R.yearly_top_songs(f, d),
-        "yearly_top_albums": R.yearly_top_albums(f, d),
-        "replay_page": R.replay_page(f, d),
-        "weekly_trend": R.weekly_trend(f),
-        "monthly_trend": R.monthly_trend(f),
-        "library_overview": R.library_overview(wh.raw),
-        "snapshot_preview": R.snapshot_preview(wh.raw),
+        "dim_artist": M.dim_artist(d, **k),
+        "dim_album": M.dim_album(d, **k),
+        "summary": R.summary(t, d, **k),
+        "top_songs": R.top_songs(t, d, **k),
+        "top_songs_limit": R.top_songs_limit(t, d, 20, **k),
+        "top_artists": R.top_artists(t, d, **k),
+        "top_albums": R.top_albums(t, d, **k),
+        "top_genres": R.top_genres(t, d, **k),
+        "yearly_summary": R.yearly_summary(t, d, **k),
+        "yearly_top_artists": R.yearly_top_artists(t, d, **k),
+        "yearly_top_songs": R.yearly_top_songs(t, d, **k),
+        "yearly_top_albums": R.yearly_top_albums(t, d, **k),
+        "replay_page": R.replay_page(t, d, **k),
+        "weekly_trend": R.weekly_trend(f, **k),
+        "monthly_trend": R.monthly_trend(f, **k),
+        "library_overview": R.library_overview(wh.raw, **k),
+        "snapshot_preview": R.snapshot_preview(wh.raw, **k),
     }
 
 

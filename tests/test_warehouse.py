@@ -45,8 +45,8 @@ def test_bucketed_raw_builds_without_exchanges(spark):
     table = f"raw_b_{uuid.uuid4().hex[:8]}"
     latest = raw.agg(F.max("snapshot_date")).first()[0]
     store.create_bucketed_raw(raw.filter(F.col("snapshot_date") < latest), table, root + "/raw", 4)
-    store.replace_snapshot_bucketed(raw.filter(F.col("snapshot_date") == latest), table)
-    store.replace_snapshot_bucketed(raw.filter(F.col("snapshot_date") == latest), table)  # idempotent
+    store.replace_snapshot_bucketed(raw.filter(F.col("snapshot_date") == latest), table, 4)
+    store.replace_snapshot_bucketed(raw.filter(F.col("snapshot_date") == latest), table, 4)  # idempotent
     b = spark.table(table)
     assert b.count() == raw.count()
     s = M.silver(M.bronze(b))
