@@ -18,8 +18,9 @@ from pyspark.sql import functions as F
 from ..functions.text import hex_suffix_id
 from ..operators.checks import grain_report, key_violations, null_violations
 from ..operators.delta import counter_delta
+from ..operators.rank import order_by_rank
 from ..schema import GRAINS, RAW_COLUMNS
-from ..session import scratch_path
+from ..session import materialise, scratch_path
 from ..sources import backups, csvfile, plist, store
 from ..sources.fixture import event_counters, load_fixture, load_library_fixture, read_table
 from . import models as M
@@ -89,19 +90,58 @@ def _fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.bronze(load_fixture(spark, sf_dir))
 
 
+def _folder(rows: DataFrame, pattern: str = r"/snapshot=([^/]+)/[^/]+$") -> DataFrame:
+    """``snapshot_path`` cut to what the writer named the file's folder by."""
+    return rows.withColumn("snapshot_path", F.regexp_extract("snapshot_path", pattern, 1))
+
+
 def _plist_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fixture -> plist files (Spark text writer) -> plist source."""
     out = scratch_path(spark, "plist")
     plist.write_plist_snapshots(_fixture(spark, sf_dir), out)
-    rows = plist.plist_snapshots(spark, out, glob="part-*")
-    return rows.drop("snapshot_path")
+    return _folder(plist.plist_snapshots(spark, out, glob="part-*"))
+
+
+def _plist_corrupt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first date's file has over 50,000 tracks and a bad number in the last one, the
+    second date's is cut off, the others are good. Per file: rows given, and if it failed."""
+    raw = _fixture(spark, sf_dir)
+    first, second = [r[0] for r in raw.select("snapshot_date").distinct().orderBy("snapshot_date").limit(2).collect()]
+    copies = 50_000 // raw.filter(F.col("snapshot_date") == first).count() + 1
+    many = F.when(F.col("snapshot_date") == first, F.sequence(F.lit(0), F.lit(copies))).otherwise(F.array(F.lit(0)))
+    raw = raw.withColumn("_c", F.explode(many)).withColumn(
+        "track_id", F.col("track_id") + F.col("_c") * F.lit(10_000_000).cast("long")).drop("_c")
+    lines = plist.plist_lines(raw)
+    big = F.col("snapshot") == str(first)
+    last = lines.filter(big).agg(F.max("_ord")).first()[0]
+    lines = lines.filter((F.col("snapshot") != str(second)) | (F.col("_part") < 2)).withColumn(
+        "value", F.when(big & (F.col("_ord") == last), F.replace("value", F.lit("<integer>"), F.lit("<integer>x")))
+        .otherwise(F.col("value")))
+    out = scratch_path(spark, "plist-corrupt")
+    plist.write_plist_lines(lines, out)
+    parsed = plist.read_plist_files(spark, out, glob="part-*")
+    return (parsed.groupBy(F.regexp_extract("path", r"/snapshot=([^/]+)/", 1).alias("snapshot"))
+            .agg(F.count(F.when(F.col("parse_error").isNull(), 1)).alias("n_tracks"),
+                 (F.count("parse_error") > 0).alias("failed")))
 
 
 def _csv_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fixture -> CSV exports -> CSV source."""
     out = scratch_path(spark, "csv")
     csvfile.write_csv_snapshots(_fixture(spark, sf_dir), out)
-    return csvfile.csv_snapshots(spark, out).drop("snapshot_path")
+    return _folder(csvfile.csv_snapshots(spark, out))
+
+
+def _csv_mixed_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exports of odd months have their columns in reverse, no genre and one unknown column."""
+    raw, out = _fixture(spark, sf_dir), scratch_path(spark, "csv-mixed")
+    odd = F.month("snapshot_date") % 2 == 1
+    csvfile.write_csv_snapshots(raw.filter(~odd), f"{out}/even")
+    rows = csvfile.export_rows(raw.filter(odd))
+    lead = ["snapshot", "_ord"]
+    back = [c for c in reversed(rows.columns) if c not in (*lead, "genre")]
+    csvfile.write_export_rows(rows.select(*lead, *back[:3], F.lit("?").alias("unknown"), *back[3:]), f"{out}/odd")
+    return _folder(csvfile.csv_snapshots(spark, out))
 
 
 def _surrogate_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -134,12 +174,60 @@ def _replace_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.read_raw(spark, path)
 
 
+def _upsert_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S6 on the stored table: only the latest date's partition is merged and replaced."""
+    path, raw = scratch_path(spark, "raw"), _fixture(spark, sf_dir)
+    store.replace_snapshot(raw, path)
+    store.upsert_table(spark, path, store.bump_latest(raw))
+    return store.read_raw(spark, path)
+
+
+def _library_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S5 with a scope: libraries are stored one after another over the same dates, then
+    one date of library 1 is replaced; nothing of another library goes."""
+    path, raw = scratch_path(spark, "raw"), M.bronze(load_library_fixture(spark, sf_dir), scope=LIB)
+    for lib in range(3):
+        store.replace_snapshot(raw.filter(F.col("library_id") == lib), path, scope=LIB)
+    store.replace_snapshot(store.bump_latest(raw.filter(F.col("library_id") == 1)), path, scope=LIB)
+    return store.read_raw(spark, path, LIB)
+
+
+def _library_backups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3/S14 on files: three users' backup trees, two backups a day each; the earlier one of a
+    day holds higher counters and must not count. Users stay apart."""
+    raw = M.bronze(load_library_fixture(spark, sf_dir), scope=LIB)
+    root = scratch_path(spark, "backups")
+    for time, rows in (("095001", raw), ("080000", raw.withColumn("play_count", F.col("play_count") + 1))):
+        out = scratch_path(spark, "backup-files")
+        plist.write_plist_snapshots(rows, out, scope=LIB)
+        backups.place_libraries(spark, out, root, time)
+    rows, _ = backups.read_backup_tree(spark, root)
+    return _folder(rows, r"/([^/]+)\.backup/[^/]+/Users/")
+
+
+def _stream_same_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two exports per date in folders with spaces and signs, all with one modification time: the
+    stream keeps each date's last by path."""
+    from ..session import touch_files
+    from ..streaming.ingest import snapshot_stream
+    drop, table = scratch_path(spark, "drop folder"), scratch_path(spark, "raw")
+    # a file position could equal another track's id: every track gets an id text
+    raw = _fixture(spark, sf_dir).withColumn("persistent_id", F.coalesce(
+        "persistent_id", F.lpad(F.col("track_id").cast("string"), 16, "0")))
+    csvfile.write_csv_snapshots(raw, f"{drop}/export 1+1")
+    csvfile.write_csv_snapshots(raw.withColumn("rating", F.lit(60)), f"{drop}/export 2%20")
+    touch_files(spark, drop, "*.csv", 1_700_000_000_000)
+    q = snapshot_stream(spark, drop, table, "csv", checkpoint=scratch_path(spark, "stream"))
+    q.awaitTermination()
+    return _folder(store.read_raw(spark, table), r"/(export [^/]+)/")
+
+
 def _incremental(spark: SparkSession, sf_dir: str):
     """Load the fixture in three batches: through 1999, 2000, 2001 and later."""
     from . import incremental as I
     root = scratch_path(spark, "incremental")
     # every load reads the raw rows again: cut their lineage once, in the shared folder
-    raw = _fixture(spark, sf_dir).checkpoint()
+    raw = materialise(_fixture(spark, sf_dir), "incremental-raw")
     year = F.year("snapshot_date")
     I.init(spark, raw.filter(year <= 1999), root)
     I.append(spark, raw.filter(year == 2000), root)
@@ -151,13 +239,55 @@ def _incremental_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Load every year but 1998, then 1998 arrives late and is repaired in."""
     from . import incremental as I
     root = scratch_path(spark, "incremental-repair")
-    raw = _fixture(spark, sf_dir).checkpoint()
+    raw = materialise(_fixture(spark, sf_dir), "repair-raw")
     year = F.year("snapshot_date")
     I.init(spark, raw.filter(year != 1998), root)
     I.repair(spark, raw, raw.filter(year == 1998), root)
     return I.open_incremental(spark, root).fact
 
 
+def _incremental_retry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A repair and an append die before they are published, later loads run, the repair is
+    run again: the fact is that of a full rebuild."""
+    from . import incremental as I
+    root = scratch_path(spark, "incremental-retry")
+    raw = materialise(_fixture(spark, sf_dir), "retry-raw")
+    year = F.year("snapshot_date")
+    late = raw.filter(year == 1998)
+    I.init(spark, raw.filter((year < 2000) & (year != 1998)), root)
+    I.repair(spark, raw.filter(year < 2000), late, root, publish=False)
+    I.append(spark, raw.filter(year == 2000), root)
+    I.append(spark, raw.filter(year == 2001), root, publish=False)
+    I.append(spark, raw.filter(year >= 2001), root)
+    I.repair(spark, raw, late, root)
+    I.expire(spark, root, keep=1)
+    return I.open_incremental(spark, root).fact
+
+
+def _stored(fn: Callable) -> Callable[[SparkSession, str], DataFrame]:
+    """A report over the stored, bucketed warehouse."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        from .warehouse import build
+        return fn(build(spark, materialise(_fixture(spark, sf_dir), "raw"), buckets=8))
+    run.__doc__ = fn.__doc__
+    return run
+
+
+def _table_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A report written as a table and read back, twice (full refresh)."""
+    g, path = Gold(spark, sf_dir), scratch_path(spark, "report")
+    store.write_table(R.yearly_top_artists(g.fact, g.dim).limit(1), path, ["year"])
+    return store.write_table(R.yearly_top_artists(g.fact, g.dim), path, ["year"]).select(
+        "year", "artist_name", "play_count", "listening_minutes", "rank")
+
+
+def _view_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A report as a view, read by SQL."""
+    g = Gold(spark, sf_dir)
+    store.as_view(R.top_genres(g.fact, g.dim), "snaptally_top_genres")
+    return spark.sql("SELECT * FROM snaptally_top_genres")
+
+
 def _backup_listing(spark: SparkSession, sf_dir: str):
     return backups.fixture_backup_listing(read_table(spark, sf_dir, "orders"),
                                           read_table(spark, sf_dir, "lineitem"))
@@ -206,6 +336,22 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "snapshot_preview": lambda s, d: R.snapshot_preview(_fixture(s, d)),
     "key_violations": _gold(lambda g: key_violations(M.dim_album(g.dim), ["album_name"])),
     "null_violations": lambda s, d: null_violations(_fixture(s, d), RAW_COLUMNS),
+    "top_songs_ordered": _gold(lambda g: order_by_rank(R.top_songs(g.fact, g.dim))),
+    "stored_summary": _stored(lambda wh: R.summary(wh.plays, wh.dim)),
+    "stored_top_songs": _stored(lambda wh: R.top_songs(wh.plays, wh.dim)),
+    "stored_yearly_top_albums": _stored(lambda wh: R.yearly_top_albums(wh.plays, wh.dim)),
+    "stored_replay_page": _stored(lambda wh: R.replay_page(wh.plays, wh.dim)),
+    "table_sink": _table_sink,
+    "view_sink": _view_sink,
+    "plist_corrupt": _plist_corrupt,
+    "csv_mixed_headers": _csv_mixed_headers,
+    "upsert_table": _upsert_table,
+    "library_replace_snapshot": _library_replace,
+    "library_backup_load": _library_backups,
+    "library_replay_page": _libs(lambda g: R.replay_page(g.fact, g.dim, scope=LIB)),
+    "library_overview_scoped": _libs(lambda g: R.library_overview(g.raw, scope=LIB)),
+    "stream_same_day": _stream_same_day,
+    "incremental_retry": _incremental_retry,
     "plist_ingest": _plist_ingest,
     "csv_ingest": _csv_ingest,
     "surrogate_id": _surrogate_id,

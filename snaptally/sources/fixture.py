@@ -70,17 +70,21 @@ def fixture_raw(lineitem: DataFrame, part: DataFrame, orders: DataFrame | None =
         (key % 12).cast("int").alias("track_number"),
         F.lit(12).alias("track_count"),
         (F.lit(1990) + size % 30).cast("int").alias("year"),
-        F.lit(None).cast(T.TimestampNTZType()).alias("date_added"),
+        unless(key % 19 == 0, F.make_timestamp_ntz(
+            F.lit(2015) + key % 8, F.lit(1) + key % 12, F.lit(1) + key % 28,
+            key % 24, key % 60, key % 60)).alias("date_added"),
         unless((key + F.month(d) + F.year(d)) % 11 == 0, (cn - cn % 2).cast("int"))
         .alias("play_count"),
-        F.lit(None).cast("bigint").alias("play_date"),
+        unless(key % 29 == 0, (F.lit(3_000_000_000) + key * 37 + cn).cast("bigint")).alias("play_date"),
         F.col("last_ts").cast(T.TimestampNTZType()).alias("play_date_utc"),
         unless(key % 7 == 0, cr.cast("int")).alias("skip_count"),
-        F.lit(None).cast(T.TimestampNTZType()).alias("skip_date"),
+        unless(key % 17 == 0, F.col("last_ts").cast(T.TimestampNTZType()) - F.make_dt_interval(
+            F.lit(0), F.lit(0), (key % 1000).cast("int"))).alias("skip_date"),
         unless(size % 5 == 0, (size % 6 * 20 - size % 2 * (size % 6)).cast("int")).alias("rating"),
         unless(size % 4 == 0, size % 2 == 1).alias("loved"),
         unless(key % 97 == 0, F.lpad(key.cast("string"), 16, "0")).alias("persistent_id"),
-        F.lit(None).cast("string").alias("location"),
+        unless(size % 9 == 0, F.concat(F.lit("file:///Music/"), F.col("p_brand"), F.lit("/"), F.col("p_name"),
+                                       F.lit(" & 100%+/"), key.cast("string"), F.lit(".m4a"))).alias("location"),
     ).select(*lib, *RAW_COLUMNS)
 
 
