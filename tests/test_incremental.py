@@ -53,3 +53,64 @@ def test_repair_after_late_and_shrunk_snapshots(spark):
     s2 = M.silver(M.bronze(raw2))
     assert rows(open_incremental(spark, root).fact) == rows(M.fact(s2))
     assert rows(open_incremental(spark, root).dim) == rows(M.dim_track(s2))
+
+
+def files_of(root, date):
+    import glob
+    return {f for f in glob.glob(f"{root}/fact/load=*/snapshot_date={date}/*.parquet")}
+
+
+def test_repair_writes_touched_partitions_only(spark):
+    from snaptally.plans.incremental import current, repair
+    raw = load_fixture(spark, SF_SMALL).cache()
+    dates = sorted(str(r[0]) for r in raw.select("snapshot_date").distinct().collect())
+    late = dates[10]
+    root = tempfile.mkdtemp()
+    init(spark, raw.filter(F.col("snapshot_date") != late), root)
+    before = current(spark, root)
+    repair(spark, raw, raw.filter(F.col("snapshot_date") == late), root)
+    after = current(spark, root)
+    changed = {d for d in after.facts if after.facts[d] != before.facts.get(d)}
+    # the date itself and the dates of rows that follow it
+    full = M.fact(M.silver(M.bronze(raw)))
+    follows = {str(r[0]) for r in full.filter(F.col("prev_snapshot_date") == late)
+               .select("snapshot_date").distinct().collect()}
+    assert changed == {late} | follows and len(changed) < len(dates) // 2
+    # untouched dates keep their files
+    assert all(len(files_of(root, d)) == 1 for d in dates if d not in changed)
+
+
+def test_failed_loads_leave_no_rows(spark):
+    from snaptally.plans.incremental import expire, repair
+    raw = load_fixture(spark, SF_SMALL).cache()
+    dates = sorted(r[0] for r in raw.select("snapshot_date").distinct().collect())
+    day = F.col("snapshot_date")
+    root = tempfile.mkdtemp()
+    init(spark, raw.filter((day < dates[20]) & (day != dates[5])), root)
+    repair(spark, raw.filter(day < dates[20]), raw.filter(day == dates[5]), root, publish=False)
+    assert append(spark, raw.filter((day >= dates[20]) & (day <= dates[22])), root)
+    assert append(spark, raw.filter(day == dates[23]), root, publish=False)
+    assert append(spark, raw.filter((day >= dates[23])), root)
+    repair(spark, raw, raw.filter(day == dates[5]), root)
+    full = rows(M.fact(M.silver(M.bronze(raw))))
+    assert rows(open_incremental(spark, root).fact) == full
+    gone = expire(spark, root, keep=1)
+    assert gone and rows(open_incremental(spark, root).fact) == full
+    assert not expire(spark, root, keep=1)
+
+
+def test_scoped_loads(spark):
+    from snaptally.plans.incremental import repair
+    from snaptally.sources.fixture import load_library_fixture
+    scope = ("library_id",)
+    raw = M.bronze(load_library_fixture(spark, SF_SMALL), scope=scope).cache()
+    dates = sorted(r[0] for r in raw.select("snapshot_date").distinct().collect())
+    late = (F.col("snapshot_date") == dates[9]) & (F.col("library_id") == 1)
+    root = tempfile.mkdtemp()
+    init(spark, raw.filter(~late & (F.col("snapshot_date") <= dates[20])), root, scope)
+    assert append(spark, raw.filter(F.col("snapshot_date") > dates[20]), root, scope)
+    repair(spark, raw, raw.filter(late), root, scope)
+    s = M.silver(raw, scope=scope)
+    wh = open_incremental(spark, root, scope)
+    assert rows(wh.fact) == rows(M.fact(s, scope=scope))
+    assert rows(wh.dim) == rows(M.dim_track(s, scope=scope))

@@ -236,3 +236,89 @@ def test_writers_make_one_file_per_library_snapshot(spark):
         assert len(files) == n
     back = plist.plist_snapshots(spark, out + "/p", glob="part-*")
     assert back.count() == raw.count()
+
+
+BAD = PLIST.replace("<integer>{plays}</integer>", "<integer>x{plays}</integer>")
+
+
+def test_a_bad_file_gives_no_rows_at_any_size(spark, monkeypatch):
+    d = tempfile.mkdtemp()
+    track = "<key>{0}</key><dict><key>Play Count</key><integer>{1}</integer></dict>"
+    for name, last in (("bad", "x1"), ("good", "1")):
+        body = "".join(track.format(i, 1) for i in range(50_050)) + track.format(60_000, last)
+        write(f"{d}/{name}.xml", f'<plist version="1.0"><dict><key>Tracks</key><dict>{body}</dict>'
+                                 "<key>Date</key><date>2025-01-03T09:50:01Z</date></dict></plist>")
+    write(f"{d}/late.xml", PLIST.replace("</dict></plist>", "<key>Date</key><date>no date</date></dict></plist>")
+          .replace("<key>Date</key><date>{date}</date>", "").format(plays=1))
+    ok, bad = plist.split_errors(plist.read_plist_files(spark, d))
+    assert {(r.path.rsplit("/", 1)[1], r["count"]) for r in ok.groupBy("path").count().collect()} == {("good.xml", 50_051)}
+    assert {r.path.rsplit("/", 1)[1] for r in bad.collect()} == {"bad.xml", "late.xml"}
+    # the date stands after the tracks and still dates all of them
+    assert plist.snapshot_rows(ok).select("snapshot_date").distinct().collect()[0][0] == dt.date(2025, 1, 3)
+
+
+def test_playlists_are_not_kept_in_memory():
+    import tracemalloc
+    big = "<array>" + "<dict><key>Name</key><string>p</string></dict>" * 200_000 + "</array>"
+    content = PLIST.format(date="2025-01-03T09:50:01Z", plays=1).replace(
+        "<dict>\n  <key>Date", f"<dict><key>Playlists</key>{big}<key>Date", 1).encode()
+    tracemalloc.start()
+    n = sum(len(f) for f in plist._decode("p", content))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n == 2 and peak < len(content) + 20_000_000
+
+
+def test_csv_files_with_headers_of_their_own(spark):
+    d = tempfile.mkdtemp()
+    write(f"{d}/a b+c%20.csv", "title,persistent_id,snapshot_date,play_count\nOne,0000000A,2025-01-03T09:50:01Z,3\n")
+    write(f"{d}/z.csv", "﻿play_count,other,snapshot_date,title,persistent_id,genre\n"
+                        '4,x,2025-01-04T09:50:01Z,"Two\nlines",0000000B,Rock\n5,x,,Three,,\n')
+    rows = {r.name: r for r in csvfile.csv_snapshots(spark, d).collect()}
+    assert {(r.snapshot_date.day, r.play_count, r.genre) for r in rows.values()} == {(3, 3, None), (4, 4, "Rock"), (4, 5, None)}
+    assert rows["One"].snapshot_path.endswith("/a b+c%20.csv") and rows["One"].snapshot_path.startswith("file:/")
+    assert rows["Three"].track_id == 1 and rows["Two\nlines"].track_id == 11
+
+
+def test_backup_users_stay_apart(spark):
+    root = tempfile.mkdtemp()
+    lib(root, "2025-01-03-095001", plays=3, user="ann")
+    lib(root, "2025-01-03-180000", plays=5, user="bob")
+    lib(root, "2025-01-03-190000", plays=9, user="bob", date="x")  # does not decode: replaces nothing
+    rows, errors = B.read_backup_tree(spark, root)
+    got = sorted((r.user, r.snapshot_date.day, r.play_count) for r in rows.filter("track_id = 101").collect())
+    assert got == [("ann", 3, 3), ("bob", 3, 5)]
+    assert [r.path.split("/")[-8 + 1] for r in errors.collect()] != []
+    table = tempfile.mkdtemp() + "/raw"
+    store.replace_snapshot(rows, table, scope=("user",))
+    store.replace_snapshot(rows.filter("user = 'bob'"), table, scope=("user",))
+    assert store.read_raw(spark, table, ("user",)).count() == 4
+
+
+def test_partitions_get_files_by_size(spark):
+    import glob
+
+    from conftest import raw_row
+    from snaptally.schema import RAW_SCHEMA
+    rows = [raw_row("2025-01-01", i, f"P{i}", 1) for i in range(500)] + [raw_row("2025-01-02", i, f"P{i}", 1) for i in range(9)]
+    path = tempfile.mkdtemp() + "/raw"
+    staged = store.stage(spark.createDataFrame(rows, RAW_SCHEMA).repartition(8))
+    store.publish(staged, path, rows_per_file=100)
+    n = {d: len(glob.glob(f"{path}/snapshot_date={d}/*.parquet")) for d in ("2025-01-01", "2025-01-02")}
+    assert n["2025-01-02"] == 1 and 1 <= n["2025-01-01"] <= 5
+    assert store.read_raw(spark, path).count() == 509
+
+
+def test_code_is_found_from_another_folder():
+    """Executors get the package from the driver: no PYTHONPATH, another working directory."""
+    import subprocess
+    import sys
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = (f"import sys; sys.path.insert(0, {repo!r})\n"
+            "import __spark_entry__ as E\nfrom snaptally.session import build_session\n"
+            "s = build_session('local[2]', shuffle_partitions=2)\n"
+            f"print('ROWS', E.queries()['plist_ingest'](s, {'/root/testdata/sf0.001'!r}).count())\n")
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", code], cwd=tempfile.mkdtemp(), env=env, capture_output=True, text=True,
+                         timeout=300)
+    assert "ROWS 3633" in out.stdout, out.stderr[-2000:]

@@ -68,3 +68,40 @@ def test_upsert_prunes_untouched_dates(spark):
     new = store.bump_latest(raw)
     touched = old.join(new.select("snapshot_date").distinct(), "snapshot_date", "left_semi")
     assert "dynamicpruning" in plan(touched)
+
+
+def test_songs_are_ranked_before_the_dimension(spark):
+    s, _, d = gold(spark)
+    f = R.year_totals(M.fact(s, skew="off"))
+    lines = plan(R.top_songs(f, d)).splitlines()
+    i = next(k for k, x in enumerate(lines) if "SinglePartition" in x)
+    # nothing of the dimension below the histogram
+    assert not any("title" in x or "p_name" in x and "Project" in x for x in lines[i:i + 4])
+    assert "TakeOrderedAndProject" in plan(R.top_songs_limit(f, d))
+
+
+def test_reports_read_stored_totals_once(spark):
+    import tempfile
+
+    from snaptally.plans.warehouse import build, open_warehouse
+    root = tempfile.mkdtemp()
+    raw = load_fixture(spark, SF_SMALL)
+    wh = build(spark, raw, root, buckets=4)
+    for report in (R.summary, R.top_artists, R.top_albums, R.yearly_top_songs):
+        p = plan(report(wh.plays, wh.dim))
+        assert "fact" not in p.replace("factor", "") or "snaptally_fact" not in p
+    # one file per bucket, and the stored tables open as bucketed ones again
+    import glob
+    assert all(len(glob.glob(f"{root}/{t}/*.parquet")) <= 4 for t in ("fact", "dim_track", "totals"))
+    again = open_warehouse(spark, root, raw, buckets=4)
+    p = plan(R.top_artists(again.plays, again.dim))
+    assert "Bucketed: true" in p and p.count("hashpartitioning(track_persistent_id") == 0
+
+
+def test_replay_page_cuts_the_fact_by_date(spark):
+    import tempfile
+    _, f, d = gold(spark)
+    root = tempfile.mkdtemp()
+    f.write.parquet(root + "/f")
+    p = plan(R.replay_page(spark.read.parquet(root + "/f"), d, year=1997))
+    assert "GreaterThanOrEqual(snapshot_date,1997-01-01)" in p

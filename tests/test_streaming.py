@@ -49,3 +49,33 @@ def test_stream_keeps_incremental_warehouse(spark):
     full = M.fact(M.silver(store.read_raw(spark, table + "/raw")))
     assert sorted(map(tuple, full.select(*w.fact.columns).collect()), key=repr) == \
         sorted(map(tuple, w.fact.collect()), key=repr)
+
+
+def test_same_day_ties_and_odd_names(spark):
+    src, table, ckpt = (tempfile.mkdtemp(suffix=" a+b") for _ in range(3))
+    for name, plays in (("one more.csv", 1), ("two%20.csv", 2), ("ü.csv", 3)):
+        drop(src, name, "2025-01-01", plays)
+        os.utime(os.path.join(src, name), (1_700_000_000, 1_700_000_000))
+    snapshot_stream(spark, src, table + "/raw", checkpoint=ckpt, scope={"library_id": 4}).awaitTermination(120)
+    got = [(r.library_id, r.play_count) for r in store.read_raw(spark, table + "/raw", ("library_id",)).collect()]
+    assert got == [(4, 3)]
+
+
+def test_rows_of_an_unlisted_file_fail(spark):
+    import pytest
+
+    from snaptally.streaming.ingest import UnknownFile, latest_file_per_date
+    rows = spark.createDataFrame([("2025-01-01", "file:/x/a.csv", 1)], "snapshot_date string, snapshot_path string, n int")
+    files = spark.createDataFrame([("file:/x/b.csv", 1)], "path string, modificationTime int")
+    with pytest.raises(UnknownFile):
+        latest_file_per_date(rows, files)
+
+
+def test_bad_files_are_recorded(spark):
+    src, table, ckpt, errors = (tempfile.mkdtemp() for _ in range(4))
+    with open(f"{src}/bad.xml", "w") as f:
+        f.write("<plist><dict>")
+    snapshot_stream(spark, src, table + "/raw", fmt="plist", checkpoint=ckpt,
+                    errors_path=errors + "/bad").awaitTermination(120)
+    got = spark.read.parquet(errors + "/bad").collect()
+    assert len(got) == 1 and got[0].path.endswith("bad.xml")
