@@ -162,7 +162,7 @@ def shared_dir(spark: SparkSession) -> str:
             sc.setCheckpointDir(d)
             d = sc.getCheckpointDir() or d
     if not d:
-        if not sc.master.startswith("local"):
+        if not (sc.master == "local" or sc.master.startswith("local[")):
             raise RuntimeError(
                 "spark.checkpoint.dir is not set; a cluster run needs a shared folder")
         d = tempfile.mkdtemp(prefix="snaptally-ckpt-")
