@@ -53,14 +53,18 @@ def train_rows(id_col: str, parts: int = 7, held: int = 2) -> Column:
 
 
 def pack(a: np.ndarray) -> bytes:
-    """Non-negative integers in the fewest bytes each."""
+    """Non-negative integers in the fewest bytes each, byte plane by byte plane, deflated."""
     top = int(a.max()) if len(a) else 0
-    kind = next(k for k in (np.uint8, np.uint16, np.uint32, np.uint64) if top <= np.iinfo(k).max)
-    return bytes([np.dtype(kind).itemsize]) + zlib.compress(a.astype(kind).tobytes(), 1)
+    size = next(k for k in range(1, 9) if top < 1 << (8 * k))
+    planes = a.astype("<u8").view(np.uint8).reshape(-1, 8).T[:size]
+    return bytes([size]) + zlib.compress(np.ascontiguousarray(planes).tobytes(), 1)
 
 
 def unpack(raw: bytes) -> np.ndarray:
-    return np.frombuffer(zlib.decompress(raw[1:]), dtype=f"<u{raw[0]}").astype(np.int64)
+    flat = np.frombuffer(zlib.decompress(raw[1:]), dtype=np.uint8).reshape(raw[0], -1)
+    planes = np.zeros((flat.shape[1], 8), dtype=np.uint8)
+    planes[:, :raw[0]] = flat.T
+    return planes.view("<i8").ravel()
 
 
 def pack_keys(keys: np.ndarray) -> bytes:
@@ -91,12 +95,13 @@ def token_blocks(docs: DataFrame, id_col: str, text_col: str, train: Column, blo
             nonlocal number
             number += 1
             hashes = np.array([xxhash.xxh3_64_intdigest(w) for w in words], dtype=np.uint64)
-            order = np.argsort(hashes, kind="stable")
+            # frequent words get small numbers, which pack well
+            seen = np.array(codes, dtype=np.int64)
+            order = np.argsort(-np.bincount(seen, minlength=len(hashes)), kind="stable")
             rank = np.empty(len(order), np.int64)
             rank[order] = np.arange(len(order))
-            tokens = rank[np.array(codes, dtype=np.int64)]
             row = [[f"{name}-{number}"], [list(ids)], [list(held)], [list(ends)], [hashes[order].tobytes()],
-                   [pack(tokens)], [len(tokens)]]
+                   [pack(rank[seen])], [len(seen)]]
             return pa.RecordBatch.from_arrays(
                 [pa.array(row[0]), pa.array(row[1], pa.list_(pa.int64())), pa.array(row[2], pa.list_(pa.bool_())),
                  pa.array(row[3], pa.list_(pa.int64())), pa.array(row[4], pa.binary()), pa.array(row[5], pa.binary()),
@@ -125,8 +130,12 @@ class Block:
     """The n-grams of one token block, the same whenever they are made."""
 
     def __init__(self, words: bytes, tokens: bytes, ends: list[int], held: list[bool]):
-        self.words = np.frombuffer(words, np.uint64)
-        self.tokens = unpack(tokens)
+        given = np.frombuffer(words, np.uint64)
+        order = np.argsort(given, kind="stable")
+        self.words = given[order]
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        self.tokens = rank[unpack(tokens)]
         self.ends = np.asarray(ends, dtype=np.int64)
         self.starts = np.concatenate([[0], self.ends[:-1]]).astype(np.int64)
         self.train = np.repeat(~np.asarray(held, dtype=bool), self.ends - self.starts)
@@ -166,8 +175,8 @@ class Block:
         return (self.ends - self.starts, total((words[self.tokens] > 0).astype(np.int64)), total(np.log10(p1)), total(p))
 
 
-def buckets_for(spark, n_tokens: int, per_bucket: int = 4_000_000) -> int:
-    """Buckets so that one holds some millions of the asked n-grams at most."""
+def buckets_for(spark, n_tokens: int, per_bucket: int = 2_000_000) -> int:
+    """Buckets so that one holds about ``per_bucket`` of the asked n-grams."""
     return max(spark.sparkContext.defaultParallelism, -(-2 * n_tokens // per_bucket))
 
 
@@ -203,6 +212,7 @@ def answer(asked: DataFrame) -> DataFrame:
     """Sums of each n-gram's training counts in its bucket, in the order each block asked."""
     def run(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
+        del table
         out = []
         for grams in (1, 2):
             own = [r for r in rows if r["grams"] == grams]
@@ -211,8 +221,7 @@ def answer(asked: DataFrame) -> DataFrame:
             keys = np.concatenate([unpack_keys(r["keys"], r["n"]) for r in own])
             counts = np.concatenate([unpack(r["counts"]) for r in own])
             known, at = np.unique(keys, return_inverse=True)
-            sums = np.zeros(len(known), np.int64)
-            np.add.at(sums, at, counts)
+            sums = np.bincount(at, counts, len(known)).astype(np.int64)  # exact below 2^53
             got, place = sums[at], 0
             for k, r in enumerate(own):
                 # the bucket's totals go with one of its answers only
