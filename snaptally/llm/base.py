@@ -5,11 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snaptally.session import apply_conf, scratch_path
+from snaptally.session import apply_conf, materialise  # noqa: F401
 
 # The white space that separates words (space, tab, \n, \v, \f, \r).
 SPACE = r"[\x20\x09-\x0D]+"
-WORD = r"[^\x20\x09-\x0D]+"
 
 
 def prepare(spark: SparkSession) -> None:
@@ -24,19 +23,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write to the cluster's shared folder and read back: cuts the lineage and
-    gives the optimizer the real size of the result."""
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def lower_ascii(c: Column) -> Column:
-    return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-
-
 def text_of(name: str) -> Column:
     """The text column, null as empty."""
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
