@@ -9,8 +9,8 @@ widened four times and tried again, in the end to the rest of the document. Memo
 the chunk, not the document.
 
 Shorter documents are encoded at once. With a tokenizer that drops white space (checked on
-its file), their words are independent, so each different word is encoded once per task
-and counts are added up; the counts are those of encoding the whole text.
+its file), words are independent, so the counts of words met before are looked up; the sums
+are those of encoding the whole text.
 
 Special strings inside texts are handled as the library does by default; no begin, end or
 added special tokens, no truncation or padding.
@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import json
 import os
+from bisect import bisect_left
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,7 +34,7 @@ from snaptally.llm import arrow as A
 
 KIND = T.StructType([T.StructField("n_bytes", T.LongType()), T.StructField("n_tokens", T.LongType()),
                      T.StructField("chunks", T.LongType())])
-MEMO = 300_000  # words remembered by a task; the memo starts anew beyond
+MEMO = 500_000  # words remembered by a task; the memory starts anew beyond
 
 
 def drops_space(spec: dict) -> bool:
@@ -58,6 +59,7 @@ class Counter:
         self.by_word = drops_space(json.loads(spec))
         self.huge, self.chunk, self.overlap, self.agree = huge_chars, chunk_chars, overlap, agree
         self.memo: dict[bytes, int] = {}
+        self.seen: set[bytes] = set()
 
     def __call__(self, texts: list[bytes]) -> list[dict]:
         out = []
@@ -74,20 +76,41 @@ class Counter:
         return out
 
     def words(self, raw: bytes) -> int:
-        words = raw.split()
-        new = list({w for w in words if w not in self.memo})
-        if len(self.memo) + len(new) > MEMO:
-            self.memo.clear()
-            new = list(set(words))
+        """Tokens of a text as the sum over its words: remembered words are looked up, words met
+        for the first time are encoded together, and a word met again is remembered."""
+        total, new, again = 0, [], []
+        memo, seen = self.memo, self.seen
+        for w in raw.split():
+            n = memo.get(w)
+            if n is not None:
+                total += n
+            elif w in seen:
+                again.append(w)
+            else:
+                new.append(w)
         if new:
-            got = self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
-            self.memo.update((w, len(e)) for w, e in zip(new, got, strict=True))
-        return sum(map(self.memo.__getitem__, words))
-
-    def encode(self, text: str, start: int, end: int) -> list[tuple[int, int, int]]:
-        """(start, end, id) of the tokens of text[start:end], offsets in the whole text."""
+            seen.update(new)
+            total += len(self.tokenizer.encode_batch_fast([b" ".join(new).decode()], add_special_tokens=False)[0])
+        if again:
+            kinds = list(set(again))
+            got = self.tokenizer.encode_batch_fast([w.decode() for w in kinds], add_special_tokens=False)
+            memo.update((w, len(e)) for w, e in zip(kinds, got, strict=True))
+            total += sum(map(memo.__getitem__, again))
+        if len(memo) > MEMO:
+            memo.clear()
+        if len(seen) > MEMO:
+            seen.clear()
+        return total
+
+    def encode(self, text: str, start: int, end: int) -> tuple[int, list, list]:
+        """start, then the (start, end) offsets from there and the ids of text[start:end]'s tokens."""
         e = self.tokenizer.encode(text[start:end], add_special_tokens=False)
-        return [(a + start, z + start, i) for (a, z), i in zip(e.offsets, e.ids, strict=True)]
+        return start, e.offsets, e.ids
+
+    @staticmethod
+    def before(piece: tuple, at: int) -> int:
+        """Tokens of a piece that start before ``at``."""
+        return bisect_left(piece[1], at - piece[0], key=lambda o: o[0])
 
     def spliced(self, text: str) -> tuple[int, int]:
         """Tokens of a huge text, and the chunks it took."""
@@ -97,25 +120,28 @@ class Counter:
         while True:
             cut = start + self.chunk
             if cut + width >= n:
-                return total + sum(t[0] >= at for t in left), chunks
+                return total + len(left[1]) - self.before(left, at), chunks
             right = self.encode(text, cut, min(n, cut + max(self.chunk, width) + self.overlap))
             p = self.boundary(text, left, right, cut, cut + width)
             if p is None:  # widen: the left piece reaches further
                 width *= 4
                 left = self.encode(text, start, min(n, cut + width))
                 continue
-            total += sum(at <= t[0] < p for t in left)
+            total += self.before(left, p) - self.before(left, at)
             at, start, width, chunks, left = p, cut, self.overlap, chunks + 1, right
 
-    def boundary(self, text: str, left: list, right: list, low: int, high: int) -> int | None:
-        """A place in [low, high) where both encodings start a token after white space and agree from there on."""
-        ours = [t for t in left if low <= t[0] < high]
-        place = {t: i for i, t in enumerate(right)}
+    def boundary(self, text: str, left: tuple, right: tuple, low: int, high: int) -> int | None:
+        """A place in (low, high) where both encodings start a token after white space and agree from there on."""
+        def zone(piece):
+            i, j = self.before(piece, low), self.before(piece, high)
+            return [(a + piece[0], z + piece[0], t) for (a, z), t in zip(piece[1][i:j], piece[2][i:j], strict=True)]
+        ours, theirs = zone(left), zone(right)
+        place = {t: i for i, t in enumerate(theirs)}
         for i in range(len(ours) - self.agree + 1):
             p = ours[i][0]
             if p > low and text[p - 1] in " \t\n\r\v\f":
                 j = place.get(ours[i])
-                if j is not None and ours[i:i + self.agree] == right[j:j + self.agree]:
+                if j is not None and ours[i:i + self.agree] == theirs[j:j + self.agree]:
                     return p
         return None
 
