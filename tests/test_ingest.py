@@ -280,6 +280,14 @@ def test_csv_files_with_headers_of_their_own(spark):
     assert rows["Three"].track_id == 1 and rows["Two\nlines"].track_id == 11
 
 
+def test_wide_csv_files(spark):
+    d = tempfile.mkdtemp()
+    many = ",".join(f"x{i}" for i in range(60))
+    write(f"{d}/a.csv", f"{many},title,persistent_id,snapshot_date,play_count\n{',' * 60}W,0000000A,2025-01-03T09:50:01Z,3\n")
+    r = csvfile.csv_snapshots(spark, d).collect()
+    assert [(x.name, x.play_count, x.snapshot_date.day) for x in r] == [("W", 3, 3)]
+
+
 def test_backup_users_stay_apart(spark):
     root = tempfile.mkdtemp()
     lib(root, "2025-01-03-095001", plays=3, user="ann")
