@@ -19,8 +19,9 @@ refused by ``append`` (returns False): it changes deltas already written.
 previous one, so a late or re-exported date changes only rows of that date and
 rows whose previous snapshot is (or was) of that date. Affected tracks are
 the batch's keys and the keys the fact held on the batch's dates (a re-export
-can drop tracks); they are recomputed from the raw table, and only the date
-partitions with changed rows are written anew.
+can drop tracks). For each, only the raw rows from its last snapshot before the
+batch's dates to its first one after them are read and recomputed, and only the
+date partitions with changed rows are written anew.
 
 Layout under ``root``. Every load writes folders of its own, named by a fresh id,
 and nothing is ever overwritten:
@@ -196,39 +197,59 @@ def repair(spark: SparkSession, raw: DataFrame, batch_raw: DataFrame, root: str,
     old_fact = _read_fact(spark, root, cur, scope)
     state = _read_state(spark, root, cur)
     batch = M.silver(M.bronze(batch_raw, scope=scope), scope=scope)
-    dates = _dates(batch_raw.withColumnRenamed("snapshot_date", SNAPSHOT))
-    in_batch = F.col(SNAPSHOT).cast("string").isin(dates)
-    owners = batch_raw.select(*scope).distinct() if scope else None
-    held = old_fact.where(in_batch)
+    dates = _dates(batch_raw)
+    if not dates:
+        return
+    day = F.col(SNAPSHOT)
+    first, last = (F.lit(d).cast("date") for d in (dates[0], dates[-1]))
+    held = old_fact.where(day.cast("string").isin(dates))
     if scope:
-        held = held.join(owners, list(scope), "left_semi")
-    # the key set is batch-sized and stored once, so the optimizer broadcasts it if its real size allows
+        held = held.join(batch_raw.select(*scope).distinct(), list(scope), "left_semi")
+    # The affected tracks, each with its last snapshot before and first one after the batch's dates:
+    # nothing outside (before, after] changes. Batch-sized and stored once, so the optimizer
+    # broadcasts it if its real size allows.
     affected = materialise(batch.select(*keys).unionByName(held.select(*keys)).distinct(), "affected-keys")
-
-    def mine(df: DataFrame, how: str) -> DataFrame:
-        a = affected.select(*[F.col(k).alias(f"_{k}") for k in keys])
-        on = F.lit(True)
-        for k in keys:
-            on = on & F.col(k).eqNullSafe(F.col(f"_{k}"))
-        return df.join(a, on, how)
-    s = mine(M.silver(M.bronze(raw, scope=scope), scope=scope), "left_semi")
-    new_fact = materialise(M.fact(s, skew=skew, scope=scope), "repaired-fact")
-    after = F.col("prev_snapshot_date").cast("string").isin(dates)
-    touched = sorted({*dates, *_dates(new_fact.where(after)), *_dates(mine(old_fact, "left_semi").where(after))})
-    here = F.col(SNAPSHOT).cast("string").isin(touched)
-    fact = mine(old_fact.where(here), "left_anti").select(*scope, *FACT_COLUMNS).unionByName(
-        new_fact.where(here).select(*scope, *FACT_COLUMNS))
-    new_state = (mine(state, "left_anti").select(*scope, *SILVER_COLUMNS)
-                 .unionByName(track_state(s, scope)))
+    spans = old_fact.select(*keys, SNAPSHOT).groupBy(*keys).agg(
+        F.max(F.when(day < first, day)).alias("_before"), F.min(F.when(day > last, day)).alias("_after"))
+    affected = materialise(_same(affected, spans, keys, "left").select(*keys, "_before", "_after"), "affected-spans")
+    ends = sorted({str(r[0]) for r in affected.select(F.explode(F.array("_before", "_after")).alias("d"))
+                   .where("d IS NOT NULL").distinct().collect()})  # bounded by the calendar
+    near = day.between(first, last) | day.cast("string").isin(ends)  # prunes raw's date partitions
+    inside = (F.col("_before").isNull() | (day >= F.col("_before"))) & (F.col("_after").isNull() | (day <= F.col("_after")))
+    s = _same(M.silver(M.bronze(raw.where(near), scope=scope), scope=scope), affected, keys, "inner").where(inside)
+    # the row at ``_before`` only gives the next one its previous values
+    own = M.fact(s.drop("_before", "_after"), skew=skew, scope=scope)
+    own = _same(own, affected, keys, "inner").where(F.col("_before").isNull() | (day > F.col("_before")))
+    new_fact = materialise(own.select(*scope, *FACT_COLUMNS), "repaired-fact")
+    follows = F.col("prev_snapshot_date").cast("string").isin(dates)
+    touched = sorted({*dates, *_dates(new_fact.where(follows)),
+                      *_dates(_same(old_fact.where(follows), affected, keys, "inner"))})
+    here = day.cast("string").isin(touched)
+    kept = _same(old_fact.where(here), affected.withColumn("_hit", F.lit(True)), keys, "left").where(
+        F.col("_hit").isNull() | (day <= F.col("_before")) | (day > F.col("_after")))
+    fact = kept.select(*scope, *FACT_COLUMNS).unionByName(new_fact.where(here))
+    # a track with a later snapshot than the batch's keeps its state
+    ended = affected.where(F.col("_after").isNull()).withColumn("_hit", F.lit(True))
+    old_state = _same(state, ended, keys, "left").where(F.col("_hit").isNull())
+    new_state = old_state.select(*scope, *SILVER_COLUMNS).unionByName(
+        track_state(s.where(F.col("_after").isNull()), scope))
     load = _write(fact, new_state, root)
     if publish:
-        # a date whose rows all went has no folder
-        left = _dates(fact)
+        left = _dates(fact)  # a date whose rows all went has no folder
         facts = {d: x for d, x in cur.facts.items() if d not in touched}
         facts.update(dict.fromkeys(left, load))
         _publish(spark, root, Manifest(cur.version + 1, max(facts, default=""), load, facts))
 
 
+def _same(df: DataFrame, other: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """df joined to ``other`` on null-safe equal keys; the keys are df's."""
+    named = other.select(*[F.col(k).alias(f"_{k}") for k in keys], *[c for c in other.columns if c not in keys])
+    on = F.lit(True)
+    for k in keys:
+        on = on & F.col(k).eqNullSafe(F.col(f"_{k}"))
+    return df.join(named, on, how).drop(*[f"_{k}" for k in keys])
+
+
 def open_incremental(spark: SparkSession, root: str, scope: tuple = ()) -> Warehouse:
     """Readers of the incremental store as its newest manifest names it."""
     cur = current(spark, root)

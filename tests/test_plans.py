@@ -105,3 +105,12 @@ def test_replay_page_cuts_the_fact_by_date(spark):
     f.write.parquet(root + "/f")
     p = plan(R.replay_page(spark.read.parquet(root + "/f"), d, year=1997))
     assert "GreaterThanOrEqual(snapshot_date,1997-01-01)" in p
+
+
+def test_first_ranks_are_cut_before_the_exchange(spark):
+    from snaptally.operators.rank import competition_rank
+    df = spark.range(1000).selectExpr("id % 7 AS p", "id % 50 AS m")
+    for part in ([], ["p"]):
+        p = plan(competition_rank(df, "m", part, max_rank=3))
+        below = p[p.index("Exchange"):]
+        assert "WindowGroupLimit" in below and "Join" not in p
