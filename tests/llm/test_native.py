@@ -9,6 +9,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
+from text_fixtures import edge, none, small  # noqa: F401
 
 from snaptally.llm import base as B
 from snaptally.llm import chat, mixing, pii, secrets

@@ -10,6 +10,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
+from text_fixtures import edge, none, small  # noqa: F401
 from tokenizers import Tokenizer
 
 import corpus_pipeline

@@ -1,11 +1,7 @@
-import os
-import sys
+"""Documents the tests share (not a conftest: the engine's tests have that name)."""
 
 import pytest
-
-sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
-
-from brute import EDGE, EDGE_SCHEMA  # noqa: E402
+from brute import EDGE, EDGE_SCHEMA
 
 
 @pytest.fixture(scope="session")
