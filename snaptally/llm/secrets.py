@@ -46,7 +46,7 @@ CLASSES = [
 ]
 # What is known to be no secret.
 ALLOWED = [
-    r"(?i)example|sample|dummy|placeholder|changeme|your[-_]?|xxxx|todo|test[-_]?key",
+    r"(?i)example|placeholder|changeme|x{6}|(?:^|[-_/=+])(?:sample|dummy|test|todo|your)(?:$|[-_/=+])",
     r"^[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}$",
     r"(?i)0123456789|1234567890|abcdefgh|qwertyui",
     r"(.)\1{5}",
@@ -67,7 +67,6 @@ def window_entropy(value: Column, width: int = WINDOW) -> Column:
     ``aggregate`` carries the counts and S; a step adds the entering character
     and, once the window is full, takes out the leaving one."""
     f = lambda n: F.when(n > 0, n * F.log2(F.greatest(n, F.lit(1)))).otherwise(0.0)
-    place = lambda i: F.instr(F.lit(SYMBOLS), value.substr(i, F.lit(1))) - 1
     zero = F.struct(F.array_repeat(F.lit(0), len(SYMBOLS)).alias("n"), F.lit(0.0).alias("s"), F.lit(0.0).alias("best"))
 
     def change(state, at, by):
@@ -75,15 +74,19 @@ def window_entropy(value: Column, width: int = WINDOW) -> Column:
             F.transform(state["n"], lambda x, j: F.when(j == at, x + by).otherwise(x)).alias("n"),
             (state["s"] + f(n + by) - f(n)).alias("s"), state["best"].alias("best")))
 
-    def entered(state, i):
+    def entered(state, i, place):
         return _let(change(state, place(i), F.lit(1)), lambda now: F.struct(
             now["n"].alias("n"), now["s"].alias("s"), F.when(i >= width, F.greatest(
                 now["best"], F.lit(math.log2(width)) - now["s"] / width)).otherwise(now["best"]).alias("best")))
 
-    def step(state, i):
-        return F.when(i > width, _let(change(state, place(i - width), F.lit(-1)), lambda s: entered(s, i))
-                      ).otherwise(entered(state, i))
-    return F.aggregate(F.sequence(F.lit(1), F.length(value)), zero, step, lambda s: s["best"])
+    def walk(chars):  # an array of characters: a place in a string takes a scan
+        place = lambda i: F.instr(F.lit(SYMBOLS), F.get(chars, i - 1)) - 1
+
+        def step(state, i):
+            return F.when(i > width, _let(change(state, place(i - width), F.lit(-1)), lambda s: entered(s, i, place))
+                          ).otherwise(entered(state, i, place))
+        return F.aggregate(F.sequence(F.lit(1), F.size(chars)), zero, step, lambda s: s["best"])
+    return _let(F.split(value, ""), walk)
 
 
 def is_secret(value: Column) -> Column:
