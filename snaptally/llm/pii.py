@@ -8,14 +8,16 @@ entity's own information content (Sanchez and Batet's C-sanitisation):
     disclosure(e; t) = PMI / IC  <= 1, and 1 where t occurs with e only
 
 n counts documents; n(e,t) documents with t inside ``window`` code points of a mention of
-e. A pair counts as evidence only if it is seen in ``min_support`` different texts, so
-copies of one text prove nothing. A term over the threshold is generalised to its class
-(its first letters) if the class is under the threshold, and removed otherwise. Class
-counts are sums over the class's terms.
+e. Every entity is judged, also one with a single mention: a rare term borrows its evidence
+from its class (its first letters), which must be seen in ``min_support`` different texts of
+the corpus, with or without an entity, so copies of one text prove nothing. A term whose class
+is rarer than that is left. A term over the threshold is generalised to its class if the class
+is under the threshold, and removed otherwise. Class counts are sums over the class's terms.
 
 Only the pairs of a mention and the words in its window are formed, so their number grows
-with the mentions, and every count is a two-level aggregate: no entity's documents meet in
-one task.
+with the mentions. Words are counted once per different text, weighted by its documents (one
+shuffle of the texts by their hash), and every count has a partial aggregate: no entity's
+documents meet in one task.
 
 Defined cases: null text is empty; an empty text has no span and an empty ``spans``; an
 entity found in every document has no information and discloses nothing; repeated rows are
@@ -97,33 +99,39 @@ def mentions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
     return B.materialise(d.select("id", F.xxhash64("text").alias("text_hash"), "base", near.alias("near")), "pii")
 
 
-def _counts(df: DataFrame, keys: list[str], name: str) -> DataFrame:
-    """Documents and different texts per key, in two levels."""
-    per_text = df.groupBy(*keys, "text_hash").agg(F.count("*").alias("n"))
-    return per_text.groupBy(*keys).agg(F.sum("n").alias(name), F.count("*").alias("support"))
+def vocabulary(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """term, n_t (documents), support (different texts): one row per word, and one per class as ``cla*``."""
+    texts = docs.select(B.text_of(text_col).alias("text")).groupBy(F.xxhash64("text").alias("text_hash")).agg(
+        F.first("text").alias("text"), F.count("*").alias("n"))
+    words = texts.select("n", F.array_distinct(F.transform(F.split("text", NOT_TERM), F.lower)).alias("words"))
+    classes = F.array_distinct(F.transform("words", lambda w: F.concat(F.substring(w, 1, CLASS_LETTERS), F.lit("*"))))
+    return words.select("n", F.explode(F.concat("words", classes)).alias("term")).groupBy("term").agg(
+        F.sum("n").alias("n_t"), F.count("*").alias("support"))
 
 
 def revealing_terms(docs: DataFrame, found: DataFrame, text_col: str = "text", alpha: float = 0.9,
                     min_support: int = 3) -> DataFrame:
     """kind, entity, term, disclosure, action ("generalise" or "remove"), general."""
     n_docs = float(max(found.count(), 1))
-    one = found.select("text_hash", F.explode("near").alias("m"))
-    ents = found.select("text_hash", F.explode(F.array_distinct(F.transform(
-        F.col("near"), lambda m: F.struct(m["kind"], m["entity"])))).alias("e")).select("text_hash", "e.*")
-    ents = B.materialise(_counts(ents, ["kind", "entity"], "n_e").where(
-        (F.col("support") >= min_support) & (F.col("n_e") < n_docs)).drop("support"), "pii-entities")
+    ents = found.select(F.explode(F.array_distinct(F.transform(
+        F.col("near"), lambda m: F.struct(m["kind"], m["entity"])))).alias("e")).select("e.*")
+    ents = B.materialise(ents.groupBy("kind", "entity").agg(F.count("*").alias("n_e")).where(
+        F.col("n_e") < n_docs), "pii-entities")
     # one row per document, entity and term: the terms of an entity's mentions are merged first
-    pairs = (one.select("text_hash", "m.kind", "m.entity", F.explode(F.array_distinct(F.transform(
-        F.col("m.terms"), lambda w: w["term"]))).alias("term"))
-        .join(ents, ["kind", "entity"]))
-    pairs = B.materialise(_counts(pairs, ["kind", "entity", "n_e", "term"], "n_et").where(
-        F.col("support") >= min_support).withColumn("class", F.substring("term", 1, CLASS_LETTERS)), "pii-pairs")
-    words = F.array_distinct(F.split(F.lower(B.text_of(text_col)), NOT_TERM))
-    vocab = (docs.select(F.explode(words).alias("term")).groupBy("term").agg(F.count("*").alias("n_t"))
-             .withColumn("class", F.substring("term", 1, CLASS_LETTERS))
+    per_doc = F.array_distinct(F.flatten(F.transform(F.col("near"), lambda m: F.transform(
+        m["terms"], lambda w: F.struct(m["kind"], m["entity"], w["term"].alias("term"))))))
+    pairs = (found.select(F.explode(per_doc).alias("p")).select("p.*")
+             .groupBy("kind", "entity", "term").agg(F.count("*").alias("n_et"))
+             .join(ents, ["kind", "entity"]).withColumn("class", F.substring("term", 1, CLASS_LETTERS)))
+    pairs = B.materialise(pairs, "pii-pairs")
+    vocab = (vocabulary(docs, text_col).withColumn("class", F.substring(F.rtrim("term", F.lit("*")), 1, CLASS_LETTERS))
              .join(pairs.select("class").distinct(), "class", "left_semi"))
     vocab = B.materialise(vocab, "pii-vocabulary")
-    classes = vocab.groupBy("class").agg(F.sum("n_t").alias("n_c"))
+    is_class = F.endswith("term", F.lit("*"))
+    # a class with evidence, and the documents of its terms
+    classes = vocab.groupBy("class").agg(F.sum(F.when(~is_class, F.col("n_t"))).alias("n_c"),
+                                         F.max(F.when(is_class, F.col("support"))).alias("support"))
+    classes = classes.where(F.col("support") >= min_support).drop("support")
     class_pairs = pairs.groupBy("kind", "entity", "class").agg(F.sum("n_et").alias("n_ec"))
 
     def share(both: str, own: str) -> Column:

@@ -106,6 +106,19 @@ def test_sanitised_text(revealing):
     assert out[100] == "quixotic words about [EMAIL] only"
 
 
+def test_rare_entities_are_judged(spark):
+    """An address in one text only, and a term found with it only: the class zan* is known, so it has evidence."""
+    rng = random.Random(4)
+    rows = [(0, f"{words(rng, 5)} zanzibar office solo@lone.example {words(rng, 5)}")]
+    rows += [(i, f"{words(rng, 30)} office zancolo zanella") for i in range(1, 50)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    terms = [(r.entity, r.term, r.general, round(r.disclosure, 9)) for r in pii.revealing_terms(df, pii.mentions(df)).collect()
+             if r.term == "zanzibar"]
+    assert terms == [("solo@lone.example", "zanzibar", "zan*", 1.0)]
+    out = {r.doc_id: r.text for r in pii.sanitise(df).collect()}
+    assert " zan* office [EMAIL] " in out[0]
+
+
 def entropy(s, width=20):
     def h(w):
         return -sum(c / width * math.log2(c / width) for c in collections.Counter(w).values())
