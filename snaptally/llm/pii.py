@@ -1,21 +1,22 @@
 """Personal data: fixed patterns, then information-theoretic sanitisation of revealing terms.
 
-The patterns find the protected entities. A term near an entity discloses it when the
+The patterns find the protected entities. A term of an entity's documents discloses it when the
 pointwise mutual information of the two, estimated over the corpus, comes close to the
 entity's own information content (Sanchez and Batet's C-sanitisation):
 
     PMI(e; t) = log2(N n(e,t) / (n(e) n(t)))     IC(e) = log2(N / n(e))
     disclosure(e; t) = PMI / IC  <= 1, and 1 where t occurs with e only
 
-n counts documents; n(e,t) documents with t inside ``window`` code points of a mention of
-e. Every entity is judged, also one with a single mention: a rare term borrows its evidence
+n counts documents; n(e,t) documents that hold a mention of e and t, wherever they stand.
+Every entity is judged, also one with a single mention: a rare term borrows its evidence
 from its class (its first letters), which must be seen in ``min_support`` different texts of
 the corpus, with or without an entity, so copies of one text prove nothing. A term whose class
 is rarer than that is left. A term over the threshold is generalised to its class if the class
-is under the threshold, and removed otherwise. Class counts are sums over the class's terms.
+is under the threshold, and removed otherwise, at each of its places in every document of the
+entity. Class counts are sums over the class's terms.
 
-Only the pairs of a mention and the words in its window are formed, so their number grows
-with the mentions. Words are counted once per different text, weighted by its documents (one
+Only the pairs of an entity and the different words of its documents are formed, so their
+number grows with the documents that hold a mention. Words are counted once per different text, weighted by its documents (one
 shuffle of the texts by their hash), and every count has a partial aggregate: no entity's
 documents meet in one task.
 
@@ -40,7 +41,8 @@ CARD = r"(?=[0-9](?:[\x20-]?[0-9]){11})[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 PART = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 
-TERM = r"[\p{L}\p{N}]+"
+MARK = "\ue000"
+MARKED_TERM = rf"[\p{{L}}\p{{N}}{MARK}]+"
 NOT_TERM = r"[^\p{L}\p{N}]+"
 CLASS_LETTERS = 3
 
@@ -73,30 +75,38 @@ def entity(kind: Column, value: Column) -> Column:
     return F.when(kind.isin("card", "phone"), digits(value)).otherwise(F.lower(value))
 
 
-def _near(text: Column, span: Column, spans: Column, window: int) -> Column:
-    """The terms whole inside ``window`` code points before or after a span, outside all spans."""
-    def words(start, end):
-        ctx = text.substr((start + 1).cast("int"), (end - start).cast("int"))
-        found = B.match_spans(ctx, F.regexp_extract_all(ctx, F.lit(TERM), F.lit(0)), TERM)
-        whole = F.filter(found, lambda w: ~((w["start"] == 0) & (start > 0) & (start < span["start"]))
-                         & ~((start + w["end"] == end) & (end > span["end"]) & (end < F.length(text))))
-        return F.transform(whole, lambda w: F.struct(
-            F.lower(w["value"]).alias("term"), (start + w["start"]).alias("start"), (start + w["end"]).alias("end")))
-    left = words(F.greatest(span["start"] - window, F.lit(0)), span["start"])
-    right = words(span["end"], F.least(span["end"] + window, F.length(text).cast("bigint")))
-    return F.filter(F.concat(left, right), lambda w: ~F.exists(
-        spans, lambda s: (s["start"] < w["end"]) & (w["start"] < s["end"])))
-
-
-def mentions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 120) -> DataFrame:
-    """Per document: id, text_hash, base (spans) and near (one struct per mention: its entity
-    and the terms around it). Written once; both later uses read it back."""
+def _terms(text: Column, spans: Column) -> Column:
+    """array<struct<term, start, end>>: the terms of a text that no span touches.
+
+    Spans are overwritten by as many marks, which join the letters beside them to words with a mark."""
+    zero = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out"))
+    plain = F.translate(text, MARK, " ")
+    part = lambda a, z: plain.substr((a + 1).cast("int"), (z - a).cast("int"))
+    marks = lambda n: F.repeat(F.lit(MARK), F.greatest(n, F.lit(0)).cast("int"))
+    step = lambda acc, s: F.struct(
+        F.greatest(acc["at"], s["end"]).alias("at"),
+        F.concat(acc["out"], part(acc["at"], F.greatest(acc["at"], s["start"])),
+                 marks(s["end"] - F.greatest(acc["at"], s["start"]))).alias("out"))
+    masked = F.aggregate(spans, zero, step, lambda acc: F.concat(
+        acc["out"], part(acc["at"], F.length(text).cast("bigint"))))
+
+    def words(t):
+        found = B.match_spans(t, F.regexp_extract_all(t, F.lit(MARKED_TERM), F.lit(0)), MARKED_TERM)
+        return F.transform(F.filter(found, lambda w: ~F.contains(w["value"], F.lit(MARK))), lambda w: F.struct(
+            F.lower(w["value"]).alias("term"), w["start"].alias("start"), w["end"].alias("end")))
+    none = F.array().cast("array<struct<term:string,start:bigint,end:bigint>>")
+    return F.when(F.size(spans) > 0, F.flatten(F.transform(F.array(masked), words))).otherwise(none)
+
+
+def mentions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Per document: id, text_hash, base (spans), entities and terms (with their places; none in
+    a document without entities). Written once; both later uses read it back."""
     d = docs.select(F.col(id_col).alias("id"), B.text_of(text_col).alias("text"))
     d = B.base_spans(d, "text", KINDS, "base")
-    near = F.transform(F.col("base"), lambda s: F.struct(
-        s["kind"].alias("kind"), entity(s["kind"], s["value"]).alias("entity"),
-        _near(F.col("text"), s, F.col("base"), window).alias("terms")))
-    return B.materialise(d.select("id", F.xxhash64("text").alias("text_hash"), "base", near.alias("near")), "pii")
+    entities = F.array_distinct(F.transform(F.col("base"), lambda s: F.struct(
+        s["kind"].alias("kind"), entity(s["kind"], s["value"]).alias("entity"))))
+    return B.materialise(d.select("id", F.xxhash64("text").alias("text_hash"), "base", entities.alias("entities"),
+                                  _terms(F.col("text"), F.col("base")).alias("terms")), "pii")
 
 
 def vocabulary(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -113,14 +123,12 @@ def revealing_terms(docs: DataFrame, found: DataFrame, text_col: str = "text", a
                     min_support: int = 3) -> DataFrame:
     """kind, entity, term, disclosure, action ("generalise" or "remove"), general."""
     n_docs = float(max(found.count(), 1))
-    ents = found.select(F.explode(F.array_distinct(F.transform(
-        F.col("near"), lambda m: F.struct(m["kind"], m["entity"])))).alias("e")).select("e.*")
+    ents = found.select(F.explode("entities").alias("e")).select("e.*")
     ents = B.materialise(ents.groupBy("kind", "entity").agg(F.count("*").alias("n_e")).where(
         F.col("n_e") < n_docs), "pii-entities")
-    # one row per document, entity and term: the terms of an entity's mentions are merged first
-    per_doc = F.array_distinct(F.flatten(F.transform(F.col("near"), lambda m: F.transform(
-        m["terms"], lambda w: F.struct(m["kind"], m["entity"], w["term"].alias("term"))))))
-    pairs = (found.select(F.explode(per_doc).alias("p")).select("p.*")
+    words = F.array_distinct(F.transform(F.col("terms"), lambda w: w["term"]))
+    pairs = (found.select(F.explode("entities").alias("e"), words.alias("words"))
+             .select("e.*", F.explode("words").alias("term"))
              .groupBy("kind", "entity", "term").agg(F.count("*").alias("n_et"))
              .join(ents, ["kind", "entity"]).withColumn("class", F.substring("term", 1, CLASS_LETTERS)))
     pairs = B.materialise(pairs, "pii-pairs")
@@ -147,18 +155,18 @@ def revealing_terms(docs: DataFrame, found: DataFrame, text_col: str = "text", a
         F.when(general, F.concat("class", F.lit("*"))).otherwise("").alias("general")), "pii-terms")
 
 
-def detect(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 120,
-           alpha: float = 0.9, min_support: int = 3) -> DataFrame:
+def detect(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", alpha: float = 0.9,
+           min_support: int = 3) -> DataFrame:
     """id, text_hash, base and spans: array<struct<start, rank, kind, end, value>>, by start.
 
     ``value`` is the found text for base kinds and the replacement for added ones."""
-    found = mentions(docs, id_col, text_col, window)
+    found = mentions(docs, id_col, text_col)
     terms = revealing_terms(docs, found, text_col, alpha, min_support)
-    near = (found.where(F.size("near") > 0).select("id", "text_hash", F.explode("near").alias("m"))
-            .select("id", "text_hash", "m.kind", "m.entity", F.explode("m.terms").alias("w"))
-            .select("id", "text_hash", "kind", "entity", "w.*"))
+    places = (found.select("id", "text_hash", "terms", F.explode("entities").alias("e"))
+              .select("id", "text_hash", "e.*", F.explode("terms").alias("w"))
+              .select("id", "text_hash", "kind", "entity", "w.*"))
     rank = F.when(F.col("action") == ADDED[0], len(KINDS)).otherwise(len(KINDS) + 1)
-    hit = near.join(terms, ["kind", "entity", "term"]).groupBy("id", "text_hash", "start", "end").agg(
+    hit = places.join(terms, ["kind", "entity", "term"]).groupBy("id", "text_hash", "start", "end").agg(
         F.max(F.struct(rank.alias("rank"), F.col("action").alias("kind"), F.col("general").alias("value"))).alias("a"))
     added = hit.groupBy("id", "text_hash").agg(F.collect_list(F.struct(
         "start", "a.rank", "a.kind", "end", "a.value")).alias("added"))

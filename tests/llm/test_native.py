@@ -119,6 +119,18 @@ def test_rare_entities_are_judged(spark):
     assert " zan* office [EMAIL] " in out[0]
 
 
+def test_terms_far_from_the_mention(spark):
+    """Co-occurrence is by document, and every place of a revealing term is marked."""
+    rng = random.Random(6)
+    far = [f"zanzibar {words(rng, 60)} jo@corp.example {words(rng, 60)} Zanzibar x10.0.0.1y" for _ in range(4)]
+    rows = [*enumerate(far), *((i, f"{words(rng, 30)} zancolo zanella") for i in range(10, 60))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    out = {r.doc_id: r.text for r in pii.sanitise(df).collect()}
+    for i, t in enumerate(far):
+        assert out[i].startswith("zan* ") and out[i].endswith(" zan* x[IP]y") and "anzibar" not in out[i]
+    assert out[10] == dict(rows)[10]
+
+
 def entropy(s, width=20):
     def h(w):
         return -sum(c / width * math.log2(c / width) for c in collections.Counter(w).values())
