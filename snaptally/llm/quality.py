@@ -4,16 +4,18 @@ A document's character-class histogram and its common-word histogram (fixed valu
 ``features``) are compared to each language's reference by Jensen-Shannon distance (base 2,
 0 to 1). The divergence that a sample of the document's length has from its own source,
 (bins - 1) / (8 ln 2 n), is taken off first, so short documents are not judged by noise, and
-documents with fewer than ``min_words`` words are not judged by the divergence at all. The
-document passes if, for some reference, the two distances as shares of ``max_char`` and
-``max_word`` add up to 1 at most; which language it says it has does not matter.
+documents with fewer than ``min_words`` words are not judged by the divergence at all. A
+document is compared to its own language's reference and those of the languages with common
+words (``features.COMMON``), one without a language to all references; it passes if, for some
+reference, the two distances as shares of ``max_char`` and ``max_word`` add up to 1 at most. A
+document whose language has no reference is not judged by the divergence.
 
-A language's reference is the mean of the normalised histograms of its documents that pass
+Every language value present has a reference: the mean of the normalised histograms of its documents that pass
 the counting rules and the length guard, each different text once, so copies have one vote.
-References are a few hundred numbers (languages times bins, both fixed lists).
+References are one row of about a hundred numbers per language value.
 
 Defined cases: null text is empty; a text under 20 words fails the counting rules; without
-a reference the divergence judges nothing; a null or other language gives no reference;
+a reference the divergence judges nothing; a null language gives no reference;
 repeated rows are judged alike; other columns pass through, one named as the result column
 is replaced; an empty table gives an empty result.
 """
@@ -69,19 +71,20 @@ def profiles(texts: list[bytes]) -> list[dict]:
     return out
 
 
-def references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", min_words: int = 60,
-               languages: tuple[str, ...] = tuple(X.COMMON)) -> dict[str, tuple[np.ndarray, np.ndarray]]:
+def references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
+               min_words: int = 60) -> dict[str, tuple[np.ndarray, np.ndarray]]:
     """language -> (character-class reference, common-word reference)."""
     if lang_col not in docs.columns:
         return {}
-    d = docs.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).where(F.col("lang").isin(*languages))
+    d = docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text")).where(
+        F.col("lang").isNotNull())
     p = A.with_result(d, "text", "p", PROFILE, profiles).select("lang", F.xxhash64("text").alias("text_hash"), "p.*")
     p = p.where(~F.col("base_failed") & (F.col("n_words") >= min_words)).dropDuplicates(["lang", "text_hash"])
     n_chars, n_words = len(X.CLASSES) - 1, len(X.WORDS) + 1
     means = p.groupBy("lang").agg(*[F.avg(F.get("chars", F.lit(i))).alias(f"c{i}") for i in range(n_chars)],
                                   *[F.avg(F.get("words", F.lit(i))).alias(f"w{i}") for i in range(n_words)])
     return {r["lang"]: (np.array([r[f"c{i}"] for i in range(n_chars)]), np.array([r[f"w{i}"] for i in range(n_words)]))
-            for r in means.collect()}  # at most one row per listed language
+            for r in means.collect()}  # one row per language value
 
 
 def assess(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", out: str = "quality", min_words: int = 60,
@@ -89,25 +92,27 @@ def assess(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", out:
     """docs with ``out``: struct of the counts, base_failed, the nearest reference's distances, kept."""
     refs = references(docs, text_col, lang_col, min_words)
 
-    def per_text(texts):
+    def per_text(texts, langs):
         rows = []
-        for raw in texts:
+        for raw, lang in zip(texts, langs, strict=True):
             words = raw.split()
             c = X.base_counts(raw, words)
             failed = base_failed(c)
             r = {**c, "base_failed": failed, "kept": not failed, "nearest": None,
                  "char_distance": None, "word_distance": None}
-            if refs and c["n_words"] >= min_words:
+            if refs and c["n_words"] >= min_words and (lang is None or str(lang) in refs):
                 chars, common = X.char_histogram(raw), X.word_histogram(raw)
                 far = {k: (js_distance(share(chars), a, chars.sum()), js_distance(share(common), b, max(common.sum(), 1)))
-                       for k, (a, b) in refs.items()}
+                       for k, (a, b) in refs.items() if lang is None or k == str(lang) or k in X.COMMON}
                 total = {k: c / max_char + w / max_word for k, (c, w) in far.items()}
                 near = min(total, key=lambda k: (total[k], k))
                 r["nearest"], (r["char_distance"], r["word_distance"]) = near, far[near]
                 r["kept"] = not failed and total[near] <= 1
             rows.append(r)
         return rows
-    return A.with_result(docs, text_col, out, KIND, per_text)
+    if not refs:  # nothing to compare to, with or without a language column
+        return A.with_result(docs, text_col, out, KIND, lambda texts: per_text(texts, [None] * len(texts)))
+    return A.with_result(docs, text_col, out, KIND, per_text, also=lang_col)
 
 
 def keep(docs: DataFrame, **params) -> DataFrame:

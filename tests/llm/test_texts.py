@@ -185,6 +185,18 @@ def test_divergence(spark):
     assert not any(again[i] for i in (100, 101))
 
 
+def test_other_languages_are_kept(spark):
+    """A clean text in another script has its own reference, or none, and stays."""
+    rng = random.Random(3)
+    russian = lambda n: " ".join("".join(rng.choices("абвгдеиклмнопрст", k=rng.randint(2, 8))) for _ in range(n)) + "."
+    rows = [(i, sentence(rng, 150), "en") for i in range(40)] + [(100 + i, russian(150), "ru") for i in range(5)]
+    rows += [(200, " ".join(w.upper() + "!!" for w in sentence(rng, 120).split()), "en")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r.doc_id: r for r in quality.digest(quality.assess(df)).collect()}
+    assert all(got[i].kept for i in [*range(40), *range(100, 105)]) and not got[200].kept
+    assert {got[i].nearest for i in range(100, 105)} == {"ru"}
+
+
 def test_quality_without_references(spark, none, edge):
     assert quality.digest(quality.assess(none)).count() == 0
     assert quality.keep(edge).columns == edge.columns
