@@ -1,7 +1,8 @@
 """Secret scan: fixed patterns, then sliding-window Shannon entropy of candidate strings.
 
 A candidate is a maximal run of 20 or more of ``A-Za-z0-9+/=_-`` (trailing ``=`` are
-padding). Its character class decides the least entropy of a window of 20 characters that
+padding). It is measured whole, without padding, and by its parts between ``=/+_-``; a run with
+a part that is a secret is one span. The character class of what is measured decides the least entropy of a window of 20 characters that
 makes it a secret. The window's entropy is kept by incremental counts: with
 S = sum of n log2 n over the counts, H = log2(20) - S / 20, and one step forward changes
 two counts. Candidates that the allow list knows (placeholders, UUIDs, sequences, words
@@ -35,14 +36,17 @@ KINDS = [
 
 WINDOW = 20
 CANDIDATE = r"(?<![A-Za-z0-9+/=_-])[A-Za-z0-9+/=_-]{20,}+"
-# class of a candidate (the first that fits), least entropy in bits of a window.
-# A class needs a letter and a digit: words alone are never candidates.
+# class of a candidate or part (the first that fits), least entropy in bits of a window.
+# Words and numbers alone, and runs with separators, need nearly as many bits as 20 characters can have.
 CLASSES = [
     ("hex", r"^(?=.*[0-9])(?=.*[A-Fa-f])[0-9A-Fa-f]+$", 3.0),
     ("upper", r"^(?=.*[0-9])(?=.*[A-Z])[0-9A-Z]+$", 3.4),
     ("lower", r"^(?=.*[0-9])(?=.*[a-z])[0-9a-z]+$", 3.4),
     ("alnum", r"^(?=.*[0-9])(?=.*[a-z])(?=.*[A-Z])[0-9A-Za-z]+$", 3.5),
     ("base64", r"^(?=.*[0-9])(?=.*[a-z])(?=.*[A-Z])[0-9A-Za-z+/_=-]+$", 3.7),
+    ("mixed", r"^(?=.*[0-9])(?=.*[A-Za-z])[0-9A-Za-z+/_=-]+$", 4.0),
+    ("digits", r"^[0-9]+$", 3.3),
+    ("other", r"^.+$", 4.1),
 ]
 # What is known to be no secret.
 ALLOWED = [
@@ -50,7 +54,7 @@ ALLOWED = [
     r"^[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}$",
     r"(?i)0123456789|1234567890|abcdefgh|qwertyui",
     r"(.)\1{5}",
-    r"^[A-Za-z]++(?:[-_/=+][A-Za-z]++)*+(?:[-_/][0-9]{1,4}+)*+$",
+    r"^(?=.*[-_/=+])[A-Za-z]++(?:[-_/=+][A-Za-z]++)*+(?:[-_/][0-9]{1,4}+)*+$",
 ]
 # the symbols that counts are kept for, by place
 SYMBOLS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/=_-"
@@ -89,15 +93,26 @@ def window_entropy(value: Column, width: int = WINDOW) -> Column:
     return _let(F.split(value, ""), walk)
 
 
+def _pieces(value: Column) -> Column:
+    """What is measured of a candidate: the whole without padding and the parts, from a window's length on."""
+    whole = F.array(F.regexp_replace(value, "=+$", ""))
+    return F.filter(F.array_distinct(F.concat(whole, F.split(value, "[=/+_-]+"))), lambda p: F.length(p) >= WINDOW)
+
+
+def _reaches(piece: Column) -> Column:
+    """True if a window of ``piece`` has the least entropy of its class."""
+    least = F.lit(None).cast("double")
+    for _, p, bits in reversed(CLASSES):
+        least = F.when(F.rlike(piece, F.lit(p)), F.lit(bits)).otherwise(least)
+    return window_entropy(piece) >= least
+
+
 def is_secret(value: Column) -> Column:
     """The verdict on one candidate: class threshold reached and not allow-listed."""
     allowed = F.lit(False)
     for p in ALLOWED:
         allowed = allowed | F.rlike(value, F.lit(p))
-    least = F.lit(None).cast("double")
-    for _, p, bits in reversed(CLASSES):
-        least = F.when(F.rlike(value, F.lit(p)), F.lit(bits)).otherwise(least)
-    return F.when(allowed, False).otherwise(F.when(least.isNotNull(), window_entropy(value) >= least).otherwise(False))
+    return F.when(allowed, False).otherwise(F.exists(_pieces(value), _reaches))
 
 
 def scan(docs: DataFrame, text_col: str = "text", out: str = "secrets") -> DataFrame:

@@ -164,6 +164,14 @@ def test_secret_verdicts(spark):
     assert {r.v: r.s for r in df.collect()} == cases
 
 
+def test_secrets_in_parts_and_other_classes(spark):
+    cases = {"session_id=8f3kq0z7x1m5w9c2v6b4": True, "QF7K2-9XWZ4-LM3TB-8VNC6": True, "JBSWY3DPEHPK3PXPKRSXG5A=": True,
+             "path/to/8f3kq0z7x1m5w9c2v6b4": True, "QwErTzUiOpAsDfGhJkLyXcVbNm": True,
+             "some/long/path-to_words": False, "CounterRevolutionaries": False, "20240101-20240202-20240303": False}
+    df = spark.createDataFrame([(k,) for k in cases], "v string").select("v", secrets.is_secret(F.col("v")).alias("s"))
+    assert {r.v: r.s for r in df.collect()} == cases
+
+
 def test_redaction(spark):
     df = spark.createDataFrame([(1, "a password=hunter22 b k7J2mQ9xZ4vB8nT1cR6wYp3L c")], "doc_id long, text string")
     assert secrets.redact(df).first().text == "a [SECRET] b [SECRET] c"
