@@ -5,8 +5,9 @@ padding). It is measured whole, without padding, and by its parts between ``=/+_
 a part that is a secret is one span. The character class of what is measured decides the least entropy of a window of 20 characters that
 makes it a secret. The window's entropy is kept by incremental counts: with
 S = sum of n log2 n over the counts, H = log2(20) - S / 20, and one step forward changes
-two counts. Candidates that the allow list knows (placeholders, UUIDs, sequences, words
-joined by separators) are suppressed, and so are those inside a span found before.
+two counts. UUIDs and words joined by separators are suppressed; placeholders,
+sequences and repeated characters are masked, and what is beside them is measured. Also
+suppressed are candidates inside a span found before.
 
 Everything is one projection of Spark expressions: no shuffle, no Python.
 
@@ -48,12 +49,15 @@ CLASSES = [
     ("digits", r"^[0-9]+$", 3.3),
     ("other", r"^.+$", 4.1),
 ]
-# What is known to be no secret.
-ALLOWED = [
-    r"(?i)example|placeholder|changeme|x{6}|(?:^|[-_/=+])(?:sample|dummy|test|todo|your)(?:$|[-_/=+])",
-    r"^[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}$",
+# What is known to be no secret. Masked stretches are left out and what is
+# beside them is measured; whole patterns hold for all of a run or piece.
+MASKED = [
+    r"(?i)example|placeholder|changeme|x{6,}+|(?:^|[-_/=+])(?:sample|dummy|test|todo|your)(?=$|[-_/=+])",
     r"(?i)0123456789|1234567890|abcdefgh|qwertyui",
-    r"(.)\1{5}",
+    r"(.)\1{5,}+",
+]
+WHOLE = [
+    r"^[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}$",
     r"^(?=.*[-_/=+])[A-Za-z]++(?:[-_/=+][A-Za-z]++)*+(?:[-_/][0-9]{1,4}+)*+$",
 ]
 # the symbols that counts are kept for, by place
@@ -93,10 +97,22 @@ def window_entropy(value: Column, width: int = WINDOW) -> Column:
     return _let(F.split(value, ""), walk)
 
 
+def _allowed(value: Column) -> Column:
+    hit = F.lit(False)
+    for p in WHOLE:
+        hit = hit | F.rlike(value, F.lit(p))
+    return hit
+
+
 def _pieces(value: Column) -> Column:
-    """What is measured of a candidate: the whole without padding and the parts, from a window's length on."""
-    whole = F.array(F.regexp_replace(value, "=+$", ""))
-    return F.filter(F.array_distinct(F.concat(whole, F.split(value, "[=/+_-]+"))), lambda p: F.length(p) >= WINDOW)
+    """What is measured of a candidate, from a window's length on: the stretches beside masked
+    ones, without padding, and their parts."""
+    masked = value
+    for p in MASKED:
+        masked = F.regexp_replace(masked, p, " ")
+    whole = F.transform(F.split(masked, " +"), lambda s: F.regexp_replace(s, "=+$", ""))
+    parts = F.split(masked, "[ =/+_-]+")
+    return F.filter(F.array_distinct(F.concat(whole, parts)), lambda p: (F.length(p) >= WINDOW) & ~_allowed(p))
 
 
 def _reaches(piece: Column) -> Column:
@@ -108,11 +124,8 @@ def _reaches(piece: Column) -> Column:
 
 
 def is_secret(value: Column) -> Column:
-    """The verdict on one candidate: class threshold reached and not allow-listed."""
-    allowed = F.lit(False)
-    for p in ALLOWED:
-        allowed = allowed | F.rlike(value, F.lit(p))
-    return F.when(allowed, False).otherwise(F.exists(_pieces(value), _reaches))
+    """The verdict on one candidate: a piece that is not allow-listed reaches its class's threshold."""
+    return F.when(_allowed(value), False).otherwise(F.exists(_pieces(value), _reaches))
 
 
 def scan(docs: DataFrame, text_col: str = "text", out: str = "secrets") -> DataFrame:

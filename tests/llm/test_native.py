@@ -172,6 +172,14 @@ def test_secrets_in_parts_and_other_classes(spark):
     assert {r.v: r.s for r in df.collect()} == cases
 
 
+def test_allow_list_masks_stretches_only(spark):
+    cases = {"b3BlbnNzaC1rZXktdjEAAAAABG5vbmUAAAAEbm9uZQAAAAAAAAABAAABlwAAAAdzc2gtcn": True,
+             "example/k7J2mQ9xZ4vB8nT1cR6wYp3L": True, "k7J2mQ9xZ4vB8nT1cR6wYp3L1234567890": True,
+             "example/1234567890abcdefgh": False, "AAAAAAAAAAAAAAAAAAAAAAAAAAAA1b": False}
+    df = spark.createDataFrame([(k,) for k in cases], "v string").select("v", secrets.is_secret(F.col("v")).alias("s"))
+    assert {r.v: r.s for r in df.collect()} == cases
+
+
 def test_redaction(spark):
     df = spark.createDataFrame([(1, "a password=hunter22 b k7J2mQ9xZ4vB8nT1cR6wYp3L c")], "doc_id long, text string")
     assert secrets.redact(df).first().text == "a [SECRET] b [SECRET] c"
