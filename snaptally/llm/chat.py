@@ -65,12 +65,14 @@ def _mark(marks: dict, role: Column, other: Column) -> Column:
 
 def blocks(turns: Column) -> Column:
     """Sorted turns -> array<struct<role, texts>>: adjacent turns of one role merged."""
-    role_at = lambda i: F.get(turns, i)["role"]
-    places = F.sequence(F.lit(0), F.size(turns) - 1)
-    starts = F.filter(places, lambda i: (i == 0) | (role_at(i) != role_at(i - 1)))
-    ends = F.concat(F.slice(starts, F.lit(2), F.size(starts)), F.array(F.size(turns)))
-    return F.zip_with(starts, ends, lambda a, z: F.struct(
-        role_at(a).alias("role"), F.transform(F.slice(turns, a + 1, z - a), lambda t: t["text"]).alias("texts")))
+    def merged(all_):
+        role_at = lambda i: F.get(all_, i)["role"]
+        places = F.sequence(F.lit(0), F.size(all_) - 1)
+        starts = F.filter(places, lambda i: (i == 0) | (role_at(i) != role_at(i - 1)))
+        return B.let(starts, lambda at: F.transform(at, lambda a, i: F.struct(
+            role_at(a).alias("role"), F.transform(F.slice(all_, a + 1, F.coalesce(F.get(at, i + 1), F.size(all_)) - a),
+                                                  lambda t: t["text"]).alias("texts"))))
+    return B.let(turns, merged)
 
 
 def _segments(block: Column) -> Column:
@@ -117,8 +119,7 @@ def parse(formatted: Column) -> Column:
 def digest(out: DataFrame) -> DataFrame:
     """The query's columns, read back from format_conversations()."""
     d = out.select("conv_id", "formatted", "loss_spans", parse(F.col("formatted")).alias("turns"))
-    loss = F.transform("loss_spans", lambda s: unescape(F.col("formatted").substr(
-        (s["start"] + 1).cast("int"), (s["end"] - s["start"]).cast("int"))))
+    loss = F.transform(B.cut(F.col("formatted"), F.col("loss_spans")), unescape)
     d = d.select("conv_id", "formatted", "turns", F.array_join(loss, "").alias("loss"))
     said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     return d.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(said, 256).alias("turns_sha256"),

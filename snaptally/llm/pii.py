@@ -53,12 +53,10 @@ def digits(v: Column) -> Column:
 
 def luhn(v: Column) -> Column:
     """True if the digits of ``v`` pass the Luhn sum."""
-    d = F.reverse(digits(v))
-    at = lambda i: d.substr(i, F.lit(1)).cast("int")
     twice = lambda x: F.when(x > 4, 2 * x - 9).otherwise(2 * x)
-    total = F.aggregate(F.sequence(F.lit(1), F.length(d)), F.lit(0), lambda s, i: s + F.when(
-        i % 2 == 1, at(i)).otherwise(twice(at(i))))
-    return total % 10 == 0
+    at = F.transform(F.split(F.reverse(digits(v)), ""), lambda c, i: F.when(
+        i % 2 == 0, c.cast("int")).otherwise(twice(c.cast("int"))))
+    return F.aggregate(at, F.lit(0), lambda s, x: s + x) % 10 == 0
 
 
 KINDS = [
@@ -79,23 +77,14 @@ def _terms(text: Column, spans: Column) -> Column:
     """array<struct<term, start, end>>: the terms of a text that no span touches.
 
     Spans are overwritten by as many marks, which join the letters beside them to words with a mark."""
-    zero = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out"))
-    plain = F.translate(text, MARK, " ")
-    part = lambda a, z: plain.substr((a + 1).cast("int"), (z - a).cast("int"))
-    marks = lambda n: F.repeat(F.lit(MARK), F.greatest(n, F.lit(0)).cast("int"))
-    step = lambda acc, s: F.struct(
-        F.greatest(acc["at"], s["end"]).alias("at"),
-        F.concat(acc["out"], part(acc["at"], F.greatest(acc["at"], s["start"])),
-                 marks(s["end"] - F.greatest(acc["at"], s["start"]))).alias("out"))
-    masked = F.aggregate(spans, zero, step, lambda acc: F.concat(
-        acc["out"], part(acc["at"], F.length(text).cast("bigint"))))
+    marked = B.replace_spans(F.translate(text, MARK, " "), spans, lambda s, n: F.repeat(F.lit(MARK), n.cast("int")))
 
     def words(t):
         found = B.match_spans(t, F.regexp_extract_all(t, F.lit(MARKED_TERM), F.lit(0)), MARKED_TERM)
         return F.transform(F.filter(found, lambda w: ~F.contains(w["value"], F.lit(MARK))), lambda w: F.struct(
             F.lower(w["value"]).alias("term"), w["start"].alias("start"), w["end"].alias("end")))
     none = F.array().cast("array<struct<term:string,start:bigint,end:bigint>>")
-    return F.when(F.size(spans) > 0, F.flatten(F.transform(F.array(masked), words))).otherwise(none)
+    return F.when(F.size(spans) > 0, B.let(marked, words)).otherwise(none)
 
 
 def mentions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -182,7 +171,7 @@ def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     spans = detect(docs, id_col, text_col, **params).dropDuplicates(["id", "text_hash"])
     d = docs.withColumn("__h", F.xxhash64(B.text_of(text_col)))
     on = (d[id_col].eqNullSafe(spans["id"])) & (d["__h"] == spans["text_hash"])
-    by = lambda s: F.when(s["rank"] < len(KINDS), F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]"))).otherwise(s["value"])
+    by = lambda s, n: F.when(s["rank"] < len(KINDS), F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]"))).otherwise(s["value"])
     wide = d.join(spans.select("id", "text_hash", F.col("spans").alias("__spans")), on, "left")
     return wide.select(*[B.replace_spans(B.text_of(text_col), F.col("__spans"), by).alias(c) if c == text_col
                          else d[c] for c in docs.columns])

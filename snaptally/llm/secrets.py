@@ -64,11 +64,6 @@ WHOLE = [
 SYMBOLS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/=_-"
 
 
-def _let(value: Column, body) -> Column:
-    """body(value) with ``value`` evaluated once."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def window_entropy(value: Column, width: int = WINDOW) -> Column:
     """The greatest Shannon entropy (bits) of any window of ``width`` characters.
 
@@ -78,12 +73,12 @@ def window_entropy(value: Column, width: int = WINDOW) -> Column:
     zero = F.struct(F.array_repeat(F.lit(0), len(SYMBOLS)).alias("n"), F.lit(0.0).alias("s"), F.lit(0.0).alias("best"))
 
     def change(state, at, by):
-        return _let(F.get(state["n"], at), lambda n: F.struct(
+        return B.let(F.get(state["n"], at), lambda n: F.struct(
             F.transform(state["n"], lambda x, j: F.when(j == at, x + by).otherwise(x)).alias("n"),
             (state["s"] + f(n + by) - f(n)).alias("s"), state["best"].alias("best")))
 
     def entered(state, i, place):
-        return _let(change(state, place(i), F.lit(1)), lambda now: F.struct(
+        return B.let(change(state, place(i), F.lit(1)), lambda now: F.struct(
             now["n"].alias("n"), now["s"].alias("s"), F.when(i >= width, F.greatest(
                 now["best"], F.lit(math.log2(width)) - now["s"] / width)).otherwise(now["best"]).alias("best")))
 
@@ -91,10 +86,10 @@ def window_entropy(value: Column, width: int = WINDOW) -> Column:
         place = lambda i: F.instr(F.lit(SYMBOLS), F.get(chars, i - 1)) - 1
 
         def step(state, i):
-            return F.when(i > width, _let(change(state, place(i - width), F.lit(-1)), lambda s: entered(s, i, place))
+            return F.when(i > width, B.let(change(state, place(i - width), F.lit(-1)), lambda s: entered(s, i, place))
                           ).otherwise(entered(state, i, place))
         return F.aggregate(F.sequence(F.lit(1), F.size(chars)), zero, step, lambda s: s["best"])
-    return _let(F.split(value, ""), walk)
+    return B.let(F.split(value, ""), walk)
 
 
 def _allowed(value: Column) -> Column:
@@ -146,7 +141,7 @@ def redact(docs: DataFrame, text_col: str = "text", by: str = "[SECRET]") -> Dat
     """docs with every found span of ``text_col`` replaced; a null text stays null."""
     out = "__secrets"
     d = scan(docs, text_col, out)
-    clean = B.replace_spans(F.col(text_col), F.col(f"{out}.spans"), lambda s: F.lit(by))
+    clean = B.replace_spans(F.col(text_col), F.col(f"{out}.spans"), lambda s, n: F.lit(by))
     return d.withColumn(text_col, clean).select(*docs.columns)
 
 

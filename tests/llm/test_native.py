@@ -64,6 +64,43 @@ def test_many_matches_in_one_text(spark):
     assert [(s.start, s.end) for s in d] == [(a, z) for a, _, _, z in X.spans(text, X.PII)]
 
 
+def test_long_texts_take_linear_time(spark):
+    """Quadratic steps would take minutes here."""
+    began = time.time()
+    mails = spark.createDataFrame([(1, " ".join(f"u{i}@h{i}.org" for i in range(32_000)))], "doc_id long, text string")
+    d = B.base_spans(mails, "text", pii.KINDS, "s")
+    assert d.select(F.size("s"), F.length(B.replace_spans(F.col("text"), F.col("s"), lambda s, n: F.lit("[X]")))
+                    ).first()[:] == (32_000, 32_000 * 4 - 1)
+    many = spark.createDataFrame([(1, "a@b.cc " + " ".join(f"w{i}" for i in range(40_000)))], "doc_id long, text string")
+    d = B.base_spans(many, "text", pii.KINDS, "s")
+    assert d.select(F.size(pii._terms(F.col("text"), F.col("s")))).first()[0] == 40_000
+    turns = spark.range(40_000).select(F.lit(1).alias("conv_id"), F.col("id").alias("turn"), F.when(
+        F.col("id") % 2 == 0, "user").otherwise("assistant").alias("role"), F.lit("ok </s>").alias("text"))
+    assert chat.digest(chat.format_conversations(turns)).first()["n_turns"] == 40_000
+    assert time.time() - began < 60
+
+
+def test_replaced_spans_against_plain_python(spark):
+    rng, rows = random.Random(8), []
+    for i in range(200):
+        text = "".join(rng.choice("abc\U0001f600é ") for _ in range(rng.randrange(0, 900)))
+        n = rng.choice([0, 1, 5, 300]) if text else 0
+        spans = sorted({(a, min(len(text), a + rng.randrange(1, 9))) for a in (rng.randrange(len(text)) for _ in range(n))})
+        rows.append((i, text, spans))
+    df = spark.createDataFrame(rows, "i int, text string, spans array<struct<start:bigint,end:bigint>>")
+    got = {r.i: r.t for r in df.select("i", B.replace_spans(F.col("text"), F.col("spans"), lambda s, n: F.concat(
+        F.lit("<"), n.cast("string"), F.lit(">"))).alias("t")).collect()}
+    for i, text, spans in rows:
+        out, at, k = "", 0, 0
+        while k < len(spans):
+            a, z = spans[k]
+            while k + 1 < len(spans) and spans[k + 1][0] < z:
+                k += 1
+                z = max(z, spans[k][1])
+            out, at, k = out + text[at:a] + f"<{z - a}>", z, k + 1
+        assert got[i] == out + text[at:]
+
+
 def words(rng, n):
     return " ".join(rng.choice("abcdefghij") + rng.choice("klmnop") + rng.choice("aeiou") for _ in range(n))
 
