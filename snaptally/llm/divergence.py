@@ -23,7 +23,8 @@ so a joint table costs its non-empty cells, not V, and is priced by Spark expres
 Plan: terms are counted in each task (a bounded table, given out when full), then summed by
 (language, source, term), then gathered by (language, term), one entry a source. The joint
 tables are summed over blocks with partial aggregates. A group with a third of all documents is
-spread by its terms; a group's top terms are first cut inside ``SALT`` parts of its terms.
+spread by its terms; of a group's terms each task sends on its ``top`` first ones only (Spark cuts
+ranks up to 1,000 below the exchange).
 
 Defined cases: null text, language and source are ''; a group without terms has N = 0 and is
 compared all the same; without kept terms (V = 0) every pair has value 0; repeated rows are
@@ -46,7 +47,6 @@ LETTERS = bytes(b + 32 if 0x41 <= b <= 0x5A else b if b >= 0x80 or 0x61 <= b <=
 SLICE = 1 << 20  # bytes of a text that are split at a time
 HELD = 400_000  # counts a task holds before it gives them out
 BLOCK, TILE, CELLS = 1024, 2048, 1_000_000
-SALT = 32
 SCALE = 1_000_000_000
 COUNTS = "lang string, source string, term string, n long, docs long"
 JOINT = "lang string, s1 string, n1 long, s2 string, n2 long, terms long"
@@ -69,9 +69,9 @@ def _rows(counts: dict, docs: dict):
         for i in range(0, len(names), 65_536):
             some = names[i:i + 65_536]
             yield pa.RecordBatch.from_arrays([
-                pa.array([lang] * len(some), pa.string()), pa.array([source] * len(some), pa.string()),
-                pa.array(some, pa.binary()).cast(pa.string()), pa.array([own[t] for t in some], pa.int64()),
-                pa.array([held[t] for t in some], pa.int64())], names=["lang", "source", "term", "n", "docs"])
+                pa.repeat(lang, len(some)), pa.repeat(source, len(some)), pa.array(some, pa.binary()).cast(pa.string()),
+                pa.array(map(own.__getitem__, some), pa.int64()), pa.array(map(held.__getitem__, some), pa.int64())],
+                names=["lang", "source", "term", "n", "docs"])
 
 
 def _count(batches):
@@ -144,14 +144,16 @@ def _joint(batches):
         return k, np.bincount(at, np.concatenate(sums), len(k)).astype(np.int64)
 
     def out(k, n):
-        names = list(ids)
+        lang, source, level = (list(x) for x in zip(*ids, strict=True))
+        place = {x: i for i, x in enumerate(sorted(set(source)))}
+        order = np.array([place[x] for x in source])
+        lang, source, level = pa.array(lang, pa.string()), pa.array(source, pa.string()), pa.array(level, pa.int64())
         for i in range(0, len(k), 65_536):
-            both = [(names[x >> 32], names[x & 0xFFFFFFFF]) for x in k[i:i + 65_536].tolist()]
-            both = [(a, b) if a[1] <= b[1] else (b, a) for a, b in both]
-            yield pa.RecordBatch.from_arrays([
-                pa.array([a[0] for a, _ in both], pa.string()), pa.array([a[1] for a, _ in both], pa.string()),
-                pa.array([a[2] for a, _ in both], pa.int64()), pa.array([b[1] for _, b in both], pa.string()),
-                pa.array([b[2] for _, b in both], pa.int64()), pa.array(n[i:i + 65_536], pa.int64())],
+            a, b = k[i:i + 65_536] >> 32, k[i:i + 65_536] & 0xFFFFFFFF
+            a, b = np.where(order[a] <= order[b], a, b), np.where(order[a] <= order[b], b, a)
+            yield pa.RecordBatch.from_arrays(
+                [lang.take(pa.array(a)), source.take(pa.array(a)), level.take(pa.array(a)), source.take(pa.array(b)),
+                 level.take(pa.array(b)), pa.array(n[i:i + 65_536], pa.int64())],
                 names=["lang", "s1", "n1", "s2", "n2", "terms"])
 
     def blocks():
@@ -243,17 +245,14 @@ def pair_values(groups: DataFrame, joint: DataFrame) -> DataFrame:
     return parts.groupBy("lang", "source", "item").agg(F.sum("value").cast("long").alias("value"))
 
 
-def term_values(groups: DataFrame, kept: DataFrame, top: int = 200) -> DataFrame:
-    """lang, source, item, value of each group's ``top`` most over-used terms."""
+def term_values(groups: DataFrame, kept: DataFrame) -> DataFrame:
+    """lang, source, item, value of the terms each group uses more than its language."""
     rows = kept.select("lang", F.col("term").alias("item"), F.col("n").alias("lang_n"), F.explode("groups").alias("g"))
     rows = rows.select("lang", F.col("g.source").alias("source"), "item", F.col("g.n").alias("n"), "lang_n")
     rows = rows.join(groups, ["lang", "source"]).select(
         "lang", "source", "item", weight(F.col("n"), F.col("total"), F.col("v")).alias("p"),
         weight(F.col("lang_n"), F.col("lang_total"), F.col("v")).alias("q")).where("p > q")
-    rows = rows.select("lang", "source", "item", gap(F.col("p"), F.col("q")).alias("value"),
-                       F.pmod(F.xxhash64("item"), F.lit(SALT)).alias("salt"))
-    first = Window.partitionBy("lang", "source", "salt").orderBy(F.desc("value"), "item")
-    return rows.withColumn("k", F.row_number().over(first)).where(F.col("k") <= top).drop("k", "salt")
+    return rows.select("lang", "source", "item", gap(F.col("p"), F.col("q")).alias("value"))
 
 
 def audit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source",
@@ -267,7 +266,7 @@ def audit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", sourc
     def part(rows, name):
         return rows.select("lang", "source", F.lit(name).alias("part"), "item", "value", rank)
     return part(pair_values(groups, joint_tables(kept)), "pair").unionByName(
-        part(term_values(groups, kept, top), "term").where(F.col("rank") <= top))
+        part(term_values(groups, kept), "term").where(F.col("rank") <= top))
 
 
 ORACLE_SQL = r"""
