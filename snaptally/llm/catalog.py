@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snaptally.llm import base as B
-from snaptally.llm import chat, classifier, decontaminate, divergence, lm, mixing, pii, quality, secrets, simhash, tokens, urls
+from snaptally.llm import chat, classifier, decontaminate, divergence, lm, mixing, pii, quality, secrets, simhash
+from snaptally.llm import spelling, tokens, urls
 
 
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,6 +71,11 @@ def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(B.table(spark, sf_dir, "documents"))
 
 
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    B.prepare(spark)
+    return spelling.variants(B.table(spark, sf_dir, "documents"))
+
+
 def op13_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     B.prepare(spark)
     pages = B.table(spark, sf_dir, "pages")
@@ -78,7 +84,7 @@ def op13_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_pii, op2_tokens, op3_simhash, op4_quality, op5_secrets, op6_mixing, op7_classifier, op8_chat, op9_lm,
-    op10_decontaminate, op11_divergence, op13_urls)}
+    op10_decontaminate, op11_divergence, op12_spelling, op13_urls)}
 
 ORACLE: dict[str, str] = {"op10_decontaminate": decontaminate.ORACLE_SQL, "op11_divergence": divergence.ORACLE_SQL,
                           "op13_urls": urls.ORACLE_SQL}
