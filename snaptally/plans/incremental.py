@@ -23,13 +23,23 @@ can drop tracks). For each, only the raw rows from its last snapshot before the
 batch's dates to its first one after them are read and recomputed, and only the
 date partitions with changed rows are written anew.
 
+Those two neighbours come from the fact's own chain, not from a pass over it: the
+first row at or after the batch's dates names the one before in ``prev_snapshot_date``;
+the state says which tracks have a later row at all, and it is looked up date by
+date, nearest first, in windows that double (one date where tracks are in every snapshot).
+
+Two roll-ups are kept with the fact, by year: the (track, year) totals and the day totals.
+Their columns are sums, so a load takes back the rows of the partitions it replaces and
+adds those it wrote; only the years of touched dates are written anew.
+
 Layout under ``root``. Every load writes folders of its own, named by a fresh id,
 and nothing is ever overwritten:
 
 * ``fact/load=<id>/snapshot_date=<date>/``: fact rows a load wrote;
+* ``totals/load=<id>/year=<year>/``, ``days/load=<id>/year=<year>/``: roll-ups of the years it touched;
 * ``track_state/load=<id>/``: the track state after a load;
-* ``manifest/v=<n>/``: one small file: the state's load and date, and for each
-  snapshot date the load whose fact folder holds it.
+* ``manifest/v=<n>/``: one small file: the state's load and date, for each snapshot date the load
+  whose fact folder holds it, and for each year the load whose roll-ups hold it.
 
 The newest manifest is the store. A load becomes current by its manifest, one
 file moved into place at job commit; what a failed load left behind is named by
@@ -40,23 +50,22 @@ folders that the kept manifests do not name.
 from __future__ import annotations
 
 import os
-import re
 import uuid
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from ..operators.delta import counter_delta
 from ..operators.latest import latest_by
 from ..schema import DIM_TRACK_COLUMNS, ENTITY, FACT_COLUMNS, SILVER_COLUMNS, SNAPSHOT, TIEBREAK
-from ..session import delete_path, materialise
-from ..sources.store import sized
+from ..session import child_folders, delete_path, materialise
+from ..sources.store import by_partition
 from . import models as M
+from . import reports as R
 from .warehouse import Warehouse
 
-FACT_DIR, STATE_DIR, MANIFEST_DIR = "fact", "track_state", "manifest"
+FACT_DIR, STATE_DIR, MANIFEST_DIR, TOTALS_DIR, DAYS_DIR = "fact", "track_state", "manifest", "totals", "days"
 _FACT_INPUT = [ENTITY, SNAPSHOT, TIEBREAK, "play_count", "skip_count", "last_played_at_utc",
                "duration_min"]
 
@@ -70,27 +79,26 @@ def track_state(silver_df: DataFrame, scope: tuple = ()) -> DataFrame:
 
 @dataclass
 class Manifest:
-    """What the current store consists of; ``facts``: snapshot date -> load."""
+    """What the current store consists of; ``facts``: snapshot date -> load; ``rollups``: year -> load."""
 
     version: int
     asof: str
     state: str
     facts: dict[str, str]
+    rollups: dict[str, str] = field(default_factory=dict)
 
 
 def _versions(spark: SparkSession, root: str) -> list[int]:
-    """Published manifests (file listing only; ``expire`` keeps the list short)."""
-    try:
-        files = spark.read.parquet(os.path.join(root, MANIFEST_DIR)).inputFiles()
-    except AnalysisException:
-        return []
-    return sorted({int(m.group(1)) for f in files if (m := re.search(r"/v=(\d+)/", f))})
+    """Published manifests (one listing; ``expire`` keeps it short)."""
+    return sorted(int(n[2:]) for n in child_folders(spark, os.path.join(root, MANIFEST_DIR)) if n.startswith("v="))
 
 
 def _manifest(spark: SparkSession, root: str, version: int) -> Manifest:
-    rows = spark.read.parquet(os.path.join(root, MANIFEST_DIR, f"v={version}")).collect()  # a row per date
+    rows = spark.read.schema("kind string, date string, load string").parquet(
+        os.path.join(root, MANIFEST_DIR, f"v={version}")).collect()  # a row per date and year
     state = next(r for r in rows if r.kind == "state")
-    return Manifest(version, state.date, state.load, {r.date: r.load for r in rows if r.kind == "fact"})
+    return Manifest(version, state.date, state.load, {r.date: r.load for r in rows if r.kind == "fact"},
+                    {r.date: r.load for r in rows if r.kind == "rollup"})
 
 
 def current(spark: SparkSession, root: str) -> Manifest | None:
@@ -109,33 +117,65 @@ def _read_state(spark: SparkSession, root: str, cur: Manifest) -> DataFrame:
     return spark.read.parquet(os.path.join(root, STATE_DIR, f"load={cur.state}"))
 
 
-def _read_fact(spark: SparkSession, root: str, cur: Manifest, scope: tuple = ()) -> DataFrame:
-    """The fact of exactly the folders that the manifest names."""
+def _read_fact(spark: SparkSession, root: str, facts: dict[str, str], state: DataFrame, scope: tuple = ()) -> DataFrame:
+    """The fact rows of the given dates, from exactly the folders that ``facts`` names."""
     base = os.path.join(root, FACT_DIR)
-    paths = [os.path.join(base, f"load={load}", f"{SNAPSHOT}={date}") for date, load in sorted(cur.facts.items())]
+    paths = [os.path.join(base, f"load={load}", f"{SNAPSHOT}={date}") for date, load in sorted(facts.items())]
     if not paths:
-        state = _read_state(spark, root, cur)
         return M.fact(state.limit(0), skew="off", scope=scope)
     fact = spark.read.option("basePath", base).parquet(*paths)
     return fact.withColumn(SNAPSHOT, F.col(SNAPSHOT).cast("date")).select(*scope, *FACT_COLUMNS)
 
 
+def _read_rollup(spark: SparkSession, root: str, folder: str, rollups: dict[str, str]) -> DataFrame | None:
+    base = os.path.join(root, folder)
+    paths = [os.path.join(base, f"load={load}", f"year={year}") for year, load in sorted(rollups.items())]
+    if not paths:
+        return None
+    return spark.read.option("basePath", base).parquet(*paths).drop("load").withColumn("year", F.col("year").cast("int"))
+
+
 def _dates(df: DataFrame) -> list[str]:
     """The snapshot dates of a load (bounded by the calendar)."""
     return sorted(str(r[0]) for r in df.select(SNAPSHOT).distinct().collect())
 
 
-def _write(fact: DataFrame, state: DataFrame, root: str) -> str:
-    """Write one load's fact partitions and state under a fresh id; returns the id."""
+def _write(fact: DataFrame, state: DataFrame, root: str) -> tuple[str, list[str]]:
+    """Write one load's fact partitions and state under a fresh id; returns it and the written dates."""
     load = uuid.uuid4().hex
-    (sized(materialise(fact, "fact-load"), [SNAPSHOT], [ENTITY]).write.partitionBy(SNAPSHOT).parquet(os.path.join(root, FACT_DIR, f"load={load}")))
+    path = os.path.join(root, FACT_DIR, f"load={load}")
+    by_partition(fact, [SNAPSHOT]).write.partitionBy(SNAPSHOT).parquet(path)
     state.write.parquet(os.path.join(root, STATE_DIR, f"load={load}"))
-    return load
+    dates = [n.partition("=")[2] for n in child_folders(fact.sparkSession, path) if "=" in n]
+    return load, dates
+
+
+def _roll_up(spark: SparkSession, root: str, load: str, wrote: list[str], cur: Manifest | None, replaced: list[str],
+             state: DataFrame, scope: tuple) -> dict[str, str]:
+    """Write the roll-ups of the years that a load touched: what was kept, less the rows of the ``replaced``
+    dates, plus those it ``wrote``. Returns year -> load of all years."""
+    gone = {d: cur.facts[d] for d in replaced if d in cur.facts} if cur else {}
+    years = {d[:4] for d in [*wrote, *gone]}
+    new = _read_fact(spark, root, dict.fromkeys(wrote, load), state, scope)
+    kept = {y: x for y, x in cur.rollups.items()} if cur else {}
+    old = {y: kept.pop(y) for y in years if y in kept}
+    totals, days = R.year_totals(new, scope), R.day_totals(new, scope).withColumn("year", R.year_of(SNAPSHOT))
+    if old:
+        left = [R.year_totals(_read_fact(spark, root, gone, state, scope), scope)] if gone else []
+        totals = R.merge_totals([_read_rollup(spark, root, TOTALS_DIR, old), totals], left, scope)
+        held = _read_rollup(spark, root, DAYS_DIR, old)
+        if held is not None:
+            days = days.unionByName(held.where(~F.col(SNAPSHOT).cast("string").isin(replaced)))
+    by_partition(totals, ["year"]).write.partitionBy("year").parquet(os.path.join(root, TOTALS_DIR, f"load={load}"))
+    days.coalesce(1).write.partitionBy("year").parquet(os.path.join(root, DAYS_DIR, f"load={load}"))
+    found = [n.partition("=")[2] for n in child_folders(spark, os.path.join(root, TOTALS_DIR, f"load={load}")) if "=" in n]
+    return {**kept, **dict.fromkeys(found, load)}
 
 
 def _publish(spark: SparkSession, root: str, m: Manifest) -> None:
     """Make a load current: its manifest is one file, there or not."""
-    rows = [("state", m.asof, m.state), *[("fact", d, x) for d, x in sorted(m.facts.items())]]
+    rows = [("state", m.asof, m.state), *[("fact", d, x) for d, x in sorted(m.facts.items())],
+            *[("rollup", y, x) for y, x in sorted(m.rollups.items())]]
     (spark.createDataFrame(rows, "kind string, date string, load string").coalesce(1)
      .write.parquet(os.path.join(root, MANIFEST_DIR, f"v={m.version}")))
 
@@ -145,11 +185,11 @@ def init(spark: SparkSession, raw: DataFrame, root: str, scope: tuple = (),
     """Full load of ``raw``: the fact of all history and the first state. An earlier
     store under ``root`` is superseded."""
     s = M.silver(M.bronze(raw, scope=scope), scope=scope)
-    dates = _dates(s)
-    load = _write(M.fact(s, skew=skew, scope=scope), track_state(s, scope), root)
+    load, dates = _write(M.fact(s, skew=skew, scope=scope), track_state(s, scope), root)
+    state = spark.read.parquet(os.path.join(root, STATE_DIR, f"load={load}"))
     found = _versions(spark, root)
     _publish(spark, root, Manifest(found[-1] + 1 if found else 0, dates[-1] if dates else "", load,
-                                   dict.fromkeys(dates, load)))
+                                   dict.fromkeys(dates, load), _roll_up(spark, root, load, dates, None, [], state, scope)))
     return open_incremental(spark, root, scope)
 
 
@@ -176,12 +216,47 @@ def append(spark: SparkSession, new_raw: DataFrame, root: str, scope: tuple = ()
                       skew=skew)
     new_fact = d.filter(F.col("_new")).select(*scope, *FACT_COLUMNS)
     both = state.select(*scope, *SILVER_COLUMNS).unionByName(batch.select(*scope, *SILVER_COLUMNS))
-    load = _write(new_fact, track_state(both, scope), root)
+    load, wrote = _write(new_fact, track_state(both, scope), root)
     if publish:
-        _publish(spark, root, Manifest(cur.version + 1, dates[-1], load, {**cur.facts, **dict.fromkeys(dates, load)}))
+        rollups = _roll_up(spark, root, load, wrote, cur, [], state, scope)
+        _publish(spark, root, Manifest(cur.version + 1, dates[-1], load, {**cur.facts, **dict.fromkeys(wrote, load)}, rollups))
     return True
 
 
+def _neighbours(spark: SparkSession, root: str, cur: Manifest, keys: DataFrame, state: DataFrame, first: str,
+                last: str, scope: tuple = ()) -> DataFrame:
+    """keys with ``_before`` and ``_after``: each track's last snapshot before ``first`` and first one after ``last``.
+
+    Reads the fact between the two dates and from ``last`` on as many dates as the farthest next row
+    is away; a track without a later row (the state knows) is not looked for."""
+    named = [*scope, ENTITY]
+    ends = state.select(*named, F.col(SNAPSHOT).alias("_last"))
+    wanted = materialise(_same(keys, ends, named, "left").select(*named, "_last"), "wanted")
+
+    def nearest(dates: list[str], of: DataFrame) -> DataFrame:
+        rows = _read_fact(spark, root, {d: cur.facts[d] for d in dates}, state, scope)
+        rows = _same(rows.select(*named, SNAPSHOT, "prev_snapshot_date"), of.select(*named), named, "left_semi")
+        # of a date's rows the first one has the previous date; a first sighting has none, which sorts first
+        return rows.groupBy(*named).agg(F.min(F.struct(SNAPSHOT, "prev_snapshot_date")).alias("_row"))
+    inside = nearest([d for d in cur.facts if first <= d <= last], wanted)
+    later = sorted(d for d in cur.facts if d > last)
+    left, hits, at, width = wanted.where(F.col("_last") > F.lit(last).cast("date")), [], 0, 1
+    while at < len(later):
+        hits.append(materialise(nearest(later[at:at + width], left), "next-rows"))
+        at, width = at + width, 2 * width
+        left = _same(left, hits[-1].select(*named), named, "left_anti")
+        if at < len(later) and left.isEmpty():
+            break
+    after = hits[0] if hits else inside.limit(0)
+    for h in hits[1:]:
+        after = after.unionByName(h)
+    both = _same(_same(wanted, inside.withColumnRenamed("_row", "_in"), named, "left"),
+                 after.withColumnRenamed("_row", "_next"), named, "left")
+    before = (F.when(F.col("_in").isNotNull(), F.col("_in.prev_snapshot_date"))
+              .when(F.col("_next").isNotNull(), F.col("_next.prev_snapshot_date")).otherwise(F.col("_last")))
+    return materialise(both.select(*named, before.alias("_before"), F.col(f"_next.{SNAPSHOT}").alias("_after")), "neighbours")
+
+
 def repair(spark: SparkSession, raw: DataFrame, batch_raw: DataFrame, root: str,
            scope: tuple = (), skew: str = "auto", publish: bool = True) -> None:
     """Bring the store up to date after ``batch_raw`` replaced or added
@@ -194,7 +269,6 @@ def repair(spark: SparkSession, raw: DataFrame, batch_raw: DataFrame, root: str,
             init(spark, raw, root, scope, skew)
         return
     keys = [*scope, ENTITY]
-    old_fact = _read_fact(spark, root, cur, scope)
     state = _read_state(spark, root, cur)
     batch = M.silver(M.bronze(batch_raw, scope=scope), scope=scope)
     dates = _dates(batch_raw)
@@ -202,16 +276,17 @@ def repair(spark: SparkSession, raw: DataFrame, batch_raw: DataFrame, root: str,
         return
     day = F.col(SNAPSHOT)
     first, last = (F.lit(d).cast("date") for d in (dates[0], dates[-1]))
-    held = old_fact.where(day.cast("string").isin(dates))
+
+    def old(of) -> DataFrame:
+        return _read_fact(spark, root, {d: x for d, x in cur.facts.items() if d in of}, state, scope)
+    held = old(set(dates))
     if scope:
         held = held.join(batch_raw.select(*scope).distinct(), list(scope), "left_semi")
     # The affected tracks, each with its last snapshot before and first one after the batch's dates:
     # nothing outside (before, after] changes. Batch-sized and stored once, so the optimizer
     # broadcasts it if its real size allows.
-    affected = materialise(batch.select(*keys).unionByName(held.select(*keys)).distinct(), "affected-keys")
-    spans = old_fact.select(*keys, SNAPSHOT).groupBy(*keys).agg(
-        F.max(F.when(day < first, day)).alias("_before"), F.min(F.when(day > last, day)).alias("_after"))
-    affected = materialise(_same(affected, spans, keys, "left").select(*keys, "_before", "_after"), "affected-spans")
+    affected = _neighbours(spark, root, cur, batch.select(*keys).unionByName(held.select(*keys)).distinct(), state,
+                           dates[0], dates[-1], scope)
     ends = sorted({str(r[0]) for r in affected.select(F.explode(F.array("_before", "_after")).alias("d"))
                    .where("d IS NOT NULL").distinct().collect()})  # bounded by the calendar
     near = day.between(first, last) | day.cast("string").isin(ends)  # prunes raw's date partitions
@@ -222,10 +297,12 @@ def repair(spark: SparkSession, raw: DataFrame, batch_raw: DataFrame, root: str,
     own = _same(own, affected, keys, "inner").where(F.col("_before").isNull() | (day > F.col("_before")))
     new_fact = materialise(own.select(*scope, *FACT_COLUMNS), "repaired-fact")
     follows = F.col("prev_snapshot_date").cast("string").isin(dates)
+    # a row that follows a batch date lies among the batch's dates or is a track's first one after them
+    among = {d for d in cur.facts if dates[0] <= d <= dates[-1]} | set(ends)
     touched = sorted({*dates, *_dates(new_fact.where(follows)),
-                      *_dates(_same(old_fact.where(follows), affected, keys, "inner"))})
+                      *_dates(_same(old(among).where(follows), affected, keys, "inner"))})
     here = day.cast("string").isin(touched)
-    kept = _same(old_fact.where(here), affected.withColumn("_hit", F.lit(True)), keys, "left").where(
+    kept = _same(old(set(touched)), affected.withColumn("_hit", F.lit(True)), keys, "left").where(
         F.col("_hit").isNull() | (day <= F.col("_before")) | (day > F.col("_after")))
     fact = kept.select(*scope, *FACT_COLUMNS).unionByName(new_fact.where(here))
     # a track with a later snapshot than the batch's keeps its state
@@ -233,12 +310,12 @@ def repair(spark: SparkSession, raw: DataFrame, batch_raw: DataFrame, root: str,
     old_state = _same(state, ended, keys, "left").where(F.col("_hit").isNull())
     new_state = old_state.select(*scope, *SILVER_COLUMNS).unionByName(
         track_state(s.where(F.col("_after").isNull()), scope))
-    load = _write(fact, new_state, root)
+    load, wrote = _write(fact, new_state, root)  # a date whose rows all went has no folder
     if publish:
-        left = _dates(fact)  # a date whose rows all went has no folder
         facts = {d: x for d, x in cur.facts.items() if d not in touched}
-        facts.update(dict.fromkeys(left, load))
-        _publish(spark, root, Manifest(cur.version + 1, max(facts, default=""), load, facts))
+        facts.update(dict.fromkeys(wrote, load))
+        rollups = _roll_up(spark, root, load, wrote, cur, touched, state, scope)
+        _publish(spark, root, Manifest(cur.version + 1, max(facts, default=""), load, facts, rollups))
 
 
 def _same(df: DataFrame, other: DataFrame, keys: list[str], how: str) -> DataFrame:
@@ -254,8 +331,10 @@ def open_incremental(spark: SparkSession, root: str, scope: tuple = ()) -> Wareh
     """Readers of the incremental store as its newest manifest names it."""
     cur = current(spark, root)
     state = _read_state(spark, root, cur)
-    return Warehouse(raw=None, silver=None, fact=_read_fact(spark, root, cur, scope),
-                     dim=state.select(*scope, *DIM_TRACK_COLUMNS))
+    days = _read_rollup(spark, root, DAYS_DIR, cur.rollups)
+    return Warehouse(raw=None, silver=None, fact=_read_fact(spark, root, cur.facts, state, scope),
+                     dim=state.select(*scope, *DIM_TRACK_COLUMNS), totals=_read_rollup(spark, root, TOTALS_DIR, cur.rollups),
+                     days=None if days is None else days.drop("year"))
 
 
 def expire(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
@@ -265,13 +344,11 @@ def expire(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
     found = _versions(spark, root)
     kept = [_manifest(spark, root, v) for v in found[-keep:]]
     facts = {x for m in kept for x in m.facts.values()}
-    states = {m.state for m in kept}
+    states, rollups = {m.state for m in kept}, {x for m in kept for x in m.rollups.values()}
     gone = [os.path.join(root, MANIFEST_DIR, f"v={v}") for v in found[:-keep]]
-    for folder, used in ((FACT_DIR, facts), (STATE_DIR, states)):
-        files = spark.read.option("recursiveFileLookup", "true").format("binaryFile").load(
-            os.path.join(root, folder)).select("path")
-        loads = files.select(F.regexp_extract("path", r"/load=([0-9a-f]+)/", 1).alias("load")).distinct()
-        gone += [os.path.join(root, folder, f"load={r.load}") for r in loads.collect() if r.load not in used]
+    for folder, used in ((FACT_DIR, facts), (STATE_DIR, states), (TOTALS_DIR, rollups), (DAYS_DIR, rollups)):
+        loads = [n.partition("=")[2] for n in child_folders(spark, os.path.join(root, folder))]
+        gone += [os.path.join(root, folder, f"load={x}") for x in loads if x and x not in used]
     for path in gone:
         delete_path(spark, path)
     return gone

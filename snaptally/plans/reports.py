@@ -39,15 +39,48 @@ def year_totals(fact: DataFrame, scope: tuple = ()) -> DataFrame:
 
     ``plays``; exact ``minutes_x`` of the rows with plays by the fact's duration; and the
     number of rows with a positive (``n_pos``), another (``n_zero``) and no delta
-    (``n_first``). A year is that of the later snapshot of a delta. Reports take this
-    table (stored by ``warehouse.build``) in place of the fact."""
+    (``n_first``), and of plays of a known duration (``n_timed``). A year is that of the later
+    snapshot of a delta. Reports take this table (stored by ``warehouse.build``) in place of the fact."""
     plays = F.col(DELTA) > 0
     return fact.groupBy(*scope, ENTITY, year_of(SNAPSHOT).alias("year")).agg(
         F.sum(positive(DELTA)).cast("long").alias("plays"),
         F.sum(F.when(plays, positive_weighted(DELTA, "duration_min"))).alias("minutes_x"),
         F.count(F.when(plays, 1)).alias("n_pos"),
         F.count(F.when(F.col(DELTA).isNotNull() & ~plays, 1)).alias("n_zero"),
-        F.count(F.when(F.col(DELTA).isNull(), 1)).alias("n_first"))
+        F.count(F.when(F.col(DELTA).isNull(), 1)).alias("n_first"),
+        F.count(F.when(plays, F.col("duration_min"))).alias("n_timed"))
+
+
+TOTALS = ["plays", "minutes_x", "n_pos", "n_zero", "n_first", "n_timed"]
+
+
+def merge_totals(added: list[DataFrame], gone: list[DataFrame], scope: tuple = ()) -> DataFrame:
+    """``year_totals`` of a fact from those of its parts: ``added`` count, ``gone`` are taken back.
+
+    All columns are sums, so a (track, year) whose parts are known needs no other row; one
+    without rows left goes. Minutes are unknown (NULL) when no play of a known duration is left."""
+    key = [*scope, ENTITY, "year"]
+
+    def signed(df, sign):
+        minutes = F.coalesce("minutes_x", F.lit(0).cast(EXACT))
+        each = [minutes if c == "minutes_x" else F.col(c) for c in TOTALS]
+        return df.select(*key, *[(x if sign > 0 else -x).alias(c) for c, x in zip(TOTALS, each, strict=True)])
+    parts = [*[signed(a, 1) for a in added], *[signed(g, -1) for g in gone]]
+    every = parts[0]
+    for part in parts[1:]:
+        every = every.unionByName(part)
+    t = every.groupBy(*key).agg(*[F.sum(c).alias(c) for c in TOTALS]).where(F.col("n_pos") + F.col("n_zero") + F.col("n_first") > 0)
+    minutes = F.when(F.col("n_timed") > 0, F.col("minutes_x")).cast("decimal(38,2)")
+    return t.select(*key, *[minutes.alias(c) if c == "minutes_x" else F.col(c).cast("long").alias(c) for c in TOTALS])
+
+
+def day_totals(fact: DataFrame, scope: tuple = ()) -> DataFrame:
+    """The roll-up that the trends follow from: per snapshot date ``plays`` and exact ``minutes_x``.
+
+    A sum of a week's or month's day sums is the sum over its rows, also where minutes are unknown."""
+    return _played_fact(fact).groupBy(*scope, SNAPSHOT).agg(
+        F.sum(positive(DELTA)).cast("long").alias("plays"),
+        F.sum(positive_weighted(DELTA, "duration_min")).alias("minutes_x"))
 
 
 def is_totals(df: DataFrame) -> bool:
@@ -288,11 +321,12 @@ def replay_page(fact: DataFrame, dim: DataFrame, year: int | None = None, k: int
 # ------------------------------------------------------------------ trends
 
 def _trend(fact: DataFrame, unit: str, name: str, scope: tuple) -> DataFrame:
-    f = _played_fact(fact)
+    """``fact`` may be its ``day_totals``: a row per date, whatever the number of tracks."""
+    days = fact if "minutes_x" in fact.columns else day_totals(fact, scope)
     period = F.date_trunc(unit, F.col(SNAPSHOT)).cast("date").alias(name)
-    return (f.groupBy(*scope, period)
-            .agg(F.sum(positive(DELTA)).cast("long").alias("plays"),
-                 _minutes(F.sum(positive_weighted(DELTA, "duration_min"))).alias("listening_minutes")))
+    return (days.groupBy(*scope, period)
+            .agg(F.sum("plays").cast("long").alias("plays"),
+                 _minutes(F.sum("minutes_x")).alias("listening_minutes")))
 
 
 def weekly_trend(fact: DataFrame, scope: tuple = ()) -> DataFrame:

@@ -31,12 +31,18 @@ class Warehouse:
     fact: DataFrame
     dim: DataFrame
     totals: DataFrame | None = None  # reports.year_totals of the fact
+    days: DataFrame | None = None  # reports.day_totals of the fact
 
     @property
     def plays(self) -> DataFrame:
         """What reports read: the stored totals if there are any, else the fact."""
         return self.totals if self.totals is not None else self.fact
 
+    @property
+    def trends(self) -> DataFrame:
+        """What trends read: the stored day totals if there are any, else the fact."""
+        return self.days if self.days is not None else self.fact
+
 
 TABLES = ("fact", "dim_track", "totals")
 

@@ -119,6 +119,15 @@ def delete_path(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def child_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in ``path`` (one listing); none if it is not there."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return []
+    return sorted(f.getPath().getName() for f in fs.listStatus(p) if f.isDirectory())
+
+
 def rename_file(spark: SparkSession, source: str, target: str) -> None:
     """Move one file on its own file system, making the target's folders."""
     jvm = spark.sparkContext._jvm

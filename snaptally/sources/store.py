@@ -7,8 +7,8 @@ others are untouched, an empty load touches nothing, and a failed job leaves
 the old partition in place.
 
 A load is staged: the rows are computed once and written to the shared folder,
-checked there with one aggregate, then published from there. Each partition
-gets one file per ``ROWS_PER_FILE`` rows, however many tasks wrote the stage.
+checked there with one aggregate, then published from there, dealt by partition: a small
+partition is one file, a large one is split over tasks by its bytes (``by_partition``).
 """
 
 from __future__ import annotations
@@ -24,7 +24,6 @@ from ..schema import RAW_COLUMNS, RAW_KEY, RAW_NOT_NULL, RAW_SCHEMA
 from ..session import materialise
 
 PARTITION = "snapshot_date"
-ROWS_PER_FILE = 1_000_000
 
 
 def scoped_schema(df: DataFrame, scope: Sequence[str]) -> T.StructType:
@@ -48,8 +47,7 @@ def stage(df: DataFrame, scope: Sequence[str] = (), check: bool = True) -> DataF
     return staged
 
 
-def sized(stored: DataFrame, parts: Sequence[str], spread: Sequence[str],
-          rows_per_file: int = ROWS_PER_FILE) -> DataFrame:
+def sized(stored: DataFrame, parts: Sequence[str], spread: Sequence[str], rows_per_file: int) -> DataFrame:
     """Stored rows dealt so that a partition's files hold about ``rows_per_file`` rows each: a
     hot partition is many shuffle partitions (by a hash of ``spread``), a small one is one file."""
     files = stored.groupBy(*parts).agg(F.ceil(F.count(F.lit(1)) / rows_per_file).alias("_files"))
@@ -58,12 +56,21 @@ def sized(stored: DataFrame, parts: Sequence[str], spread: Sequence[str],
             .repartition(*parts, "_salt").select(*stored.columns))
 
 
+def by_partition(df: DataFrame, parts: Sequence[str]) -> DataFrame:
+    """Rows dealt by partition for writing: small partitions are one file, and AQE splits one
+    beyond spark.sql.adaptive.advisoryPartitionSizeInBytes over tasks, by the shuffle's own sizes."""
+    return df.hint("rebalance", *[F.col(c) for c in parts])
+
+
 def publish(staged: DataFrame, path: str, scope: Sequence[str] = (), mode: str = "overwrite",
-            rows_per_file: int = ROWS_PER_FILE) -> None:
-    """Write staged rows into the table, replacing (or, with ``append``, adding) their partitions."""
+            rows_per_file: int | None = None) -> None:
+    """Write staged rows into the table, replacing (or, with ``append``, adding) their partitions.
+
+    Files are sized by bytes in the same shuffle, or by ``rows_per_file`` at the cost of a count."""
     parts = [*scope, PARTITION]
-    (sized(staged, parts, ["track_id", "persistent_id"], rows_per_file).write.mode(mode)
-     .option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(path))
+    dealt = (sized(staged, parts, ["track_id", "persistent_id"], rows_per_file) if rows_per_file
+             else by_partition(staged, parts))
+    (dealt.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(path))
 
 
 def replace_snapshot(df: DataFrame, path: str, check: bool = True, scope: Sequence[str] = ()) -> DataFrame:
