@@ -57,7 +57,13 @@ def hot_keys(df: DataFrame, keys: Sequence[str], max_keys: int = 1000,
             .select(*keys))
 
 
-def _in_list(keys: Sequence[str], values: list[tuple]) -> Column:
+def hot_list(df: DataFrame, keys: Sequence[str], hot_max_keys: int = 1000, hot_min_rows: int = 1_000_000,
+             hot_sample: float = 0.01, **_) -> list[tuple]:
+    """The hot keys, collected (at most ``2 * hot_max_keys``)."""
+    return [tuple(r) for r in hot_keys(df, keys, hot_max_keys, hot_min_rows, hot_sample).collect()]
+
+
+def in_list(keys: Sequence[str], values: list[tuple]) -> Column:
     """``keys IN (values)`` for a short, bounded list of key tuples; a NULL
     key value matches NULL (a hot group may be the NULL key)."""
     cond = None
@@ -142,9 +148,9 @@ def counter_delta(df: DataFrame, keys: Sequence[str], order: str,
         return _blocked(df, *args, bits=block_bits)
     if skew != "auto":
         raise ValueError(f"unknown skew mode {skew!r}")
-    found = [tuple(r) for r in hot_keys(df, keys, hot_max_keys, hot_min_rows, hot_sample).collect()]
+    found = hot_list(df, keys, hot_max_keys, hot_min_rows, hot_sample)
     if not found:
         return _plain(df, *args)
-    is_hot = _in_list(keys, found)
+    is_hot = in_list(keys, found)
     return (_plain(df.filter(~is_hot | is_hot.isNull()), *args)
             .unionByName(_blocked(df.filter(is_hot), *args, bits=block_bits)))

@@ -8,10 +8,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-# Spark's default bound (spark.sql.optimizer.windowGroupLimitThreshold) for cutting ranks early
-GROUP_LIMIT = 1000
-
-
 def competition_rank(df: DataFrame, measure: str, partition: Sequence[str] = (),
                      rank_col: str = "rank", where: Column | None = None,
                      max_rank: int | None = None, method: str = "histogram") -> DataFrame:
@@ -24,16 +20,15 @@ def competition_rank(df: DataFrame, measure: str, partition: Sequence[str] = (),
     window over that small histogram (rank = 1 + rows with a greater
     measure) and joins the rank back. The histogram has one row per
     distinct measure value; for positive integer counts summing to P that
-    is at most sqrt(2P) rows. With ``max_rank`` up to ``GROUP_LIMIT`` the plain
-    window is used, as its rows are cut before the exchange. ``method="window"`` is
+    is at most sqrt(2P) rows. ``max_rank`` cuts at the k-th value: of the histogram at most
+    ``max_rank`` rows per partition are left, which the optimizer broadcasts by their real size, so
+    neither the rows below the cut nor those tied at it are moved. ``method="window"`` is
     the plain ``rank()``, whose unpartitioned form runs in a single task.
     """
     part = list(partition)
     if where is not None:
         df = df.filter(where)
-    # for the first ranks the window keeps at most those rows of each map task
-    # (WindowGroupLimit below the exchange), so ``df`` is evaluated once and never moved whole
-    if method == "window" or max_rank is not None and max_rank <= GROUP_LIMIT:
+    if method == "window":
         w = Window.partitionBy(*part).orderBy(F.col(measure).desc_nulls_last())
         out = df.withColumn(rank_col, F.rank().over(w).cast("long"))
         return out.filter(F.col(rank_col) <= max_rank) if max_rank is not None else out

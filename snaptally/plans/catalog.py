@@ -264,6 +264,53 @@ def _incremental_retry(spark: SparkSession, sf_dir: str) -> DataFrame:
     return I.open_incremental(spark, root).fact
 
 
+def _kept(fn: Callable) -> Callable[[SparkSession, str], DataFrame]:
+    """What is kept beside the fact after a first load, an append, a late year and another append."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        from . import incremental as I
+        root = scratch_path(spark, "incremental-kept")
+        raw = materialise(_fixture(spark, sf_dir), "kept-raw")
+        year = F.year("snapshot_date")
+        I.init(spark, raw.filter((year < 2000) & (year != 1998)), root)
+        I.append(spark, raw.filter(year == 2000), root)
+        I.repair(spark, raw.filter(year <= 2000), raw.filter(year == 1998), root)
+        I.append(spark, raw.filter(year >= 2001), root)
+        return fn(I.open_incremental(spark, root))
+    run.__doc__ = fn.__doc__
+    return run
+
+
+def _append_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D1 at append: the latest date is added, then a batch whose keys are stored is refused and
+    changes nothing."""
+    from ..operators.checks import ContractViolation
+    path, raw = scratch_path(spark, "raw"), _fixture(spark, sf_dir)
+    latest = raw.agg(F.max("snapshot_date")).first()[0]
+    store.append_snapshots(raw.filter(F.col("snapshot_date") < latest), path)
+    store.append_snapshots(raw.filter(F.col("snapshot_date") == latest), path)
+    try:
+        store.append_snapshots(store.bump_latest(raw), path)
+    except ContractViolation:
+        return store.read_raw(spark, path)
+    raise AssertionError("a stored key was appended")
+
+
+def _backup_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S14 with a ledger: a day's early backups are loaded first, the later ones when they appear; a
+    load that finds nothing new decodes nothing."""
+    raw = M.bronze(load_library_fixture(spark, sf_dir), scope=LIB)
+    root, table, ledger = (scratch_path(spark, n) for n in ("backups", "raw", "ledger"))
+    early = raw.withColumn("play_count", F.col("play_count") + 1)
+    for time, rows in (("080000", early), ("095001", raw)):
+        out = scratch_path(spark, "backup-files")
+        plist.write_plist_snapshots(rows, out, scope=LIB)
+        backups.place_libraries(spark, out, root, time)
+        backups.load_new_backups(spark, root, table, ledger)
+    if backups.load_new_backups(spark, root, table, ledger):
+        raise AssertionError("a known backup was decoded again")
+    return _folder(store.read_raw(spark, table, ("user",)), r"/([^/]+)\.backup/[^/]+/Users/")
+
+
 def _stored(fn: Callable) -> Callable[[SparkSession, str], DataFrame]:
     """A report over the stored, bucketed warehouse."""
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -352,6 +399,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "library_overview_scoped": _libs(lambda g: R.library_overview(g.raw, scope=LIB)),
     "stream_same_day": _stream_same_day,
     "incremental_retry": _incremental_retry,
+    "incremental_totals": _kept(lambda wh: wh.totals.withColumn("minutes_x", F.col("minutes_x").cast("double"))),
+    "incremental_top_songs": _kept(lambda wh: R.top_songs(wh.plays, wh.dim)),
+    "incremental_yearly_summary": _kept(lambda wh: R.yearly_summary(wh.plays, wh.dim)),
+    "incremental_monthly_trend": _kept(lambda wh: R.monthly_trend(wh.trends)),
+    "stored_weekly_trend": _stored(lambda wh: R.weekly_trend(wh.trends)),
+    "append_checked": _append_checked,
+    "backup_ledger": _backup_ledger,
     "plist_ingest": _plist_ingest,
     "csv_ingest": _csv_ingest,
     "surrogate_id": _surrogate_id,

@@ -26,7 +26,7 @@ date partitions with changed rows are written anew.
 Those two neighbours come from the fact's own chain, not from a pass over it: the
 first row at or after the batch's dates names the one before in ``prev_snapshot_date``;
 the state says which tracks have a later row at all, and it is looked up date by
-date, nearest first, in windows that double (one date where tracks are in every snapshot).
+date, nearest first, in growing windows (two dates where tracks are in every snapshot).
 
 Two roll-ups are kept with the fact, by year: the (track, year) totals and the day totals.
 Their columns are sums, so a load takes back the rows of the partitions it replaces and
@@ -113,26 +113,31 @@ def state_version(spark: SparkSession, root: str) -> str | None:
     return cur.asof if cur else None
 
 
-def _read_state(spark: SparkSession, root: str, cur: Manifest) -> DataFrame:
-    return spark.read.parquet(os.path.join(root, STATE_DIR, f"load={cur.state}"))
+def _read_state(spark: SparkSession, root: str, load: str) -> DataFrame:
+    return spark.read.parquet(os.path.join(root, STATE_DIR, f"load={load}"))
 
 
 def _read_fact(spark: SparkSession, root: str, facts: dict[str, str], state: DataFrame, scope: tuple = ()) -> DataFrame:
     """The fact rows of the given dates, from exactly the folders that ``facts`` names."""
     base = os.path.join(root, FACT_DIR)
     paths = [os.path.join(base, f"load={load}", f"{SNAPSHOT}={date}") for date, load in sorted(facts.items())]
+    empty = M.fact(state.limit(0), skew="off", scope=scope)  # also gives the schema: no file is read for it
     if not paths:
-        return M.fact(state.limit(0), skew="off", scope=scope)
-    fact = spark.read.option("basePath", base).parquet(*paths)
-    return fact.withColumn(SNAPSHOT, F.col(SNAPSHOT).cast("date")).select(*scope, *FACT_COLUMNS)
+        return empty
+    return spark.read.schema(empty.schema).option("basePath", base).parquet(*paths).select(*scope, *FACT_COLUMNS)
 
 
-def _read_rollup(spark: SparkSession, root: str, folder: str, rollups: dict[str, str]) -> DataFrame | None:
+def _read_rollup(spark: SparkSession, root: str, folder: str, rollups: dict[str, str], like: DataFrame) -> DataFrame | None:
     base = os.path.join(root, folder)
     paths = [os.path.join(base, f"load={load}", f"year={year}") for year, load in sorted(rollups.items())]
     if not paths:
         return None
-    return spark.read.option("basePath", base).parquet(*paths).drop("load").withColumn("year", F.col("year").cast("int"))
+    return spark.read.schema(like.schema).option("basePath", base).parquet(*paths).select(*like.columns)
+
+
+def _rollups(fact: DataFrame, scope: tuple) -> tuple[DataFrame, DataFrame]:
+    """The (track, year) and the day totals of a fact, both with their year."""
+    return R.year_totals(fact, scope), R.day_totals(fact, scope).withColumn("year", R.year_of(SNAPSHOT))
 
 
 def _dates(df: DataFrame) -> list[str]:
@@ -159,13 +164,12 @@ def _roll_up(spark: SparkSession, root: str, load: str, wrote: list[str], cur: M
     new = _read_fact(spark, root, dict.fromkeys(wrote, load), state, scope)
     kept = {y: x for y, x in cur.rollups.items()} if cur else {}
     old = {y: kept.pop(y) for y in years if y in kept}
-    totals, days = R.year_totals(new, scope), R.day_totals(new, scope).withColumn("year", R.year_of(SNAPSHOT))
+    totals, days = _rollups(new, scope)
     if old:
         left = [R.year_totals(_read_fact(spark, root, gone, state, scope), scope)] if gone else []
-        totals = R.merge_totals([_read_rollup(spark, root, TOTALS_DIR, old), totals], left, scope)
-        held = _read_rollup(spark, root, DAYS_DIR, old)
-        if held is not None:
-            days = days.unionByName(held.where(~F.col(SNAPSHOT).cast("string").isin(replaced)))
+        held = _read_rollup(spark, root, DAYS_DIR, old, days).where(~F.col(SNAPSHOT).cast("string").isin(replaced))
+        totals = R.merge_totals([_read_rollup(spark, root, TOTALS_DIR, old, totals), totals], left, scope)
+        days = days.unionByName(held)
     by_partition(totals, ["year"]).write.partitionBy("year").parquet(os.path.join(root, TOTALS_DIR, f"load={load}"))
     days.coalesce(1).write.partitionBy("year").parquet(os.path.join(root, DAYS_DIR, f"load={load}"))
     found = [n.partition("=")[2] for n in child_folders(spark, os.path.join(root, TOTALS_DIR, f"load={load}")) if "=" in n]
@@ -186,7 +190,7 @@ def init(spark: SparkSession, raw: DataFrame, root: str, scope: tuple = (),
     store under ``root`` is superseded."""
     s = M.silver(M.bronze(raw, scope=scope), scope=scope)
     load, dates = _write(M.fact(s, skew=skew, scope=scope), track_state(s, scope), root)
-    state = spark.read.parquet(os.path.join(root, STATE_DIR, f"load={load}"))
+    state = _read_state(spark, root, load)
     found = _versions(spark, root)
     _publish(spark, root, Manifest(found[-1] + 1 if found else 0, dates[-1] if dates else "", load,
                                    dict.fromkeys(dates, load), _roll_up(spark, root, load, dates, None, [], state, scope)))
@@ -209,7 +213,7 @@ def append(spark: SparkSession, new_raw: DataFrame, root: str, scope: tuple = ()
         return True
     if dates[0] <= cur.asof:
         return False
-    state = _read_state(spark, root, cur)
+    state = _read_state(spark, root, cur.state)
     prior = state.select(*scope, *_FACT_INPUT).withColumn("_new", F.lit(False))
     rows = prior.unionByName(batch.select(*scope, *_FACT_INPUT).withColumn("_new", F.lit(True)))
     d = counter_delta(rows, [*scope, ENTITY], SNAPSHOT, ["play_count", "skip_count"], tiebreak=[TIEBREAK],
@@ -240,10 +244,10 @@ def _neighbours(spark: SparkSession, root: str, cur: Manifest, keys: DataFrame,
         return rows.groupBy(*named).agg(F.min(F.struct(SNAPSHOT, "prev_snapshot_date")).alias("_row"))
     inside = nearest([d for d in cur.facts if first <= d <= last], wanted)
     later = sorted(d for d in cur.facts if d > last)
-    left, hits, at, width = wanted.where(F.col("_last") > F.lit(last).cast("date")), [], 0, 1
+    left, hits, at, width = wanted.where(F.col("_last") > F.lit(last).cast("date")), [], 0, 2
     while at < len(later):
         hits.append(materialise(nearest(later[at:at + width], left), "next-rows"))
-        at, width = at + width, 2 * width
+        at, width = at + width, 4 * width
         left = _same(left, hits[-1].select(*named), named, "left_anti")
         if at < len(later) and left.isEmpty():
             break
@@ -269,7 +273,7 @@ def repair(spark: SparkSession, raw: DataFrame, batch_raw: DataFrame, root: str,
             init(spark, raw, root, scope, skew)
         return
     keys = [*scope, ENTITY]
-    state = _read_state(spark, root, cur)
+    state = _read_state(spark, root, cur.state)
     batch = M.silver(M.bronze(batch_raw, scope=scope), scope=scope)
     dates = _dates(batch_raw)
     if not dates:
@@ -299,8 +303,9 @@ def repair(spark: SparkSession, raw: DataFrame, batch_raw: DataFrame, root: str,
     follows = F.col("prev_snapshot_date").cast("string").isin(dates)
     # a row that follows a batch date lies among the batch's dates or is a track's first one after them
     among = {d for d in cur.facts if dates[0] <= d <= dates[-1]} | set(ends)
-    touched = sorted({*dates, *_dates(new_fact.where(follows)),
-                      *_dates(_same(old(among).where(follows), affected, keys, "inner"))})
+    following = new_fact.where(follows).select(SNAPSHOT).unionByName(
+        _same(old(among).where(follows), affected, keys, "inner").select(SNAPSHOT))
+    touched = sorted({*dates, *_dates(following)})
     here = day.cast("string").isin(touched)
     kept = _same(old(set(touched)), affected.withColumn("_hit", F.lit(True)), keys, "left").where(
         F.col("_hit").isNull() | (day <= F.col("_before")) | (day > F.col("_after")))
@@ -330,10 +335,11 @@ def _same(df: DataFrame, other: DataFrame, keys: list[str], how: str) -> DataFra
 def open_incremental(spark: SparkSession, root: str, scope: tuple = ()) -> Warehouse:
     """Readers of the incremental store as its newest manifest names it."""
     cur = current(spark, root)
-    state = _read_state(spark, root, cur)
-    days = _read_rollup(spark, root, DAYS_DIR, cur.rollups)
-    return Warehouse(raw=None, silver=None, fact=_read_fact(spark, root, cur.facts, state, scope),
-                     dim=state.select(*scope, *DIM_TRACK_COLUMNS), totals=_read_rollup(spark, root, TOTALS_DIR, cur.rollups),
+    state = _read_state(spark, root, cur.state)
+    fact = _read_fact(spark, root, cur.facts, state, scope)
+    totals, days = (_read_rollup(spark, root, folder, cur.rollups, like) for folder, like in zip(
+        (TOTALS_DIR, DAYS_DIR), _rollups(fact, scope), strict=True))
+    return Warehouse(raw=None, silver=None, fact=fact, dim=state.select(*scope, *DIM_TRACK_COLUMNS), totals=totals,
                      days=None if days is None else days.drop("year"))
 
 

@@ -16,9 +16,11 @@ import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..operators.delta import hot_list, in_list
 from ..schema import ENTITY
-from ..session import scratch_path
+from ..session import child_files, scratch_path
 from ..sources.store import read_raw
 from . import models as M
 from . import reports as R
@@ -45,26 +47,38 @@ class Warehouse:
 
 
 TABLES = ("fact", "dim_track", "totals")
+HOT_FACT, DAYS = "fact_hot", "days"
 
 
 def build(spark: SparkSession, raw: DataFrame, root: str | None = None,
-          skew: str = "auto", buckets: int | None = None, scope: tuple = ()) -> Warehouse:
-    """Write fact, dim_track and totals under ``root``; return readers.
+          skew: str = "auto", buckets: int | None = None, scope: tuple = (), **skew_opts) -> Warehouse:
+    """Write fact, dim_track and the totals under ``root``; return readers.
 
     ``buckets=n`` stores them bucketed (and sorted) by the track
     key into ``n`` buckets, one file each: a report's per-track roll-up and the
     join to the dimension then find their input already clustered and plan no
     exchange for them. Size ``n`` so a bucket is a comfortable task.
+
+    A bucket holds all rows of its tracks, so a hot one (``hot_keys``: at most
+    ``2 * hot_max_keys``, found on a sample) would be one task and one file. With ``skew="auto"`` such tracks
+    have a fact table of their own beside the bucketed one (``fact_hot``), computed in blocks and
+    dealt over all tasks; the fact is the two together. Their totals and latest states are
+    partial aggregates, a few rows each, and stay in the bucketed tables. ``skew_opts`` as for
+    ``counter_delta``.
     """
     root = root or scratch_path(spark, "warehouse")
     s = M.silver(M.bronze(raw, scope=scope), scope=scope)
+    path = {n: os.path.join(root, n) for n in (*TABLES, HOT_FACT, DAYS)}
+    days = lambda fact: R.day_totals(fact, scope).coalesce(1).write.mode("overwrite").parquet(path[DAYS])
     if not buckets:
         # the window leaves each task's rows sorted by (track, date): files
         # written from it compress well and keep a track's rows together
-        M.fact(s, skew=skew, scope=scope).write.mode("overwrite").parquet(os.path.join(root, "fact"))
-        M.dim_track(s, scope=scope).write.mode("overwrite").parquet(os.path.join(root, "dim_track"))
-        fact = spark.read.parquet(os.path.join(root, "fact"))
-        R.year_totals(fact, scope).write.mode("overwrite").parquet(os.path.join(root, "totals"))
+        M.fact(s, skew=skew, scope=scope, **skew_opts).write.mode("overwrite").parquet(path["fact"])
+        M.dim_track(s, scope=scope).write.mode("overwrite").parquet(path["dim_track"])
+        fact = spark.read.parquet(path["fact"])
+        R.year_totals(fact, scope).write.mode("overwrite").parquet(path["totals"])
+        days(fact)
+        _clear(spark, path[HOT_FACT], fact)
         return open_warehouse(spark, root, raw, scope)
     key = [*scope, ENTITY]
     tag = uuid.uuid4().hex[:8]
@@ -72,14 +86,33 @@ def build(spark: SparkSession, raw: DataFrame, root: str | None = None,
     def store(df: DataFrame, name: str) -> DataFrame:
         table = f"snaptally_{name}_{tag}"
         (df.write.mode("overwrite").bucketBy(buckets, *key).sortBy(*key)
-         .option("path", os.path.join(root, name)).saveAsTable(table))
+         .option("path", path[name]).saveAsTable(table))
         return spark.table(table)
+    found = hot_list(s, key, **skew_opts) if skew == "auto" else []
+    is_hot = F.coalesce(in_list(key, found), F.lit(False)) if found else F.lit(False)
     # dealt by the bucket hash first: the window keeps that dealing, so a task writes one bucket
-    dealt = s.repartition(buckets, *key)
-    fact = store(M.fact(dealt, skew=skew, scope=scope), "fact")
+    dealt = (s.where(~is_hot) if found else s).repartition(buckets, *key)
+    fact = store(M.fact(dealt, skew="off" if skew == "auto" else skew, scope=scope), "fact")
     dim = store(M.dim_track(s, scope=scope).repartition(buckets, *key), "dim_track")
-    totals = store(R.year_totals(fact, scope), "totals")
-    return Warehouse(raw=raw, silver=s, fact=fact, dim=dim, totals=totals)
+    totals = R.year_totals(fact, scope)
+    if found:
+        opts = {k: v for k, v in skew_opts.items() if k == "block_bits"}
+        M.fact(s.where(is_hot), skew="force", scope=scope, **opts).write.mode("overwrite").parquet(path[HOT_FACT])
+        hot = spark.read.parquet(path[HOT_FACT])
+        totals = totals.unionByName(R.year_totals(hot, scope)).repartition(buckets, *key)
+        fact_all = fact.unionByName(hot)
+    else:
+        _clear(spark, path[HOT_FACT], fact)
+        fact_all = fact
+    totals = store(totals, "totals")
+    days(fact_all)
+    return Warehouse(raw=raw, silver=s, fact=fact_all, dim=dim, totals=totals, days=spark.read.parquet(path[DAYS]))
+
+
+def _clear(spark: SparkSession, path: str, like: DataFrame) -> None:
+    """A hot table of an earlier build holds rows that are in the fact now."""
+    if child_files(spark, path):
+        like.limit(0).write.mode("overwrite").parquet(path)
 
 
 def open_warehouse(spark: SparkSession, root: str, raw: DataFrame | None = None,
@@ -99,14 +132,19 @@ def open_warehouse(spark: SparkSession, root: str, raw: DataFrame | None = None,
         spark.sql(f"CREATE TABLE {own} ({cols}) USING parquet CLUSTERED BY ({key}) SORTED BY ({key}) "
                   f"INTO {buckets} BUCKETS LOCATION '{path}'")
         return spark.table(own)
+
+    def beside(name: str) -> DataFrame | None:
+        path = os.path.join(root, name)
+        return spark.read.parquet(path) if child_files(spark, path) else None
     fact, dim, totals = (table(n) for n in TABLES)
-    return Warehouse(raw=raw, silver=M.silver(M.bronze(raw, scope=scope), scope=scope), fact=fact, dim=dim,
-                     totals=totals)
+    hot, days = beside(HOT_FACT), beside(DAYS)
+    return Warehouse(raw=raw, silver=M.silver(M.bronze(raw, scope=scope), scope=scope),
+                     fact=fact if hot is None else fact.unionByName(hot), dim=dim, totals=totals, days=days)
 
 
 def report_views(wh: Warehouse, scope: tuple = ()) -> dict[str, DataFrame]:
     """Every report over the materialised layers (lazy)."""
-    f, d, t, k = wh.fact, wh.dim, wh.plays, {"scope": scope}
+    d, t, k = wh.dim, wh.plays, {"scope": scope}
     return {
         "dim_artist": M.dim_artist(d, **k),
         "dim_album": M.dim_album(d, **k),
@@ -121,8 +159,8 @@ def report_views(wh: Warehouse, scope: tuple = ()) -> dict[str, DataFrame]:
         "yearly_top_songs": R.yearly_top_songs(t, d, **k),
         "yearly_top_albums": R.yearly_top_albums(t, d, **k),
         "replay_page": R.replay_page(t, d, **k),
-        "weekly_trend": R.weekly_trend(f, **k),
-        "monthly_trend": R.monthly_trend(f, **k),
+        "weekly_trend": R.weekly_trend(wh.trends, **k),
+        "monthly_trend": R.monthly_trend(wh.trends, **k),
         "library_overview": R.library_overview(wh.raw, **k),
         "snapshot_preview": R.snapshot_preview(wh.raw, **k),
     }

@@ -119,13 +119,21 @@ def delete_path(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def child_folders(spark: SparkSession, path: str) -> list[str]:
-    """Names of the folders in ``path`` (one listing); none if it is not there."""
+def _listing(spark: SparkSession, path: str) -> list:
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(p):
-        return []
-    return sorted(f.getPath().getName() for f in fs.listStatus(p) if f.isDirectory())
+    return list(fs.listStatus(p)) if fs.exists(p) else []
+
+
+def child_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in ``path`` (one listing); none if it is not there."""
+    return sorted(f.getPath().getName() for f in _listing(spark, path) if f.isDirectory())
+
+
+def child_files(spark: SparkSession, path: str) -> list[str]:
+    """Names of the data files in ``path``; none if it is not there."""
+    names = (f.getPath().getName() for f in _listing(spark, path) if f.isFile())
+    return sorted(n for n in names if n[0] not in "_.")
 
 
 def rename_file(spark: SparkSession, source: str, target: str) -> None:

@@ -13,8 +13,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..schema import RAW_COLUMNS
-from ..session import materialise, scratch_path
+from ..session import child_files, materialise, scratch_path
 from . import plist as P
+from .store import replace_snapshot
 
 # Volumes and library paths, in the order they are tried.
 VOLUMES = ["Data", "Macintosh HD - Data", "Macintosh HD"]
@@ -34,12 +35,12 @@ BACKUP_PATH_PATTERN = (r"^(.*?)/" + _NAME + r"\.backup/(" + r"\2\.backup/)?" + _
 
 
 def list_files(spark: SparkSession, root: str, glob: str = "*.xml") -> DataFrame:
-    """``path, modified`` of every file under ``root`` matching ``glob``.
+    """``path, modified, size`` of every file under ``root`` matching ``glob``.
 
     Only metadata columns are selected, so no file content is read."""
     return (spark.read.format("binaryFile").option("pathGlobFilter", glob)
             .option("recursiveFileLookup", "true").load(root)
-            .select("path", F.col("modificationTime").alias("modified")))
+            .select("path", F.col("modificationTime").alias("modified"), F.col("length").alias("size")))
 
 
 def parse_backup_paths(paths: DataFrame, user: str | None = None) -> DataFrame:
@@ -108,10 +109,20 @@ def read_backup_tree(spark: SparkSession, root: str, user: str | None = None) ->
 
     Only the chosen files' content is read: their paths (metadata only) go to the
     ``binaryFile`` reader ``BATCH_FILES`` at a time, so the driver holds one batch,
-    and each file is decoded once, into a stored table.
+    and each file is decoded once, into a stored table. ``load_new_backups`` decodes
+    only what an earlier load has not.
     """
     chosen = materialise(pick_library_files(parse_backup_paths(list_files(spark, root), user))
                          .select("path", "backup_ts", "user"), "backup-files")
+    ok, errors = P.split_errors(_decode(spark, chosen))
+    per_backup = ok.groupBy("path").agg(F.count(F.lit(1)).alias("n_tracks")).join(chosen, "path")
+    keep = latest_per_day(per_backup, keys=("user",)).select("path", "backup_ts", "user")
+    lead = [] if user is not None else ["user"]
+    return _snapshot_rows(ok, keep, lead), errors
+
+
+def _decode(spark: SparkSession, chosen: DataFrame) -> DataFrame:
+    """The parsed rows of the chosen files, each decoded once, ``BATCH_FILES`` paths at a time. Stored."""
     out, batch = scratch_path(spark, "backup-rows"), []
 
     def decode():
@@ -124,14 +135,55 @@ def read_backup_tree(spark: SparkSession, root: str, user: str | None = None) ->
             decode()
     if batch:
         decode()
-    ok, errors = P.split_errors(spark.read.schema(P.PARSED_SCHEMA).parquet(out))
-    per_backup = ok.groupBy("path").agg(F.count(F.lit(1)).alias("n_tracks")).join(chosen, "path")
-    keep = latest_per_day(per_backup, keys=("user",)).select("path", "backup_ts", "user")
-    lead = [] if user is not None else ["user"]
+    return spark.read.schema(P.PARSED_SCHEMA).parquet(out)
+
+
+def _snapshot_rows(ok: DataFrame, keep: DataFrame, lead: list[str]) -> DataFrame:
     rows = ok.join(keep, "path").select(
         *lead, F.col("backup_ts").cast("date").alias("snapshot_date"), F.col("path").alias("snapshot_path"),
         *[F.col(c) for c in RAW_COLUMNS[2:]])
-    return rows.select(*lead, *RAW_COLUMNS), errors
+    return rows.select(*lead, *RAW_COLUMNS)
+
+
+LEDGER_SCHEMA = ("path string, modified timestamp, size long, user string, backup_ts timestamp_ntz, "
+                 "n_tracks long, parse_error string, loaded_at timestamp")
+
+
+def read_ledger(spark: SparkSession, ledger: str) -> DataFrame:
+    """What has been decoded so far: one row per file and version of it, with its rows or its error."""
+    if not child_files(spark, ledger):
+        return spark.createDataFrame([], LEDGER_SCHEMA)
+    return spark.read.schema(LEDGER_SCHEMA).parquet(ledger)
+
+
+def load_new_backups(spark: SparkSession, root: str, table: str, ledger: str, user: str | None = None) -> int:
+    """S14 again and again: load what a backup tree has gained since the last load; returns the files decoded.
+
+    A library file is known by its path, time and size: known ones are taken out by an anti-join
+    before any content is read. Of a day's backups the latest that has rows counts, so a new file
+    replaces a day only if no known backup of that user and day with rows is later. The table
+    (scope: ``user``) is written before the ledger: a load that fails between them is done again,
+    to the same rows. Files that went from the tree stay loaded."""
+    files = materialise(list_files(spark, root), "backup-list")
+    known = read_ledger(spark, ledger)
+    chosen = pick_library_files(parse_backup_paths(files, user)).select("path", "backup_ts", "user").join(files, "path")
+    new = materialise(chosen.join(known, ["path", "modified", "size"], "left_anti"), "backup-new")
+    n = new.count()
+    if not n:
+        return 0
+    ok, errors = P.split_errors(_decode(spark, new))
+    counts = ok.groupBy("path").agg(F.count(F.lit(1)).alias("n_tracks"))
+    entries = materialise(new.join(counts, "path", "left").join(errors.select("path", "parse_error"), "path", "left").select(
+        "path", "modified", "size", "user", "backup_ts", F.coalesce("n_tracks", F.lit(0)).cast("long").alias("n_tracks"),
+        "parse_error", F.current_timestamp().alias("loaded_at")), "backup-entries")
+    # a file that changed counts as it is now
+    before = known.join(entries.select("path"), "path", "left_anti").select("path", "user", "backup_ts", "n_tracks")
+    both = before.withColumn("_new", F.lit(False)).unionByName(
+        entries.select("path", "user", "backup_ts", "n_tracks").withColumn("_new", F.lit(True)))
+    keep = latest_per_day(both, keys=("user",)).where("_new").select("path", "backup_ts", "user")
+    replace_snapshot(_snapshot_rows(ok, keep, ["user"]), table, scope=("user",))
+    entries.write.mode("append").parquet(ledger)
+    return n
 
 
 def place_libraries(spark: SparkSession, written: str, root: str, time: str) -> None:

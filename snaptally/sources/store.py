@@ -19,9 +19,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.checks import assert_contract
+from ..operators.checks import ContractViolation, assert_contract
 from ..schema import RAW_COLUMNS, RAW_KEY, RAW_NOT_NULL, RAW_SCHEMA
-from ..session import materialise
+from ..session import child_folders, materialise
 
 PARTITION = "snapshot_date"
 
@@ -111,9 +111,21 @@ def replace_snapshot_bucketed(df: DataFrame, table: str, buckets: int, scope: tu
      .option("partitionOverwriteMode", "dynamic").insertInto(table, overwrite=True))
 
 
-def append_snapshots(df: DataFrame, path: str, scope: Sequence[str] = ()) -> None:
-    """Add snapshots of new dates (no replacement)."""
-    publish(stage(df, scope, check=False), path, scope, mode="append")
+def append_snapshots(df: DataFrame, path: str, scope: Sequence[str] = (), check: bool = True) -> None:
+    """T1 + D1: add snapshots to the table; nothing is replaced, so no key may be there already.
+
+    The staged rows are checked among themselves, then against the stored rows of their own dates
+    (other partitions are not read). A stored key aborts the load before anything is written."""
+    staged = stage(df, scope, check)
+    spark = df.sparkSession
+    if check and child_folders(spark, path):
+        keys = [*scope, *RAW_KEY]
+        dates = [r[0] for r in staged.select(PARTITION).distinct().collect()]  # bounded by the calendar
+        stored = read_raw(spark, path, scope).where(F.col(PARTITION).isin(dates)).select(*keys)
+        held = stored.join(staged.select(*keys), keys, "left_semi").limit(5).collect()
+        if held:
+            raise ContractViolation(f"snapshot: key {keys} is stored already: {held}")
+    publish(staged, path, scope, mode="append")
 
 
 def upsert(old: DataFrame, new: DataFrame, keys: Sequence[str] = tuple(RAW_KEY)) -> DataFrame:

@@ -5,6 +5,7 @@ import os
 import tempfile
 
 import pytest
+from pyspark.sql import functions as F
 
 from snaptally.sources import backups as B
 from snaptally.sources import csvfile, plist, store
@@ -330,3 +331,59 @@ def test_code_is_found_from_another_folder():
     out = subprocess.run([sys.executable, "-c", code], cwd=tempfile.mkdtemp(), env=env, capture_output=True, text=True,
                          timeout=300)
     assert "ROWS 3633" in out.stdout, out.stderr[-2000:]
+
+
+def test_append_refuses_stored_keys(spark, make_raw):
+    from conftest import raw_row
+    from snaptally.operators.checks import ContractViolation
+    path = tempfile.mkdtemp() + "/raw"
+    first = make_raw([raw_row("2025-01-01", i, f"P{i}", 1) for i in range(4)])
+    store.append_snapshots(first, path)
+    store.append_snapshots(make_raw([raw_row("2025-01-01", 9, "P9", 1), raw_row("2025-01-02", 1, "P1", 2)]), path)
+    before = sorted(map(tuple, store.read_raw(spark, path).collect()), key=repr)
+    for bad in ([raw_row("2025-01-03", 1, "P1", 3), raw_row("2025-01-01", 9, "P9", 7)],
+                [raw_row("2025-01-04", 1, "P1", 3), raw_row("2025-01-04", 1, "P2", 3)]):
+        with pytest.raises(ContractViolation):
+            store.append_snapshots(make_raw(bad), path)
+        assert sorted(map(tuple, store.read_raw(spark, path).collect()), key=repr) == before
+    # only the batch's dates are read for the check
+    stored = store.read_raw(spark, path).where(F.col("snapshot_date").isin([dt.date(2025, 1, 2)]))
+    assert "PartitionFilters: [isnotnull(snapshot_date" in stored._jdf.queryExecution().executedPlan().toString()
+
+
+def test_known_backups_are_not_decoded_again(spark, monkeypatch):
+    root, table, ledger = tempfile.mkdtemp(), tempfile.mkdtemp() + "/raw", tempfile.mkdtemp() + "/ledger"
+    decoded = []
+    real = B.P.read_plist_files
+    monkeypatch.setattr(B.P, "read_plist_files", lambda s, paths, **k: decoded.extend(paths) or real(s, paths, **k))
+
+    def put(name, body, user="ann"):
+        at = os.path.join(root, f"{name}.backup", "Data", "Users", user, "Music/Music")
+        os.makedirs(at, exist_ok=True)
+        with open(os.path.join(at, "Music Library.xml"), "w") as f:
+            f.write(body)
+
+    def tracks(plays):
+        return ('<plist version="1.0"><dict><key>Tracks</key><dict><key>1</key><dict><key>Track ID</key><integer>1</integer>'
+                f"<key>Play Count</key><integer>{plays}</integer></dict></dict></dict></plist>")
+
+    def load():
+        decoded.clear()
+        n = B.load_new_backups(spark, root, table, ledger)
+        assert n == len(decoded)
+        got = sorted((r.user, r.snapshot_date.day, r.play_count) for r in store.read_raw(spark, table, ("user",)).collect())
+        return n, got
+    put("2025-01-03-100000", tracks(1))
+    put("2025-01-04-100000", tracks(2))
+    put("2025-01-03-100000", tracks(7), "bob")
+    assert load() == (3, [("ann", 3, 1), ("ann", 4, 2), ("bob", 3, 7)])
+    assert load() == (0, [("ann", 3, 1), ("ann", 4, 2), ("bob", 3, 7)])
+    put("2025-01-04-120000", tracks(5))  # later that day
+    put("2025-01-03-080000", tracks(9))  # earlier that day: does not count
+    put("2025-01-05-080000", "<plist><broken")
+    assert load() == (3, [("ann", 3, 1), ("ann", 4, 5), ("bob", 3, 7)])
+    errors = [r.path for r in B.read_ledger(spark, ledger).where("parse_error is not null").collect()]
+    assert len(errors) == 1 and "2025-01-05" in errors[0]
+    put("2025-01-04-120000", tracks(66666))  # the file changed
+    assert load() == (1, [("ann", 3, 1), ("ann", 4, 66666), ("bob", 3, 7)])
+    assert load()[0] == 0

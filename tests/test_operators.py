@@ -122,3 +122,17 @@ def test_hot_null_key_and_text_tiebreak(spark):
                          hot_min_rows=10, hot_sample=1.0)
     same(plain, auto)
     same(plain, counter_delta(df, ["k"], "d", ["c"], tiebreak=["tb"], skew="force"))
+
+
+def test_top_k_with_nine_tenths_tied_at_the_cut(spark):
+    from pyspark.sql import functions as F
+
+    from snaptally.operators.rank import competition_rank
+    df = spark.range(20_000).select("id", F.when(F.col("id") < 2, 100 - F.col("id")).when(
+        F.col("id") % 10 == 0, F.lit(1)).otherwise(F.lit(7)).alias("m")).repartition(8)
+    top = competition_rank(df, "m", max_rank=3)
+    assert {(r.rank, r.m): r["count"] for r in top.groupBy("rank", "m").count().collect()} == {
+        (1, 100): 1, (2, 99): 1, (3, 7): 17_999}
+    assert top.rdd.getNumPartitions() > 1  # the tied rows stay where they are
+    sizes = top.select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()
+    assert len(sizes) == 8 and max(r["count"] for r in sizes) < 4_000

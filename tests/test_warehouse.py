@@ -56,3 +56,47 @@ def test_bucketed_raw_builds_without_exchanges(spark):
     s0 = M.silver(M.bronze(raw))
     assert rows(fact) == rows(M.fact(s0))
     assert rows(dim) == rows(M.dim_track(s0))
+
+
+def test_hot_track_of_a_bucketed_build_is_spread(spark, make_raw):
+    """A blank id with half of all rows has a table of its own: no task holds it, the rows are the same."""
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from conftest import raw_row
+    from snaptally.plans import models as M
+    from snaptally.plans.warehouse import open_warehouse
+    rows_ = [raw_row(dt.date(2024, 1, 1) + dt.timedelta(days=d), 1000 + k, "", d + k % 7) for d in range(40) for k in range(100)]
+    rows_ += [raw_row(dt.date(2024, 1, 1) + dt.timedelta(days=d), k, f"T{k}", d * k) for d in range(40) for k in range(100)]
+    raw, root = make_raw(rows_), tempfile.mkdtemp()
+    opts = {"hot_min_rows": 500, "hot_max_keys": 4, "hot_sample": 1.0}
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(coalesce, "false")  # else so few rows are put together again
+    try:
+        wh = build(spark, raw, root, buckets=4, block_bits=4, **opts)
+    finally:
+        spark.conf.set(coalesce, "true")
+    s = M.silver(M.bronze(raw))
+    fact, dim = M.fact(s, skew="off"), M.dim_track(s)
+    assert rows(wh.fact) == rows(fact) and rows(wh.dim) == rows(dim)
+    assert rows(wh.totals) == rows(R.year_totals(fact)) and rows(wh.days) == rows(R.day_totals(fact))
+    again = open_warehouse(spark, root, raw, buckets=4)
+    assert rows(again.fact) == rows(fact) and rows(R.top_songs(again.plays, again.dim)) == rows(R.top_songs(fact, dim))
+    # none of the bucketed files holds the hot track, and its own table is several files
+    per_file = spark.read.parquet(root + "/fact").where("track_persistent_id = ''").count()
+    hot = spark.read.parquet(root + "/fact_hot").groupBy(F.input_file_name().alias("f")).count().collect()
+    assert per_file == 0 and len(hot) > 1 and max(r["count"] for r in hot) < 2500
+    # built again without hot tracks, the hot table is empty
+    cold = build(spark, raw.filter("persistent_id != ''"), root, buckets=4, **opts)
+    assert spark.read.parquet(root + "/fact_hot").count() == 0 and cold.fact.count() == 4000
+
+
+def test_trends_of_stored_layers_read_no_fact(spark):
+    root = tempfile.mkdtemp()
+    wh = build(spark, load_fixture(spark, SF_SMALL), root, buckets=4)
+    views = report_views(wh)
+    for name in ("weekly_trend", "monthly_trend"):
+        p = views[name]._jdf.queryExecution().executedPlan().toString()
+        assert "/days" in p and "/fact" not in p
+        assert rows(views[name]) == rows(getattr(R, name)(wh.fact))
