@@ -8,17 +8,18 @@ entity's own information content (Sanchez and Batet's C-sanitisation):
     disclosure(e; t) = PMI / IC  <= 1, and 1 where t occurs with e only
 
 n counts documents; n(e,t) documents that hold a mention of e and t, wherever they stand.
-Every entity is judged, also one with a single mention: a rare term borrows its evidence
-from its class (its first letters), which must be seen in ``min_support`` different texts of
-the corpus, with or without an entity, so copies of one text prove nothing. A term whose class
-is rarer than that is left. A term over the threshold is generalised to its class if the class
-is under the threshold, and removed otherwise, at each of its places in every document of the
-entity. Class counts are sums over the class's terms.
-
-Only the pairs of an entity and the different words of its documents are formed, so their
-number grows with the documents that hold a mention. Words are counted once per different text, weighted by its documents (one
-shuffle of the texts by their hash), and every count has a partial aggregate: no entity's
-documents meet in one task.
+Every entity and every term is judged, also one met once. A revealing term is generalised to the
+narrowest of its classes (its first letters, ``LEVELS``) that tells little: one seen in ``min_support``
+different texts of the corpus at least (copies of one text prove nothing) and itself under the threshold. A term
+without such a class, or too short for it, is removed. Either is done at each place of the term in every document
+of the entity. Class counts are sums over the class's terms.
+
+Entities of the very same documents (known by the number and the sums of their documents' hashes)
+disclose alike and are one profile: a log of 10,000 addresses met nowhere else is one. As
+disclosure > alpha needs n(t) < n(e) (N / n(e))^(1 - alpha), frequent words go before any pair is
+formed, so pairs are of a profile and the rare words of its documents. Words are counted by
+partial aggregates in each task, no text is shuffled; different texts of a class are counted by a
+64-bit set of their hashes, which may count too few (the term is then removed, not generalised), never too many.
 
 Defined cases: null text is empty; an empty text has no span and an empty ``spans``; an
 entity found in every document has no information and discloses nothing; repeated rows are
@@ -44,7 +45,7 @@ PART = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 MARK = "\ue000"
 MARKED_TERM = rf"[\p{{L}}\p{{N}}{MARK}]+"
 NOT_TERM = r"[^\p{L}\p{N}]+"
-CLASS_LETTERS = 3
+LEVELS = (3, 1)
 
 
 def digits(v: Column) -> Column:
@@ -87,61 +88,95 @@ def _terms(text: Column, spans: Column) -> Column:
     return F.when(F.size(spans) > 0, B.let(marked, words)).otherwise(none)
 
 
+KEY = ["id_hash", "text_hash"]
+
+
 def mentions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per document: id, text_hash, base (spans), entities and terms (with their places; none in
-    a document without entities). Written once; both later uses read it back."""
+    """Per document: id, its key, base (spans), entities and terms (with their places; none in
+    a document without entities). Written once; all later uses read it back."""
     d = docs.select(F.col(id_col).alias("id"), B.text_of(text_col).alias("text"))
     d = B.base_spans(d, "text", KINDS, "base")
     entities = F.array_distinct(F.transform(F.col("base"), lambda s: F.struct(
         s["kind"].alias("kind"), entity(s["kind"], s["value"]).alias("entity"))))
-    return B.materialise(d.select("id", F.xxhash64("text").alias("text_hash"), "base", entities.alias("entities"),
-                                  _terms(F.col("text"), F.col("base")).alias("terms")), "pii")
+    return B.materialise(d.select("id", F.xxhash64("id").alias("id_hash"), F.xxhash64("text").alias("text_hash"), "base",
+                                  entities.alias("entities"), _terms(F.col("text"), F.col("base")).alias("terms")), "pii")
 
 
 def vocabulary(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """term, n_t (documents), support (different texts): one row per word, and one per class as ``cla*``."""
-    texts = docs.select(B.text_of(text_col).alias("text")).groupBy(F.xxhash64("text").alias("text_hash")).agg(
-        F.first("text").alias("text"), F.count("*").alias("n"))
-    words = texts.select("n", F.array_distinct(F.transform(F.split("text", NOT_TERM), F.lower)).alias("words"))
-    classes = F.array_distinct(F.transform("words", lambda w: F.concat(F.substring(w, 1, CLASS_LETTERS), F.lit("*"))))
-    return words.select("n", F.explode(F.concat("words", classes)).alias("term")).groupBy("term").agg(
-        F.sum("n").alias("n_t"), F.count("*").alias("support"))
+    """term, n_t (documents), seen (the 64-bit set of their texts' hashes). Stored."""
+    text = B.text_of(text_col)
+    words = docs.select(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.xxhash64(text), F.lit(64)).cast("int")).alias("bit"),
+                        F.array_distinct(F.transform(F.split(text, NOT_TERM), F.lower)).alias("words"))
+    return B.materialise(words.select("bit", F.explode("words").alias("term")).groupBy("term").agg(
+        F.count("*").alias("n_t"), F.bit_or("bit").alias("seen")), "pii-vocabulary")
+
+
+def _profiles(found: DataFrame, n_docs: int) -> tuple[DataFrame, DataFrame]:
+    """(kind, entity, profile, n_e) and, per document, its profiles. Stored. An entity of every document
+    tells nothing and is left out."""
+    mention = found.where(F.size("entities") > 0).select(*KEY, F.explode("entities").alias("e")).select(*KEY, "e.*")
+    total = lambda seed: F.sum(F.xxhash64(F.lit(seed), *KEY).cast("decimal(20,0)")).cast("string")
+    ents = mention.groupBy("kind", "entity").agg(F.count("*").alias("n_e"), total(1).alias("a"), total(2).alias("b"))
+    ents = B.materialise(ents.where(F.col("n_e") < n_docs).select(
+        "kind", "entity", F.md5(F.concat_ws(" ", F.col("n_e").cast("string"), "a", "b")).alias("profile"), "n_e"), "pii-entities")
+    own = mention.join(ents, ["kind", "entity"]).groupBy(*KEY).agg(F.collect_set(F.struct("profile", "n_e")).alias("profiles"))
+    return ents, B.materialise(own, "pii-profiles")
+
+
+def _share(n_docs: int, both: Column, own: Column) -> Column:
+    """Disclosure of an entity of n_e documents by what is in ``own`` documents, ``both`` of them the entity's."""
+    n = F.lit(float(n_docs))
+    return F.log2(n * F.least(both, own) / (F.col("n_e") * own)) / F.log2(n / F.col("n_e"))
+
+
+def _judged(docs: DataFrame, found: DataFrame, text_col: str, alpha: float, min_support: int):
+    """(entities, judged, hits): the entities with their profiles; profile, term, disclosure, action, general;
+    and per document and revealing term what becomes of it."""
+    n_docs = max(found.count(), 1)
+    ents, own = _profiles(found, n_docs)
+    vocab = vocabulary(docs, text_col)
+    most = ents.agg(F.max("n_e")).first()[0] or 1
+    bound = lambda n_e: n_e * F.pow(F.lit(float(n_docs)) / n_e, F.lit(1 - alpha))
+    names = F.array_distinct(F.transform(F.col("terms"), lambda w: w["term"]))
+    words = found.where(F.size("terms") > 0).select(*KEY, F.explode(names).alias("term"))
+    rare = B.materialise(words.join(vocab.where(F.col("n_t") <= bound(F.lit(float(most)))).select("term", "n_t"), "term"), "pii-rare")
+    # a document's rare words with its profiles, as far as the counts let them disclose
+    met = rare.join(own, KEY).select(*KEY, "term", "n_t", F.explode("profiles").alias("p")).select(
+        *KEY, "term", "n_t", "p.*").where(F.col("n_t") <= bound(F.col("n_e")))
+    told = met.groupBy("profile", "n_e", "term", "n_t").agg(F.count("*").alias("n_et")).withColumn(
+        "disclosure", _share(n_docs, F.col("n_et"), F.col("n_t"))).where(F.col("disclosure") > alpha)
+    told = B.materialise(told, "pii-told")
+    general = F.lit(None).cast("string")
+    for size in reversed(LEVELS):
+        head = F.substring("term", 1, size)
+        classes = vocab.groupBy(head.alias("class")).agg(F.sum("n_t").alias("n_c"), F.bit_or("seen").alias("seen")).where(
+            F.bit_count("seen") >= min_support)
+        asked = told.where(F.length("term") > size).select("profile", "n_e", head.alias("class")).distinct()
+        inside = own.select(*KEY, F.explode("profiles").alias("p")).select(*KEY, "p.profile").join(
+            asked.select("profile").distinct(), "profile", "left_semi")
+        both = words.groupBy(*KEY, head.alias("class")).agg(F.count("*").alias("k")).join(inside, KEY).join(
+            asked, ["profile", "class"]).groupBy("profile", "n_e", "class").agg(F.sum("k").alias("n_ec"))
+        mild = both.join(classes, "class").where(_share(n_docs, F.col("n_ec"), F.col("n_c")) <= alpha).select(
+            "profile", F.col("class").alias(f"c{size}"))
+        told = told.withColumn("_head", head).join(
+            mild.select(F.col("profile").alias("_profile"), f"c{size}"),
+            (F.col("profile") == F.col("_profile")) & (F.col("_head") == F.col(f"c{size}")) & (F.length("term") > size),
+            "left").drop("_profile", "_head")
+        general = F.coalesce(F.col(f"c{size}"), general)
+    judged = B.materialise(told.select(
+        "profile", "term", "disclosure", F.when(general.isNotNull(), ADDED[0]).otherwise(ADDED[1]).alias("action"),
+        F.coalesce(F.concat(general, F.lit("*")), F.lit("")).alias("general")), "pii-judged")
+    rank = F.when(F.col("action") == ADDED[0], len(KINDS)).otherwise(len(KINDS) + 1)
+    hits = met.select(*KEY, "profile", "term").join(judged, ["profile", "term"]).groupBy(*KEY, "term").agg(
+        F.max(F.struct(rank.alias("rank"), F.col("action").alias("kind"), F.col("general").alias("value"))).alias("a"))
+    return ents, judged, hits
 
 
 def revealing_terms(docs: DataFrame, found: DataFrame, text_col: str = "text", alpha: float = 0.9,
                     min_support: int = 3) -> DataFrame:
     """kind, entity, term, disclosure, action ("generalise" or "remove"), general."""
-    n_docs = float(max(found.count(), 1))
-    ents = found.select(F.explode("entities").alias("e")).select("e.*")
-    ents = B.materialise(ents.groupBy("kind", "entity").agg(F.count("*").alias("n_e")).where(
-        F.col("n_e") < n_docs), "pii-entities")
-    words = F.array_distinct(F.transform(F.col("terms"), lambda w: w["term"]))
-    pairs = (found.select(F.explode("entities").alias("e"), words.alias("words"))
-             .select("e.*", F.explode("words").alias("term"))
-             .groupBy("kind", "entity", "term").agg(F.count("*").alias("n_et"))
-             .join(ents, ["kind", "entity"]).withColumn("class", F.substring("term", 1, CLASS_LETTERS)))
-    pairs = B.materialise(pairs, "pii-pairs")
-    vocab = (vocabulary(docs, text_col).withColumn("class", F.substring(F.rtrim("term", F.lit("*")), 1, CLASS_LETTERS))
-             .join(pairs.select("class").distinct(), "class", "left_semi"))
-    vocab = B.materialise(vocab, "pii-vocabulary")
-    is_class = F.endswith("term", F.lit("*"))
-    # a class with evidence, and the documents of its terms
-    classes = vocab.groupBy("class").agg(F.sum(F.when(~is_class, F.col("n_t"))).alias("n_c"),
-                                         F.max(F.when(is_class, F.col("support"))).alias("support"))
-    classes = classes.where(F.col("support") >= min_support).drop("support")
-    class_pairs = pairs.groupBy("kind", "entity", "class").agg(F.sum("n_et").alias("n_ec"))
-
-    def share(both: str, own: str) -> Column:
-        pmi = F.log2(F.lit(n_docs) * F.least(F.col(both), F.col(own)) / (F.col("n_e") * F.col(own)))
-        return pmi / F.log2(F.lit(n_docs) / F.col("n_e"))
-    scored = (pairs.join(vocab.select("term", "n_t"), "term")
-              .withColumn("disclosure", share("n_et", "n_t")).where(F.col("disclosure") > alpha)
-              .join(classes, "class").join(class_pairs, ["kind", "entity", "class"])
-              .withColumn("class_disclosure", share("n_ec", "n_c")))
-    general = (F.col("class_disclosure") <= alpha) & (F.length("term") > CLASS_LETTERS)
-    return B.materialise(scored.select(
-        "kind", "entity", "term", "disclosure", F.when(general, ADDED[0]).otherwise(ADDED[1]).alias("action"),
-        F.when(general, F.concat("class", F.lit("*"))).otherwise("").alias("general")), "pii-terms")
+    ents, judged, _ = _judged(docs, found, text_col, alpha, min_support)
+    return ents.join(judged, "profile").select("kind", "entity", "term", "disclosure", "action", "general")
 
 
 def detect(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", alpha: float = 0.9,
@@ -150,20 +185,15 @@ def detect(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", alph
 
     ``value`` is the found text for base kinds and the replacement for added ones."""
     found = mentions(docs, id_col, text_col)
-    terms = revealing_terms(docs, found, text_col, alpha, min_support)
-    places = (found.select("id", "text_hash", "terms", F.explode("entities").alias("e"))
-              .select("id", "text_hash", "e.*", F.explode("terms").alias("w"))
-              .select("id", "text_hash", "kind", "entity", "w.*"))
-    rank = F.when(F.col("action") == ADDED[0], len(KINDS)).otherwise(len(KINDS) + 1)
-    hit = places.join(terms, ["kind", "entity", "term"]).groupBy("id", "text_hash", "start", "end").agg(
-        F.max(F.struct(rank.alias("rank"), F.col("action").alias("kind"), F.col("general").alias("value"))).alias("a"))
-    added = hit.groupBy("id", "text_hash").agg(F.collect_list(F.struct(
+    hits = B.materialise(_judged(docs, found, text_col, alpha, min_support)[2], "pii-hits")
+    places = (found.where(F.size("terms") > 0).join(hits.select(*KEY).distinct(), KEY, "left_semi")
+              .select(*KEY, F.explode("terms").alias("w")).select(*KEY, "w.*"))
+    # a set: repeated rows have the same places
+    added = places.join(hits, [*KEY, "term"]).groupBy(*KEY).agg(F.collect_set(F.struct(
         "start", "a.rank", "a.kind", "end", "a.value")).alias("added"))
-    same = (F.col("f.id").eqNullSafe(F.col("a.id"))) & (F.col("f.text_hash") == F.col("a.text_hash"))
     empty = F.array().cast("array<struct<start:bigint,rank:int,kind:string,end:bigint,value:string>>")
-    return found.alias("f").join(added.alias("a"), same, "left").select(
-        "f.id", "f.text_hash", "f.base",
-        F.array_sort(F.concat("f.base", F.coalesce("a.added", empty))).alias("spans"))
+    return found.join(added, KEY, "left").select("id", "text_hash", "base", F.array_sort(
+        F.concat("base", F.coalesce("added", empty))).alias("spans"))
 
 
 def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **params) -> DataFrame:

@@ -7,6 +7,7 @@ import re
 import zlib
 
 import numpy as np
+import regex
 import xxhash
 
 WORDS = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi".split()
@@ -152,3 +153,56 @@ def language_model(docs, mu, trained):
                 for p, x in zip([None, *w[:-1]], w, strict=True))
         out.append((len(w), sum(uni[x] > 0 for x in w), n, base, s))
     return out
+
+
+def pii_added(rows, alpha=0.9, support=3, levels=(3, 1)):
+    """Per row of (id, text): its added spans [(start, kind, end, value)], pair by pair and document by document."""
+    docs = []
+    for i, text in rows:
+        text = text or ""
+        base = spans(text, PII)
+        ents, at, marked = set(), 0, list(text.replace("\ue000", " "))
+        for start, _, kind, end in base:
+            v = text[start:end]
+            ents.add((kind, re.sub("[^0-9]", "", v) if kind in ("card", "phone") else v.lower()))
+            marked[start:end] = "\ue000" * (end - start)
+        places = [(m[0].lower(), m.start(), m.end()) for m in regex.finditer(r"[\p{L}\p{N}\ue000]+", "".join(marked))
+                  if "\ue000" not in m[0]] if base else []
+        vocab = {w.lower() for w in regex.split(r"[^\p{L}\p{N}]+", text)}
+        docs.append((ents, places, vocab, xxhash.xxh64(text.encode(), seed=42).intdigest() % 64))
+    n = len(docs)
+    n_t, seen, n_e = collections.Counter(), collections.defaultdict(set), collections.Counter()
+    for ents, _, vocab, bit in docs:
+        n_t.update(vocab)
+        n_e.update(ents)
+        for w in vocab:
+            seen[w].add(bit)
+    n_c, seen_c = collections.Counter(), collections.defaultdict(set)
+    for w, k in n_t.items():
+        for size in levels:
+            n_c[size, w[:size]] += k
+            seen_c[size, w[:size]] |= seen[w]
+    share = lambda e, both, own: math.log2(n * min(both, own) / (n_e[e] * own)) / math.log2(n / n_e[e])
+    n_et, n_ec = collections.Counter(), collections.Counter()
+    for ents, places, _, _ in docs:
+        words = {w for w, _, _ in places}
+        for e in ents:
+            for w in words:
+                n_et[e, w] += 1
+                for size in levels:
+                    n_ec[e, size, w[:size]] += 1
+    out = []
+    for ents, places, _, _ in docs:
+        added = []
+        for w, start, end in places:
+            got = []
+            for e in ents:
+                if n_e[e] == n or share(e, n_et[e, w], n_t[w]) <= alpha:
+                    continue
+                fit = [w[:s] for s in levels if len(w) > s and len(seen_c[s, w[:s]]) >= support
+                       and share(e, n_ec[e, s, w[:s]], n_c[s, w[:s]]) <= alpha]
+                got.append((4, "generalise", fit[0] + "*") if fit else (5, "remove", ""))
+            if got:
+                added.append((start, *max(got)[1:2], end, max(got)[2]))
+        out.append(added)
+    return out
