@@ -112,15 +112,16 @@ def vocabulary(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 def _profiles(found: DataFrame, n_docs: int) -> tuple[DataFrame, DataFrame]:
-    """(kind, entity, profile, n_e) and, per document, its profiles. Stored. An entity of every document
+    """(kind, entity, profile, n_e), stored, and per document its profiles. An entity of every document
     tells nothing and is left out."""
     mention = found.where(F.size("entities") > 0).select(*KEY, F.explode("entities").alias("e")).select(*KEY, "e.*")
     total = lambda seed: F.sum(F.xxhash64(F.lit(seed), *KEY).cast("decimal(20,0)")).cast("string")
     ents = mention.groupBy("kind", "entity").agg(F.count("*").alias("n_e"), total(1).alias("a"), total(2).alias("b"))
     ents = B.materialise(ents.where(F.col("n_e") < n_docs).select(
-        "kind", "entity", F.md5(F.concat_ws(" ", F.col("n_e").cast("string"), "a", "b")).alias("profile"), "n_e"), "pii-entities")
+        "kind", "entity", F.unhex(F.md5(F.concat_ws(" ", F.col("n_e").cast("string"), "a", "b"))).alias("profile"), "n_e"),
+        "pii-entities")
     own = mention.join(ents, ["kind", "entity"]).groupBy(*KEY).agg(F.collect_set(F.struct("profile", "n_e")).alias("profiles"))
-    return ents, B.materialise(own, "pii-profiles")
+    return ents, own
 
 
 def _share(n_docs: int, both: Column, own: Column) -> Column:
@@ -137,11 +138,15 @@ def _judged(docs: DataFrame, found: DataFrame, text_col: str, alpha: float, min_
     vocab = vocabulary(docs, text_col)
     most = ents.agg(F.max("n_e")).first()[0] or 1
     bound = lambda n_e: n_e * F.pow(F.lit(float(n_docs)) / n_e, F.lit(1 - alpha))
-    names = F.array_distinct(F.transform(F.col("terms"), lambda w: w["term"]))
-    words = found.where(F.size("terms") > 0).select(*KEY, F.explode(names).alias("term"))
-    rare = B.materialise(words.join(vocab.where(F.col("n_t") <= bound(F.lit(float(most)))).select("term", "n_t"), "term"), "pii-rare")
-    # a document's rare words with its profiles, as far as the counts let them disclose
-    met = rare.join(own, KEY).select(*KEY, "term", "n_t", F.explode("profiles").alias("p")).select(
+    names = F.array_distinct(F.transform(F.col("terms"), lambda w: w["term"])).alias("names")
+    named = found.where(F.size("terms") > 0).select(*KEY, names)
+    rare = named.select(*KEY, F.explode("names").alias("term")).join(
+        vocab.where(F.col("n_t") <= bound(F.lit(float(most)))).select("term", "n_t"), "term")
+    rare = rare.groupBy(*KEY).agg(F.collect_set(F.struct("term", "n_t")).alias("rare"))
+    # all that is known of a document in one row: what follows explodes it where it stands
+    one = B.materialise(named.join(own, KEY).join(rare, KEY, "left"), "pii-documents")
+    # its rare words with its profiles, as far as the counts let them disclose
+    met = one.select(*KEY, F.explode("rare").alias("w"), "profiles").select(*KEY, "w.*", F.explode("profiles").alias("p")).select(
         *KEY, "term", "n_t", "p.*").where(F.col("n_t") <= bound(F.col("n_e")))
     told = met.groupBy("profile", "n_e", "term", "n_t").agg(F.count("*").alias("n_et")).withColumn(
         "disclosure", _share(n_docs, F.col("n_et"), F.col("n_t"))).where(F.col("disclosure") > alpha)
@@ -152,10 +157,9 @@ def _judged(docs: DataFrame, found: DataFrame, text_col: str, alpha: float, min_
         classes = vocab.groupBy(head.alias("class")).agg(F.sum("n_t").alias("n_c"), F.bit_or("seen").alias("seen")).where(
             F.bit_count("seen") >= min_support)
         asked = told.where(F.length("term") > size).select("profile", "n_e", head.alias("class")).distinct()
-        inside = own.select(*KEY, F.explode("profiles").alias("p")).select(*KEY, "p.profile").join(
-            asked.select("profile").distinct(), "profile", "left_semi")
-        both = words.groupBy(*KEY, head.alias("class")).agg(F.count("*").alias("k")).join(inside, KEY).join(
-            asked, ["profile", "class"]).groupBy("profile", "n_e", "class").agg(F.sum("k").alias("n_ec"))
+        both = one.select(F.explode("names").alias("term"), "profiles").select(
+            head.alias("class"), F.explode("profiles.profile").alias("profile")).groupBy("profile", "class").agg(
+            F.count("*").alias("n_ec")).join(asked, ["profile", "class"])
         mild = both.join(classes, "class").where(_share(n_docs, F.col("n_ec"), F.col("n_c")) <= alpha).select(
             "profile", F.col("class").alias(f"c{size}"))
         told = told.withColumn("_head", head).join(
