@@ -18,7 +18,8 @@ characters, each broadcast to one pass over the documents, so the broadcast is b
 whatever the benchmark's size.
 
 Words are parted by ASCII white space, A-Z in lower case. Defined cases: null text is empty; a
-text with fewer words than a shingle is one shingle of all its words; an item without words is
+text with fewer words than a shingle is one shingle of all its words; an item of fewer words is contained
+where its words stand one after another, also in a longer document; an item without words is
 in no document; repeated items count each; repeated rows are judged alike; a null item id is
 kept; other columns pass through, one named as the result column is replaced; empty tables
 give no hits.
@@ -37,9 +38,7 @@ from pyspark.sql import types as T
 
 from snaptally.llm import arrow as A
 
-HIT = T.StructType([T.StructField("item_id", T.LongType()), T.StructField("shared", T.IntegerType()),
-                    T.StructField("size", T.IntegerType())])
-KIND = T.StructType([T.StructField("hits", T.ArrayType(HIT))])
+HIT = ["item_id", "shared", "size"]
 FILTER_BITS = 22
 MEMO = 300_000
 
@@ -83,13 +82,28 @@ def sketch_size(n: int, threshold: float) -> int:
     return min(n, int((1 - threshold) * upper + 1e-9) + 1)
 
 
+def kind(item_id: T.DataType) -> T.StructType:
+    """The type of the result, with item ids as the benchmark has them."""
+    hit = T.StructType([T.StructField("item_id", item_id), *[T.StructField(c, T.IntegerType()) for c in HIT[1:]]])
+    return T.StructType([T.StructField("hits", T.ArrayType(hit))])
+
+
+def indexes(items: list[tuple], k: int, threshold: float) -> list[Index]:
+    """One index of the items of ``k`` words or more, and one for each smaller number of words present: such an
+    item is a single shingle of all its words, looked for among a document's windows of that length."""
+    by: dict[int, list] = defaultdict(list)
+    for item in items:
+        by[min(len(item[1].split()), k)].append(item)
+    return [Index(some, n, threshold) for n, some in sorted(by.items()) if n]
+
+
 class Index:
     """The sketches of a block of items; a task's searcher."""
 
-    def __init__(self, items: list[tuple[int, bytes]], k: int, threshold: float):
+    def __init__(self, items: list[tuple], k: int, threshold: float):
         self.k, self.threshold = k, threshold
         self.memo = WordHashes()
-        self.items: list[tuple[int, int]] = []  # id, number of shingles
+        self.items: list[tuple] = []  # id, number of shingles
         self.where: dict[bytes, list[int]] = defaultdict(list)  # shingle -> items
         at: dict[int, list[int]] = defaultdict(list)  # sketch value -> items
         for ident, raw in items:
@@ -110,7 +124,7 @@ class Index:
         self.table = np.zeros(1 << FILTER_BITS, dtype=bool)
         self.table[self.values >> self.shift] = True
 
-    def search(self, raw: bytes) -> list[tuple[int, int, int]]:
+    def search(self, raw: bytes) -> list[tuple]:
         """(item id, shared shingles, item's shingles) of the items that the text holds."""
         words = raw.lower().split()
         if not words or not len(self.values):
@@ -133,10 +147,10 @@ class Index:
                 if c >= self.threshold * self.items[no][1] - 1e-9]
 
 
-def blocks(benchmark: DataFrame, id_col: str, text_col: str, block_chars: int) -> Iterator[list[tuple[int, bytes]]]:
+def blocks(benchmark: DataFrame, id_col: str, text_col: str, block_chars: int) -> Iterator[list[tuple]]:
     """The items in blocks, one in the driver at a time."""
     block, size = [], 0
-    for r in benchmark.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).toLocalIterator():
+    for r in benchmark.select(F.col(id_col), F.col(text_col).cast("string")).toLocalIterator():
         raw = (r[1] or "").encode()
         if block and size + len(raw) > block_chars:
             yield block
@@ -152,22 +166,23 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "t
                        threshold: float = 0.8, block_chars: int = 8_000_000) -> DataFrame:
     """docs with ``out``: struct<hits: array<struct<item_id, shared, size>>> by item id."""
     sc = docs.sparkSession.sparkContext
-    none = F.struct(F.array().cast(KIND["hits"].dataType).alias("hits"))
+    form = kind(benchmark.schema[item_id_col].dataType)
+    none = F.struct(F.array().cast(form["hits"].dataType).alias("hits"))
     d = docs.withColumn(out, none)
     for n, block in enumerate(blocks(benchmark, item_id_col, item_text_col, block_chars)):
         sent = sc.broadcast(block)
-        d = A.with_result(d, text_col, f"{out}__{n}", KIND, _searcher(sent, shingle, threshold))
+        d = A.with_result(d, text_col, f"{out}__{n}", form, _searcher(sent, shingle, threshold))
         d = d.withColumn(out, F.struct(F.concat(f"{out}.hits", f"{out}__{n}.hits").alias("hits"))).drop(f"{out}__{n}")
     return d.withColumn(out, F.struct(F.array_sort(f"{out}.hits").alias("hits")))
 
 
 def _searcher(sent, shingle: int, threshold: float):
-    made: list[Index] = []
+    made: list[list[Index]] = []
 
     def per_text(texts):
         if not made:
-            made.append(Index(sent.value, shingle, threshold))
-        return [{"hits": [dict(zip(HIT.names, h, strict=True)) for h in made[0].search(raw)]} for raw in texts]
+            made.append(indexes(sent.value, shingle, threshold))
+        return [{"hits": [dict(zip(HIT, h, strict=True)) for index in made[0] for h in index.search(raw)]} for raw in texts]
     return per_text
 
 
@@ -195,7 +210,9 @@ b AS (SELECT item_id, [x for x in regexp_split_to_array(translate(coalesce(text,
       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+') if x <> ''] AS w
       FROM benchmark),
 ds AS (SELECT DISTINCT doc_id, s FROM (SELECT doc_id, unnest([array_to_string(w[i:i + 4], ' ')
-       for i in range(1, greatest(len(w) - 4, 1) + 1)]) AS s FROM d WHERE len(w) > 0)),
+       for i in range(1, greatest(len(w) - 4, 1) + 1)]) AS s FROM d WHERE len(w) > 0
+       UNION ALL SELECT doc_id, unnest([array_to_string(w[i:i + m - 1], ' ') for i in range(1, len(w) - m + 2)])
+       FROM d JOIN (SELECT DISTINCT len(w) AS m FROM b WHERE len(w) BETWEEN 1 AND 4) ON len(w) >= m)),
 bs AS (SELECT DISTINCT item_id, s FROM (SELECT item_id, unnest([array_to_string(w[i:i + 4], ' ')
        for i in range(1, greatest(len(w) - 4, 1) + 1)]) AS s FROM b WHERE len(w) > 0)),
 n AS (SELECT item_id, count(*) AS size FROM bs GROUP BY item_id),

@@ -1,8 +1,8 @@
 """Secret scan: fixed patterns, then sliding-window Shannon entropy of candidate strings.
 
 A candidate is a maximal run of 20 or more of ``A-Za-z0-9+/=_-`` (trailing ``=`` are
-padding). It is measured whole, without padding, and by its parts between ``=/+_-``; a run with
-a part that is a secret is one span. The character class of what is measured decides the least entropy of a window of 20 characters that
+padding). It is measured whole, without padding, by its parts between ``=/+_-``, and, where these are
+groups of a key, with the groups put together; a run with a part that is a secret is one span. The character class of what is measured decides the least entropy of a window of 20 characters that
 makes it a secret. The window's entropy is kept by incremental counts: with
 S = sum of n log2 n over the counts, H = log2(20) - S / 20, and one step forward changes
 two counts. UUIDs and words joined by separators are suppressed; placeholders,
@@ -47,6 +47,10 @@ CLASSES = [
     ("base64", r"^(?=.*[0-9])(?=.*[a-z])(?=.*[A-Z])[0-9A-Za-z+/_=-]+$", 3.7),
     ("mixed", r"^(?=.*[0-9])(?=.*[A-Za-z])[0-9A-Za-z+/_=-]+$", 4.0),
     ("digits", r"^[0-9]+$", 3.3),
+    # letters alone are words but for changes of case that no camel has, or five consonants in a row
+    # and four letters that are rare in most languages
+    ("cased", r"^(?=(?:.*?(?:[A-Z][a-z][A-Z]|[a-z][A-Z]{2,4}[a-z])){2})[A-Za-z]+$", 3.6),
+    ("harsh", r"^(?=.*(?i:[b-df-hj-np-tv-xz]{5}))(?=(?:.*?(?i:[jkqvwxyz])){4})[A-Za-z]+$", 3.6),
     ("other", r"^.+$", 4.1),
 ]
 # What is known to be no secret. Masked stretches are left out and what is
@@ -58,8 +62,10 @@ MASKED = [
 ]
 WHOLE = [
     r"^[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}$",
-    r"^(?=.*[-_/=+])[A-Za-z]++(?:[-_/=+][A-Za-z]++)*+(?:[-_/][0-9]{1,4}+)*+$",
+    r"^(?=.*[-_/=+])(?!.*[A-Za-z]{20})[A-Za-z]++(?:[-_/=+][A-Za-z]++)*+(?:[-_/][0-9]{1,4}+)*+$",
 ]
+# a key in groups, two of them at least of letters and digits: measured without its separators
+GROUPED = r"^(?=(?:.*?(?:[A-Za-z][0-9]|[0-9][A-Za-z])[A-Za-z0-9]*+(?:[-_]|$)){2})[A-Za-z0-9]{3,8}(?:[-_][A-Za-z0-9]{3,8}){2,}$"
 # the symbols that counts are kept for, by place
 SYMBOLS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/=_-"
 
@@ -107,7 +113,9 @@ def _pieces(value: Column) -> Column:
         masked = F.regexp_replace(masked, p, " ")
     whole = F.transform(F.split(masked, " +"), lambda s: F.regexp_replace(s, "=+$", ""))
     parts = F.split(masked, "[ =/+_-]+")
-    return F.filter(F.array_distinct(F.concat(whole, parts)), lambda p: (F.length(p) >= WINDOW) & ~_allowed(p))
+    grouped = F.transform(F.filter(F.split(masked, "[ =/+]+"), lambda s: F.rlike(s, F.lit(GROUPED))),
+                          lambda s: F.regexp_replace(s, "[-_]", ""))
+    return F.filter(F.array_distinct(F.concat(whole, parts, grouped)), lambda p: (F.length(p) >= WINDOW) & ~_allowed(p))
 
 
 def _reaches(piece: Column) -> Column:

@@ -122,12 +122,13 @@ def shingles(text, k=5):
 
 def contamination(text, items):
     """[(item, shared, size)] of the items the text holds to 0.8."""
-    own = shingles(text)
+    own = {k: shingles(text, k) for k in range(1, 6)}
     out = []
     for i, t in items:
         s = shingles(t)
-        if s and 5 * len(s & own) >= 4 * len(s):
-            out.append((i, len(s & own), len(s)))
+        k = min(5, len(lower(t).split()))  # a shorter item is one window of its own length
+        if s and 5 * len(s & own[k]) >= 4 * len(s):
+            out.append((i, len(s & own[k]), len(s)))
     return sorted(out)
 
 

@@ -362,3 +362,36 @@ def test_mixing_edges(edge, none):
     out = mixing.draw(edge)
     assert [c for c in edge.columns if c != "copies"] + ["copies"] == out.columns
     assert out.where("copies < 1").count() == 0
+
+
+def test_planted_keys_of_every_mix(spark):
+    """Random keys, bare, after a name, in a path and in groups; identifiers and words beside them."""
+    import string
+    rng, keys = random.Random(11), []
+    mixes = {"hex": "0123456789abcdef", "HEX": "0123456789ABCDEF", "lower": string.ascii_lowercase + string.digits,
+             "upper": string.ascii_uppercase + string.digits, "alnum": string.ascii_letters + string.digits,
+             "base64": string.ascii_letters + string.digits + "+/", "url": string.ascii_letters + string.digits + "-_",
+             "letters": string.ascii_letters, "low": string.ascii_lowercase, "cap": string.ascii_uppercase}
+    for mix, chars in mixes.items():
+        for n in (40, 64):
+            for _ in range(25):
+                key = "".join(rng.choice(chars) for _ in range(n))
+                keys += [(mix, n, form.format(key)) for form in ("{}", "session={}", "path/to/{}", "{}==")]
+    for mix in ("lower", "upper"):
+        for groups, size in ((5, 4), (5, 5), (4, 6), (3, 8)):
+            for _ in range(25):
+                key = "-".join("".join(rng.choice(mixes[mix]) for _ in range(size)) for _ in range(groups))
+                keys += [("grouped", size, key), ("grouped", size, f"key={key}")]
+    df = spark.createDataFrame([(i, f"see {k} there") for i, (_, _, k) in enumerate(keys)], "doc_id long, text string")
+    found = {r.doc_id: any(s.end - s.start >= 20 for s in r.secrets.spans) for r in secrets.scan(df).collect()}
+    caught, of = collections.Counter(), collections.Counter()
+    for i, (mix, _, _) in enumerate(keys):
+        caught[mix] += found[i]
+        of[mix] += 1
+    assert all(caught[m] >= 0.95 * of[m] for m in of if m not in ("low", "cap")), caught
+    assert caught["low"] >= 0.9 * of["low"] and caught["cap"] >= 0.9 * of["cap"], caught
+    plain = ["getElementByIdFromDocumentRoot", "Donaudampfschifffahrtsgesellschaft", "counterrevolutionaries", "some/long/path/to/the/file_name",
+             "123e4567-e89b-12d3-a456-426614174000", "id=123e4567-e89b-12d3-a456-426614174000", "a-very-long-headline-with-words-2024",
+             "incomprehensibilities", "2024-01-02-10-33-55-1234", "AbstractSingletonProxyFactoryBean", "electroencephalographically"]
+    df = spark.createDataFrame([(i, f"see {k} there") for i, k in enumerate(plain)], "doc_id long, text string")
+    assert [plain[r.doc_id] for r in secrets.scan(df).collect() if r.secrets.spans] == []

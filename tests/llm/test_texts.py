@@ -332,9 +332,9 @@ def test_contamination(spark, block_chars):
     got = decontaminate.find_contamination(df, items_for(spark, items), block_chars=block_chars)
     found = {r.doc_id: [tuple(h) for h in r.contamination.hits] for r in got.collect()}
     assert found == {i: X.contamination(t, items) for i, t in docs}
-    assert [len(found[i]) for i in range(1, 12)] == [1, 1, 0, 3, 1, 0, 1, 0, 0, 1, 2]
+    assert [len(found[i]) for i in range(1, 12)] == [1, 1, 0, 3, 1, 0, 1, 1, 0, 1, 2]
     kept = decontaminate.keep_clean(df, items_for(spark, items), block_chars=block_chars)
-    assert kept.columns == df.columns and sorted(r.doc_id for r in kept.collect()) == [3, 6, 8, 9]
+    assert kept.columns == df.columns and sorted(r.doc_id for r in kept.collect()) == [3, 6, 9]
 
 
 def test_contamination_on_given_rows(spark, edge, none):
@@ -352,6 +352,26 @@ def test_contamination_on_given_rows(spark, edge, none):
     assert decontaminate.keep_clean(none, items).count() == 0
 
 
+def test_short_items_and_text_ids(spark):
+    items = [("a", "Secret short item"), ("b", "one"), ("c", "two words"), ("d", "four words in here"), (None, "two words"), ("e", "")]
+    docs = [(1, "a text of ten words with the secret  SHORT item in"), (2, "one"), (3, "someone said two\nwords"), (4, "four words in"),
+            (5, None), (6, "short item secret"), (7, "x four words in here one two"), (8, "secret short item")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id string, text string")
+    found = {r.doc_id: sorted((str(h.item_id), h.shared, h.size) for h in r.contamination.hits)
+             for r in decontaminate.find_contamination(df, bench).collect()}
+    assert found == {i: sorted((str(j), *x) for j, *x in X.contamination(t or "", [(str(j), t) for j, t in items])) for i, t in docs}
+    assert found[1] == [("a", 1, 1)] and found[4] == [] and found[7] == [("b", 1, 1), ("d", 1, 1)]
+    # the SQL has the same rule
+    numbered = spark.createDataFrame([(n, t) for n, (_, t) in enumerate(items)], "item_id long, text string")
+    con = duckdb.connect()
+    con.register("documents", df.toArrow())
+    con.register("benchmark", numbered.toArrow())
+    got = decontaminate.digest(decontaminate.find_contamination(df, numbered))
+    assert ordered(con.execute(decontaminate.ORACLE_SQL).fetchall()) == rows_of(
+        got, "doc_id", "contaminated", "n_items", "item_ids", "containment")
+
+
 def test_sketches_are_lossless():
     for n in range(1, 200):
         assert decontaminate.sketch_size(n, 0.8) >= n - -(-4 * n // 5) + 1
