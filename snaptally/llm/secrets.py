@@ -64,8 +64,10 @@ WHOLE = [
     r"^[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}$",
     r"^(?=.*[-_/=+])(?!.*[A-Za-z]{20})[A-Za-z]++(?:[-_/=+][A-Za-z]++)*+(?:[-_/][0-9]{1,4}+)*+$",
 ]
-# a key in groups, two of them at least of letters and digits: measured without its separators
-GROUPED = r"^(?=(?:.*?(?:[A-Za-z][0-9]|[0-9][A-Za-z])[A-Za-z0-9]*+(?:[-_]|$)){2})[A-Za-z0-9]{3,8}(?:[-_][A-Za-z0-9]{3,8}){2,}$"
+# a key in groups, two of them at least of letters and digits: measured without its separators. The shape
+# comes first: it bounds the groups, so the second look stays linear on long runs.
+GROUPED = (r"^(?=[A-Za-z0-9]{3,8}+(?:[-_][A-Za-z0-9]{3,8}+){2,30}+$)"
+           r"(?=(?:.*?(?:[A-Za-z][0-9]|[0-9][A-Za-z])[A-Za-z0-9]*+(?:[-_]|$)){2})")
 # the symbols that counts are kept for, by place
 SYMBOLS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/=_-"
 
