@@ -102,6 +102,14 @@ def _plist_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _folder(plist.plist_snapshots(spark, out, glob="part-*"))
 
 
+def _plist_split_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1 for large files: as ``plist_ingest``, with every file read by its splits."""
+    out = scratch_path(spark, "plist-large")
+    plist.write_plist_snapshots(_fixture(spark, sf_dir), out)
+    parsed = plist.read_plist_files(spark, out, glob="part-*", split_bytes=0)
+    return _folder(plist.snapshot_rows(plist.split_errors(parsed)[0]))
+
+
 def _plist_corrupt(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first date's file has over 50,000 tracks and a bad number in the last one, the
     second date's is cut off, the others are good. Per file: rows given, and if it failed."""
@@ -407,6 +415,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "append_checked": _append_checked,
     "backup_ledger": _backup_ledger,
     "plist_ingest": _plist_ingest,
+    "plist_split_ingest": _plist_split_ingest,
     "csv_ingest": _csv_ingest,
     "surrogate_id": _surrogate_id,
     "upsert_snapshot": _upsert_snapshot,
