@@ -4,16 +4,18 @@ A document of label 1 is preferred to one of label 0: P(i over j) = sigmoid(w (x
 w is fitted by Newton steps on the regularised logistic loss of feature differences. Only
 texts give features; labels, language, source and id never do.
 
-The labelled rows are a sample of at most ``max_labels`` (those with the smallest hash of
+The weights are fitted on a sample of at most ``max_labels`` labelled rows (those with the smallest hash of
 their id, so the bound is the only thing that depends on the corpus size); ``pairs_each``
 pairs per sampled row. Everything else covers all documents.
 
-The decision threshold is the score quantile at the sample's share of label 0; the score is
+The decision threshold is the score quantile at label 0's share over all labelled training rows, found by
+two counts in ``BINS`` equal bins (the second inside the bin of the first); the score is
 a sigmoid of the distance to it that is ``cut`` (0.3) there.
 
 Defined cases: null text is empty (its features are 0 and it gets a score); null labels and
 labels without a document are left out; without both labels all scores are ``cut``; a document
-with several labels is several rows of the sample; repeated rows are scored alike; other
+with several labels is several rows; of an id with several texts the sample takes the one of the smallest
+hash, the threshold all of them; repeated rows are scored alike; other
 columns pass through, one named as the result column is replaced; an empty table gives an
 empty result.
 """
@@ -28,10 +30,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from snaptally.llm import arrow as A
+from snaptally.llm import base as B
 from snaptally.llm import features as X
 
 KIND = T.StructType([T.StructField("raw", T.DoubleType()), T.StructField("score", T.DoubleType()),
                      T.StructField("predicted", T.IntegerType())])
+RAW = T.StructType([T.StructField("raw", T.DoubleType())])
+BINS = 4096
 VECTOR = T.StructType([T.StructField("x", T.ArrayType(T.DoubleType()))])
 
 
@@ -67,17 +72,22 @@ def train_rows(id_col: str = "doc_id", parts: int = 5, held: int = 0) -> Column:
     return F.crc32(F.col(id_col).cast("string")) % parts != held
 
 
+def labelled(labels: DataFrame, id_col: str, label_col: str) -> DataFrame:
+    """``__id, __y``: each label of the rows that may be learned from, once."""
+    return labels.select(F.col(id_col).alias("__id"), F.col(label_col).cast("int").alias("__y")).where(
+        F.col("__y").isin(0, 1) & F.col("__id").isNotNull() & train_rows("__id")).distinct()
+
+
 def sample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
            label_col: str = "quality", max_labels: int = 10_000) -> tuple[np.ndarray, np.ndarray]:
-    """Features and labels of a bounded sample of the labelled training rows."""
-    own = labels.select(F.col(id_col).alias("__id"), F.col(label_col).cast("int").alias("__y")).where(
-        F.col("__y").isin(0, 1) & F.col("__id").isNotNull() & train_rows("__id"))
-    own = own.orderBy(F.xxhash64("__id"), "__id", "__y").limit(max_labels)
+    """Features and labels of a bounded sample of the labelled training rows, one text per id."""
+    own = labelled(labels, id_col, label_col).orderBy(F.xxhash64("__id"), "__id", "__y").limit(max_labels)
     # the sample is the bounded side
     d = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")).join(F.broadcast(own), "__id")
-    rows = A.with_result(d, "__text", "v", VECTOR, lambda ts: [{"x": vector(t)} for t in ts]).select(
-        "__id", "__y", "v.x").limit(4 * max_labels).collect()  # a document may be repeated
-    rows.sort()
+    rows = (A.with_result(d, "__text", "v", VECTOR, lambda ts: [{"x": vector(t)} for t in ts])
+            .groupBy("__id", "__y").agg(F.min(F.struct(F.xxhash64("__text").alias("h"), "v.x")).alias("v"))
+            .select("__id", "__y", "v.x").collect())  # max_labels rows at most
+    rows.sort(key=lambda r: (r["__id"], r["__y"]))
     return np.array([r["x"] for r in rows], dtype=float).reshape(-1, SIZE), np.array([r["__y"] for r in rows], dtype=int)
 
 
@@ -98,7 +108,7 @@ class Model:
 
 def fit(x: np.ndarray, y: np.ndarray, pairs_each: int = 8, ridge: float = 1.0, cut: float = 0.3, seed: int = 5,
         steps: int = 30) -> Model:
-    """Bradley-Terry weights by Newton steps; threshold at the quantile of label 0's share."""
+    """Bradley-Terry weights by Newton steps; threshold at these rows' quantile of label 0's share."""
     mean = x.mean(axis=0) if len(x) else np.zeros(SIZE)
     spread = np.where((s := x.std(axis=0) if len(x) else np.ones(SIZE)) > 1e-9, s, 1.0)
     good, bad = np.flatnonzero(y == 1), np.flatnonzero(y == 0)
@@ -122,10 +132,45 @@ def fit(x: np.ndarray, y: np.ndarray, pairs_each: int = 8, ridge: float = 1.0, c
     return Model(mean, spread, w, threshold, 1.0, cut)
 
 
+def quantile(values: DataFrame, share: float, rounds: int = 2) -> float | None:
+    """The value of column ``raw`` that ``share`` of the rows do not pass, to a bin's width of the last
+    round. Each round is one aggregate of ``BINS`` rows, the same however the rows are parted."""
+    ends = values.agg(F.min("raw").alias("a"), F.max("raw").alias("b"), F.count("raw").alias("n")).first()
+    low, high, need = ends["a"], ends["b"], share * (ends["n"] or 0)
+    if not ends["n"]:
+        return None
+    for _ in range(rounds):
+        width = (high - low) / BINS
+        if width <= 0:
+            break
+        place = F.least(F.floor((F.col("raw") - F.lit(low)) / F.lit(width)), F.lit(BINS - 1)).alias("bin")
+        bins = sorted(values.where(F.col("raw").between(low, high)).groupBy(place).count().collect())
+        for at, n in bins:
+            if n >= need:
+                break
+            need -= n
+        low, high = low + at * width, min(low + (at + 1) * width, high)
+    return high
+
+
+def threshold(docs: DataFrame, labels: DataFrame, model: Model, id_col: str, text_col: str, label_col: str) -> float:
+    """The score quantile at label 0's share over all labelled training rows of ``docs``."""
+    own = labelled(labels, id_col, label_col)
+    d = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")).join(own, "__id")
+
+    def per_text(texts):
+        return [{"raw": r} for r in model.raw(np.array([vector(t) for t in texts], dtype=float).reshape(-1, SIZE)).tolist()]
+    rows = B.materialise(A.with_result(d, "__text", "v", RAW, per_text).select("__y", "v.raw"), "classifier-raw")
+    bad = rows.agg(F.avg(1 - F.col("__y"))).first()[0]
+    at = None if bad is None or bad in (0.0, 1.0) else quantile(rows, bad)
+    return model.threshold if at is None else at
+
+
 def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", out: str = "quality",
-          cut: float = 0.3, max_labels: int = 10_000, **params) -> DataFrame:
+          cut: float = 0.3, max_labels: int = 10_000, label_col: str = "quality", **params) -> DataFrame:
     """docs with ``out``: struct<raw, score, predicted>."""
-    model = fit(*sample(docs, labels, id_col, text_col, max_labels=max_labels), cut=cut, **params)
+    model = fit(*sample(docs, labels, id_col, text_col, label_col, max_labels), cut=cut, **params)
+    model.threshold = threshold(docs, labels, model, id_col, text_col, label_col)
 
     def per_text(texts):
         raw = model.raw(np.array([vector(t) for t in texts], dtype=float).reshape(-1, SIZE))

@@ -36,13 +36,14 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from snaptally.llm import base as B
 
 END = b"\n"  # no word holds white space
 START = np.uint64(0x51A7E5BA11C0FFEE)
 MIX = np.uint64(0x9E3779B97F4A7C15)
-BLOCK = ("block string, ids array<bigint>, held array<boolean>, ends array<bigint>, "
+BLOCK = ("block string, ids array<{id}>, held array<boolean>, ends array<bigint>, "
          "words binary, tokens binary, n_tokens bigint")
 ASK = "bucket int, block string, grams int, n bigint, keys binary, counts binary"
 ANSWER = "block string, grams int, bucket int, counts binary, n_train bigint, n_known bigint"
@@ -81,10 +82,18 @@ def unpack_keys(raw: bytes, n: int) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(planes.T).view("<u8").ravel(), dtype=np.uint64)
 
 
+def id_kind(docs: DataFrame, id_col: str) -> str:
+    """bigint for integer ids, string for any other."""
+    return "bigint" if isinstance(docs.schema[id_col].dataType, T.IntegralType) else "string"
+
+
 def token_blocks(docs: DataFrame, id_col: str, text_col: str, train: Column, block_bytes: int) -> DataFrame:
-    """One row per block: its documents' ids, which are held out, where their tokens end, the
+    """One row per block: its documents' ids (long, or text if they are no integers), which are held out, where their tokens end, the
     different words' hashes, and the tokens as places in those."""
-    d = docs.select(F.col(id_col).cast("bigint").alias("id"), (~train).alias("held"), B.text_of(text_col).alias("text"))
+    kind = id_kind(docs, id_col)
+    block = BLOCK.format(id=kind)
+    id_type = pa.int64() if kind == "bigint" else pa.string()
+    d = docs.select(F.col(id_col).cast(kind).alias("id"), (~train).alias("held"), B.text_of(text_col).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]):
         import os
@@ -103,9 +112,9 @@ def token_blocks(docs: DataFrame, id_col: str, text_col: str, train: Column, blo
             row = [[f"{name}-{number}"], [list(ids)], [list(held)], [list(ends)], [hashes[order].tobytes()],
                    [pack(rank[seen])], [len(seen)]]
             return pa.RecordBatch.from_arrays(
-                [pa.array(row[0]), pa.array(row[1], pa.list_(pa.int64())), pa.array(row[2], pa.list_(pa.bool_())),
+                [pa.array(row[0]), pa.array(row[1], pa.list_(id_type)), pa.array(row[2], pa.list_(pa.bool_())),
                  pa.array(row[3], pa.list_(pa.int64())), pa.array(row[4], pa.binary()), pa.array(row[5], pa.binary()),
-                 pa.array(row[6], pa.int64())], names=[x.split()[0] for x in BLOCK.split(", ")])
+                 pa.array(row[6], pa.int64())], names=[x.split()[0] for x in block.split(", ")])
         words: dict[bytes, int] = {}
         ids, held, ends, codes, size = [], [], [], [], 0
         for b in batches:
@@ -123,7 +132,7 @@ def token_blocks(docs: DataFrame, id_col: str, text_col: str, train: Column, blo
                 size += len(raw)
         if ids:
             yield flush()
-    return d.mapInArrow(run, BLOCK)
+    return d.mapInArrow(run, block)
 
 
 class Block:
@@ -252,6 +261,9 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", train
     d = blocks.select("block", "ids", "held", "ends", "words", "tokens").join(gathered, "block")
     d = d.select("ids", "held", "ends", "words", "tokens", "answers")
 
+    kind = id_kind(docs, id_col)
+    id_type = pa.int64() if kind == "bigint" else pa.string()
+
     def run(batches):
         for b in batches:
             for r in range(b.num_rows):
@@ -260,10 +272,10 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", train
                 one, two = (np.concatenate([unpack(a["counts"]) for a in got if a["grams"] == g]) for g in (1, 2))
                 k, known, base, p = x.log10(one, two, n, v, n_texts, mu)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids, pa.int64()), pa.array(held, pa.bool_()), pa.array(k, pa.int64()),
+                    [pa.array(ids, id_type), pa.array(held, pa.bool_()), pa.array(k, pa.int64()),
                      pa.array(known, pa.int64()), pa.array(np.full(len(k), n), pa.int64()), pa.array(base), pa.array(p)],
                     names=["id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
-    return d.mapInArrow(run, "id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, "
+    return d.mapInArrow(run, f"id {kind}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, "
                              "base_score double, score double")
 
 

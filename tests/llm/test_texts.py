@@ -197,6 +197,20 @@ def test_other_languages_are_kept(spark):
     assert {got[i].nearest for i in range(100, 105)} == {"ru"}
 
 
+def test_languages_without_a_reference(spark):
+    rng = random.Random(4)
+    russian = lambda n: " ".join("".join(rng.choices("абвгдеиклмнопрст", k=rng.randint(2, 8))) for _ in range(n)) + "."
+    other = lambda n: " ".join("".join(rng.choices("abcdeiklmnoprstuz", k=rng.randint(3, 9))) for _ in range(n)) + "."
+    shout = " ".join(w.upper() + "!!" for w in sentence(rng, 120).split())
+    rows = [(i, sentence(rng, 150), "en") for i in range(40)]
+    rows += [(100, russian(150), None), (101, russian(150), "ru"), (102, other(150), "tr"), (103, shout, "qq"), (104, shout, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r.doc_id: r for r in quality.digest(quality.assess(df)).collect()}
+    assert all(got[i].kept for i in [*range(40), 100, 101, 102])
+    assert not got[103].kept and not got[104].kept
+    assert got[100].nearest is None and got[101].nearest is None and got[102].nearest == "en"
+
+
 def test_quality_without_references(spark, none, edge):
     assert quality.digest(quality.assess(none)).count() == 0
     assert quality.keep(edge).columns == edge.columns
@@ -236,6 +250,44 @@ def test_scores_depend_on_training_texts_only(spark, edge):
     assert classifier.digest(classifier.score(edge, both)).count() == edge.count()
 
 
+def test_classifier_scores_are_those_of_all_labelled_rows(spark, edge):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    text = {r.doc_id: (r.text or "").encode() for r in docs.collect()}
+    own = sorted((r.doc_id, r.quality) for r in labels.collect() if r.doc_id in text and X.crc(r.doc_id) % 5)
+    x = np.array([classifier.vector(text[i]) for i, _ in own])
+    m = classifier.fit(x, np.array([y for _, y in own]))
+    raw = np.sort(m.raw(x))
+    m.threshold = raw[math.ceil(len(raw) * sum(y == 0 for _, y in own) / len(own)) - 1]
+    got = {r.doc_id: r.score for r in classifier.score(docs, labels).select("doc_id", "quality.score").collect()}
+    for i, t in text.items():
+        assert abs(got[i] - m.score(m.raw(np.array([classifier.vector(t)])))[0]) < 1e-3
+    # repeated rows change no score
+    twice = classifier.score(docs.unionByName(docs), labels.unionByName(labels)).select("doc_id", "quality.score")
+    assert all(abs(got[r.doc_id] - r.score) < 1e-9 for r in twice.collect())
+
+
+def test_quantile_is_exact_to_a_bin(spark):
+    rng = np.random.default_rng(4)
+    values = np.concatenate([rng.normal(size=3000), np.full(500, 0.25), [1e6]])
+    df = spark.createDataFrame([(float(v),) for v in values], "raw double").repartition(7)
+    for share in (0.01, 0.3, 0.5, 0.62, 0.999, 1.0):
+        want = np.sort(values)[math.ceil(share * len(values)) - 1]
+        got = classifier.quantile(df, share)
+        assert want - 1e-9 <= got <= want + (values.max() - values.min()) / classifier.BINS ** 2 + 1e-9
+    assert classifier.quantile(df.where("raw > 1e9"), 0.5) is None
+    assert classifier.quantile(spark.createDataFrame([(2.0,)] * 5, "raw double"), 0.5) == 2.0
+
+
+def test_lm_takes_text_ids(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    named = docs.withColumn("doc_id", F.concat(F.lit("d"), "doc_id"))
+    train = F.xxhash64("text") % 3 != 0
+    a = {f"d{r.id}": (r.held_out, r.n_tokens, round(r.score, 6)) for r in lm.score(docs, train=train).collect()}
+    b = {r.id: (r.held_out, r.n_tokens, round(r.score, 6)) for r in lm.score(named, train=train).collect()}
+    assert a == b and lm.score(named).schema["id"].dataType.simpleString() == "string"
+
+
 def test_classifier_without_documents(spark, none):
     labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int")
     assert classifier.digest(classifier.score(none, labels)).count() == 0
