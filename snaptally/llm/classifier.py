@@ -154,13 +154,16 @@ def quantile(values: DataFrame, share: float, rounds: int = 2) -> float | None:
 
 
 def threshold(docs: DataFrame, labels: DataFrame, model: Model, id_col: str, text_col: str, label_col: str) -> float:
-    """The score quantile at label 0's share over all labelled training rows of ``docs``."""
+    """The score quantile at label 0's share over all labelled training rows of ``docs``.
+
+    Texts become scores where they are read, so that no text is shuffled to its label."""
     own = labelled(labels, id_col, label_col)
-    d = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")).join(own, "__id")
+    d = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")).where(train_rows("__id"))
 
     def per_text(texts):
         return [{"raw": r} for r in model.raw(np.array([vector(t) for t in texts], dtype=float).reshape(-1, SIZE)).tolist()]
-    rows = B.materialise(A.with_result(d, "__text", "v", RAW, per_text).select("__y", "v.raw"), "classifier-raw")
+    scored = A.with_result(d, "__text", "v", RAW, per_text).select("__id", "v.raw")
+    rows = B.materialise(scored.join(own, "__id").select("__y", "raw"), "classifier-raw")
     bad = rows.agg(F.avg(1 - F.col("__y"))).first()[0]
     at = None if bad is None or bad in (0.0, 1.0) else quantile(rows, bad)
     return model.threshold if at is None else at
