@@ -140,6 +140,14 @@ def _csv_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _folder(csvfile.csv_snapshots(spark, out))
 
 
+def _csv_split_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S2 for large files: as ``csv_ingest`` with line breaks in titles, every file read by its splits."""
+    out, raw = scratch_path(spark, "csv-large"), _fixture(spark, sf_dir)
+    name = F.when(F.col("track_id") % 7 == 0, F.concat("name", F.lit('\nand "more", yes'))).otherwise(F.col("name"))
+    csvfile.write_csv_snapshots(raw.withColumn("name", name), out)
+    return _folder(csvfile.csv_snapshots(spark, out, split_bytes=0))
+
+
 def _csv_mixed_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exports of odd months have their columns in reverse, no genre and one unknown column."""
     raw, out = _fixture(spark, sf_dir), scratch_path(spark, "csv-mixed")
@@ -417,6 +425,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "plist_ingest": _plist_ingest,
     "plist_split_ingest": _plist_split_ingest,
     "csv_ingest": _csv_ingest,
+    "csv_split_ingest": _csv_split_ingest,
     "surrogate_id": _surrogate_id,
     "upsert_snapshot": _upsert_snapshot,
     "replace_snapshot": _replace_snapshot,
