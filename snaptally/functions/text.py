@@ -40,6 +40,8 @@ def parse_bool_text(c) -> Column:
 # ('Z' or +hh, +hhmm, +hh:mm); group 1 is the local part, 2 the zone.
 ISO_ZONED = (r"^(\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(?::\d{2}(?:\.\d+)?)?)\s*"
              r"(Z|z|[+-]\d{2}(?::?\d{2})?)?$")
+# the same in its usual form, to the second in UTC: the first 19 characters are the time
+ISO_UTC = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}[Zz]?\z"
 
 
 def _utc_ntz(c, parse) -> Column:
@@ -56,7 +58,8 @@ def _utc_ntz(c, parse) -> Column:
     shifted = parse(F.regexp_replace(local, " ", "T")) - F.make_dt_interval(
         F.lit(0), F.lit(0), F.lit(0), secs.cast("decimal(18,6)"))
     # date-only and other forms: parsed as they are (no zone)
-    return F.when(matched, shifted).otherwise(parse(s))
+    other = F.when(matched, shifted).otherwise(parse(s))
+    return F.when(_c(c).rlike(ISO_UTC), parse(F.substring(_c(c), 1, 19))).otherwise(other)
 
 
 def parse_iso_ts(c) -> Column:
@@ -94,4 +97,6 @@ def hex_suffix_id(pid, fallback) -> Column:
     neg = t.startswith("-")
     digits = F.regexp_replace(t, r"^[+-]?(0[xX])?", "")
     val = F.conv(digits, 16, 10).cast("long")
-    return F.when(ok, F.when(neg, -val).otherwise(val)).otherwise(_c(fallback).cast("long"))
+    other = F.when(ok, F.when(neg, -val).otherwise(val)).otherwise(_c(fallback).cast("long"))
+    # the usual suffix, digits alone, needs one pattern
+    return F.when(tail.rlike(r"^[0-9A-Fa-f]+\z"), F.conv(tail, 16, 10).cast("long")).otherwise(other)
