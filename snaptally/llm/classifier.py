@@ -23,6 +23,7 @@ empty result.
 from __future__ import annotations
 
 import math
+from operator import eq, itemgetter
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -37,6 +38,9 @@ KIND = T.StructType([T.StructField("raw", T.DoubleType()), T.StructField("score"
                      T.StructField("predicted", T.IntegerType())])
 RAW = T.StructType([T.StructField("raw", T.DoubleType())])
 BINS = 4096
+UPPER = bytes(range(ord("A"), ord("Z") + 1))
+# what is no ASCII sign: letters, digits and bytes of longer characters
+BARE = bytes(c for c in range(256) if c >= 0x80 or chr(c).isalnum())
 VECTOR = T.StructType([T.StructField("x", T.ArrayType(T.DoubleType()))])
 
 
@@ -52,14 +56,15 @@ def vector(raw: bytes) -> list[float]:
     common = X.word_histogram(raw)
     lines = [x for x in raw.split(b"\n") if x.strip(X.SPACES)]
     lengths = np.fromiter(map(len, words), np.int64, n)
-    ends = sum(w[-1:] in b".!?" for w in words)
-    same = sum(a == b for a, b in zip(words, words[1:], strict=False))
+    firsts, lasts = bytes(map(itemgetter(0), words)), bytes(map(itemgetter(-1), words))
+    ends = n - len(lasts.translate(None, b".!?"))
+    same = sum(map(eq, words, words[1:]))
     line_words = n / max(len(lines), 1)
     x = [math.log1p(n), math.log1p(line_words), float(lengths.mean()), float(lengths.std()),
          *(chars / all_chars).tolist(), c["n_symbols"] / all_chars, c["n_dup_lines"] / max(len(lines), 1),
          c["n_repeat_words"] / n, len(set(words)) / n, 1 - common[-1] / max(common.sum(), 1), ends / n, same / n,
-         sum(w.isupper() for w in words) / n, sum(w[:1].isupper() for w in words) / n,
-         sum(not w[:1].isalnum() and w[:1] < b"\x80" for w in words) / n, raw.count(b"!") / n, raw.count(b"|") / n,
+         sum(map(bytes.isupper, words)) / n, (n - len(firsts.translate(None, UPPER))) / n,
+         len(firsts.translate(None, BARE)) / n, raw.count(b"!") / n, raw.count(b"|") / n,
          raw.count(b",") / n, raw.count(b"http") / n, float(lengths.max()) / all_chars]
     return [*x, *(v * v for v in x), *(math.sqrt(abs(v)) for v in x)]
 

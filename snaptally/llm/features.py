@@ -55,10 +55,11 @@ def repeated_words(words: list[bytes], window: int = 8) -> int:
     n = len(words)
     if n <= window:
         return 0
-    ids: dict[bytes, int] = {}
-    code = np.array([ids.setdefault(w, len(ids)) for w in words], dtype=np.int64)
+    ids = dict.fromkeys(words)
     if len(ids) == n:
         return 0
+    ids = dict(zip(ids, range(len(ids)), strict=True))
+    code = np.fromiter(map(ids.__getitem__, words), np.int64, n)
     length = 1
     while length < window:
         pair = code[:-length] * (int(code.max()) + 1) + code[length:]
