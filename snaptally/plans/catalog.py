@@ -211,11 +211,11 @@ def _library_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _library_backups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S3/S14 on files: three users' backup trees, two backups a day each; the earlier one of a
     day holds higher counters and must not count. Users stay apart."""
-    raw = M.bronze(load_library_fixture(spark, sf_dir), scope=LIB)
+    raw = materialise(M.bronze(load_library_fixture(spark, sf_dir), scope=LIB), "backup-raw")
     root = scratch_path(spark, "backups")
     for time, rows in (("095001", raw), ("080000", raw.withColumn("play_count", F.col("play_count") + 1))):
         out = scratch_path(spark, "backup-files")
-        plist.write_plist_snapshots(rows, out, scope=LIB)
+        plist.write_plist_snapshots(rows, out, scope=LIB, compression="gzip")
         backups.place_libraries(spark, out, root, time)
     rows, _ = backups.read_backup_tree(spark, root)
     return _folder(rows, r"/([^/]+)\.backup/[^/]+/Users/")
@@ -314,12 +314,12 @@ def _append_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _backup_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S14 with a ledger: a day's early backups are loaded first, the later ones when they appear; a
     load that finds nothing new decodes nothing."""
-    raw = M.bronze(load_library_fixture(spark, sf_dir), scope=LIB)
+    raw = materialise(M.bronze(load_library_fixture(spark, sf_dir), scope=LIB), "backup-raw")
     root, table, ledger = (scratch_path(spark, n) for n in ("backups", "raw", "ledger"))
     early = raw.withColumn("play_count", F.col("play_count") + 1)
     for time, rows in (("080000", early), ("095001", raw)):
         out = scratch_path(spark, "backup-files")
-        plist.write_plist_snapshots(rows, out, scope=LIB)
+        plist.write_plist_snapshots(rows, out, scope=LIB, compression="gzip")
         backups.place_libraries(spark, out, root, time)
         backups.load_new_backups(spark, root, table, ledger)
     if backups.load_new_backups(spark, root, table, ledger):
