@@ -52,19 +52,21 @@ def parse_backup_paths(paths: DataFrame, user: str | None = None) -> DataFrame:
     flat, then volume order, then library path order.
     """
     p = F.col("path")
-    g = lambda i: F.regexp_extract(p, BACKUP_PATH_PATTERN, i)
-    vol_rank = F.array_position(F.array(*[F.lit(v) for v in VOLUMES]), g(4))
-    lib_rank = F.array_position(F.array(*[F.lit(x) for x in LIBRARY_PATHS]), g(6))
-    out = paths.select(
-        "*",
-        g(1).alias("backup_root"),
-        g(2).alias("backup_name"),
-        F.try_to_timestamp(g(2), F.lit(BACKUP_NAME_FORMAT)).cast("timestamp_ntz").alias("backup_ts"),
-        (F.length(g(3)) > 0).alias("nested"),
-        g(4).alias("volume"),
-        g(5).alias("user"),
-        g(6).alias("library"),
-    ).filter(p.rlike(BACKUP_PATH_PATTERN) & F.col("backup_ts").isNotNull())
+    # the groups in one match: the root has no line break (``.``) and the user no slash
+    parts = F.split(F.regexp_replace(p, BACKUP_PATH_PATTERN, "$1\n$2\n$3\n$4\n$6\n$5/"), "\n", 6)
+    g = lambda i: F.get("_g", F.lit(i))
+    vol_rank = F.array_position(F.array(*[F.lit(v) for v in VOLUMES]), F.col("volume"))
+    lib_rank = F.array_position(F.array(*[F.lit(x) for x in LIBRARY_PATHS]), F.col("library"))
+    out = paths.where(p.rlike(BACKUP_PATH_PATTERN)).withColumn("_g", parts).select(
+        *paths.columns,
+        g(0).alias("backup_root"),
+        g(1).alias("backup_name"),
+        F.try_to_timestamp(g(1), F.lit(BACKUP_NAME_FORMAT)).cast("timestamp_ntz").alias("backup_ts"),
+        (F.length(g(2)) > 0).alias("nested"),
+        g(3).alias("volume"),
+        F.substring_index(g(5), "/", 1).alias("user"),
+        g(4).alias("library"),
+    ).filter(F.col("backup_ts").isNotNull())
     out = out.withColumn(
         "priority",
         (F.when(F.col("nested"), 0).otherwise(1) * 100 + vol_rank * 10 + lib_rank).cast("int"))
@@ -76,12 +78,18 @@ def parse_backup_paths(paths: DataFrame, user: str | None = None) -> DataFrame:
 def pick_library_files(parsed: DataFrame) -> DataFrame:
     """One library file per backup (and user): the lowest priority.
 
-    A grouped ``min_by``, partially aggregated before the shuffle."""
-    best = F.min_by(F.struct("path", "nested", "volume", "library", "priority"), F.col("priority"))
-    return (parsed.groupBy("backup_root", "backup_name", "backup_ts", "user")
-            .agg(best.alias("b"))
-            .select("backup_root", "backup_name", "backup_ts", "user",
-                    "b.path", "b.nested", "b.volume", "b.library", "b.priority"))
+    The priority names the place of the file, so the smallest one (a number: hash aggregated,
+    partially before the shuffle) gives the path back."""
+    best = parsed.groupBy("backup_root", "backup_name", "backup_ts", "user").agg(F.min("priority").alias("priority"))
+    nested = F.col("priority") < 100
+    place = F.col("priority") % 100
+    volume = F.element_at(F.array(*[F.lit(v) for v in VOLUMES]), F.floor(place / 10).cast("int"))
+    library = F.element_at(F.array(*[F.lit(x) for x in LIBRARY_PATHS]), (place % 10).cast("int"))
+    folder = F.concat(F.col("backup_name"), F.lit(".backup/"))
+    path = F.concat(F.col("backup_root"), F.lit("/"), folder, F.when(nested, folder).otherwise(F.lit("")),
+                    volume, F.lit("/Users/"), F.col("user"), F.lit("/"), library)
+    return best.select("backup_root", "backup_name", "backup_ts", "user", path.alias("path"), nested.alias("nested"),
+                       volume.alias("volume"), library.alias("library"), "priority")
 
 
 def latest_per_day(backups: DataFrame, ts: str = "backup_ts", rows: str = "n_tracks",
@@ -222,15 +230,19 @@ def fixture_backup_listing(orders: DataFrame, lineitem: DataFrame) -> tuple[Data
     named = o.select("o_orderkey", "o_orderstatus", name.alias("name"), user.alias("user"))
     combos = F.array(*[F.struct(F.lit(v).alias("v"), F.lit(lb).alias("l"), F.lit(n).alias("n"))
                        for v in range(3) for lb in range(3) for n in range(2)])
-    c = (named.select("*", F.explode(combos).alias("c"))
-         .filter((key + 5 * F.col("c.v") + 3 * F.col("c.l") + 7 * F.col("c.n")) % 4 == 0))
+    # which candidates a backup has depends on its key's rest by 4: a folder's rests are told apart
+    # before the candidates are made, which then are distinct
+    rest = F.pmod(key, F.lit(4))
+    c = (named.select("name", "user", rest.alias("rest")).where("name IS NOT NULL AND user IS NOT NULL").distinct()
+         .select("*", F.explode(combos).alias("c"))
+         .filter((F.col("rest") + 5 * F.col("c.v") + 3 * F.col("c.l") + 7 * F.col("c.n")) % 4 == 0))
     vol = F.element_at(F.array(*[F.lit(v) for v in VOLUMES]), F.col("c.v") + 1)
     lib = F.element_at(F.array(*[F.lit(x) for x in LIBRARY_PATHS]), F.col("c.l") + 1)
     nm = F.col("name")
     path = F.concat(F.lit("/tm/"), nm, F.lit(".backup/"),
                     F.when(F.col("c.n") == 1, F.concat(nm, F.lit(".backup/"))).otherwise(F.lit("")),
                     vol, F.lit("/Users/"), F.col("user"), F.lit("/"), lib)
-    paths = c.select(path.alias("path")).distinct()
+    paths = c.select(path.alias("path"))
     lines = lineitem.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n_lines"))
     rows = (named.join(lines, named["o_orderkey"] == lines["l_orderkey"], "left")
             .groupBy("user", F.col("name").alias("backup_name"))
