@@ -201,9 +201,11 @@ def _upsert_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _library_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S5 with a scope: libraries are stored one after another over the same dates, then
     one date of library 1 is replaced; nothing of another library goes."""
-    path, raw = scratch_path(spark, "raw"), M.bronze(load_library_fixture(spark, sf_dir), scope=LIB)
+    path = scratch_path(spark, "raw")
+    # computed once and stored by library: a load reads its own rows, from files that stay
+    raw = materialise(M.bronze(load_library_fixture(spark, sf_dir), scope=LIB), "library-raw", by=LIB)
     for lib in range(3):
-        store.replace_snapshot(raw.filter(F.col("library_id") == lib), path, scope=LIB)
+        store.replace_snapshot(raw.filter(F.col("library_id") == lib), path, scope=LIB, stored=True)
     store.replace_snapshot(store.bump_latest(raw.filter(F.col("library_id") == 1)), path, scope=LIB)
     return store.read_raw(spark, path, LIB)
 

@@ -158,12 +158,13 @@ def touch_files(spark: SparkSession, folder: str, glob: str, millis: int) -> Non
         p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).setTimes(p, millis, -1)
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
+def materialise(df: DataFrame, name: str, by: tuple = ()) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: later steps reread the rows
-    and not the plan, and the optimizer knows their size."""
+    and not the plan, and the optimizer knows their size. ``by``: columns of few values to part
+    the files by, so that a step reading some of the values opens no other file."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    df.write.partitionBy(*by).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
 def shared_dir(spark: SparkSession) -> str:

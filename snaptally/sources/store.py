@@ -39,9 +39,13 @@ def read_raw(spark: SparkSession, path: str, scope: Sequence[str] = ()) -> DataF
     return spark.read.schema(scoped_schema(stored, scope)).parquet(path).select(*scope, *RAW_COLUMNS)
 
 
-def stage(df: DataFrame, scope: Sequence[str] = (), check: bool = True) -> DataFrame:
-    """The rows of one load, computed once, stored in the shared folder and checked there."""
-    staged = materialise(df.select(*scope, *RAW_COLUMNS), "load")
+def stage(df: DataFrame, scope: Sequence[str] = (), check: bool = True, stored: bool = False) -> DataFrame:
+    """The rows of one load, computed once, stored in the shared folder and checked there.
+
+    ``stored``: they are a plain read of files that stay while the load runs, and not copied."""
+    staged = df.select(*scope, *RAW_COLUMNS)
+    if not stored:
+        staged = materialise(staged, "load")
     if check:
         assert_contract(staged, [*scope, *RAW_KEY], [*scope, *RAW_NOT_NULL], name="snapshot")
     return staged
@@ -73,12 +77,13 @@ def publish(staged: DataFrame, path: str, scope: Sequence[str] = (), mode: str =
     (dealt.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(path))
 
 
-def replace_snapshot(df: DataFrame, path: str, check: bool = True, scope: Sequence[str] = ()) -> DataFrame:
+def replace_snapshot(df: DataFrame, path: str, check: bool = True, scope: Sequence[str] = (),
+                     stored: bool = False) -> DataFrame:
     """S5 + S12: replace only the (scope, date) pairs that ``df`` holds; returns the staged rows.
 
-    With ``check`` the staged rows are validated first (D1 key, D2 NOT NULL).
+    With ``check`` the staged rows are validated first (D1 key, D2 NOT NULL). ``stored`` as for ``stage``.
     """
-    staged = stage(df, scope, check)
+    staged = stage(df, scope, check, stored)
     publish(staged, path, scope)
     return staged
 
