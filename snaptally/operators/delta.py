@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], max_keys: int = 1000,
+def hot_keys(df: DataFrame, keys: Sequence[str], max_keys: int | None = 1000,
              min_rows: int = 1_000_000, fraction: float = 0.01, seed: int = 17) -> DataFrame:
     """Keys holding more than ``max(min_rows, total/max_keys)`` rows, found on
     a ``fraction`` Bernoulli sample of the key columns (lazy).
@@ -43,23 +43,26 @@ def hot_keys(df: DataFrame, keys: Sequence[str], max_keys: int = 1000,
     key at the threshold is missed with negligible probability once the
     sample holds thousands of its rows; a missed key only costs speed (both
     delta paths are exact). At most ``2 * max_keys`` keys can pass whatever
-    the data, so the result may be broadcast or collected.
+    the data, so the result may be broadcast or collected. ``max_keys=None`` leaves out the
+    share of the total: all keys with ``min_rows``, of any number.
     """
     keys = list(keys)
     s = df.select(*keys)
     if fraction < 1.0:
         s = s.sample(fraction=fraction, seed=seed)
-    total = s.select(F.count(F.lit(1))).scalar()
     counts = s.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    return (counts
-            .filter((F.col("_n") * F.lit(2.0) > F.lit(min_rows * fraction))
-                    & (F.col("_n") * F.lit(2 * max_keys) > total))
-            .select(*keys))
+    found = F.col("_n") * F.lit(2.0) > F.lit(min_rows * fraction)
+    if max_keys is not None:
+        found = found & (F.col("_n") * F.lit(2 * max_keys) > s.select(F.count(F.lit(1))).scalar())
+    return counts.filter(found).select(*keys)
 
 
 def hot_list(df: DataFrame, keys: Sequence[str], hot_max_keys: int = 1000, hot_min_rows: int = 1_000_000,
              hot_sample: float = 0.01, **_) -> list[tuple]:
-    """The hot keys, collected (at most ``2 * hot_max_keys``)."""
+    """The hot keys, collected (at most ``2 * hot_max_keys``). ``df`` is run once if no key has
+    ``hot_min_rows``, as is usual; only else are the rows counted that a share is taken of."""
+    if hot_keys(df, keys, None, hot_min_rows, hot_sample).isEmpty():
+        return []
     return [tuple(r) for r in hot_keys(df, keys, hot_max_keys, hot_min_rows, hot_sample).collect()]
 
 
@@ -130,14 +133,15 @@ def counter_delta(df: DataFrame, keys: Sequence[str], order: str,
                   prev_col: str | None = None, suffix: str = "_delta",
                   skew: str = "auto", hot_max_keys: int = 1000,
                   hot_min_rows: int = 1_000_000, block_bits: int = 20,
-                  hot_sample: float = 0.01) -> DataFrame:
+                  hot_sample: float = 0.01, hot_from: DataFrame | None = None) -> DataFrame:
     """Add ``<counter><suffix>`` for each counter and ``prev_<order>``.
 
     ``tiebreak`` orders rows sharing ``(keys, order)``; give an integer
     column that makes ``(order, tiebreak)`` unique for deterministic results.
     ``skew`` is ``"auto"`` (find hot keys with one small job, split them, see
     module doc), ``"off"`` (plain window) or ``"force"`` (blocked path for every
-    key; for tests).
+    key; for tests). ``hot_from`` may give rows that hold the keys at least as often as ``df``
+    does but are read at less cost: hot keys are then looked for there.
     """
     keys, counters, tiebreak = list(keys), list(counters), list(tiebreak)
     prev_col = prev_col or f"prev_{order}"
@@ -148,7 +152,7 @@ def counter_delta(df: DataFrame, keys: Sequence[str], order: str,
         return _blocked(df, *args, bits=block_bits)
     if skew != "auto":
         raise ValueError(f"unknown skew mode {skew!r}")
-    found = hot_list(df, keys, hot_max_keys, hot_min_rows, hot_sample)
+    found = hot_list(df if hot_from is None else hot_from, keys, hot_max_keys, hot_min_rows, hot_sample)
     if not found:
         return _plain(df, *args)
     is_hot = in_list(keys, found)

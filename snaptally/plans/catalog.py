@@ -22,7 +22,7 @@ from ..operators.rank import order_by_rank
 from ..schema import GRAINS, RAW_COLUMNS
 from ..session import materialise, scratch_path
 from ..sources import backups, csvfile, plist, store
-from ..sources.fixture import event_counters, load_fixture, load_library_fixture, read_table
+from ..sources.fixture import event_counters, load_fixture, load_library_fixture, load_line_tracks, read_table
 from . import models as M
 from . import reports as R
 
@@ -38,6 +38,9 @@ class Gold:
     def _load(self) -> DataFrame:
         return load_fixture(self.spark, self.sf_dir)
 
+    def _hot_from(self) -> DataFrame | None:
+        return load_line_tracks(self.spark, self.sf_dir)
+
     @cached_property
     def raw(self) -> DataFrame:
         return M.bronze(self._load(), scope=self.scope)
@@ -48,7 +51,7 @@ class Gold:
 
     @cached_property
     def fact(self) -> DataFrame:
-        return M.fact(self.silver, scope=self.scope)
+        return M.fact(self.silver, scope=self.scope, hot_from=self._hot_from())
 
     @cached_property
     def dim(self) -> DataFrame:
@@ -66,6 +69,9 @@ class LibraryGold(Gold):
     def _load(self) -> DataFrame:
         return load_library_fixture(self.spark, self.sf_dir)
 
+    def _hot_from(self) -> DataFrame | None:
+        return None
+
 
 def _libs(fn: Callable[[LibraryGold], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:

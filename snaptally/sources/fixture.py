@@ -14,13 +14,17 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schema import RAW_COLUMNS
+from ..schema import ENTITY, RAW_COLUMNS
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+def persistent_id(key):
+    return F.when(key % 97 == 0, F.lit(None)).otherwise(F.lpad(key.cast("string"), 16, "0"))
+
+
 def fixture_raw(lineitem: DataFrame, part: DataFrame, orders: DataFrame | None = None,
                 libraries: int = 3) -> DataFrame:
     """The 25-column raw snapshot table built from ``lineitem`` and ``part``.
@@ -84,7 +88,7 @@ def fixture_raw(lineitem: DataFrame, part: DataFrame, orders: DataFrame | None =
             F.lit(0), F.lit(0), (key % 1000).cast("int"))).alias("skip_date"),
         unless(size % 5 == 0, (size % 6 * 20 - size % 2 * (size % 6)).cast("int")).alias("rating"),
         unless(size % 4 == 0, size % 2 == 1).alias("loved"),
-        unless(key % 97 == 0, F.lpad(key.cast("string"), 16, "0")).alias("persistent_id"),
+        persistent_id(key).alias("persistent_id"),
         unless(size % 9 == 0, F.concat(F.lit("file:///Music/"), F.col("p_brand"), F.lit("/"), F.col("p_name"),
                                        F.lit(" & 100%+/"), key.cast("string"), F.lit(".m4a"))).alias("location"),
     ).select(*lib, *RAW_COLUMNS)
@@ -94,6 +98,13 @@ def load_fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fixture_raw(read_table(spark, sf_dir, "lineitem"), read_table(spark, sf_dir, "part"))
 
 
+def load_line_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The track of every line (``track_persistent_id``): a track's snapshots are quarters of its
+    lines, so it has at least as many lines; neither the counters nor the parts are needed."""
+    key = F.col("l_partkey")
+    return read_table(spark, sf_dir, "lineitem").select(persistent_id(key).alias(ENTITY)).where(F.col(ENTITY).isNotNull())
+
+
 def load_library_fixture(spark: SparkSession, sf_dir: str, libraries: int = 3) -> DataFrame:
     """Raw snapshots of several libraries in one table (``library_id`` first)."""
     return fixture_raw(read_table(spark, sf_dir, "lineitem"), read_table(spark, sf_dir, "part"),
