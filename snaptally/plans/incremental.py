@@ -52,6 +52,7 @@ from __future__ import annotations
 import os
 import uuid
 from dataclasses import dataclass, field
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -293,7 +294,8 @@ def repair(spark: SparkSession, raw: DataFrame, batch_raw: DataFrame, root: str,
                            dates[0], dates[-1], scope)
     ends = sorted({str(r[0]) for r in affected.select(F.explode(F.array("_before", "_after")).alias("d"))
                    .where("d IS NOT NULL").distinct().collect()})  # bounded by the calendar
-    near = day.between(first, last) | day.cast("string").isin(ends)  # prunes raw's date partitions
+    # prunes raw's date partitions, or its row groups by their dates
+    near = day.between(first, last) | day.isin([date.fromisoformat(d) for d in ends])
     inside = (F.col("_before").isNull() | (day >= F.col("_before"))) & (F.col("_after").isNull() | (day <= F.col("_after")))
     s = _same(M.silver(M.bronze(raw.where(near), scope=scope), scope=scope), affected, keys, "inner").where(inside)
     # the row at ``_before`` only gives the next one its previous values
