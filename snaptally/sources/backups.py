@@ -124,7 +124,8 @@ def read_backup_tree(spark: SparkSession, root: str, user: str | None = None) ->
                          .select("path", "backup_ts", "user"), "backup-files")
     ok, errors = P.split_errors(_decode(spark, chosen))
     per_backup = ok.groupBy("path").agg(F.count(F.lit(1)).alias("n_tracks")).join(chosen, "path")
-    keep = latest_per_day(per_backup, keys=("user",)).select("path", "backup_ts", "user")
+    # stored, so that its size is known: the rows meet it where they are read
+    keep = materialise(latest_per_day(per_backup, keys=("user",)).select("path", "backup_ts", "user"), "backup-keep")
     lead = [] if user is not None else ["user"]
     return _snapshot_rows(ok, keep, lead), errors
 
@@ -134,7 +135,7 @@ def _decode(spark: SparkSession, chosen: DataFrame) -> DataFrame:
     out, batch = scratch_path(spark, "backup-rows"), []
 
     def decode():
-        P.read_plist_files(spark, batch, glob=None, recursive=False).write.mode("append").parquet(out)
+        P.read_plist_files(spark, batch, glob=None, recursive=False).write.mode("append").option("compression", "zstd").parquet(out)
         batch.clear()
     spark.createDataFrame([], P.PARSED_SCHEMA).write.mode("append").parquet(out)
     for r in chosen.select("path").toLocalIterator():
@@ -188,7 +189,7 @@ def load_new_backups(spark: SparkSession, root: str, table: str, ledger: str, us
     before = known.join(entries.select("path"), "path", "left_anti").select("path", "user", "backup_ts", "n_tracks")
     both = before.withColumn("_new", F.lit(False)).unionByName(
         entries.select("path", "user", "backup_ts", "n_tracks").withColumn("_new", F.lit(True)))
-    keep = latest_per_day(both, keys=("user",)).where("_new").select("path", "backup_ts", "user")
+    keep = materialise(latest_per_day(both, keys=("user",)).where("_new").select("path", "backup_ts", "user"), "backup-keep")
     replace_snapshot(_snapshot_rows(ok, keep, ["user"]), table, scope=("user",))
     entries.write.mode("append").parquet(ledger)
     return n
