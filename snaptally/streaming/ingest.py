@@ -32,7 +32,7 @@ BINARY_FILE_SCHEMA = T.StructType([
 
 # glob, and reader of (track rows, error rows) of a list of files
 READERS = {
-    "csv": ("*.csv", lambda spark, paths: (csvfile.csv_snapshots(spark, paths), None)),
+    "csv": (csvfile.GLOB, lambda spark, paths: (csvfile.csv_snapshots(spark, paths), None)),
     "plist": ("*.xml", lambda spark, paths: _plist(spark, paths)),
 }
 
@@ -55,9 +55,10 @@ def latest_file_per_date(rows: DataFrame, files: DataFrame, scope: tuple = ()) -
     ``files`` has one row per input file (``path, modificationTime``)."""
     per_file = (rows.select(*scope, "snapshot_date", "snapshot_path").distinct()
                 .join(files.select("path", "modificationTime"), F.col("snapshot_path") == F.col("path"), "left"))
-    keep = per_file.groupBy(*scope, "snapshot_date").agg(
+    # one row per date: stored, so that its size is known and the rows meet it where they are read
+    keep = materialise(per_file.groupBy(*scope, "snapshot_date").agg(
         F.max_by("snapshot_path", F.struct("modificationTime", "snapshot_path")).alias("snapshot_path"),
-        F.count(F.when(F.col("path").isNull(), 1)).alias("_unknown"))
+        F.count(F.when(F.col("path").isNull(), 1)).alias("_unknown")), "batch-keep")
     lost = keep.where("_unknown > 0").limit(3).collect()
     if lost:
         raise UnknownFile(f"rows of files that the batch does not list: {lost}")
