@@ -143,7 +143,7 @@ def _plist_corrupt(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _csv_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fixture -> CSV exports -> CSV source."""
     out = scratch_path(spark, "csv")
-    csvfile.write_csv_snapshots(_fixture(spark, sf_dir), out)
+    csvfile.write_csv_snapshots(_fixture(spark, sf_dir), out, compression="gzip")
     return _folder(csvfile.csv_snapshots(spark, out))
 
 
@@ -159,11 +159,12 @@ def _csv_mixed_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exports of odd months have their columns in reverse, no genre and one unknown column."""
     raw, out = _fixture(spark, sf_dir), scratch_path(spark, "csv-mixed")
     odd = F.month("snapshot_date") % 2 == 1
-    csvfile.write_csv_snapshots(raw.filter(~odd), f"{out}/even")
+    csvfile.write_csv_snapshots(raw.filter(~odd), f"{out}/even", compression="gzip")
     rows = csvfile.export_rows(raw.filter(odd))
     lead = ["snapshot", "_ord"]
     back = [c for c in reversed(rows.columns) if c not in (*lead, "genre")]
-    csvfile.write_export_rows(rows.select(*lead, *back[:3], F.lit("?").alias("unknown"), *back[3:]), f"{out}/odd")
+    csvfile.write_export_rows(rows.select(*lead, *back[:3], F.lit("?").alias("unknown"), *back[3:]), f"{out}/odd",
+                              compression="gzip")
     return _folder(csvfile.csv_snapshots(spark, out))
 
 
